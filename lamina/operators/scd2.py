@@ -47,28 +47,25 @@ def scd2_history(
     tie_columns: Sequence[str] = (),
     collapse_unchanged: bool = True,
     change_type: str = "operation_type",
-    bucket: str | None = None,
     hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Keys, stored columns, ``__START_AT`` and ``__END_AT`` of every version.
 
-    ``bucket`` names a column that depends on the keys alone; the result is then laid out by it, ready
-    for a write partitioned by bucket. Keys above ``hot_rows`` changes are cut into stretches of their
-    own sequence, worked on separately and joined up at the edges (None: never).
+    Keys above ``hot_rows`` changes are cut into stretches of their own sequence, worked on separately
+    and joined up at the edges (None: never).
     """
     keys = list(keys)
-    place = [bucket] if bucket else []
     log = _prepare(
-        changes, keys, sequence_by, apply_as_deletes, except_column_list, tie_columns, change_type, place
+        changes, keys, sequence_by, apply_as_deletes, except_column_list, tie_columns, change_type
     )
     if hot_rows is None:
-        return _finish(_whole_keys(log, place, keys, collapse_unchanged), place, keys)
+        return _finish(_whole_keys(log, keys, collapse_unchanged), keys)
     hot = heavy_keys(log, keys, hot_rows)
     usual = log.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
-    versions = _whole_keys(usual, place, keys, collapse_unchanged).unionByName(
-        _cut_keys(log, hot, place, keys, collapse_unchanged, hot_rows)
+    versions = _whole_keys(usual, keys, collapse_unchanged).unionByName(
+        _cut_keys(log, hot, keys, collapse_unchanged, hot_rows)
     )
-    return _finish(versions, place, keys)
+    return _finish(versions, keys)
 
 
 def _usable(keys: Sequence[str], sequence_by: str) -> Column:
@@ -79,9 +76,9 @@ def _usable(keys: Sequence[str], sequence_by: str) -> Column:
 
 
 def _prepare(
-    changes, keys, sequence_by, apply_as_deletes, except_column_list, tie_columns, change_type, place
+    changes, keys, sequence_by, apply_as_deletes, except_column_list, tie_columns, change_type
 ) -> DataFrame:
-    """The log as (place, keys, seq, change); of changes at one ``seq`` the greatest wins."""
+    """The log as (keys, seq, change); of changes at one ``seq`` the greatest wins."""
     if change_type in changes.columns:
         changes = changes.where(
             F.coalesce(F.col(change_type) != UPDATE_PREIMAGE, F.lit(True))
@@ -89,13 +86,12 @@ def _prepare(
     deleted = (
         F.coalesce(F.expr(apply_as_deletes), F.lit(False)) if apply_as_deletes else F.lit(False)
     )
-    skip = {*keys, *except_column_list, *place}
+    skip = {*keys, *except_column_list}
     stored = [c for c in changes.columns if c not in skip]
     ties = [F.col(c).alias(f"tie_{i}") for i, c in enumerate(tie_columns)]
     # A table of keys alone still needs a state that differs from that of a delete.
     payload = F.struct(*stored) if stored else F.struct(F.lit(True).alias("present"))
     return changes.where(_usable(keys, sequence_by)).select(
-        *place,
         *keys,
         F.col(sequence_by).alias("seq"),
         F.struct((~deleted).alias("upsert"), *ties, payload.alias("payload")).alias("change"),
@@ -107,22 +103,21 @@ def _state() -> Column:
     return F.when(F.col("change.upsert"), F.col("change.payload")).alias("state")
 
 
-def _whole_keys(log: DataFrame, place: list[str], keys: list[str], collapse: bool) -> DataFrame:
+def _whole_keys(log: DataFrame, keys: list[str], collapse: bool) -> DataFrame:
     """Versions of keys that fit a task: one shuffle and one sort serve all the windows."""
-    group = [*place, *keys]
-    ties = Window.partitionBy(*group, "seq").orderBy(F.desc("change"))
-    line = Window.partitionBy(*group).orderBy("seq")
+    ties = Window.partitionBy(*keys, "seq").orderBy(F.desc("change"))
+    line = Window.partitionBy(*keys).orderBy("seq")
     winners = (
-        log.repartition(*(place or keys))
+        log.repartition(*keys)
         .withColumn("tie", F.row_number().over(ties))
         .where("tie = 1")
-        .select(*group, "seq", _state())
+        .select(*keys, "seq", _state())
     )
     return (
         _mark(winners, line, collapse)
         .where("changed")
         .withColumn("until", F.lead("seq").over(line))
-        .select(*group, "seq", "state", "until")
+        .select(*keys, "seq", "state", "until")
     )
 
 
@@ -135,29 +130,28 @@ def _mark(winners: DataFrame, line, collapse: bool) -> DataFrame:
 
 
 def _cut_keys(
-    log: DataFrame, hot: DataFrame, place: list[str], keys: list[str], collapse: bool, hot_rows: int
+    log: DataFrame, hot: DataFrame, keys: list[str], collapse: bool, hot_rows: int
 ) -> DataFrame:
     """Versions of hot keys. No task sees more than a stretch of one key."""
     cuts = F.broadcast(_cuts(log, hot, keys, hot_rows))
-    group = [*place, *keys]
     # Ties fall to a grouped maximum, so that many changes at one instant shrink before the shuffle.
     winners = (
         log.join(F.broadcast(hot.select(*keys)), keys)
-        .groupBy(*group, "seq")
+        .groupBy(*keys, "seq")
         .agg(F.max("change").alias("change"))
         .join(cuts, keys)
         .withColumn("chunk", _chunk_of(F.col("cuts"), F.col("seq")))
-        .select(*group, "chunk", "seq", _state())
+        .select(*keys, "chunk", "seq", _state())
     )
-    line = Window.partitionBy(*group, "chunk").orderBy("seq")
+    line = Window.partitionBy(*keys, "chunk").orderBy("seq")
     marked = _mark(winners, line, collapse)
-    edges = _edges(marked, group, collapse)
+    edges = _edges(marked, keys, collapse)
     opens = F.expr("IF(first, chunk_opens, NOT same)")
     return (
-        marked.join(edges, [*group, "chunk"])
+        marked.join(edges, [*keys, "chunk"])
         .where(opens)
         .withColumn("until", F.coalesce(F.lead("seq").over(line), F.col("next_seq")))
-        .select(*group, "seq", "state", "until")
+        .select(*keys, "seq", "state", "until")
     )
 
 
@@ -199,18 +193,18 @@ def _chunk_of(cuts: Column, seq: Column) -> Column:
     )
 
 
-def _edges(marked: DataFrame, group: list[str], collapse: bool) -> DataFrame:
+def _edges(marked: DataFrame, keys: list[str], collapse: bool) -> DataFrame:
     """One row per stretch: does its first row open a version, and when does the next stretch open one."""
-    ends = marked.groupBy(*group, "chunk").agg(
+    ends = marked.groupBy(*keys, "chunk").agg(
         F.min("seq").alias("first_seq"),
         F.min_by("state", "seq").alias("first_state"),
         F.max_by("state", "seq").alias("last_state"),
         F.min(F.when(F.expr("NOT first AND NOT same"), F.col("seq"))).alias("inner_seq"),
     )
-    forward = Window.partitionBy(*group).orderBy("chunk")
+    forward = Window.partitionBy(*keys).orderBy("chunk")
     # Later stretches come first in this order, which keeps the frame growing.
     later = (
-        Window.partitionBy(*group)
+        Window.partitionBy(*keys)
         .orderBy(F.desc("chunk"))
         .rowsBetween(Window.unboundedPreceding, -1)
     )
@@ -223,15 +217,14 @@ def _edges(marked: DataFrame, group: list[str], collapse: bool) -> DataFrame:
         "open_seq", F.expr("IF(chunk_opens, first_seq, inner_seq)")
     )
     return opened.withColumn("next_seq", F.min("open_seq").over(later)).select(
-        *group, "chunk", "chunk_opens", "next_seq"
+        *keys, "chunk", "chunk_opens", "next_seq"
     )
 
 
-def _finish(versions: DataFrame, place: list[str], keys: list[str]) -> DataFrame:
+def _finish(versions: DataFrame, keys: list[str]) -> DataFrame:
     """Drop the deletes, which served only to close versions, and spread the state out."""
     stored = [c for c in versions.schema["state"].dataType.names if c != "present"]
     return versions.where(F.col("state").isNotNull()).select(
-        *place,
         *keys,
         *[F.col("state").getField(c).alias(c) for c in stored],
         F.col("seq").alias(START),

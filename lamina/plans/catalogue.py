@@ -11,7 +11,7 @@ from lamina import rules
 from lamina.functions.hashing import record_hash
 from lamina.functions import synth
 from lamina.operators.append import append_silver, append_transactions
-from lamina.operators.bronze import add_bucket, enrich_changes
+from lamina.operators.bronze import enrich_changes
 from lamina.operators.diff import diff_snapshots
 from lamina.operators.latest import latest_per_group
 from lamina.operators.quality import expectation_report
@@ -19,18 +19,26 @@ from lamina.operators.scd2 import current, rejected_changes, scd2_history
 from lamina.operators.validate import count_spread, missing_keys
 from lamina.plans import shapes
 from lamina.plans.gold import cust_tran_profile, cust_tran_profile_sql, ticker_dist_geo
+from lamina.schemas import CHANGE_COLUMNS
 from lamina.schemas import bronze as bronze_schema
 from lamina.session import work_dir
-from lamina.sources.changelog import read_change_stream
+from lamina.sources.changelog import read_change_stream, read_changes, write_commits
 from lamina.sources.tables import append_table, read_append_stream, read_table
-from lamina.streaming.tables import apply_changes, stream_to_table, stream_with_quality
+from lamina.streaming.history import (
+    LAYOUT,
+    apply_changes,
+    place_changes,
+    placed_schema,
+    read_history,
+)
+from lamina.streaming.tables import stream_to_table, stream_with_quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
 USERS_FLOW = rules.ChangeFlow("users", ("user_id",), rules.FEED_COLUMNS + ("event_id",))
-# The middle of the feed's thirty days.
-HALF_WAY = 360
+# The middle of the feed's thirty daily commits.
+HALF_WAY = 15
 
 
 def query(name: str) -> Callable[[Query], Query]:
@@ -114,8 +122,13 @@ def bronze_tx(spark, sf_dir):
 
 @query("bronze_from_version")
 def bronze_from_version(spark, sf_dir):
+    """A stored log read from a version on: the commits before it are other partitions, never read."""
+    base = work_dir(spark, "from_version")
     feed = shapes.change_feed(spark, sf_dir)
-    return enrich_changes(feed.where(F.col("_commit_version") >= HALF_WAY), "accounts", stamp=False)
+    days = feed.withColumn("_commit_version", F.floor(F.col("_commit_version") / 24))
+    write_commits(days, f"{base}/log")
+    log = read_changes(spark, f"{base}/log", feed.drop(*CHANGE_COLUMNS).schema, HALF_WAY)
+    return enrich_changes(log, "accounts", stamp=False)
 
 
 @query("rejected_changes")
@@ -255,33 +268,28 @@ def scd2_composite_key(spark, sf_dir):
 
 @query("stream_scd2")
 def stream_scd2(spark, sf_dir):
-    """The feed as a log of three commits, taken one by one through bronze into the SCD2 table."""
+    """The feed as a log of daily commits, taken in several batches through bronze into the history."""
     base = work_dir(spark, "stream_scd2")
     feed = shapes.change_feed(spark, sf_dir)
-    thirds = feed.withColumn("commit", F.floor(F.col("_commit_version") / 240))
-    # One file per commit day of the feed, so that the stream takes them in several batches.
-    thirds.drop("_commit_version").write.partitionBy("commit").parquet(f"{base}/feed")
-    schema = feed.drop("_commit_version", "_change_type", "_commit_timestamp").schema
-    log = (
-        spark.readStream.schema(spark.read.parquet(f"{base}/feed").schema)
-        .option("maxFilesPerTrigger", 2)
-        .parquet(f"{base}/feed")
-        .withColumnRenamed("commit", "_commit_version")
-        .withColumn("_commit_version", F.col("_commit_version").cast("bigint"))
-    )
-    bronze = add_bucket(enrich_changes(log, "accounts"), USERS_FLOW.keys, 16)
-    stream_to_table(bronze, f"{base}/bronze", f"{base}/checkpoints/bronze", ["b"])
-    layout = bronze_schema(schema).add("b", "integer")
+    days = feed.withColumn("_commit_version", F.floor(F.col("_commit_version") / 24))
+    write_commits(days, f"{base}/log")
+    columns = feed.drop(*CHANGE_COLUMNS).schema
+    log = read_change_stream(spark, f"{base}/log", columns, max_files=12)
+    bronze = place_changes(enrich_changes(log, "accounts"), USERS_FLOW, 8, "WEEK")
+    stream_to_table(bronze, f"{base}/bronze", f"{base}/checkpoints/bronze", LAYOUT)
     apply_changes(
-        spark.readStream.schema(layout).option("maxFilesPerTrigger", 40).parquet(f"{base}/bronze"),
+        spark.readStream.schema(placed_schema(bronze_schema(columns)))
+        .option("maxFilesPerTrigger", 60)
+        .parquet(f"{base}/bronze"),
         f"{base}/bronze",
-        layout,
         f"{base}/silver",
         f"{base}/checkpoints/silver",
         USERS_FLOW,
+        buckets=8,
+        unit="WEEK",
         tie_columns=["event_id"],
     )
-    return spark.read.parquet(f"{base}/silver").drop("b")
+    return read_history(spark, f"{base}/silver", USERS_FLOW.keys)
 
 
 @query("stream_append_silver")

@@ -307,7 +307,8 @@ ORACLE = {
     " 'insert' AS operation_type, year(transaction_date) AS commit_version,"
     " transaction_date AS commit_timestamp FROM tx",
     "bronze_from_version": _with(CHG)
-    + f"SELECT {BRONZE_COLUMNS} FROM chg WHERE commit_version >= 360",
+    + "SELECT * FROM (SELECT chg.* REPLACE (CAST(floor(commit_version / 24) AS BIGINT) AS commit_version)"
+    " FROM chg) WHERE commit_version >= 15",
     "rejected_changes": _with(CHG)
     + "SELECT CAST(NULL AS BIGINT) AS user_id, event_id, band, source_file, operation_type,"
     " commit_version, commit_timestamp FROM chg WHERE operation_type = 'delete'",

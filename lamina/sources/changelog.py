@@ -20,6 +20,17 @@ def write_commit(feed: DataFrame, path: str, version: int, timestamp) -> None:
     )
 
 
+def write_commits(feed: DataFrame, path: str) -> None:
+    """Store a feed that carries all three metadata columns, each commit in its own partition."""
+    (
+        feed.hint("rebalance", "_commit_version")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("_commit_version")
+        .parquet(path)
+    )
+
+
 def read_changes(
     spark: SparkSession, path: str, table: T.StructType, starting_version: int | None = None
 ) -> DataFrame:

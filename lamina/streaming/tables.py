@@ -5,15 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from lamina.operators.heavy import HOT_ROWS
 from lamina.operators.quality import expect_all, observed_report
-from lamina.operators.scd2 import scd2_history
-from lamina.rules import ChangeFlow
-from lamina.schemas import UPDATE_PREIMAGE
 
 
 def stream_to_table(
@@ -47,69 +41,18 @@ def stream_with_quality(
     def write(batch: DataFrame, batch_id: int) -> None:
         counted, seen = expect_all(batch, expectations)
         counted.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-        _keep_counts(batch, dataset, expectations, seen, quality, batch_id)
+        report = observed_report(batch.sparkSession, dataset, expectations, seen)
+        keep_counts(report, dataset, quality, batch_id)
 
-    return _for_each_batch(stream, write, checkpoint)
+    return for_each_batch(stream, write, checkpoint)
 
 
-def apply_changes(
-    stream: DataFrame,
-    bronze: str,
-    bronze_schema: T.StructType,
-    target: str,
-    checkpoint: str,
-    flow: ChangeFlow,
-    quality: str | None = None,
-    bucket: str = "b",
-    tie_columns: Sequence[str] = (),
-    hot_rows: int | None = HOT_ROWS,
-) -> StreamingQuery:
-    """Keep the SCD2 table at ``target`` up to date with a bronze table partitioned by ``bucket``.
-
-    The stream tells which buckets have changes; their history is derived again from bronze, which is
-    the truth, and replaces those buckets only. Hence late changes, replays and retried batches all
-    end in the history a full run would give. The cost of a run is that of the buckets it touches.
-    """
-    entering = f"coalesce(operation_type <> '{UPDATE_PREIMAGE}', true)"
-    if flow.apply_as_deletes:
-        entering += f" AND NOT coalesce({flow.apply_as_deletes}, false)"
-    # Rows without a key or a place in the sequence enter no history; they are counted.
-    usable = " AND ".join(f"{c} IS NOT NULL" for c in (*flow.keys, flow.sequence_by))
-    rules = {**flow.expectations, "has_key_and_sequence": usable}
-
-    def apply(batch: DataFrame, batch_id: int) -> None:
-        counted, seen = expect_all(batch, rules, only=entering)
-        # At most one small number per bucket.
-        touched = [row[0] for row in counted.select(bucket).distinct().collect()]
-        log = batch.sparkSession.read.schema(bronze_schema).parquet(bronze)
-        history = scd2_history(
-            log.where(F.col(bucket).isin(touched)),
-            flow.keys,
-            flow.sequence_by,
-            flow.apply_as_deletes,
-            flow.except_column_list,
-            tie_columns,
-            bucket=bucket,
-            hot_rows=hot_rows,
-        )
-        (
-            history.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(bucket)
-            .parquet(target)
-        )
-        if quality:
-            _keep_counts(batch, flow.name, rules, seen, quality, batch_id)
-
-    return _for_each_batch(stream, apply, checkpoint)
-
-
-def _keep_counts(batch, dataset, expectations, seen, quality, batch_id) -> None:
-    report = observed_report(batch.sparkSession, dataset, expectations, seen)
+def keep_counts(report: DataFrame, dataset: str, quality: str, batch_id: int) -> None:
+    """Store one batch's counts under ``quality``; a retry replaces them."""
     report.coalesce(1).write.mode("overwrite").parquet(f"{quality}/source={dataset}/batch={batch_id}")
 
 
-def _for_each_batch(
+def for_each_batch(
     stream: DataFrame, step: Callable[[DataFrame, int], None], checkpoint: str
 ) -> StreamingQuery:
     query = (
