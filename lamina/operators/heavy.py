@@ -1,8 +1,8 @@
 """Finding and spreading the few keys that hold a large share of the rows.
 
 A window or a join sends all rows of a key to one task. The operators here and in ``scd2`` and
-``latest`` first list the keys above ``HOT_ROWS`` rows and treat those another way. With no such key
-the adaptive planner drops the extra branch, as its broadcast side comes out empty.
+``latest`` first count the rows per key, and treat the keys above ``HOT_ROWS`` another way. The count is
+a job of its own that reads the key columns only; with no such key the plan is the plain one.
 """
 
 from __future__ import annotations
@@ -13,21 +13,31 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HOT_ROWS = 5_000_000
-# The list of hot keys is broadcast, so its length is bounded. A key that does not make the list
-# holds less than 1/MAX_HOT_KEYS of all rows and takes the ordinary way.
+# The list of hot keys is bounded. A key that does not make it holds less than 1/MAX_HOT_KEYS of all
+# rows and takes the ordinary way.
 MAX_HOT_KEYS = 10_000
 MAX_PARTS = 4096
 
 
-def heavy_keys(df: DataFrame, keys: Sequence[str], hot_rows: int, *extra: Column) -> DataFrame:
-    """The keys with more than ``hot_rows`` rows: ``keys``, ``hot_n`` and the ``extra`` aggregates."""
-    return (
+def heavy_keys(
+    df: DataFrame, keys: Sequence[str], hot_rows: int | None, *extra: Column
+) -> DataFrame | None:
+    """The keys with more than ``hot_rows`` rows, as ``keys``, ``hot_n`` and the ``extra`` aggregates.
+
+    None if there are none. The list comes to the driver, at most ``MAX_HOT_KEYS`` rows long, and goes
+    out as a broadcast, so every branch that uses it sees the same keys.
+    """
+    if hot_rows is None:
+        return None
+    hot = (
         df.groupBy(*keys)
         .agg(F.count("*").alias("hot_n"), *extra)
         .where(F.col("hot_n") > hot_rows)
         .orderBy(F.desc("hot_n"), *keys)
         .limit(MAX_HOT_KEYS)
     )
+    rows = hot.collect()
+    return F.broadcast(df.sparkSession.createDataFrame(rows, hot.schema)) if rows else None
 
 
 def parts(hot_rows: int) -> Column:
@@ -49,11 +59,10 @@ def skew_join(
     choice), and only the matching rows of ``one`` are repeated. Null keys match nothing and are spread too. ``many`` must hold distinct rows for
     the spread to work; duplicates cost balance, not correctness.
     """
-    if hot_rows is None:
+    hot = heavy_keys(many, on, hot_rows)
+    if hot is None:
         return many.join(one, list(on), how)
-    hot = F.broadcast(
-        heavy_keys(many, on, hot_rows).select(*on, parts(hot_rows).alias("hot_salts"))
-    )
+    hot = F.broadcast(hot.select(*on, parts(hot_rows).alias("hot_salts")))
     spread = F.xxhash64(*many.columns)
     no_key = F.expr(" OR ".join(f"{c} IS NULL" for c in on))
     salted = many.join(hot, list(on), "left").select(

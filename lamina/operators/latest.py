@@ -21,10 +21,10 @@ def latest_per_group(
     """
     keys = list(keys)
     valid = df.na.drop(subset=[*keys, order_by])
-    if hot_rows is None:
+    hot = heavy_keys(valid, keys, hot_rows, F.max(order_by).alias("hot_best"))
+    if hot is None:
         return _ranked(valid, keys, order_by)
-    hot = F.broadcast(heavy_keys(valid, keys, hot_rows, F.max(order_by).alias("hot_best")))
-    usual = valid.join(hot.select(*keys), keys, "left_anti")
+    usual = valid.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
     best = valid.join(hot, keys).where(F.col(order_by) == F.col("hot_best"))
     return _ranked(usual, keys, order_by).unionByName(best.select(*df.columns))
 

@@ -58,9 +58,9 @@ def scd2_history(
     log = _prepare(
         changes, keys, sequence_by, apply_as_deletes, except_column_list, tie_columns, change_type
     )
-    if hot_rows is None:
-        return _finish(_whole_keys(log, keys, collapse_unchanged), keys)
     hot = heavy_keys(log, keys, hot_rows)
+    if hot is None:
+        return _finish(_whole_keys(log, keys, collapse_unchanged), keys)
     usual = log.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
     versions = _whole_keys(usual, keys, collapse_unchanged).unionByName(
         _cut_keys(log, hot, keys, collapse_unchanged, hot_rows)

@@ -279,7 +279,7 @@ def stream_scd2(spark, sf_dir):
     stream_to_table(bronze, f"{base}/bronze", f"{base}/checkpoints/bronze", LAYOUT)
     apply_changes(
         spark.readStream.schema(placed_schema(bronze_schema(columns)))
-        .option("maxFilesPerTrigger", 60)
+        .option("maxFilesPerTrigger", 30)
         .parquet(f"{base}/bronze"),
         f"{base}/bronze",
         f"{base}/silver",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,14 @@ from lamina.operators.diff import append_changes, overwrite_changes
 from lamina.sources.changelog import write_commit
 
 
+def create_table(
+    spark: SparkSession, path: str, schema: T.StructType, partition_by: Sequence[str] = ()
+) -> None:
+    """An empty table, unless there is one."""
+    empty = spark.createDataFrame([], schema)
+    empty.write.mode("ignore").partitionBy(*partition_by).parquet(path)
+
+
 def append_table(df: DataFrame, path: str) -> None:
     """Add rows; columns new to the table are allowed, see ``read_table``."""
     df.write.mode("append").parquet(path)

@@ -14,7 +14,6 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,11 +25,13 @@ from lamina.operators.quality import expect_all, observed_report
 from lamina.operators.scd2 import END, START, scd2_history
 from lamina.rules import ChangeFlow
 from lamina.schemas import INSERT, UPDATE_PREIMAGE
+from lamina.sources.tables import create_table
 from lamina.streaming.tables import for_each_batch, keep_counts
 
 BUCKET, PERIOD = "b", "p"
 OPEN = "open"
 LAYOUT = [BUCKET, PERIOD]
+CARRIED_BATCH = T.StructType().add("batch", "long")
 
 
 def period_of(moment: Column, unit: str) -> Column:
@@ -81,6 +82,10 @@ def apply_changes(
     usable = " AND ".join(f"{c} IS NOT NULL" for c in (*flow.keys, flow.sequence_by))
     placing = {"has_key_and_sequence": usable}
     schema = stream.schema
+    history_schema = _history_schema(schema, flow)
+    carry = f"{checkpoint}-carried"
+    create_table(stream.sparkSession, target, history_schema, LAYOUT)
+    create_table(stream.sparkSession, f"{carry}/batch", CARRIED_BATCH)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -89,8 +94,8 @@ def apply_changes(
         cuts = _cuts(counted.where(f"{entering} AND {usable}"))
         if cuts:
             log = spark.read.schema(schema).parquet(bronze).where(_since(cuts))
-            history = _existing(spark, target, _history_schema(schema, flow))
-            carried = _carried(spark, history, log, cuts, flow, unit, f"{checkpoint}-carried", batch_id)
+            history = spark.read.schema(history_schema).parquet(target).where(_since(cuts))
+            carried = _carried(history, cuts, flow, unit, carry, batch_id)
             versions = scd2_history(
                 log.unionByName(carried, allowMissingColumns=True),
                 flow.keys,
@@ -100,7 +105,7 @@ def apply_changes(
                 tie_columns,
                 hot_rows=hot_rows,
             )
-            _replace(versions, history, cuts, target, flow, buckets, unit)
+            _replace(versions, history, target, flow, buckets, unit)
         if quality:
             report = observed_report(spark, flow.name, flow.expectations, seen)
             placed = observed_report(spark, flow.name, placing, seen_keys)
@@ -135,18 +140,8 @@ def _history_schema(bronze: T.StructType, flow: ChangeFlow) -> T.StructType:
     return placed_schema(T.StructType(fields).add(START, moment).add(END, moment))
 
 
-def _existing(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
-    """The table, or None before its first write."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException:
-        return None
-
-
 def _carried(
-    spark: SparkSession,
-    history: DataFrame | None,
-    log: DataFrame,
+    history: DataFrame,
     cuts: dict[str, list[int]],
     flow: ChangeFlow,
     unit: str,
@@ -159,34 +154,31 @@ def _carried(
     runs again must see them as they were, so they are stored first, with the batch's number after
     them; the next batch reuses the space.
     """
-    if history is None:
-        return log.limit(0)
+    spark = history.sparkSession
     rows, done = f"{path}/rows", f"{path}/batch"
-    reached = history.where(_since(cuts)).where(F.col(flow.keys[0]).isNotNull())
     before_cut = F.lit(False)
     for period, touched in cuts.items():
         before_cut = before_cut | (
             F.col(BUCKET).isin(touched) & (period_of(F.col(START), unit) < period)
         )
     change = (
-        reached.where(before_cut)
+        history.where(before_cut & F.col(flow.keys[0]).isNotNull())
         .withColumn(flow.sequence_by, F.col(START))
         .withColumn("operation_type", F.lit(INSERT))
         .drop(START, END, *LAYOUT)
     )
-    last = _existing(spark, done, T.StructType().add("batch", "long"))
-    if last is None or last.where(F.col("batch") == batch_id).isEmpty():
+    stored = spark.read.schema(CARRIED_BATCH).parquet(done)
+    if stored.where(F.col("batch") == batch_id).isEmpty():
         change.write.mode("overwrite").parquet(rows)
-        spark.range(1).select(F.lit(batch_id).cast("bigint").alias("batch")).coalesce(
-            1
-        ).write.mode("overwrite").parquet(done)
+        spark.createDataFrame([(batch_id,)], CARRIED_BATCH).coalesce(1).write.mode(
+            "overwrite"
+        ).parquet(done)
     return spark.read.schema(change.schema).parquet(rows)
 
 
 def _replace(
     versions: DataFrame,
-    history: DataFrame | None,
-    cuts: dict[str, list[int]],
+    replaced: DataFrame,
     target: str,
     flow: ChangeFlow,
     buckets: int,
@@ -200,11 +192,10 @@ def _replace(
     placed = add_bucket(versions, flow.keys, buckets, BUCKET).withColumn(
         PERIOD, F.coalesce(period_of(F.col(END), unit), F.lit(OPEN))
     )
-    if history is not None:
-        stale = history.where(_since(cuts)).select(*LAYOUT).distinct()
-        placed = placed.unionByName(stale, allowMissingColumns=True)
+    stale = replaced.select(*LAYOUT).distinct()
     (
-        placed.hint("rebalance", *LAYOUT)
+        placed.unionByName(stale, allowMissingColumns=True)
+        .hint("rebalance", *LAYOUT)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*LAYOUT)
