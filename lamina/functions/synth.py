@@ -143,6 +143,8 @@ def choose_from(
     values = (
         dimension.select(F.col(column).alias(name))
         .distinct()
+        # One row past the bound is enough to see that it is passed.
+        .limit(MAX_CHOICES + 1)
         .withColumn("choices", F.count("*").over(whole))
         .where(
             F.assert_true(

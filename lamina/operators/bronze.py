@@ -31,6 +31,23 @@ def enrich_changes(
     )
 
 
+ENRICH_SQL = """
+SELECT
+  * EXCEPT (_change_type, _commit_version, _commit_timestamp),
+  current_timestamp() AS ingestion_timestamp,
+  :source_file AS source_file,
+  _change_type AS operation_type,
+  _commit_version AS commit_version,
+  _commit_timestamp AS commit_timestamp
+FROM {feed}
+"""
+
+
+def enrich_changes_sql(feed: DataFrame, source_file: str) -> DataFrame:
+    """``enrich_changes`` in SQL, on a batch or a stream."""
+    return feed.sparkSession.sql(ENRICH_SQL, args={"source_file": source_file}, feed=feed)
+
+
 def add_bucket(df: DataFrame, keys: Sequence[str], buckets: int, name: str = "b") -> DataFrame:
     """A storage bucket that depends on the keys alone."""
     return df.withColumn(name, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))

@@ -1,8 +1,9 @@
 """Finding and spreading the few keys that hold a large share of the rows.
 
 A window or a join sends all rows of a key to one task. The operators here and in ``scd2`` and
-``latest`` first count the rows per key, and treat the keys above ``HOT_ROWS`` another way. The count is
-a job of its own that reads the key columns only; with no such key the plan is the plain one.
+``latest`` first look for keys above ``HOT_ROWS`` rows, and treat those another way. Looking is a job of
+its own that counts a sample of the key columns; all rows of all keys are then worked on, and with no
+such key the plan is the plain one.
 """
 
 from __future__ import annotations
@@ -17,21 +18,26 @@ HOT_ROWS = 5_000_000
 # rows and takes the ordinary way.
 MAX_HOT_KEYS = 10_000
 MAX_PARTS = 4096
+# How many sampled rows a key at the threshold has; the estimate is then within a few percent.
+SAMPLE_AT_THRESHOLD = 10_000
 
 
-def heavy_keys(
-    df: DataFrame, keys: Sequence[str], hot_rows: int | None, *extra: Column
-) -> DataFrame | None:
-    """The keys with more than ``hot_rows`` rows, as ``keys``, ``hot_n`` and the ``extra`` aggregates.
+def heavy_keys(df: DataFrame, keys: Sequence[str], hot_rows: int | None) -> DataFrame | None:
+    """The keys with more than ``hot_rows`` rows, and their rough number of rows ``hot_n``.
 
-    None if there are none. The list comes to the driver, at most ``MAX_HOT_KEYS`` rows long, and goes
-    out as a broadcast, so every branch that uses it sees the same keys.
+    None if there are none. A sample is enough, since missing a key costs balance only. The list comes
+    to the driver, at most ``MAX_HOT_KEYS`` rows long, and goes out as a broadcast, so every branch
+    that uses it sees the same keys.
     """
     if hot_rows is None:
         return None
+    fraction = min(1.0, SAMPLE_AT_THRESHOLD / hot_rows)
+    seen = df.select(*keys)
+    if fraction < 1.0:
+        seen = seen.sample(fraction, seed=17)
     hot = (
-        df.groupBy(*keys)
-        .agg(F.count("*").alias("hot_n"), *extra)
+        seen.groupBy(*keys)
+        .agg((F.count("*") / F.lit(fraction)).cast("bigint").alias("hot_n"))
         .where(F.col("hot_n") > hot_rows)
         .orderBy(F.desc("hot_n"), *keys)
         .limit(MAX_HOT_KEYS)

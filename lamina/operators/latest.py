@@ -20,13 +20,18 @@ def latest_per_group(
     alone could fill a task, are compared in place with their broadcast maximum instead.
     """
     keys = list(keys)
-    valid = df.na.drop(subset=[*keys, order_by])
-    hot = heavy_keys(valid, keys, hot_rows, F.max(order_by).alias("hot_best"))
+    valid = df
+    for column in (*keys, order_by):
+        valid = valid.where(F.col(column).isNotNull())
+    hot = heavy_keys(valid, keys, hot_rows)
     if hot is None:
         return _ranked(valid, keys, order_by)
     usual = valid.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
-    best = valid.join(hot, keys).where(F.col(order_by) == F.col("hot_best"))
-    return _ranked(usual, keys, order_by).unionByName(best.select(*df.columns))
+    busy = valid.join(F.broadcast(hot.select(*keys)), keys)
+    # One row per hot group, so no more than the list of hot groups has.
+    best = F.broadcast(busy.groupBy(*keys).agg(F.max(order_by).alias("hot_best")))
+    latest = busy.join(best, keys).where(F.col(order_by) == F.col("hot_best"))
+    return _ranked(usual, keys, order_by).unionByName(latest.select(*df.columns))
 
 
 def _ranked(df: DataFrame, keys: list[str], order_by: str) -> DataFrame:

@@ -11,7 +11,7 @@ from lamina import rules
 from lamina.functions.hashing import record_hash
 from lamina.functions import synth
 from lamina.operators.append import append_silver, append_transactions
-from lamina.operators.bronze import enrich_changes
+from lamina.operators.bronze import enrich_changes, enrich_changes_sql
 from lamina.operators.diff import diff_snapshots
 from lamina.operators.latest import latest_per_group
 from lamina.operators.quality import expectation_report
@@ -82,12 +82,8 @@ def bronze_accounts(spark, sf_dir):
 
 @query("bronze_accounts_sql")
 def bronze_accounts_sql(spark, sf_dir):
-    return spark.sql(
-        "SELECT * EXCEPT (_change_type, _commit_version, _commit_timestamp),"
-        " 'accounts' AS source_file, _change_type AS operation_type,"
-        " _commit_version AS commit_version, _commit_timestamp AS commit_timestamp FROM {feed}",
-        feed=shapes.change_feed(spark, sf_dir),
-    )
+    feed = shapes.change_feed(spark, sf_dir)
+    return enrich_changes_sql(feed, "accounts").drop("ingestion_timestamp")
 
 
 @query("bronze_customer")

@@ -61,9 +61,16 @@ COORDINATES = {"longitude": "double", "latitude": "double"}
 
 
 def refresh_cdc(
-    spark: SparkSession, folders: Folders, buckets: int, unit: str = "MONTH"
+    spark: SparkSession,
+    folders: Folders,
+    buckets: int,
+    unit: str = "MONTH",
+    current_transactions_only: bool = False,
 ) -> DataFrame:
-    """Change feeds through bronze into SCD2 tables and the profile over their open versions."""
+    """Change feeds through bronze into SCD2 tables and the profile over their open versions.
+
+    Every version of a transaction counts, unless ``current_transactions_only``.
+    """
     for name, schema, flow, source_file in CDC_TABLES:
         bronze = folders.at("bronze", name)
         feed = read_change_stream(spark, folders.source(name, schema).log, schema)
@@ -84,12 +91,14 @@ def refresh_cdc(
             unit,
             folders.quality,
         )
-    silver = [
+    accounts, customers, tx = (
         read_history(spark, folders.at("silver", flow.name), flow.keys)
         for _, _, flow, _ in CDC_TABLES
-    ]
+    )
+    if current_transactions_only:
+        tx = current(tx)
     profile = cust_tran_profile(
-        current(silver[0]), current(silver[1]), silver[2], F.current_timestamp()
+        current(accounts), current(customers), tx, F.current_timestamp()
     )
     return _refresh_gold(folders, "cust_tran_profile", profile, rules.PROFILE)
 

@@ -8,13 +8,14 @@ import pytest
 from lamina import rules
 from lamina.functions.hashing import record_hash
 from lamina.operators.append import append_silver, append_transactions
-from lamina.operators.bronze import add_bucket, enrich_changes
+from lamina.operators.bronze import add_bucket, enrich_changes, enrich_changes_sql
 from lamina.operators.diff import append_changes, diff_snapshots, overwrite_changes
-from lamina.operators.heavy import skew_join
+from lamina.operators.heavy import heavy_keys, skew_join
 from lamina.operators.latest import latest_per_group
 from lamina.operators.quality import expect_all, expectation_report, observed_report
 from lamina.operators.scd2 import current, scd2_history
 from lamina.operators.validate import count_spread, missing_keys
+from lamina.streaming.tables import stream_to_table
 
 
 def rows(df):
@@ -184,3 +185,37 @@ def test_record_hash_skips_nulls(spark):
     df = spark.sql("SELECT 'a' AS x, CAST(NULL AS INT) AS y, 3 AS z")
     same = spark.sql("SELECT sha2('a|3', 256) AS h")
     assert rows(df.select(record_hash("x", "y", "z"))) == rows(same)
+
+
+def test_hot_keys_from_a_sample(spark):
+    """Above the sample's size the counts are estimates, and cold keys stay off the list."""
+    df = spark.range(200_000).selectExpr("IF(id % 2 = 0, 0, id) AS k")
+    hot = heavy_keys(df, ["k"], 40_000).collect()
+    assert [r.k for r in hot] == [0]
+    assert 90_000 < hot[0].hot_n < 110_000
+    assert heavy_keys(df, ["k"], 150_000) is None
+
+
+def test_enrich_in_sql(spark):
+    feed = spark.sql(
+        "SELECT 'a' AS k, 'delete' AS _change_type, 3L AS _commit_version,"
+        " TIMESTAMP'2024-01-01' AS _commit_timestamp"
+    )
+    one, other = (
+        f(feed, "accounts").drop("ingestion_timestamp") for f in (enrich_changes, enrich_changes_sql)
+    )
+    assert rows(one.select(*other.columns)) == rows(other)
+
+
+def test_enrich_in_sql_on_a_stream(spark, tmp_path):
+    feed = spark.sql(
+        "SELECT 'a' AS k, 'insert' AS _change_type, 3L AS _commit_version,"
+        " TIMESTAMP'2024-01-01' AS _commit_timestamp"
+    )
+    feed.write.parquet(str(tmp_path / "feed"))
+    stream = spark.readStream.schema(feed.schema).parquet(str(tmp_path / "feed"))
+    out = str(tmp_path / "bronze")
+    stream_to_table(enrich_changes_sql(stream, "accounts"), out, str(tmp_path / "checkpoint"))
+    row = spark.read.parquet(out).first()
+    assert (row.k, row.source_file, row.operation_type) == ("a", "accounts", "insert")
+    assert row.ingestion_timestamp is not None
