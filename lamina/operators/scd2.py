@@ -76,9 +76,18 @@ def _usable(keys: Sequence[str], sequence_by: str) -> Column:
 
 
 def _prepare(
-    changes, keys, sequence_by, apply_as_deletes, except_column_list, tie_columns, change_type
+    changes: DataFrame,
+    keys: list[str],
+    sequence_by: str,
+    apply_as_deletes: str | None,
+    except_column_list: Sequence[str],
+    tie_columns: Sequence[str],
+    change_type: str,
 ) -> DataFrame:
-    """The log as (keys, seq, change); of changes at one ``seq`` the greatest wins."""
+    """The log as keys, ``__seq`` and ``__change``; of changes at one place the greatest wins.
+
+    Stored columns stay inside a struct, so that the names used here cannot meet theirs.
+    """
     if change_type in changes.columns:
         changes = changes.where(
             F.coalesce(F.col(change_type) != UPDATE_PREIMAGE, F.lit(True))
@@ -93,40 +102,40 @@ def _prepare(
     payload = F.struct(*stored) if stored else F.struct(F.lit(True).alias("present"))
     return changes.where(_usable(keys, sequence_by)).select(
         *keys,
-        F.col(sequence_by).alias("seq"),
-        F.struct((~deleted).alias("upsert"), *ties, payload.alias("payload")).alias("change"),
+        F.col(sequence_by).alias("__seq"),
+        F.struct((~deleted).alias("upsert"), *ties, payload.alias("payload")).alias("__change"),
     )
 
 
 def _state() -> Column:
     """What a change leaves: its stored columns, or null after a delete."""
-    return F.when(F.col("change.upsert"), F.col("change.payload")).alias("state")
+    return F.when(F.col("__change.upsert"), F.col("__change.payload")).alias("__state")
 
 
 def _whole_keys(log: DataFrame, keys: list[str], collapse: bool) -> DataFrame:
     """Versions of keys that fit a task: one shuffle and one sort serve all the windows."""
-    ties = Window.partitionBy(*keys, "seq").orderBy(F.desc("change"))
-    line = Window.partitionBy(*keys).orderBy("seq")
+    ties = Window.partitionBy(*keys, "__seq").orderBy(F.desc("__change"))
+    line = Window.partitionBy(*keys).orderBy("__seq")
     winners = (
         log.repartition(*keys)
-        .withColumn("tie", F.row_number().over(ties))
-        .where("tie = 1")
-        .select(*keys, "seq", _state())
+        .withColumn("__tie", F.row_number().over(ties))
+        .where("__tie = 1")
+        .select(*keys, "__seq", _state())
     )
     return (
         _mark(winners, line, collapse)
-        .where("changed")
-        .withColumn("until", F.lead("seq").over(line))
-        .select(*keys, "seq", "state", "until")
+        .where("__changed")
+        .withColumn("__until", F.lead("__seq").over(line))
+        .select(*keys, "__seq", "__state", "__until")
     )
 
 
 def _mark(winners: DataFrame, line, collapse: bool) -> DataFrame:
     """Flag the first row of a line and every row whose state differs from the one before."""
-    first = F.lag("seq").over(line).isNull()
-    same = F.lag("state").over(line).eqNullSafe(F.col("state")) if collapse else F.lit(False)
-    marked = winners.withColumn("first", first)
-    return marked.withColumn("same", same).withColumn("changed", F.expr("first OR NOT same"))
+    first = F.lag("__seq").over(line).isNull()
+    same = F.lag("__state").over(line).eqNullSafe(F.col("__state")) if collapse else F.lit(False)
+    marked = winners.withColumn("__first", first)
+    return marked.withColumn("__same", same).withColumn("__changed", F.expr("__first OR NOT __same"))
 
 
 def _cut_keys(
@@ -137,21 +146,21 @@ def _cut_keys(
     # Ties fall to a grouped maximum, so that many changes at one instant shrink before the shuffle.
     winners = (
         log.join(F.broadcast(hot.select(*keys)), keys)
-        .groupBy(*keys, "seq")
-        .agg(F.max("change").alias("change"))
+        .groupBy(*keys, "__seq")
+        .agg(F.max("__change").alias("__change"))
         .join(cuts, keys)
-        .withColumn("chunk", _chunk_of(F.col("cuts"), F.col("seq")))
-        .select(*keys, "chunk", "seq", _state())
+        .withColumn("__chunk", _chunk_of(F.col("__cuts"), F.col("__seq")))
+        .select(*keys, "__chunk", "__seq", _state())
     )
-    line = Window.partitionBy(*keys, "chunk").orderBy("seq")
+    line = Window.partitionBy(*keys, "__chunk").orderBy("__seq")
     marked = _mark(winners, line, collapse)
     edges = _edges(marked, keys, collapse)
-    opens = F.expr("IF(first, chunk_opens, NOT same)")
+    opens = F.expr("IF(__first, __opens, NOT __same)")
     return (
-        marked.join(edges, [*keys, "chunk"])
+        marked.join(edges, [*keys, "__chunk"])
         .where(opens)
-        .withColumn("until", F.coalesce(F.lead("seq").over(line), F.col("next_seq")))
-        .select(*keys, "seq", "state", "until")
+        .withColumn("__until", F.coalesce(F.lead("__seq").over(line), F.col("__next_seq")))
+        .select(*keys, "__seq", "__state", "__until")
     )
 
 
@@ -161,23 +170,23 @@ def _cuts(log: DataFrame, hot: DataFrame, keys: list[str], hot_rows: int) -> Dat
     The cuts come from a sample picked by hash, the same on every evaluation; they steer balance
     only. There are at most ``MAX_PARTS`` per key and ``rows / hot_rows`` in all.
     """
-    wanted = hot.select(*keys, "hot_n", parts(hot_rows).alias("chunks")).withColumn(
-        "step", F.expr(f"greatest(1, hot_n DIV (chunks * {SAMPLES_PER_CHUNK}))")
+    wanted = hot.select(*keys, "hot_n", parts(hot_rows).alias("__chunks")).withColumn(
+        "__step", F.expr(f"greatest(1, hot_n DIV (__chunks * {SAMPLES_PER_CHUNK}))")
     )
     sample = (
-        log.select(*keys, "seq")
+        log.select(*keys, "__seq")
         .join(F.broadcast(wanted), keys)
-        .where(F.expr("pmod(xxhash64(seq), step) = 0"))
+        .where(F.expr("pmod(xxhash64(__seq), __step) = 0"))
         .groupBy(*keys)
-        .agg(F.array_sort(F.collect_set("seq")).alias("sample"))
+        .agg(F.array_sort(F.collect_set("__seq")).alias("__sample"))
     )
     cuts = F.expr(
-        "CASE WHEN sample IS NULL THEN NULL"
-        " WHEN size(sample) <= chunks THEN sample"
-        " ELSE transform(sequence(1, chunks - 1),"
-        "                i -> sample[CAST(CAST(i AS BIGINT) * size(sample) DIV chunks AS INT)]) END"
+        "CASE WHEN __sample IS NULL THEN NULL"
+        " WHEN size(__sample) <= __chunks THEN __sample"
+        " ELSE transform(sequence(1, __chunks - 1), i -> __sample["
+        "CAST(CAST(i AS BIGINT) * size(__sample) DIV __chunks AS INT)]) END"
     )
-    return wanted.join(sample, keys, "left").select(*keys, cuts.alias("cuts"))
+    return wanted.join(sample, keys, "left").select(*keys, cuts.alias("__cuts"))
 
 
 # Enough halving steps for MAX_PARTS cuts.
@@ -195,38 +204,38 @@ def _chunk_of(cuts: Column, seq: Column) -> Column:
 
 def _edges(marked: DataFrame, keys: list[str], collapse: bool) -> DataFrame:
     """One row per stretch: does its first row open a version, and when does the next stretch open one."""
-    ends = marked.groupBy(*keys, "chunk").agg(
-        F.min("seq").alias("first_seq"),
-        F.min_by("state", "seq").alias("first_state"),
-        F.max_by("state", "seq").alias("last_state"),
-        F.min(F.when(F.expr("NOT first AND NOT same"), F.col("seq"))).alias("inner_seq"),
+    ends = marked.groupBy(*keys, "__chunk").agg(
+        F.min("__seq").alias("__first_seq"),
+        F.min_by("__state", "__seq").alias("__first_state"),
+        F.max_by("__state", "__seq").alias("__last_state"),
+        F.min(F.when(F.expr("NOT __first AND NOT __same"), F.col("__seq"))).alias("__inner_seq"),
     )
-    forward = Window.partitionBy(*keys).orderBy("chunk")
+    forward = Window.partitionBy(*keys).orderBy("__chunk")
     # Later stretches come first in this order, which keeps the frame growing.
     later = (
         Window.partitionBy(*keys)
-        .orderBy(F.desc("chunk"))
+        .orderBy(F.desc("__chunk"))
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    starts = F.lag("chunk").over(forward).isNull()
+    starts = F.lag("__chunk").over(forward).isNull()
     if collapse:
-        starts = starts | ~F.lag("last_state").over(forward).eqNullSafe(F.col("first_state"))
+        starts = starts | ~F.lag("__last_state").over(forward).eqNullSafe(F.col("__first_state"))
     else:
         starts = F.lit(True)
-    opened = ends.withColumn("chunk_opens", starts).withColumn(
-        "open_seq", F.expr("IF(chunk_opens, first_seq, inner_seq)")
+    opened = ends.withColumn("__opens", starts).withColumn(
+        "__open_seq", F.expr("IF(__opens, __first_seq, __inner_seq)")
     )
-    return opened.withColumn("next_seq", F.min("open_seq").over(later)).select(
-        *keys, "chunk", "chunk_opens", "next_seq"
+    return opened.withColumn("__next_seq", F.min("__open_seq").over(later)).select(
+        *keys, "__chunk", "__opens", "__next_seq"
     )
 
 
 def _finish(versions: DataFrame, keys: list[str]) -> DataFrame:
     """Drop the deletes, which served only to close versions, and spread the state out."""
-    stored = [c for c in versions.schema["state"].dataType.names if c != "present"]
-    return versions.where(F.col("state").isNotNull()).select(
+    stored = [c for c in versions.schema["__state"].dataType.names if c != "present"]
+    return versions.where(F.col("__state").isNotNull()).select(
         *keys,
-        *[F.col("state").getField(c).alias(c) for c in stored],
-        F.col("seq").alias(START),
-        F.col("until").alias(END),
+        *[F.col("__state").getField(c).alias(c) for c in stored],
+        F.col("__seq").alias(START),
+        F.col("__until").alias(END),
     )

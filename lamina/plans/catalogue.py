@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lamina import rules
 from lamina.functions.hashing import record_hash
@@ -37,6 +38,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
 USERS_FLOW = rules.ChangeFlow("users", ("user_id",), rules.FEED_COLUMNS + ("event_id",))
+USER_BUCKETS = 8
 # The middle of the feed's thirty daily commits.
 HALF_WAY = 15
 
@@ -53,6 +55,11 @@ def _users_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich_changes(shapes.change_feed(spark, sf_dir), "accounts", stamp=False)
 
 
+def _daily_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    feed = shapes.change_feed(spark, sf_dir)
+    return feed.withColumn("_commit_version", F.floor(F.col("_commit_version") / 24))
+
+
 def _users_history(changes: DataFrame) -> DataFrame:
     return scd2_history(
         changes,
@@ -120,9 +127,8 @@ def bronze_tx(spark, sf_dir):
 def bronze_from_version(spark, sf_dir):
     """A stored log read from a version on: the commits before it are other partitions, never read."""
     base = work_dir(spark, "from_version")
-    feed = shapes.change_feed(spark, sf_dir)
-    days = feed.withColumn("_commit_version", F.floor(F.col("_commit_version") / 24))
-    write_commits(days, f"{base}/log")
+    feed = _daily_commits(spark, sf_dir)
+    write_commits(feed, f"{base}/log")
     log = read_changes(spark, f"{base}/log", feed.drop(*CHANGE_COLUMNS).schema, HALF_WAY)
     return enrich_changes(log, "accounts", stamp=False)
 
@@ -262,30 +268,36 @@ def scd2_composite_key(spark, sf_dir):
 # Streams
 
 
-@query("stream_scd2")
-def stream_scd2(spark, sf_dir):
-    """The feed as a log of daily commits, taken in several batches through bronze into the history."""
-    base = work_dir(spark, "stream_scd2")
-    feed = shapes.change_feed(spark, sf_dir)
-    days = feed.withColumn("_commit_version", F.floor(F.col("_commit_version") / 24))
-    write_commits(days, f"{base}/log")
-    columns = feed.drop(*CHANGE_COLUMNS).schema
-    log = read_change_stream(spark, f"{base}/log", columns, max_files=12)
-    bronze = place_changes(enrich_changes(log, "accounts"), USERS_FLOW, 8, "WEEK")
+def run_users_pipeline(
+    spark: SparkSession, base: str, columns: StructType, log_files: int, bronze_files: int
+) -> DataFrame:
+    """What is new in the users' log, through bronze into their history."""
+    log = read_change_stream(spark, f"{base}/log", columns, max_files=log_files)
+    bronze = place_changes(enrich_changes(log, "accounts"), USERS_FLOW, USER_BUCKETS, "WEEK")
     stream_to_table(bronze, f"{base}/bronze", f"{base}/checkpoints/bronze", LAYOUT)
+    schema = placed_schema(bronze_schema(columns))
     apply_changes(
-        spark.readStream.schema(placed_schema(bronze_schema(columns)))
-        .option("maxFilesPerTrigger", 30)
+        spark.readStream.schema(schema)
+        .option("maxFilesPerTrigger", bronze_files)
         .parquet(f"{base}/bronze"),
         f"{base}/bronze",
         f"{base}/silver",
         f"{base}/checkpoints/silver",
         USERS_FLOW,
-        buckets=8,
+        buckets=USER_BUCKETS,
         unit="WEEK",
         tie_columns=["event_id"],
     )
-    return read_history(spark, f"{base}/silver", USERS_FLOW.keys)
+    return read_history(spark, f"{base}/silver", schema, USERS_FLOW)
+
+
+@query("stream_scd2")
+def stream_scd2(spark, sf_dir):
+    """The feed as a log of daily commits, taken in several batches through bronze into the history."""
+    base = work_dir(spark, "stream_scd2")
+    feed = _daily_commits(spark, sf_dir)
+    write_commits(feed, f"{base}/log")
+    return run_users_pipeline(spark, base, feed.drop(*CHANGE_COLUMNS).schema, 12, 30)
 
 
 @query("stream_append_silver")

@@ -92,8 +92,8 @@ def refresh_cdc(
             folders.quality,
         )
     accounts, customers, tx = (
-        read_history(spark, folders.at("silver", flow.name), flow.keys)
-        for _, _, flow, _ in CDC_TABLES
+        read_history(spark, folders.at("silver", flow.name), schemas.bronze(schema), flow)
+        for _, schema, flow, _ in CDC_TABLES
     )
     if current_transactions_only:
         tx = current(tx)

@@ -28,24 +28,31 @@ from lamina.schemas import INSERT, UPDATE_PREIMAGE
 from lamina.sources.tables import create_table
 from lamina.streaming.tables import for_each_batch, keep_counts
 
-BUCKET, PERIOD = "b", "p"
+BUCKET, PERIOD = "_bucket", "_period"
 OPEN = "open"
 LAYOUT = [BUCKET, PERIOD]
 CARRIED_BATCH = T.StructType().add("batch", "long")
 
 
-def period_of(moment: Column, unit: str) -> Column:
-    """The first day of the period. As text it sorts like the time, and before ``open``."""
-    return F.date_format(F.date_trunc(unit, moment), "yyyy-MM-dd")
+def period_of(moment: str, kind: T.DataType, unit: str) -> Column:
+    """The first day of the period a column lies in, as text, which sorts like the time and before
+    ``open``. Instants are taken in UTC: the folders must not depend on a session's time zone."""
+    day = F.col(moment).cast("date")
+    if isinstance(kind, T.TimestampType):
+        days = F.floor(F.unix_seconds(moment) / F.lit(86400)).cast("int")
+        day = F.date_add(F.lit("1970-01-01").cast("date"), days)
+    return (day if unit == "DAY" else F.trunc(day, unit)).cast("string")
 
 
 def place_changes(
     bronze: DataFrame, flow: ChangeFlow, buckets: int, unit: str = "MONTH"
 ) -> DataFrame:
-    """Bronze with the two columns by which it must be partitioned."""
-    return add_bucket(bronze, flow.keys, buckets, BUCKET).withColumn(
-        PERIOD, period_of(F.col(flow.sequence_by), unit)
-    )
+    """Bronze with the two columns by which it must be partitioned.
+
+    ``unit`` is DAY, WEEK, MONTH, QUARTER or YEAR.
+    """
+    period = period_of(flow.sequence_by, bronze.schema[flow.sequence_by].dataType, unit)
+    return add_bucket(bronze, flow.keys, buckets, BUCKET).withColumn(PERIOD, period)
 
 
 def placed_schema(schema: T.StructType) -> T.StructType:
@@ -53,9 +60,21 @@ def placed_schema(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields]).add(BUCKET, "integer").add(PERIOD, "string")
 
 
-def read_history(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
+def history_schema(bronze: T.StructType, flow: ChangeFlow) -> T.StructType:
+    """The columns of the SCD2 table that a flow makes of a bronze table."""
+    skip = {*flow.keys, *flow.except_column_list, *LAYOUT}
+    stored = [f for f in bronze.fields if f.name not in skip]
+    moment = bronze[flow.sequence_by].dataType
+    fields = [*[bronze[k] for k in flow.keys], *stored]
+    return T.StructType(fields).add(START, moment).add(END, moment)
+
+
+def read_history(
+    spark: SparkSession, path: str, bronze: T.StructType, flow: ChangeFlow
+) -> DataFrame:
     """The versions, without the rows that stand in for emptied partitions."""
-    return spark.read.parquet(path).where(F.col(keys[0]).isNotNull()).drop(*LAYOUT)
+    history = spark.read.schema(placed_schema(history_schema(bronze, flow))).parquet(path)
+    return history.where(F.col(flow.keys[0]).isNotNull()).drop(*LAYOUT)
 
 
 def apply_changes(
@@ -82,9 +101,10 @@ def apply_changes(
     usable = " AND ".join(f"{c} IS NOT NULL" for c in (*flow.keys, flow.sequence_by))
     placing = {"has_key_and_sequence": usable}
     schema = stream.schema
-    history_schema = _history_schema(schema, flow)
+    moment = schema[flow.sequence_by].dataType
+    placed_history = placed_schema(history_schema(schema, flow))
     carry = f"{checkpoint}-carried"
-    create_table(stream.sparkSession, target, history_schema, LAYOUT)
+    create_table(stream.sparkSession, target, placed_history, LAYOUT)
     create_table(stream.sparkSession, f"{carry}/batch", CARRIED_BATCH)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
@@ -94,8 +114,9 @@ def apply_changes(
         cuts = _cuts(counted.where(f"{entering} AND {usable}"))
         if cuts:
             log = spark.read.schema(schema).parquet(bronze).where(_since(cuts))
-            history = spark.read.schema(history_schema).parquet(target).where(_since(cuts))
-            carried = _carried(history, cuts, flow, unit, carry, batch_id)
+            history = spark.read.schema(placed_history).parquet(target).where(_since(cuts))
+            starts = period_of(START, moment, unit)
+            carried = _carried(history, cuts, flow, starts, carry, batch_id)
             versions = scd2_history(
                 log.unionByName(carried, allowMissingColumns=True),
                 flow.keys,
@@ -105,11 +126,13 @@ def apply_changes(
                 tie_columns,
                 hot_rows=hot_rows,
             )
-            _replace(versions, history, target, flow, buckets, unit)
+            ends = F.coalesce(period_of(END, moment, unit), F.lit(OPEN))
+            placed = add_bucket(versions, flow.keys, buckets, BUCKET).withColumn(PERIOD, ends)
+            _replace(placed, history, target)
         if quality:
             report = observed_report(spark, flow.name, flow.expectations, seen)
-            placed = observed_report(spark, flow.name, placing, seen_keys)
-            keep_counts(report.unionByName(placed), flow.name, quality, batch_id)
+            unplaced = observed_report(spark, flow.name, placing, seen_keys)
+            keep_counts(report.unionByName(unplaced), flow.name, quality, batch_id)
 
     return for_each_batch(stream, apply, checkpoint)
 
@@ -131,20 +154,11 @@ def _since(cuts: dict[str, list[int]]) -> Column:
     return condition
 
 
-def _history_schema(bronze: T.StructType, flow: ChangeFlow) -> T.StructType:
-    """What ``scd2_history`` makes of bronze, placed. Left to itself a reader takes periods for dates."""
-    skip = {*flow.keys, *flow.except_column_list, *LAYOUT}
-    stored = [f for f in bronze.fields if f.name not in skip]
-    moment = bronze[flow.sequence_by].dataType
-    fields = [*[bronze[k] for k in flow.keys], *stored]
-    return placed_schema(T.StructType(fields).add(START, moment).add(END, moment))
-
-
 def _carried(
     history: DataFrame,
     cuts: dict[str, list[int]],
     flow: ChangeFlow,
-    unit: str,
+    starts: Column,
     path: str,
     batch_id: int,
 ) -> DataFrame:
@@ -158,9 +172,7 @@ def _carried(
     rows, done = f"{path}/rows", f"{path}/batch"
     before_cut = F.lit(False)
     for period, touched in cuts.items():
-        before_cut = before_cut | (
-            F.col(BUCKET).isin(touched) & (period_of(F.col(START), unit) < period)
-        )
+        before_cut = before_cut | (F.col(BUCKET).isin(touched) & (starts < period))
     change = (
         history.where(before_cut & F.col(flow.keys[0]).isNotNull())
         .withColumn(flow.sequence_by, F.col(START))
@@ -176,22 +188,12 @@ def _carried(
     return spark.read.schema(change.schema).parquet(rows)
 
 
-def _replace(
-    versions: DataFrame,
-    replaced: DataFrame,
-    target: str,
-    flow: ChangeFlow,
-    buckets: int,
-    unit: str,
-) -> None:
+def _replace(placed: DataFrame, replaced: DataFrame, target: str) -> None:
     """Write the versions over the partitions they belong to.
 
     A partition without new rows would keep its old ones, so each that is replaced gets a row of nulls.
     Rebalancing gives files of even size: small partitions share a task, a large one takes several.
     """
-    placed = add_bucket(versions, flow.keys, buckets, BUCKET).withColumn(
-        PERIOD, F.coalesce(period_of(F.col(END), unit), F.lit(OPEN))
-    )
     stale = replaced.select(*LAYOUT).distinct()
     (
         placed.unionByName(stale, allowMissingColumns=True)

@@ -81,7 +81,7 @@ TABLES = [
 @pytest.mark.parametrize("name, schema, flow", TABLES)
 def test_silver_is_the_batch_history(spark, cdc, name, schema, flow):
     folders, _, _ = cdc
-    silver = read_history(spark, folders.at("silver", flow.name), flow.keys)
+    silver = read_history(spark, folders.at("silver", flow.name), schemas.bronze(schema), flow)
     want = batch_history(spark, folders, name, schema, flow)
     assert silver.columns == want.columns
     text = [F.col(c).cast("string") for c in want.columns]
@@ -92,7 +92,8 @@ def test_gold_after_each_refresh(spark, cdc):
     folders, first, second = cdc
     assert len(first) > 0
     accounts, customers, tx = (
-        read_history(spark, folders.at("silver", flow.name), flow.keys) for _, _, flow in TABLES
+        read_history(spark, folders.at("silver", flow.name), schemas.bronze(schema), flow)
+        for _, schema, flow in TABLES
     )
     want = rows(naive_profile(current(accounts), current(customers), tx))
     assert rows(shown(second)) == want
@@ -105,7 +106,9 @@ def test_gold_after_each_refresh(spark, cdc):
 def test_open_versions_are_the_source(spark, cdc):
     folders, _, _ = cdc
     source = read_table(spark, folders.source("src_customer", schemas.CUSTOMER).path, schemas.CUSTOMER)
-    opened = current(read_history(spark, folders.at("silver", "customers"), ["customer_id"]))
+    path = folders.at("silver", "customers")
+    bronze = schemas.bronze(schemas.CUSTOMER)
+    opened = current(read_history(spark, path, bronze, rules.CUSTOMERS_FLOW))
     columns = [c for c in source.columns if c != "created_at"]
     assert rows(opened.select(*columns)) == rows(source.select(*columns))
 

@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from lamina import rules
 from lamina.operators.append import append_silver
@@ -70,7 +71,7 @@ class Pipe:
         )
 
     def silver(self):
-        return rows(read_history(self.spark, self.at("silver"), FLOW.keys))
+        return rows(read_history(self.spark, self.at("silver"), bronze_schema(self.schema), FLOW))
 
     def batch(self):
         log = enrich_changes(read_changes(self.spark, self.at("log"), self.schema), "things")
@@ -145,10 +146,10 @@ def test_old_partitions_are_left_alone(pipe, tmp_path):
     pipe.commit(0, [("a", 1, "insert")], DAYS[0])
     pipe.commit(1, [("a", 2, "update_postimage")], DAYS[2])
     pipe.run()
-    before = set(tmp_path.glob("silver/b=*/p=2024-02-01/*.parquet"))
+    before = set(tmp_path.glob("silver/_bucket=*/_period=2024-02-01/*.parquet"))
     pipe.commit(2, [("a", 3, "update_postimage")], DAYS[5])
     pipe.run()
-    assert before and before == set(tmp_path.glob("silver/b=*/p=2024-02-01/*.parquet"))
+    assert before and before == set(tmp_path.glob("silver/_bucket=*/_period=2024-02-01/*.parquet"))
     assert pipe.silver() == pipe.batch()
 
 
@@ -181,8 +182,8 @@ def test_half_replaced_history(pipe, monkeypatch, spark):
     pipe.commit(1, [(f"k{i}", 2, "update_postimage") for i in range(20)], DAYS[3])
     replace = streaming._replace
 
-    def only_open(versions, *rest):
-        replace(versions.where("__END_AT IS NULL"), *rest)
+    def only_open(placed, *rest):
+        replace(placed.where("__END_AT IS NULL"), *rest)
         raise RuntimeError("lost")
 
     monkeypatch.setattr(streaming, "_replace", only_open)
@@ -274,3 +275,41 @@ def test_registered_table(spark, tmp_path):
     assert found["layer"] == "bronze"
     assert spark.catalog.getTable("tickers").description == "what is traded"
     spark.sql("DROP TABLE tickers")
+
+
+def test_nothing_to_do(pipe):
+    """An empty feed makes an empty history."""
+    pipe.commit(0, [], DAYS[0])
+    pipe.run()
+    assert pipe.silver() == []
+
+
+@pytest.mark.parametrize("unit", ["DAY", "WEEK", "MONTH", "YEAR"])
+def test_periods_do_not_depend_on_the_time_zone(spark, unit):
+    df = spark.sql(
+        "SELECT explode(sequence(TIMESTAMP'1969-12-30 00:00:00Z', TIMESTAMP'1970-02-03 00:00:00Z',"
+        " INTERVAL 7 HOURS)) AS t"
+    )
+    got = {}
+    for zone in ("UTC", "Asia/Tokyo"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            period = streaming.period_of("t", df.schema["t"].dataType, unit).alias("p")
+            got[zone] = rows(df.select(F.unix_seconds("t").alias("t"), period))
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got["UTC"] == got["Asia/Tokyo"]
+    periods = [p for _, p in got["UTC"]]
+    by_time = [p for _, p in sorted(got["UTC"])]
+    assert by_time == sorted(periods)
+
+
+def test_only_touched_partitions_are_read(spark, pipe):
+    pipe.commit(0, [("a", 1, "insert")], DAYS[0])
+    pipe.run()
+    schema = placed_schema(bronze_schema(pipe.schema))
+    log = spark.read.schema(schema).parquet(pipe.at("bronze"))
+    condition = streaming._since({"2024-02-01": [0, 1], "2024-03-01": [2]})
+    plan = log.where(condition)._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: [")[1].split("], PushedFilters")[0]
+    assert "_bucket" in filters and "_period" in filters
