@@ -16,7 +16,6 @@ from lamina import rules, schemas
 from lamina.operators.append import append_silver, append_transactions
 from lamina.operators.bronze import enrich_changes
 from lamina.operators.quality import expect_all, observed_report
-from lamina.operators.scd2 import current
 from lamina.plans.gold import cust_tran_profile, ticker_dist_geo
 from lamina.sources.changelog import read_change_stream
 from lamina.sources.tables import SourceTable, read_append_stream, refresh_view
@@ -91,15 +90,14 @@ def refresh_cdc(
             unit,
             folders.quality,
         )
+    only_current = (True, True, current_transactions_only)
     accounts, customers, tx = (
-        read_history(spark, folders.at("silver", flow.name), schemas.bronze(schema), flow)
-        for _, schema, flow, _ in CDC_TABLES
-    )
-    if current_transactions_only:
-        tx = current(tx)
-    profile = cust_tran_profile(
-        current(accounts), current(customers), tx, F.current_timestamp()
+        read_history(
+            spark, folders.at("silver", flow.name), schemas.bronze(schema), flow, only_open
+        )
+        for (_, schema, flow, _), only_open in zip(CDC_TABLES, only_current)
     )
+    profile = cust_tran_profile(accounts, customers, tx, F.current_timestamp())
     return _refresh_gold(folders, "cust_tran_profile", profile, rules.PROFILE)
 
 

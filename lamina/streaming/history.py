@@ -70,10 +70,19 @@ def history_schema(bronze: T.StructType, flow: ChangeFlow) -> T.StructType:
 
 
 def read_history(
-    spark: SparkSession, path: str, bronze: T.StructType, flow: ChangeFlow
+    spark: SparkSession,
+    path: str,
+    bronze: T.StructType,
+    flow: ChangeFlow,
+    only_current: bool = False,
 ) -> DataFrame:
-    """The versions, without the rows that stand in for emptied partitions."""
+    """The versions, without the rows that stand in for emptied partitions.
+
+    ``only_current`` gives the open versions and reads nothing else.
+    """
     history = spark.read.schema(placed_schema(history_schema(bronze, flow))).parquet(path)
+    if only_current:
+        history = history.where(F.col(PERIOD) == OPEN)
     return history.where(F.col(flow.keys[0]).isNotNull()).drop(*LAYOUT)
 
 

@@ -130,6 +130,16 @@ def test_quality_of_every_dataset(spark, cdc):
     assert report["accounts", "valid_balance"].failed_rows == 0
 
 
+def test_profile_over_open_transactions(spark, cdc):
+    """The last append reuses the ids on other accounts, so the open accounts have none left open."""
+    folders, _, second = cdc
+    opened = refresh_cdc(
+        spark, folders.full_refresh("open"), buckets=1, current_transactions_only=True
+    )
+    assert second.agg(F.sum("total_transactions")).first()[0] == SMALL.changed
+    assert opened.count() == 0
+
+
 def test_full_refresh_gives_the_same_gold(spark, cdc):
     folders, _, second = cdc
     again = refresh_cdc(spark, folders.full_refresh("again"), buckets=3, unit="DAY")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lamina import rules
 from lamina.operators.append import append_silver
 from lamina.operators.bronze import enrich_changes
-from lamina.operators.scd2 import scd2_history
+from lamina.operators.scd2 import current, scd2_history
 from lamina.schemas import bronze as bronze_schema
 from lamina.sources.changelog import has_change_feed, read_change_stream, read_changes, write_commit
 from lamina.sources.tables import (
@@ -142,6 +142,19 @@ def test_all_deleted(pipe):
     assert all(row[-1] is not None for row in pipe.silver())
 
 
+def test_open_versions_alone(pipe, spark):
+    rng = random.Random(8)
+    for version, day in enumerate(DAYS[:3]):
+        pipe.commit(version, some(rng, 20), day)
+    pipe.run()
+    schema = bronze_schema(pipe.schema)
+    opened = read_history(spark, pipe.at("silver"), schema, FLOW, only_current=True)
+    assert rows(opened) == rows(current(read_history(spark, pipe.at("silver"), schema, FLOW)))
+    assert opened.count() > 0
+    plan = opened._jdf.queryExecution().executedPlan().toString()
+    assert "_period" in plan.split("PartitionFilters: [")[1].split("], PushedFilters")[0]
+
+
 def test_old_partitions_are_left_alone(pipe, tmp_path):
     pipe.commit(0, [("a", 1, "insert")], DAYS[0])
     pipe.commit(1, [("a", 2, "update_postimage")], DAYS[2])
