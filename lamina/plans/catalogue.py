@@ -75,7 +75,7 @@ def _profile_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFr
     return (
         shapes.accounts(spark, sf_dir),
         shapes.customers(spark, sf_dir),
-        shapes.transactions(spark, sf_dir),
+        shapes.exact(shapes.transactions(spark, sf_dir)),
     )
 
 
@@ -114,7 +114,6 @@ def bronze_customer(spark, sf_dir):
 def bronze_tx(spark, sf_dir):
     feed = shapes.transactions(spark, sf_dir).withColumns(
         {
-            "total_amt": F.col("total_amt").cast("double"),
             "_change_type": F.lit("insert"),
             "_commit_version": F.year("transaction_date").cast("bigint"),
             "_commit_timestamp": F.col("transaction_date"),
@@ -247,8 +246,10 @@ def scd2_every_change(spark, sf_dir):
 
 @query("scd2_tx")
 def scd2_tx(spark, sf_dir):
-    tx = shapes.transactions(spark, sf_dir).withColumn("total_amt", F.col("total_amt").cast("double"))
-    return scd2_history(tx, ["transaction_id"], "transaction_date", except_column_list=["transaction_date"])
+    tx = shapes.transactions(spark, sf_dir)
+    return scd2_history(
+        tx, ["transaction_id"], "transaction_date", except_column_list=["transaction_date"]
+    )
 
 
 @query("scd2_composite_key")
@@ -362,14 +363,15 @@ def _tx_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 def profile_cdc(spark, sf_dir):
     """Over SCD2 transactions, where every version of a transaction counts."""
     accounts, customers, _ = _profile_inputs(spark, sf_dir)
-    return cust_tran_profile(accounts, customers, _tx_history(spark, sf_dir))
+    return cust_tran_profile(accounts, customers, shapes.exact(_tx_history(spark, sf_dir)))
 
 
 @query("cust_tran_profile_current")
 def profile_current(spark, sf_dir):
     """Over the open versions of the transactions only."""
     accounts, customers, _ = _profile_inputs(spark, sf_dir)
-    return cust_tran_profile(accounts, customers, current(_tx_history(spark, sf_dir)))
+    opened = current(_tx_history(spark, sf_dir))
+    return cust_tran_profile(accounts, customers, shapes.exact(opened))
 
 
 @query("cust_tran_profile_append")

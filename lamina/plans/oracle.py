@@ -17,7 +17,7 @@ CUS = """cus AS (
 TX = """tx AS (
   SELECT concat(CAST(l_orderkey AS VARCHAR), '-', CAST(l_linenumber AS VARCHAR)) AS transaction_id,
          o_custkey AS acct_id, p_brand AS ticker_symbol, l_quantity AS quantity,
-         l_quantity AS total_holdings, CAST(l_extendedprice AS DECIMAL(18,2)) AS total_amt,
+         l_quantity AS total_holdings, l_extendedprice AS total_amt,
          l_shipdate AS transaction_date
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey)"""
 
@@ -107,7 +107,9 @@ TX_DATED = [
 ]
 
 
-def _profile(tx: str, accounts: str = "acc", value: str = "total_amt") -> str:
+def _profile(
+    tx: str, accounts: str = "acc", value: str = "CAST(total_amt AS DECIMAL(18,2))"
+) -> str:
     return f"""SELECT cus.customer_id, a.acct_id, a.acct_status, a.balance,
        COUNT(*) AS total_transactions, CAST(SUM({value}) AS DOUBLE) AS total_transactions_value,
        MIN(transaction_date) AS first_transaction_date,
@@ -286,10 +288,7 @@ SELECT *, quantity * price_per_share AS total_amt, quantity AS total_holdings FR
 BRONZE_COLUMNS = (
     "user_id, event_id, band, source_file, operation_type, commit_version, commit_timestamp"
 )
-TX_DOUBLE = (
-    "transaction_id, acct_id, ticker_symbol, quantity, total_holdings,"
-    " CAST(total_amt AS DOUBLE) AS total_amt"
-)
+TX_COLUMNS = "transaction_id, acct_id, ticker_symbol, quantity, total_holdings, total_amt"
 HIST_USERS = 'SELECT user_id, band, "__START_AT", "__END_AT" FROM hist'
 OPEN_USERS = 'opened AS (SELECT user_id FROM hist WHERE "__END_AT" IS NULL)'
 SILVER_ACCOUNTS = (
@@ -303,7 +302,7 @@ ORACLE = {
     + "SELECT cus.*, 'customer' AS source_file, 'insert' AS operation_type,"
     " CAST(0 AS BIGINT) AS commit_version, TIMESTAMP '2024-01-01' AS commit_timestamp FROM cus",
     "bronze_tx": _with(TX)
-    + f"SELECT {TX_DOUBLE}, transaction_date, 'transactions' AS source_file,"
+    + f"SELECT {TX_COLUMNS}, transaction_date, 'transactions' AS source_file,"
     " 'insert' AS operation_type, year(transaction_date) AS commit_version,"
     " transaction_date AS commit_timestamp FROM tx",
     "bronze_from_version": _with(CHG)
@@ -319,7 +318,7 @@ ORACLE = {
     "append_silver": SILVER_ACCOUNTS,
     "stream_append_silver": SILVER_ACCOUNTS,
     "append_tx": _with(TX)
-    + f"SELECT {TX_DOUBLE}, CAST(CAST(transaction_date AS DATE) AS VARCHAR) AS transaction_date FROM tx",
+    + f"SELECT {TX_COLUMNS}, CAST(CAST(transaction_date AS DATE) AS VARCHAR) AS transaction_date FROM tx",
     "scd2_history": _with(*USERS) + HIST_USERS,
     "scd2_out_of_order": _with(*USERS) + HIST_USERS,
     "scd2_hot_keys": _with(*USERS) + HIST_USERS,
@@ -327,7 +326,7 @@ ORACLE = {
     "scd2_every_change": _with(*USERS_ALL) + HIST_USERS,
     "scd2_current": _with(*USERS)
     + 'SELECT user_id, band, "__START_AT" FROM hist WHERE "__END_AT" IS NULL',
-    "scd2_tx": _with(*TX_HISTORY) + f'SELECT {TX_DOUBLE}, "__START_AT", "__END_AT" FROM hist',
+    "scd2_tx": _with(*TX_HISTORY) + f'SELECT {TX_COLUMNS}, "__START_AT", "__END_AT" FROM hist',
     "scd2_composite_key": _with(
         *_history(
             "orders",
@@ -345,7 +344,7 @@ ORACLE = {
     "cust_tran_profile_current": _with(ACC, CUS, *TX_DATED)
     + _profile('(SELECT * FROM hist WHERE "__END_AT" IS NULL)'),
     "cust_tran_profile_append": _with(ACC, CUS, TX)
-    + _profile_days("tx", "(SELECT * FROM acc UNION ALL SELECT * FROM acc)", "total_amt * 100"),
+    + _profile_days("tx", "(SELECT * FROM acc UNION ALL SELECT * FROM acc)", "CAST(total_amt AS DECIMAL(18,2)) * 100"),
     "latest_per_group": _with(TX, LATEST)
     + "SELECT transaction_id, acct_id, ticker_symbol, quantity, total_holdings, transaction_date FROM latest",
     "latest_per_group_hot": _with(TX, LATEST)
