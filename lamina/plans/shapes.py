@@ -29,44 +29,42 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One account per customer."""
-    return table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("acct_id"),
-        F.col("c_name").alias("acct_name"),
-        F.col("c_acctbal").alias("balance"),
-        F.lit("open").alias("acct_status"),
-        F.col("c_mktsegment").alias("acct_type"),
+    return table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS acct_id",
+        "c_name AS acct_name",
+        "c_acctbal AS balance",
+        "'open' AS acct_status",
+        "c_mktsegment AS acct_type",
     )
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One customer per account; the places of nations 0 to 9 have one digit and fail their rule."""
-    return table(spark, sf_dir, "customer").select(
-        F.concat(F.lit("1000000"), F.col("c_custkey").cast("string")).alias("customer_id"),
-        F.col("c_custkey").alias("acct_id"),
-        F.col("c_nationkey").cast("string").alias("state_cd"),
-        (F.lit(25.0) + F.col("c_nationkey")).alias("latitude"),
-        (F.lit(-120.0) + F.col("c_nationkey")).alias("longitude"),
+    return table(spark, sf_dir, "customer").selectExpr(
+        "concat('1000000', c_custkey) AS customer_id",
+        "c_custkey AS acct_id",
+        "CAST(c_nationkey AS STRING) AS state_cd",
+        "25.0D + c_nationkey AS latitude",
+        "-120.0D + c_nationkey AS longitude",
     )
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One transaction per line item. Their ids repeat."""
     lines = table(spark, sf_dir, "lineitem")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    parts = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
+    orders = table(spark, sf_dir, "orders").selectExpr("o_orderkey AS l_orderkey", "o_custkey")
+    parts = table(spark, sf_dir, "part").selectExpr("p_partkey AS l_partkey", "p_brand")
     return (
-        lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(parts, F.col("l_partkey") == F.col("p_partkey"))
-        .select(
-            F.concat_ws(
-                "-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")
-            ).alias("transaction_id"),
-            F.col("o_custkey").alias("acct_id"),
-            F.col("p_brand").alias("ticker_symbol"),
-            F.col("l_quantity").alias("quantity"),
-            F.col("l_quantity").alias("total_holdings"),
-            F.col("l_extendedprice").alias("total_amt"),
-            F.col("l_shipdate").alias("transaction_date"),
+        lines.join(orders, "l_orderkey")
+        .join(parts, "l_partkey")
+        .selectExpr(
+            "concat(l_orderkey, '-', l_linenumber) AS transaction_id",
+            "o_custkey AS acct_id",
+            "p_brand AS ticker_symbol",
+            "l_quantity AS quantity",
+            "l_quantity AS total_holdings",
+            "l_extendedprice AS total_amt",
+            "l_shipdate AS transaction_date",
         )
     )
 
@@ -78,17 +76,16 @@ def exact(transactions: DataFrame) -> DataFrame:
 
 def change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A change feed keyed by user. Commits are whole hours, so changes of a user tie."""
-    hour = F.date_trunc("HOUR", F.col("ts").cast("timestamp"))
-    return table(spark, sf_dir, "events").select(
-        "user_id",
-        "event_id",
-        F.floor(F.col("value") / 25).cast("int").alias("band"),
-        F.expr(
+    return (
+        table(spark, sf_dir, "events")
+        .withColumn("_commit_timestamp", F.expr("date_trunc('HOUR', CAST(ts AS TIMESTAMP))"))
+        .selectExpr(
+            "user_id",
+            "event_id",
+            "CAST(floor(value / 25) AS INT) AS band",
             "CASE event_type WHEN 'signup' THEN 'insert' WHEN 'view' THEN 'update_preimage'"
-            " WHEN 'error' THEN 'delete' ELSE 'update_postimage' END"
-        ).alias("_change_type"),
-        F.timestamp_diff("HOUR", F.lit("2024-01-01").cast("timestamp"), hour).alias(
-            "_commit_version"
-        ),
-        hour.alias("_commit_timestamp"),
+            " WHEN 'error' THEN 'delete' ELSE 'update_postimage' END AS _change_type",
+            "timestampdiff(HOUR, TIMESTAMP'2024-01-01', _commit_timestamp) AS _commit_version",
+            "_commit_timestamp",
+        )
     )
