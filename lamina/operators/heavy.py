@@ -58,14 +58,18 @@ def skew_join(
     on: Sequence[str],
     how: str = "inner",
     hot_rows: int | None = HOT_ROWS,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Join on ``on`` where a few keys may hold most rows of ``many``.
 
+    ``hot`` is their list, if the caller has it already.
+
     Rows of a hot key are spread over salts by their content (a retried task repeats the same
     choice), and only the matching rows of ``one`` are repeated. Null keys match nothing and are spread too. ``many`` must hold distinct rows for
     the spread to work; duplicates cost balance, not correctness.
     """
-    hot = heavy_keys(many, on, hot_rows)
+    if hot is None:
+        hot = heavy_keys(many, on, hot_rows)
     if hot is None:
         return many.join(one, list(on), how)
     hot = F.broadcast(hot.select(*on, parts(hot_rows).alias("hot_salts")))

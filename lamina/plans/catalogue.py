@@ -404,6 +404,14 @@ def geo(spark, sf_dir):
     return ticker_dist_geo(shapes.customers(spark, sf_dir), shapes.transactions(spark, sf_dir))
 
 
+@query("ticker_dist_geo_hot")
+def geo_hot(spark, sf_dir):
+    """The same with most accounts treated as hot."""
+    return ticker_dist_geo(
+        shapes.customers(spark, sf_dir), shapes.transactions(spark, sf_dir), hot_rows=20
+    )
+
+
 # Expectations
 
 

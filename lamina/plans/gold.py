@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamina.operators.heavy import HOT_ROWS, skew_join
+from lamina.operators.heavy import HOT_ROWS, heavy_keys, skew_join
 from lamina.operators.latest import latest_per_group
 
 
@@ -94,6 +94,9 @@ def cust_tran_profile_sql(
     )
 
 
+PAIR = ["acct_id", "ticker_symbol"]
+
+
 def ticker_dist_geo(
     customers: DataFrame,
     transactions: DataFrame,
@@ -101,14 +104,18 @@ def ticker_dist_geo(
     hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """The latest holdings per account and ticker with the place of the account's customers."""
-    latest = latest_per_group(
-        transactions.select("acct_id", "ticker_symbol", "transaction_date", "total_holdings"),
-        ["acct_id", "ticker_symbol"],
-        "transaction_date",
-        hot_rows,
-    )
-    # A hot account's rows meet few customers; the adaptive skew join splits them.
-    places = latest.join(customers, "acct_id").select(
+    columns = ["acct_id", "ticker_symbol", "transaction_date", "total_holdings"]
+    # Without a hot account there is no hot pair of account and ticker either.
+    hot = heavy_keys(transactions, ["acct_id"], hot_rows)
+    if hot is None:
+        latest = latest_per_group(transactions.select(*columns), PAIR, "transaction_date", None)
+        placed = latest.join(customers, "acct_id")
+    else:
+        # The ids tell equal rows apart, which spreads them.
+        columns += [c for c in ("transaction_id",) if c in transactions.columns]
+        latest = latest_per_group(transactions.select(*columns), PAIR, "transaction_date", hot_rows)
+        placed = skew_join(latest, customers, ["acct_id"], hot_rows=hot_rows, hot=hot)
+    places = placed.select(
         "customer_id",
         "acct_id",
         "ticker_symbol",

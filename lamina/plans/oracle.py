@@ -350,6 +350,7 @@ ORACLE = {
     "latest_per_group_hot": _with(TX, LATEST)
     + "SELECT transaction_id, acct_id, ticker_symbol, quantity, total_holdings, transaction_date FROM latest",
     "ticker_dist_geo": _with(TX, CUS, LATEST) + GEO,
+    "ticker_dist_geo_hot": _with(TX, CUS, LATEST) + GEO,
     "expect_accounts": _with(ACC) + _expect("acc", "accounts", EXPECT_ACCOUNTS),
     "expect_customers": _with(CUS) + _expect("cus", "customers", EXPECT_CUSTOMERS),
     "stream_quality": _with(CUS) + _expect("cus", "customers", EXPECT_CUSTOMERS),
