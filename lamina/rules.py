@@ -62,7 +62,7 @@ class ChangeFlow:
     except_column_list: tuple[str, ...]
     expectations: dict[str, str] = field(default_factory=dict)
     sequence_by: str = "commit_timestamp"
-    apply_as_deletes: str = DELETE_CONDITION
+    apply_as_deletes: str | None = DELETE_CONDITION
 
 
 ACCOUNTS_FLOW = ChangeFlow(

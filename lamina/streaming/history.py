@@ -102,17 +102,19 @@ def apply_changes(
 
     ``stream`` reads that same bronze table, which is the truth. Late changes, replays and batches
     that run a second time all end in the history that a single run would give. Readers may see some
-    partitions old and some new while a run commits.
+    partitions old and some new while a run commits. The flow's sequence must be a date or a time;
+    ``buckets`` and ``unit`` are those of ``place_changes`` and stay the same for the table's life.
     """
     entering = f"coalesce(operation_type <> '{UPDATE_PREIMAGE}', true)"
-    upserts = f"{entering} AND NOT coalesce({flow.apply_as_deletes}, false)"
+    upserts = f"{entering} AND NOT coalesce({flow.apply_as_deletes or 'false'}, false)"
     # Rows without a key or a place in the sequence enter no history; they are counted.
     usable = " AND ".join(f"{c} IS NOT NULL" for c in (*flow.keys, flow.sequence_by))
     placing = {"has_key_and_sequence": usable}
     schema = stream.schema
     moment = schema[flow.sequence_by].dataType
     placed_history = placed_schema(history_schema(schema, flow))
-    carry = f"{checkpoint}-carried"
+    # Numbered by the checkpoint's batches, so it lives and goes with the checkpoint.
+    carry = f"{checkpoint}/carried"
     create_table(stream.sparkSession, target, placed_history, LAYOUT)
     create_table(stream.sparkSession, f"{carry}/batch", CARRIED_BATCH)
 
