@@ -183,10 +183,10 @@ def measures(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
 
 #: The same rules over the columns of ``measures``, for a caller that has them anyway.
 MEASURED = {
-    "few_words": F.col("n_words") < 10,
-    "repeated_windows": 100 * F.col("n_repeat_words") > 20 * F.col("n_words"),
-    "symbols": 5 * F.col("n_symbols") > F.col("n_words"),
-    "repeated_lines": 2 * F.col("n_dup_lines") > F.col("n_lines"),
+    "few_words": "n_words < 10",
+    "repeated_windows": "100 * n_repeat_words > 20 * n_words",
+    "symbols": "5 * n_symbols > n_words",
+    "repeated_lines": "2 * n_dup_lines > n_lines",
 }
 
 
@@ -194,10 +194,10 @@ def judged(docs: DataFrame, order: tuple[Rule, ...], key: str = "doc_id", text:
     """``measures`` with the verdict of the cascade, worked out from the measured counts."""
     chain = F
     for rule in order:
-        chain = chain.when(MEASURED[rule.name], F.lit(rule.name))
+        chain = chain.when(F.expr(MEASURED[rule.name]), F.lit(rule.name))
     base = F.lit(False)
     for rule in BASE_RULES:
-        base = base | MEASURED[rule.name]
+        base = base | F.expr(MEASURED[rule.name])
     return measures(docs, key, text).select(
         "*", base.alias("base_failed"), chain.alias("rejected_by")
     ).withColumn("kept", ~F.col("base_failed") & F.col("rejected_by").isNull())

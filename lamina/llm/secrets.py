@@ -161,11 +161,12 @@ def scan(
     rules: tuple[SecretRule, ...] = RULES,
     text: str = "text",
     into: str = "spans",
+    keep_text: bool = False,
 ) -> DataFrame:
     """Every row of ``history`` with its spans, after the ledger in ``folder`` took in unseen blobs.
 
-    ``history`` has a row for each version of each path and any other columns. The text is not kept in
-    the result. A column called ``into`` is replaced.
+    ``history`` has a row for each version of each path and any other columns. The text goes along with
+    the join only if it is kept. A column called ``into`` is replaced.
     """
     spark = history.sparkSession
     ledger = BlobLedger(spark, folder)
@@ -174,12 +175,14 @@ def scan(
     ledger.add_unseen(
         history.select(address.alias("blob"), or_empty(F.col(text)).alias("text")), rules
     )
-    found = ledger.findings(rules).select(F.col("blob").alias(blob), F.col("spans").alias("__found"))
-    paths = history.withColumn(blob, address).drop(text)
+    held = spare(history, "found")
+    found = ledger.findings(rules).select(F.col("blob").alias(blob), F.col("spans").alias(held))
+    paths = history.withColumn(blob, address)
     return (
-        paths.join(found, blob, "left")
-        .withColumn(into, F.coalesce("__found", F.array().cast(f"array<{SPAN}>")))
-        .drop("__found", blob)
+        (paths if keep_text else paths.drop(text))
+        .join(found, blob, "left")
+        .withColumn(into, F.coalesce(held, F.array().cast(f"array<{SPAN}>")))
+        .drop(held, blob)
     )
 
 
@@ -215,3 +218,12 @@ def redact(text: Column, spans: Column, mark: str = "[secret]") -> Column:
         ),
     )
     return F.when(F.size(spans) > 0, merged).otherwise(text)
+
+
+def redacted(
+    history: DataFrame, folder: str, rules: tuple[SecretRule, ...] = RULES, text: str = "text"
+) -> DataFrame:
+    """``history`` with ``mark`` for its secrets; the same columns in the same order."""
+    spans = spare(history, "spans")
+    found = scan(history, folder, rules, text, spans, keep_text=True)
+    return found.withColumn(text, redact(F.col(text), F.col(spans))).select(*history.columns)
