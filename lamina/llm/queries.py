@@ -5,7 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamina.llm import chat, decontaminate, mixing, quality, secrets
+from lamina.llm import (
+    chat,
+    decontaminate,
+    lang_id,
+    lm,
+    mixing,
+    near_dup,
+    quality,
+    secrets,
+    token_count,
+    toxicity,
+)
+from lamina.llm.text import remainder
 from lamina.session import work_dir
 
 
@@ -13,6 +25,23 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's language, learned from those that aren't held out."""
+    docs = _table(spark, sf_dir, "documents").select(
+        "doc_id", (remainder(F.col("doc_id"), 3) == 1).alias("held_out"), "lang", "text"
+    )
+    model = lang_id.fit(docs.where(~F.col("held_out")))
+    return lang_id.predict(docs, model, keep=("doc_id", "held_out"))
+
+
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's log10 probability, learned from those that aren't held out."""
+    docs = _table(spark, sf_dir, "documents").select(
+        "doc_id", (remainder(F.col("doc_id"), 10) == 0).alias("held_out"), "text"
+    )
+    return lm.score(docs, ~F.col("held_out"), work_dir(spark, "lm"), keep=("doc_id", "held_out"))
+
+
 def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's secrets, scanned once per distinct text."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -31,6 +60,11 @@ def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's number of unigram tokens."""
+    return token_count.token_counts(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words taken from each document by the mix of all sources."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
@@ -70,17 +104,37 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's group of near copies."""
+    return near_dup.groups(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The counts of every document and the cascade's verdict."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality.judged(docs, quality.plan(docs)).drop("n_lines")
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity, learned from labels of those that aren't held out."""
+    docs = _table(spark, sf_dir, "documents").select(
+        "doc_id", (remainder(F.col("doc_id"), 5) == 0).alias("held_out"), "text"
+    )
+    labels = _table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    model = toxicity.fit(docs, labels.where(remainder(F.col("doc_id"), 5) != 0))
+    return toxicity.score(docs, model, keep=("doc_id", "held_out"))
+
+
 QUERIES = {
+    "op1_language_id": op1_language_id,
+    "op2_lm_score": op2_lm_score,
     "op3_secret_scans": op3_secret_scans,
+    "op4_token_counts": op4_token_counts,
     "op5_mix": op5_mix,
     "op6_chat_format": op6_chat_format,
     "op7_decontaminate": op7_decontaminate,
+    "op8_near_duplicates": op8_near_duplicates,
     "op9_quality_rules": op9_quality_rules,
+    "op10_toxicity": op10_toxicity,
 }
 ORACLE: dict[str, str] = {}
