@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamina.llm import decontaminate, mixing, quality, secrets
+from lamina.llm import decontaminate, mixing, near_dup, quality, secrets
 from lamina.llm.text import spare
 from lamina.session import work_dir
 
@@ -17,6 +17,15 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return judged.where(F.col(verdict).isNull()).drop(verdict)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each group of near copies, the one with the least id."""
+    group = near_dup.groups(docs.select("doc_id", "text")).where(
+        F.col("doc_id").eqNullSafe(F.col("class_id"))
+    )
+    kept = group.select("doc_id").distinct()
+    return docs.dropDuplicates(["doc_id"]).join(kept, "doc_id", "left_semi").select(*docs.columns)
+
+
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents of which a twentieth or more are benchmark words."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
@@ -39,6 +48,7 @@ def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 STAGES = [
     ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
     ("decontamination", decontamination),
     ("secret_scans", secret_scans),
     ("mixing", mixing_sources),
