@@ -17,6 +17,7 @@ from lamina.llm import (
     token_count,
     toxicity,
 )
+from lamina.llm.oracle import ORACLE as ORACLE
 from lamina.llm.text import remainder
 from lamina.session import work_dir
 
@@ -112,7 +113,7 @@ def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The counts of every document and the cascade's verdict."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return quality.judged(docs, quality.plan(docs)).drop("n_lines")
+    return quality.judged(docs, quality.plan(docs)).drop("n_lines", "rejected_by")
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -137,4 +138,3 @@ QUERIES = {
     "op9_quality_rules": op9_quality_rules,
     "op10_toxicity": op10_toxicity,
 }
-ORACLE: dict[str, str] = {}
