@@ -18,19 +18,27 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near copies, the one with the least id."""
-    group = near_dup.groups(docs.select("doc_id", "text")).where(
-        F.col("doc_id").eqNullSafe(F.col("class_id"))
+    """Keeps one document of each group of near copies, the one with the least id, as one row.
+
+    Rows without an id stay, as no group can be named after them.
+    """
+    found = near_dup.groups(docs.select("doc_id", "text"))
+    kept = found.where(F.col("doc_id") == F.col("class_id")).select("doc_id").distinct()
+    digest = spare(docs, "digest")
+    once = (
+        docs.join(kept, "doc_id", "left_semi")
+        .withColumn(digest, F.xxhash64("text"))
+        .dropDuplicates(["doc_id", digest])
     )
-    kept = group.select("doc_id").distinct()
-    return docs.dropDuplicates(["doc_id"]).join(kept, "doc_id", "left_semi").select(*docs.columns)
+    return once.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents of which a twentieth or more are benchmark words."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
-    gone = decontaminate.contamination(docs.select("doc_id", "text"), benchmark).where("contaminated")
-    return docs.join(gone.select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+    found = decontaminate.contamination(docs.select("doc_id", "text"), benchmark)
+    gone = found.where("contaminated").select("doc_id").distinct()
+    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["doc_id"]), "left_anti")
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

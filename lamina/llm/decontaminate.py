@@ -8,14 +8,17 @@ containment one token is enough). Joining prefix tokens alone gives the candidat
 and the offset between both. Windows that would reach over an end of the document fall by the positional
 bound, and the rest are verified: the shingles found at that offset must hold every shingle of a window.
 
-Null texts have no words; items without words have no windows. Documents and items that occur twice with
-different ids are separate; rows with equal ids and texts are one (a repeated document row gives one
-result row). Empty tables are fine; other columns are left out.
+Null texts have no words; items without words have no windows. A document is an id, which may be null, with
+its text: a repeated row gives one result row, and two texts under one id give two. The same holds for
+items. Empty tables are fine; other columns are left out.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lamina.llm.text import NOT_ALNUM, ascii_lower, let, or_empty, pieces, small
@@ -48,6 +51,11 @@ def shingle_hashes(words: Column, sizes: list[int]) -> Column:
     return let(hashed, lambda h: F.concat(*[of(h, k) for k in sizes]))
 
 
+def same_on(a: DataFrame, b: DataFrame, *names: str) -> Column:
+    """Equal in all of ``names``, nulls included."""
+    return reduce(and_, [a[n].eqNullSafe(b[n]) for n in names])
+
+
 def run_text(words: Column, at: Column, k: Column) -> Column:
     return F.array_join(F.slice(words, at + 1, k), " ")
 
@@ -88,7 +96,8 @@ def hits(
     shingle: int = SHINGLE,
     broadcast_rows: int = 1_000_000,
 ) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, n_words), and (doc_id, item_id, start, end): every window that stands in a document.
+    """(doc_id, doc_text, n_words), and (doc_id, doc_text, item_id, start, end): every window that stands in
+    a document. ``doc_text`` is a hash of the text.
 
     The benchmark's shingles are broadcast while they are at most ``broadcast_rows``; beyond that Spark
     joins as it sees fit.
@@ -104,23 +113,30 @@ def hits(
         return F.broadcast(df) if few else df
 
     # One pass over the texts. A document's row with place -1 carries its length.
-    worded = docs.select(F.col(key).alias("doc_id"), alnum_words(F.col(text)).alias("words"))
+    worded = docs.select(
+        F.col(key).alias("doc_id"),
+        F.xxhash64(text).alias("doc_text"),
+        alnum_words(F.col(text)).alias("words"),
+    )
     first = F.array(F.struct(F.lit(-1).alias("at"), F.lit(0).alias("k"), F.lit(0).cast("long").alias("h")))
     runs = worded.select(
         "doc_id",
+        "doc_text",
         "words",
         F.size("words").alias("n_words"),
         F.explode(F.concat(first, shingle_hashes(F.col("words"), lengths))).alias("r"),
-    ).select("doc_id", "words", "n_words", "r.at", "r.k", "r.h")
+    ).select("doc_id", "doc_text", "words", "n_words", "r.at", "r.k", "r.h")
     known = items.select(F.col("h").alias("b_h"), "shingle").distinct()
     # Texts are compared after the join, so that they are only put together where hashes agree.
     same = run_text(F.col("words"), F.col("at"), F.col("k")) == F.col("shingle")
     found = runs.join(side(known), F.col("h") == F.col("b_h"), "left").where(
         (F.col("at") < 0) | (F.col("b_h").isNotNull() & same)
     )
-    found.select("doc_id", "n_words", "at", "h").write.parquet(f"{folder}/found")
+    found.select("doc_id", "doc_text", "n_words", "at", "h").write.parquet(f"{folder}/found")
     found = spark.read.parquet(f"{folder}/found")
-    lengths_of = found.where(F.col("at") < 0).select("doc_id", F.col("n_words").cast("long").alias("n_words"))
+    lengths_of = found.where(F.col("at") < 0).select(
+        "doc_id", "doc_text", F.col("n_words").cast("long").alias("n_words")
+    )
     places = found.where(F.col("at") >= 0).distinct()
 
     # The rarest shingle of each window, with the windows that it stands for.
@@ -142,24 +158,23 @@ def hits(
         places.join(side(prefix), "h")
         .withColumn("offset", offset)
         .where((F.col("offset") + F.col("high") >= 0) & (F.col("offset") + F.col("low") + F.col("w") <= F.col("n_words")))
-        .select("doc_id", "item_id", "item_text", "offset")
+        .select("doc_id", "doc_text", "item_id", "item_text", "offset")
         .distinct()
     )
 
-    at_offset = (
-        places.join(
-            side(items.select("item_id", "item_text", "w", "k", F.col("at").alias("item_at"), "h")), "h"
-        )
-        .withColumn("offset", offset)
-        .join(candidates, ["doc_id", "item_id", "item_text", "offset"], "left_semi")
-    )
-    held = at_offset.groupBy("doc_id", "item_id", "item_text", "offset", "w", "k").agg(
+    spot = ("doc_id", "doc_text", "item_id", "item_text", "offset")
+    every = places.join(
+        side(items.select("item_id", "item_text", "w", "k", F.col("at").alias("item_at"), "h")), "h"
+    ).withColumn("offset", offset)
+    at_offset = every.join(candidates, same_on(every, candidates, *spot), "left_semi")
+    held = at_offset.groupBy(*spot, "w", "k").agg(
         F.sort_array(F.collect_set("item_at")).alias("ats")
     )
     ahead = F.col("w") - F.col("k")
     whole = F.filter("ats", lambda x, i: F.get(F.col("ats"), i + ahead) == x + ahead)
-    windows_found = held.select("doc_id", "item_id", "w", "offset", F.explode(whole).alias("at")).select(
+    windows_found = held.select("doc_id", "doc_text", "item_id", "w", "offset", F.explode(whole).alias("at")).select(
         "doc_id",
+        "doc_text",
         "item_id",
         (F.col("offset") + F.col("at")).alias("start"),
         (F.col("offset") + F.col("at") + F.col("w")).alias("end"),
@@ -168,7 +183,7 @@ def hits(
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, **names) -> DataFrame:
-    """A row per document id: n_words, n_hit, n_items, items, contaminated (a twentieth of the words hit).
+    """A row per document: n_words, n_hit, n_items, items, contaminated (a twentieth of the words hit).
 
     A document's hit words are the union of its windows, walked in order of their starts.
     """
@@ -182,15 +197,16 @@ def contamination(docs: DataFrame, benchmark: DataFrame, **names) -> DataFrame:
         ),
         lambda a: a["words"].cast("long"),
     )
-    per_doc = found.groupBy("doc_id").agg(
+    per_doc = found.groupBy("doc_id", "doc_text").agg(
         walked.alias("n_hit"),
         F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("items"),
-    ).withColumnRenamed("doc_id", "__id")
-    same = F.col("doc_id").eqNullSafe(F.col("__id"))
+    )
+    docs_of = lengths_of.distinct()
+    same = same_on(docs_of, per_doc, "doc_id", "doc_text")
     hit = F.coalesce("n_hit", F.lit(0))
     items = F.coalesce("items", F.array().cast("array<string>"))
-    return lengths_of.distinct().join(per_doc, same, "left").select(
-        "doc_id",
+    return docs_of.join(per_doc, same, "left").select(
+        docs_of["doc_id"],
         "n_words",
         hit.cast("long").alias("n_hit"),
         F.size(items).cast("long").alias("n_items"),
