@@ -1,0 +1,390 @@
+"""The operators with Python in their tasks, against brute force, other libraries or held-out rows."""
+
+import itertools
+import math
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from lamina.llm import ctw, lang_id, lm, near_dup, token_count, toxicity
+from lamina.llm.queries import QUERIES
+from pyspark.sql import functions as F
+
+SF_DIR = "/root/testdata/sf0.01"
+CLASHING = "keys string, id string, score string, held_out string, low string, hash string"
+
+
+def frame(spark, rows, names):
+    """The rows with columns whose names the operators use themselves."""
+    return spark.createDataFrame([(*r, *["x"] * 6) for r in rows], f"{names}, {CLASHING}").repartition(3)
+
+
+# Languages
+
+
+def test_languages_are_told(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "lang")
+    got = QUERIES["op1_language_id"](spark, SF_DIR)
+    assert got.columns == ["doc_id", "held_out", "lang_pred", "score"]
+    rows = got.join(docs, "doc_id").collect()
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1) for r in rows)
+    assert all(0 <= r["score"] <= 1 for r in rows)
+    held = [r["lang"] == r["lang_pred"] for r in rows if r["held_out"]]
+    assert np.mean(held) > 0.98
+
+
+def test_backing_off():
+    langs = ["aa", "bb"]
+    words = (["abc"], np.array([[-1.0, -7.0]]))
+    grams = ([" xy", "xy", "z"], np.array([[-2.0, -3.0], [-5.0, -5.0], [-7.0, -1.0]]))
+    score = lang_id.scorer({"langs": langs, "words": words, "grams": grams})
+    texts = ["ABC", "xyq", "zq", "q", None, "12 --", "", "abc abc z"]
+    names, scores = score(texts)
+    assert names == ["aa", "aa", "bb", "aa", "und", "und", "und", "aa"]
+    assert scores[0] == pytest.approx(1 / (1 + 10**-6))
+    assert scores[1] == pytest.approx(1 / (1 + 10**-1))  # the 3-gram alone, not the 2-gram
+    assert scores[3] == 0.5 and scores[4:7] == [0.0] * 3
+    assert score(texts) == (names, scores)
+
+
+def test_language_of_awkward_rows(spark):
+    rows = [(i, "aa" if i % 2 else "bb", ("le chat " if i % 2 else "the cat ") * 5) for i in range(30)]
+    rows += [(90, None, "the the the"), (91, "aa", None), (92, "bb", ""), (None, "aa", "chat " * 50_000)]
+    docs = frame(spark, rows, "doc_id long, lang string, text string")
+    got = {r["doc_id"]: r["lang_pred"] for r in lang_id.predict(docs, lang_id.fit(docs)).collect()}
+    assert (got[90], got[91], got[92], got[None], got[1], got[2]) == ("bb", "und", "und", "aa", "aa", "bb")
+    nothing = lang_id.fit(docs.where("lang is null"))
+    assert {r["lang_pred"] for r in lang_id.predict(docs, nothing).collect()} == {"und"}
+    assert lang_id.predict(docs.limit(0), nothing).count() == 0
+
+
+# Language model
+
+
+def plain_tree(texts, depth, retained):
+    """log2 probability of the next bit by context-tree weighting, with dictionaries."""
+    counts: dict = {}
+
+    def steps(data):
+        held = [ctw.START] * depth + list(data) + [ctw.END]
+        for i in range(depth, len(held)):
+            for bit in range(8):
+                yield held[i - depth : i], held[i] >> (8 - bit) | 1 << bit, held[i] >> (7 - bit) & 1
+
+    def path(context):
+        """Nodes from the root; the last may be the child that rare contexts share."""
+        nodes = [()]
+        for d in range(1, depth + 1):
+            suffix = tuple(context[-d:])
+            if suffix not in retained:
+                return [*nodes, (*nodes[-1], "rest")]
+            nodes.append(suffix)
+        return nodes
+
+    for data in texts:
+        for context, place, bit in steps(data):
+            for node in path(context):
+                counts.setdefault((node, place), [0, 0])[bit] += 1
+
+    def block(node, place):
+        a, b = counts.get((node, place), (0, 0))
+        return math.lgamma(a + 0.5) + math.lgamma(b + 0.5) - math.lgamma(a + b + 1) - math.log(math.pi)
+
+    children: dict = {}
+    for node in {n for n, _ in counts} | set(retained):
+        if node:
+            parent = node[:-1] if node[-1] == "rest" else node[1:]
+            children.setdefault(parent, set()).add(node)
+
+    def weighted(node, place):
+        own = block(node, place)
+        if len(node) == depth and (not node or node[-1] != "rest") or node and node[-1] == "rest":
+            return own
+        rest = sum(weighted(c, place) for c in children.get(node, ()))
+        return np.logaddexp(own, rest) - math.log(2)
+
+    def predict(context, place):
+        value = None
+        for node in reversed(path(context)):
+            a, b = counts.get((node, place), (0, 0))
+            own = (b + 0.5) / (a + b + 1)
+            if value is None:
+                value = own
+                continue
+            gap = sum(weighted(c, place) for c in children.get(node, ())) - block(node, place)
+            share = 1 / (1 + math.exp(gap))
+            value = share * own + (1 - share) * value
+        return value
+
+    def score(data):
+        total = 0.0
+        for context, place, bit in steps(data):
+            one = predict(context, place)
+            total += math.log10(one if bit else 1 - one)
+        return total
+
+    return score
+
+
+def levels_of(texts, depth, least):
+    found = {}
+    for d in range(depth + 1):
+        runs: Counter = Counter()
+        for data in texts:
+            held = [ctw.START] * depth + list(data) + [ctw.END]
+            for i in range(depth, len(held)):
+                runs[tuple(held[i - d : i + 1])] += 1
+        held_by: Counter = Counter()
+        for run, n in runs.items():
+            held_by[run[:-1]] += n
+        kept = {r: n for r, n in runs.items() if held_by[r[:-1]] >= least or not d}
+        found[d] = kept
+    return found
+
+
+def test_context_tree_against_dictionaries(monkeypatch):
+    monkeypatch.setattr(ctw, "DEPTH", 3)
+    monkeypatch.setattr(ctw, "STRETCH", 4)
+    texts = [b"abracadabra", b"banana band", b"", b"abba abracadabra", "né a né".encode()]
+    for least in (1, 3, 100):
+        levels = levels_of(texts, 3, least)
+        retained = {r[:-1] for d in (1, 2, 3) for r in levels[d]}
+        numbers = {}
+        for d, runs in levels.items():
+            codes = sorted((int.from_bytes(bytes(r), "big"), n) for r, n in runs.items())
+            numbers[d] = np.array([c for c, _ in codes], np.int64), np.array([n for _, n in codes], np.int64)
+        tree = ctw.build(numbers)
+        want = plain_tree(texts, 3, retained)
+        asked = ["abra", "banana", "", "né", "a" * 30, "cab dab"]
+        got, sizes = ctw.score_texts(tree, asked)
+        assert got == pytest.approx([want(a.encode()) for a in asked], rel=1e-4)
+        assert sizes.tolist() == [len(a.encode()) + 1 for a in asked]
+        known = 10.0 ** tree.logs
+        missing = 256 - (tree.logs.shape[1] - 1)
+        assert known[:, :-1].sum(1) + known[:, -1] * missing == pytest.approx(1, abs=1e-5)
+
+
+def test_untrained_tree():
+    tree = ctw.build({})
+    got, _ = ctw.score_texts(tree, ["ab", None])
+    assert got == pytest.approx([3 * math.log10(1 / 256), math.log10(1 / 256)], rel=1e-3)
+
+
+def test_log_gamma():
+    x = np.array([0.5, 1.0, 1.5, 7.0, 1e3, 1e9])
+    assert ctw.log_gamma(x) == pytest.approx([math.lgamma(v) for v in x], rel=1e-9, abs=1e-9)
+
+
+def scores_by_hand(rows):
+    counts: Counter = Counter()
+    for _, text, learned in rows:
+        if learned:
+            counts.update(lm.tokens(text))
+    n, v = sum(counts.values()), len(counts)
+    for key, text, _ in rows:
+        held = lm.tokens(text)
+        base = sum(math.log10((counts[t] + 0.1) / (n + 0.1 * (v + 1))) for t in held)
+        yield key, len(held), sum(counts[t] > 0 for t in held), n, base
+
+
+@pytest.mark.parametrize("head", [1 << 20, 40, 1])
+def test_token_scores(spark, tmp_path, monkeypatch, head):
+    monkeypatch.setattr(lm, "HEAD", head)
+    draw = random.Random(head)
+    words = ["the", "The", "cat", "été", "a\x1cb", "x y", "end.", *(f"r{i}" for i in range(40))]
+    rows = [
+        (i, draw.choice([" ", "\t\n"]).join(draw.choices(words, k=draw.randint(0, 40))), i % 4 > 0)
+        for i in range(60)
+    ]
+    rows += [(100, None, True), (101, "", False), (102, "the unseen", False), (None, "cat", False), rows[1]]
+    docs = frame(spark, rows, "doc_id long, text string, learned boolean")
+    got = lm.score(docs, F.col("learned"), str(tmp_path / f"lm{head}")).collect()
+    order = [(str(r["doc_id"]), r["n_tokens"], r["n_known"], r["train_tokens"]) for r in got]
+    want = list(scores_by_hand(rows))
+    assert sorted(order) == sorted((str(w[0]), *w[1:4]) for w in want)
+    by_id = {w[0]: w[4] for w in want}
+    assert all(r["base_score"] == pytest.approx(by_id[r["doc_id"]]) for r in got)
+    assert all(r["score"] < 0 for r in got)
+
+
+def test_scores_without_training(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
+    got = lm.score(docs, F.lit(False), str(tmp_path / "lm")).first()
+    assert (got["n_tokens"], got["n_known"], got["train_tokens"]) == (3, 0, 0)
+    assert lm.score(docs.limit(0), F.lit(True), str(tmp_path / "none")).count() == 0
+
+
+def test_tree_is_better_than_token_counts(spark):
+    held = QUERIES["op2_lm_score"](spark, SF_DIR).where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
+    assert held[0] > 1.02 * held[1]
+
+
+# Token counts
+
+
+def test_token_counts_equal_the_tokenizer(spark):
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    pieces = token_count.vocabulary()
+    draw = random.Random(3)
+    marks = ["a", "b", " ", "  ", "\n", "▁", "é", "漢", "🎉", "<0x41>", "the ", "<s>", "\t"]
+    texts = ["".join(draw.choices(marks, k=draw.randint(0, 40))) for _ in range(400)]
+    texts += [None, "", " ", "word " * 5000, "x" * 20_000]
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").where("doc_id < 100")
+    texts += [r["text"] for r in docs.select("text").collect()]
+    rows = [*enumerate(texts), (0, texts[0]), (None, "a b")]
+    got = token_count.token_counts(frame(spark, rows, "doc_id long, text string"), pieces).collect()
+    reference = Tokenizer(models.Unigram(pieces, unk_id=0, byte_fallback=True))
+    reference.pre_tokenizer = pre_tokenizers.Metaspace(replacement="▁", prepend_scheme="always", split=True)
+    want = sorted((str(i), len(reference.encode(t or "", add_special_tokens=False).ids)) for i, t in rows)
+    assert sorted((str(r["doc_id"]), r["n_tokens"]) for r in got) == want
+
+
+def test_ties_and_unknown_characters():
+    counter = token_count.Counter([("a", -1.0), ("aa", -2.0), ("b", -1.0), ("ab", -2.0)])
+    assert counter.count("aa") == (1, -2.0)
+    assert counter.count("aab") == (2, -3.0)
+    assert counter.count("ab") == (1, -2.0)
+    assert counter.count("xx")[0] == 1 and counter.count("xax")[0] == 3
+    best = min(
+        (tuple(p) for k in range(1, 4) for p in itertools.product(["a", "aa"], repeat=k) if "".join(p) == "aaa"), key=len
+    )
+    assert counter.count("aaa")[0] == len(best)
+
+
+# Near copies
+
+
+def aligned(a: str, b: str) -> float:
+    """Matched over all labelled k-mers, by the quadratic table."""
+
+    def labelled(text):
+        words = text.encode().lower().split()
+        width = min(5, len(words))
+        seen: Counter = Counter()
+        out = []
+        for i in range(len(words) - width + 1 if words else 0):
+            run = tuple(words[i : i + width])
+            out.append((run, seen[run]))
+            seen[run] += 1
+        return out
+
+    x, y = labelled(a), labelled(b)
+    row = [0] * (len(y) + 1)
+    for u in x:
+        above = row[:]
+        for j, v in enumerate(y, 1):
+            row[j] = above[j - 1] + 1 if u == v else max(row[j - 1], above[j])
+    return row[-1] / max(1, len(x) + len(y) - row[-1])
+
+
+def sketched(text: str):
+    return near_dup.splitter()([text])[0]
+
+
+@settings(max_examples=80, deadline=None)
+@given(
+    st.lists(st.sampled_from("a b c d e f g h".split()), max_size=60),
+    st.lists(st.tuples(st.integers(0, 59), st.sampled_from(["", "x", "a", "a b"])), max_size=3),
+)
+def test_alignment(words, edits):
+    other = list(words)
+    for at, new in edits:
+        if at < len(other):
+            other[at] = new
+    a, b = " ".join(words), " ".join(other)
+    want = aligned(a, b)
+    assert near_dup.similarity(sketched(a), sketched(b)) == pytest.approx(want if want >= 0.8 else 0)
+
+
+def test_order_matters():
+    words = [f"w{i}" for i in range(100)]
+    turned = words[50:] + words[:50]
+    assert near_dup.similarity(sketched(" ".join(words)), sketched(" ".join(turned))) == 0
+    same = near_dup.sketch(sketched(" ".join(words)))
+    assert (near_dup.sketch(sketched(" ".join(words).upper())) == same).all()
+    assert len(same) == near_dup.TABLES * len(near_dup.DEPTHS)
+
+
+def classes_by_hand(rows):
+    texts = sorted({t for _, t in rows if t is not None})
+    root = {t: t for t in texts}
+
+    def find(t):
+        while root[t] != t:
+            t = root[t]
+        return t
+
+    links = Counter()
+    for a, b in itertools.combinations(texts, 2):
+        if aligned(a, b) >= 0.8:
+            links[a] += 1
+            links[b] += 1
+            root[find(a)] = find(b)
+    least: dict = {}
+    for i, t in rows:
+        if t is not None and i is not None:
+            least[find(t)] = min(i, least.get(find(t), i))
+    return [(str(i), str(i if t is None else least.get(find(t)))) for i, t in rows]
+
+
+def test_groups_against_all_pairs(spark):
+    draw = random.Random(11)
+    passage = [f"p{i}" for i in range(60)]
+    rows, at = [], 0
+    for _ in range(25):
+        base = [f"v{draw.randint(0, 400)}" for _ in range(draw.randint(30, 150))]
+        if draw.random() < 0.5:
+            base = [*base[:40], *passage, *base[40:60]]
+        for copy in range(draw.choice([1, 1, 2, 6])):
+            words = list(base)
+            for _ in range(min(copy, 1)):
+                words[draw.randint(0, len(words) - 1)] = f"e{at}"
+            at += 3
+            rows.append((at, " ".join(words)))
+    rows += [(2000 + i, rows[i % 3][1]) for i in range(40)]
+    rows += [(1, None), (2, None), (5000, ""), (5001, ""), (5002, " "), (5003, "one two"), (5004, "ONE two")]
+    rows += [(None, "one two three four five six seven"), (6000, "long " * 40_000), rows[0]]
+    got = near_dup.groups(frame(spark, rows, "doc_id long, text string")).collect()
+    small = [r for r in rows if r[1] is None or len(r[1]) < 50_000]
+    assert sorted((str(r["doc_id"]), str(r["class_id"])) for r in got if r["doc_id"] != 6000) == sorted(classes_by_hand(small))
+    assert near_dup.groups(frame(spark, rows[:1], "doc_id long, text string").limit(0)).count() == 0
+
+
+def test_components_of_a_chain(spark, tmp_path):
+    links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (101, 100)], "a long, b long")
+    got = {r["id"]: r["root"] for r in near_dup.components(links, str(tmp_path / "c")).collect()}
+    assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100}
+
+
+# Toxicity
+
+
+def test_toxic_words_are_learned(spark):
+    draw = random.Random(12)
+    rows, labels = [], []
+    for i in range(1200):
+        words = [f"w{draw.randint(0, 800)}" for _ in range(draw.randint(5, 200))]
+        toxic = i % 6 == 0
+        if toxic:
+            words[draw.randint(0, len(words) - 1)] = draw.choice(["vile", "rotten"])
+        rows.append((i, " ".join(words)))
+        labels.append((i, int(toxic) if i < 1000 else None))
+    rows += [(5000, None), (5001, ""), (None, "vile"), (5002, "w1 " * 50_000), rows[0]]
+    docs = frame(spark, rows, "doc_id long, text string")
+    known = spark.createDataFrame([*labels, labels[0]], "doc_id long, toxic int")
+    model = toxicity.fit(docs, known)
+    assert 0 < len(model[0]) < 5000
+    got = toxicity.score(docs, model).collect()
+    assert len(got) == len(rows) and all(0 <= r["score"] <= 1 for r in got)
+    held = [(r["predicted"], int(r["doc_id"] % 6 == 0)) for r in got if r["doc_id"] and 1000 <= r["doc_id"] < 1200]
+    assert np.mean([a == b for a, b in held]) > 0.97
+    empty = {r["doc_id"]: r["score"] for r in got}
+    assert empty[5000] == empty[5001] < 0.5
+    nothing = toxicity.fit(docs, known.limit(0))
+    assert {r["score"] for r in toxicity.score(docs, nothing).collect()} == {0.5}
+    assert toxicity.score(docs.limit(0), nothing).count() == 0
