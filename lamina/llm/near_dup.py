@@ -278,11 +278,13 @@ def groups(
     lowest = linked.groupBy("root").agg(F.min("low").alias("class_id"))
     of_blob = linked.join(lowest, "root").select("blob", "class_id", "n_links")
     alone = texts.select("blob", "low")
-    named = alone.join(of_blob, "blob", "left").select(
+    # Stored, so that the join below shuffles both sides itself and can split a text with many copies.
+    alone.join(of_blob, "blob", "left").select(
         "blob",
         F.coalesce("class_id", "low").alias("class_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-    )
+    ).write.parquet(f"{folder}/named")
+    named = spark.read.parquet(f"{folder}/named")
     return rows.select("doc_id", "blob").join(named, "blob", "left").select(
         "doc_id",
         F.coalesce("class_id", "doc_id").alias("class_id"),
