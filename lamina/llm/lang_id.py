@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lamina.llm.arrow import Rows, map_slices, slices
+from lamina.session import work_dir
 
 LETTERS = re.compile(r"[^\W\d_]+")
 LONGEST = 5
@@ -81,7 +82,8 @@ def fit(
 ) -> dict:
     """The model: languages, and for words and n-grams their log10 frequencies by language.
 
-    The driver gets one row for each language, and at most max_words + max_grams counts.
+    The sample is counted once, into a table. The driver gets one row for each language, and at most
+    max_words + max_grams counts.
     """
     rows = labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text")).where(
         F.col("lang").isNotNull() & F.col("text").isNotNull()
@@ -93,12 +95,12 @@ def fit(
         return model
     share = F.create_map(*[F.lit(x) for k in langs for x in (k, min(1.0, sample_docs / sizes[k]))])
     drawn = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < share[F.col("lang")] * (1 << 30)
-    counted = (
-        rows.where(drawn)
-        .mapInArrow(_counts, "lang string, n int, gram string, times long")
-        .groupBy("lang", "n", "gram")
-        .agg(F.sum("times").alias("times"))
-    )
+    spark = labelled.sparkSession
+    folder = work_dir(spark, "lang_id")
+    rows.where(drawn).mapInArrow(_counts, "lang string, n int, gram string, times long").groupBy(
+        "lang", "n", "gram"
+    ).agg(F.sum("times").alias("times")).write.mode("overwrite").parquet(folder)
+    counted = spark.read.parquet(folder)
     order = (F.desc("times"), "gram", "lang")
     of = {k: i for i, k in enumerate(langs)}
     for part, most in (("words", max_words), ("grams", max_grams)):
