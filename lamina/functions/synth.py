@@ -13,7 +13,9 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lamina.columns import col, free_name
 from lamina.functions.hashing import unit
+from lamina.session import work_dir
 
 # Choice lists of the source tables.
 ACCOUNT_TYPES = ("individual", "joint", "trust", "custodial")
@@ -78,9 +80,6 @@ STATES = (
     ("WY", 42.7275, -107.2368),
 )
 
-# A dimension to choose from is numbered in one task and broadcast, so its length is checked.
-MAX_CHOICES = 100_000
-
 
 def row_ids(spark: SparkSession, rows: int, partitions: int = 4) -> DataFrame:
     return spark.range(0, rows, 1, partitions)
@@ -138,27 +137,34 @@ def _jitter(name: str, seed: int) -> Column:
 def choose_from(
     df: DataFrame, dimension: DataFrame, column: str, name: str, seed: int
 ) -> DataFrame:
-    """Add a value of a dimension table to each row, by a broadcast join instead of a driver list."""
-    whole = Window.partitionBy()
-    values = (
-        dimension.select(F.col(column).alias(name))
-        .distinct()
-        # One row past the bound is enough to see that it is passed.
-        .limit(MAX_CHOICES + 1)
-        .withColumn("choices", F.count("*").over(whole))
-        .where(
-            F.assert_true(
-                F.col("choices") <= MAX_CHOICES, f"more than {MAX_CHOICES} values to choose from"
-            ).isNull()
-        )
-        .withColumn("pick", F.row_number().over(Window.orderBy(name)) - 1)
+    """Add a value of a dimension table to each row, by a join on the value's place in order.
+
+    The dimension may be of any length. Its values are sorted over all tasks and stored with the place
+    each has in its task; the tasks' counts, one row each, give how many stand before a task's first.
+    """
+    spark = df.sparkSession
+    folder = work_dir(spark, "choices")
+    pick, place, task = (free_name(n, df) for n in ("pick", "place", "task"))
+    dimension.select(col(column).alias(name)).where(F.col(name).isNotNull()).distinct().orderBy(
+        col(name)
+    ).withColumn(place, F.monotonically_increasing_id()).write.mode("overwrite").parquet(folder)
+    # The upper bits of these ids are the task, the lower 33 count its rows.
+    values = spark.read.parquet(folder).select(
+        col(name),
+        F.shiftright(place, 33).alias(task),
+        F.col(place).bitwiseAND((1 << 33) - 1).alias(place),
     )
-    size = dimension.select(F.count_distinct(column).alias("n")).scalar()
-    return (
-        df.withColumn("pick", _below(name, seed, size).cast("int"))
-        .join(F.broadcast(values.drop("choices")), "pick")
-        .drop("pick")
+    upto = Window.orderBy(task).rowsBetween(Window.unboundedPreceding, 0)
+    counts = values.groupBy(task).agg(F.count("*").alias(pick))
+    before = counts.select(task, (F.sum(pick).over(upto) - F.col(pick)).alias(pick))
+    placed = values.join(before, task).select(
+        col(name), (F.col(pick) + F.col(place)).alias(pick)
     )
+    size = values.agg(F.count("*").alias("n")).scalar()
+    return df.withColumn(pick, _below(name, seed, size)).join(placed, pick).drop(pick)
+
+
+# Prefixes, places, texts and date ranges in the three tables below.
 
 
 def accounts(ids: DataFrame, seed: int, first: int = 1, count: int = 1000) -> DataFrame:

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lamina.columns import col, quoted
+
 
 def enrich_changes(
     feed: DataFrame,
@@ -33,8 +35,8 @@ def enrich_changes(
 
 ENRICH_SQL = """
 SELECT
-  * EXCEPT (_change_type, _commit_version, _commit_timestamp),
-  current_timestamp() AS ingestion_timestamp,
+  * EXCEPT (_change_type, _commit_version, _commit_timestamp{moved}),
+{casts}  current_timestamp() AS ingestion_timestamp,
   :source_file AS source_file,
   _change_type AS operation_type,
   _commit_version AS commit_version,
@@ -43,11 +45,18 @@ FROM {feed}
 """
 
 
-def enrich_changes_sql(feed: DataFrame, source_file: str) -> DataFrame:
-    """``enrich_changes`` in SQL, on a batch or a stream."""
-    return feed.sparkSession.sql(ENRICH_SQL, args={"source_file": source_file}, feed=feed)
+def enrich_changes_sql(
+    feed: DataFrame, source_file: str, casts: dict[str, str] | None = None
+) -> DataFrame:
+    """``enrich_changes`` in SQL, on a batch or a stream. Columns with a cast go behind the others."""
+    names = {quoted(c): kind for c, kind in (casts or {}).items()}
+    text = ENRICH_SQL.replace("{moved}", "".join(f", {c}" for c in names)).replace(
+        "{casts}", "".join(f"  CAST({c} AS {kind}) AS {c},\n" for c, kind in names.items())
+    )
+    return feed.sparkSession.sql(text, args={"source_file": source_file}, feed=feed)
 
 
 def add_bucket(df: DataFrame, keys: Sequence[str], buckets: int, name: str = "b") -> DataFrame:
     """A storage bucket that depends on the keys alone."""
-    return df.withColumn(name, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+    bucket = F.pmod(F.xxhash64(*[col(k) for k in keys]), F.lit(buckets))
+    return df.withColumn(name, bucket.cast("int"))

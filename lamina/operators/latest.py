@@ -7,34 +7,42 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lamina.columns import col, free_name, none_null
 from lamina.operators.heavy import HOT_ROWS, heavy_keys
 
 
 def latest_per_group(
-    df: DataFrame, keys: Sequence[str], order_by: str, hot_rows: int | None = HOT_ROWS
+    df: DataFrame,
+    keys: Sequence[str],
+    order_by: str,
+    hot_rows: int | None = HOT_ROWS,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Rows whose ``order_by`` is the greatest of their group; rows with a null in either are lost.
 
     Equal to joining the table with its own per-group maximum, but in one pass: ``rank() = 1`` is cut
     down to each task's own best rows before the shuffle. Groups above ``hot_rows`` rows, whose ties
-    alone could fill a task, are compared in place with their broadcast maximum instead.
+    alone could fill a task, are compared in place with their maximum instead. ``hot`` is their list, if
+    the caller has it already.
     """
     keys = list(keys)
-    valid = df
-    for column in (*keys, order_by):
-        valid = valid.where(F.col(column).isNotNull())
-    hot = heavy_keys(valid, keys, hot_rows)
+    grouped = [col(k) for k in keys]
+    valid = df.where(none_null([*keys, order_by]))
+    if hot is None:
+        hot = heavy_keys(valid, keys, hot_rows)
     if hot is None:
         return _ranked(valid, keys, order_by)
-    usual = valid.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
-    busy = valid.join(F.broadcast(hot.select(*keys)), keys)
+    best_of = free_name("hot_best", df)
+    usual = valid.join(hot.select(*grouped), keys, "left_anti")
+    busy = valid.join(hot.select(*grouped), keys)
     # One row per hot group, so no more than the list of hot groups has.
-    best = F.broadcast(busy.groupBy(*keys).agg(F.max(order_by).alias("hot_best")))
-    latest = busy.join(best, keys).where(F.col(order_by) == F.col("hot_best"))
-    return _ranked(usual, keys, order_by).unionByName(latest.select(*df.columns))
+    best = busy.groupBy(*grouped).agg(F.max(col(order_by)).alias(best_of))
+    latest = busy.join(best, keys).where(col(order_by) == F.col(best_of))
+    own = [col(c) for c in df.columns]
+    return _ranked(usual.select(*own), keys, order_by).unionByName(latest.select(*own))
 
 
 def _ranked(df: DataFrame, keys: list[str], order_by: str) -> DataFrame:
-    window = Window.partitionBy(*keys).orderBy(F.desc(order_by))
-    ranked = df.withColumn("latest_rank", F.rank().over(window))
-    return ranked.where("latest_rank = 1").drop("latest_rank")
+    rank = free_name("latest_rank", df)
+    window = Window.partitionBy(*[col(k) for k in keys]).orderBy(col(order_by).desc())
+    return df.withColumn(rank, F.rank().over(window)).where(F.col(rank) == 1).drop(rank)

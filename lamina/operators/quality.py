@@ -11,8 +11,8 @@ REPORT = "dataset STRING, expectation STRING, total_rows BIGINT, failed_rows BIG
 def _counters(expectations: dict[str, str], only: str = "true") -> list[Column]:
     counted = F.coalesce(F.expr(only), F.lit(False))
     return [F.count_if(counted).alias("total_rows")] + [
-        F.count_if(counted & ~F.coalesce(F.expr(rule), F.lit(False))).alias(name)
-        for name, rule in expectations.items()
+        F.count_if(counted & ~F.coalesce(F.expr(rule), F.lit(False))).alias(f"failed_{i}")
+        for i, rule in enumerate(expectations.values())
     ]
 
 
@@ -33,16 +33,18 @@ def observed_report(
     """The counts of a finished action, one row per expectation."""
     counts = seen.get
     rows = [
-        (dataset, name, counts.get("total_rows", 0), counts.get(name, 0)) for name in expectations
+        (dataset, name, counts.get("total_rows", 0), counts.get(f"failed_{i}", 0))
+        for i, name in enumerate(expectations)
     ]
     return spark.createDataFrame(rows, REPORT)
 
 
 def expectation_report(df: DataFrame, dataset: str, expectations: dict[str, str]) -> DataFrame:
     """The same counts as a query: one pass over ``df``, one row per expectation."""
-    pairs = ", ".join(f"'{name}', `{name}`" for name in expectations)
+    failed = [
+        F.struct(F.lit(name).alias("expectation"), F.col(f"failed_{i}").alias("failed_rows"))
+        for i, name in enumerate(expectations)
+    ]
     return df.agg(*_counters(expectations)).select(
-        F.lit(dataset).alias("dataset"),
-        F.expr(f"stack({len(expectations)}, {pairs}) AS (expectation, failed_rows)"),
-        "total_rows",
-    ).select("dataset", "expectation", "total_rows", "failed_rows")
+        F.lit(dataset).alias("dataset"), F.explode(F.array(*failed)).alias("rule"), "total_rows"
+    ).select("dataset", "rule.expectation", "total_rows", "rule.failed_rows")

@@ -20,6 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lamina.columns import col, none_null
 from lamina.operators.heavy import HOT_ROWS, heavy_keys, parts
 from lamina.schemas import UPDATE_PREIMAGE
 
@@ -48,31 +49,34 @@ def scd2_history(
     collapse_unchanged: bool = True,
     change_type: str = "operation_type",
     hot_rows: int | None = HOT_ROWS,
+    hot_from: DataFrame | None = None,
 ) -> DataFrame:
     """Keys, stored columns, ``__START_AT`` and ``__END_AT`` of every version.
 
     Keys above ``hot_rows`` changes are cut into stretches of their own sequence, worked on separately
-    and joined up at the edges (None: never).
+    and joined up at the edges (None: never). They are looked for in ``changes``, or in ``hot_from``, a
+    table that has the key columns at less cost.
     """
     keys = list(keys)
-    log = _prepare(
-        changes, keys, sequence_by, apply_as_deletes, except_column_list, tie_columns, change_type
-    )
-    hot = heavy_keys(log, keys, hot_rows)
+    skip = {*keys, *except_column_list}
+    stored = [c for c in changes.columns if c not in skip]
+    log = _prepare(changes, keys, sequence_by, apply_as_deletes, stored, tie_columns, change_type)
+    hot = heavy_keys(log if hot_from is None else hot_from, keys, hot_rows)
     if hot is None:
-        return _finish(_whole_keys(log, keys, collapse_unchanged), keys)
-    usual = log.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
+        return _finish(_whole_keys(log, keys, collapse_unchanged), keys, stored)
+    usual = log.join(hot.select(*_cols(keys)), keys, "left_anti")
     versions = _whole_keys(usual, keys, collapse_unchanged).unionByName(
         _cut_keys(log, hot, keys, collapse_unchanged, hot_rows)
     )
-    return _finish(versions, keys)
+    return _finish(versions, keys, stored)
+
+
+def _cols(names: Sequence[str]) -> list[Column]:
+    return [col(n) for n in names]
 
 
 def _usable(keys: Sequence[str], sequence_by: str) -> Column:
-    usable = F.col(sequence_by).isNotNull()
-    for key in keys:
-        usable = usable & F.col(key).isNotNull()
-    return usable
+    return none_null([*keys, sequence_by])
 
 
 def _prepare(
@@ -80,7 +84,7 @@ def _prepare(
     keys: list[str],
     sequence_by: str,
     apply_as_deletes: str | None,
-    except_column_list: Sequence[str],
+    stored: Sequence[str],
     tie_columns: Sequence[str],
     change_type: str,
 ) -> DataFrame:
@@ -90,19 +94,17 @@ def _prepare(
     """
     if change_type in changes.columns:
         changes = changes.where(
-            F.coalesce(F.col(change_type) != UPDATE_PREIMAGE, F.lit(True))
+            F.coalesce(col(change_type) != UPDATE_PREIMAGE, F.lit(True))
         )
     deleted = (
         F.coalesce(F.expr(apply_as_deletes), F.lit(False)) if apply_as_deletes else F.lit(False)
     )
-    skip = {*keys, *except_column_list}
-    stored = [c for c in changes.columns if c not in skip]
-    ties = [F.col(c).alias(f"tie_{i}") for i, c in enumerate(tie_columns)]
+    ties = [col(c).alias(f"tie_{i}") for i, c in enumerate(tie_columns)]
     # A table of keys alone still needs a state that differs from that of a delete.
-    payload = F.struct(*stored) if stored else F.struct(F.lit(True).alias("present"))
+    payload = F.struct(*_cols(stored)) if stored else F.struct(F.lit(True).alias("present"))
     return changes.where(_usable(keys, sequence_by)).select(
-        *keys,
-        F.col(sequence_by).alias("__seq"),
+        *_cols(keys),
+        col(sequence_by).alias("__seq"),
         F.struct((~deleted).alias("upsert"), *ties, payload.alias("payload")).alias("__change"),
     )
 
@@ -114,19 +116,19 @@ def _state() -> Column:
 
 def _whole_keys(log: DataFrame, keys: list[str], collapse: bool) -> DataFrame:
     """Versions of keys that fit a task: one shuffle and one sort serve all the windows."""
-    ties = Window.partitionBy(*keys, "__seq").orderBy(F.desc("__change"))
-    line = Window.partitionBy(*keys).orderBy("__seq")
+    ties = Window.partitionBy(*_cols(keys), "__seq").orderBy(F.desc("__change"))
+    line = Window.partitionBy(*_cols(keys)).orderBy("__seq")
     winners = (
-        log.repartition(*keys)
+        log.repartition(*_cols(keys))
         .withColumn("__tie", F.row_number().over(ties))
         .where("__tie = 1")
-        .select(*keys, "__seq", _state())
+        .select(*_cols(keys), "__seq", _state())
     )
     return (
         _mark(winners, line, collapse)
         .where("__changed")
         .withColumn("__until", F.lead("__seq").over(line))
-        .select(*keys, "__seq", "__state", "__until")
+        .select(*_cols(keys), "__seq", "__state", "__until")
     )
 
 
@@ -142,17 +144,17 @@ def _cut_keys(
     log: DataFrame, hot: DataFrame, keys: list[str], collapse: bool, hot_rows: int
 ) -> DataFrame:
     """Versions of hot keys. No task sees more than a stretch of one key."""
-    cuts = F.broadcast(_cuts(log, hot, keys, hot_rows))
+    cuts = _cuts(log, hot, keys, hot_rows)
     # Ties fall to a grouped maximum, so that many changes at one instant shrink before the shuffle.
     winners = (
-        log.join(F.broadcast(hot.select(*keys)), keys)
-        .groupBy(*keys, "__seq")
+        log.join(hot.select(*_cols(keys)), keys)
+        .groupBy(*_cols(keys), "__seq")
         .agg(F.max("__change").alias("__change"))
         .join(cuts, keys)
         .withColumn("__chunk", _chunk_of(F.col("__cuts"), F.col("__seq")))
-        .select(*keys, "__chunk", "__seq", _state())
+        .select(*_cols(keys), "__chunk", "__seq", _state())
     )
-    line = Window.partitionBy(*keys, "__chunk").orderBy("__seq")
+    line = Window.partitionBy(*_cols(keys), "__chunk").orderBy("__seq")
     marked = _mark(winners, line, collapse)
     edges = _edges(marked, keys, collapse)
     opens = F.expr("IF(__first, __opens, NOT __same)")
@@ -160,7 +162,7 @@ def _cut_keys(
         marked.join(edges, [*keys, "__chunk"])
         .where(opens)
         .withColumn("__until", F.coalesce(F.lead("__seq").over(line), F.col("__next_seq")))
-        .select(*keys, "__seq", "__state", "__until")
+        .select(*_cols(keys), "__seq", "__state", "__until")
     )
 
 
@@ -168,16 +170,16 @@ def _cuts(log: DataFrame, hot: DataFrame, keys: list[str], hot_rows: int) -> Dat
     """For each hot key the sequence values at which its stretches begin, evenly filled.
 
     The cuts come from a sample picked by hash, the same on every evaluation; they steer balance
-    only. There are at most ``MAX_PARTS`` per key and ``rows / hot_rows`` in all.
+    only. There are at most ``rows / hot_rows`` in all.
     """
-    wanted = hot.select(*keys, "hot_n", parts(hot_rows).alias("__chunks")).withColumn(
+    wanted = hot.select(*_cols(keys), "hot_n", parts(hot_rows).alias("__chunks")).withColumn(
         "__step", F.expr(f"greatest(1, hot_n DIV (__chunks * {SAMPLES_PER_CHUNK}))")
     )
     sample = (
-        log.select(*keys, "__seq")
-        .join(F.broadcast(wanted), keys)
+        log.select(*_cols(keys), "__seq")
+        .join(wanted, keys)
         .where(F.expr("pmod(xxhash64(__seq), __step) = 0"))
-        .groupBy(*keys)
+        .groupBy(*_cols(keys))
         .agg(F.array_sort(F.collect_set("__seq")).alias("__sample"))
     )
     cuts = F.expr(
@@ -186,11 +188,11 @@ def _cuts(log: DataFrame, hot: DataFrame, keys: list[str], hot_rows: int) -> Dat
         " ELSE transform(sequence(1, __chunks - 1), i -> __sample["
         "CAST(CAST(i AS BIGINT) * size(__sample) DIV __chunks AS INT)]) END"
     )
-    return wanted.join(sample, keys, "left").select(*keys, cuts.alias("__cuts"))
+    return wanted.join(sample, keys, "left").select(*_cols(keys), cuts.alias("__cuts"))
 
 
-# Enough halving steps for MAX_PARTS cuts.
-CUT_STEPS = tuple(1 << bit for bit in range(12, -1, -1))
+# Halving steps for up to 16 million cuts of one key.
+CUT_STEPS = tuple(1 << bit for bit in range(23, -1, -1))
 
 
 def _chunk_of(cuts: Column, seq: Column) -> Column:
@@ -204,16 +206,16 @@ def _chunk_of(cuts: Column, seq: Column) -> Column:
 
 def _edges(marked: DataFrame, keys: list[str], collapse: bool) -> DataFrame:
     """One row per stretch: does its first row open a version, and when does the next stretch open one."""
-    ends = marked.groupBy(*keys, "__chunk").agg(
+    ends = marked.groupBy(*_cols(keys), "__chunk").agg(
         F.min("__seq").alias("__first_seq"),
         F.min_by("__state", "__seq").alias("__first_state"),
         F.max_by("__state", "__seq").alias("__last_state"),
         F.min(F.when(F.expr("NOT __first AND NOT __same"), F.col("__seq"))).alias("__inner_seq"),
     )
-    forward = Window.partitionBy(*keys).orderBy("__chunk")
+    forward = Window.partitionBy(*_cols(keys)).orderBy("__chunk")
     # Later stretches come first in this order, which keeps the frame growing.
     later = (
-        Window.partitionBy(*keys)
+        Window.partitionBy(*_cols(keys))
         .orderBy(F.desc("__chunk"))
         .rowsBetween(Window.unboundedPreceding, -1)
     )
@@ -226,15 +228,14 @@ def _edges(marked: DataFrame, keys: list[str], collapse: bool) -> DataFrame:
         "__open_seq", F.expr("IF(__opens, __first_seq, __inner_seq)")
     )
     return opened.withColumn("__next_seq", F.min("__open_seq").over(later)).select(
-        *keys, "__chunk", "__opens", "__next_seq"
+        *_cols(keys), "__chunk", "__opens", "__next_seq"
     )
 
 
-def _finish(versions: DataFrame, keys: list[str]) -> DataFrame:
+def _finish(versions: DataFrame, keys: list[str], stored: Sequence[str]) -> DataFrame:
     """Drop the deletes, which served only to close versions, and spread the state out."""
-    stored = [c for c in versions.schema["__state"].dataType.names if c != "present"]
     return versions.where(F.col("__state").isNotNull()).select(
-        *keys,
+        *_cols(keys),
         *[F.col("__state").getField(c).alias(c) for c in stored],
         F.col("__seq").alias(START),
         F.col("__until").alias(END),

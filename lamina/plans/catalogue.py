@@ -24,7 +24,7 @@ from lamina.schemas import CHANGE_COLUMNS
 from lamina.schemas import bronze as bronze_schema
 from lamina.session import work_dir
 from lamina.sources.changelog import read_change_stream, read_changes, write_commits
-from lamina.sources.tables import append_table, read_append_stream, read_table
+from lamina.sources.tables import SourceTable, append_table, read_append_stream, read_table
 from lamina.streaming.history import (
     LAYOUT,
     apply_changes,
@@ -32,12 +32,17 @@ from lamina.streaming.history import (
     placed_schema,
     read_history,
 )
-from lamina.streaming.tables import stream_to_table, stream_with_quality
+from lamina.streaming.tables import BATCH, stream_to_table, stream_with_quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
-USERS_FLOW = rules.ChangeFlow("users", ("user_id",), rules.FEED_COLUMNS + ("event_id",))
+USERS_FLOW = rules.ChangeFlow(
+    "users",
+    ("user_id",),
+    rules.FEED_COLUMNS + ("event_id",),
+    {"low_band": "band < 3", "even_event": "event_id % 2 = 0"},
+)
 USER_BUCKETS = 8
 # The middle of the feed's thirty daily commits.
 HALF_WAY = 15
@@ -93,11 +98,10 @@ def bronze_accounts_sql(spark, sf_dir):
     return enrich_changes_sql(feed, "accounts").drop("ingestion_timestamp")
 
 
-@query("bronze_customer")
-def bronze_customer(spark, sf_dir):
-    """Coordinates arrive as text and leave as doubles."""
+def _customer_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coordinates arrive as text."""
     text = {c: F.col(c).cast("string") for c in ("latitude", "longitude")}
-    feed = shapes.customers(spark, sf_dir).withColumns(
+    return shapes.customers(spark, sf_dir).withColumns(
         {
             **text,
             "_change_type": F.lit("insert"),
@@ -105,21 +109,42 @@ def bronze_customer(spark, sf_dir):
             "_commit_timestamp": F.lit("2024-01-01 00:00:00").cast("timestamp"),
         }
     )
+
+
+@query("bronze_customer")
+def bronze_customer(spark, sf_dir):
+    feed = _customer_feed(spark, sf_dir)
     return enrich_changes(
         feed, "customer", casts={"longitude": "double", "latitude": "double"}, stamp=False
     )
 
 
-@query("bronze_tx")
-def bronze_tx(spark, sf_dir):
-    feed = shapes.transactions(spark, sf_dir).withColumns(
+@query("bronze_customer_sql")
+def bronze_customer_sql(spark, sf_dir):
+    casts = {"longitude": "DOUBLE", "latitude": "DOUBLE"}
+    return enrich_changes_sql(_customer_feed(spark, sf_dir), "customer", casts).drop(
+        "ingestion_timestamp"
+    )
+
+
+def _tx_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shapes.transactions(spark, sf_dir).withColumns(
         {
             "_change_type": F.lit("insert"),
             "_commit_version": F.year("transaction_date").cast("bigint"),
             "_commit_timestamp": F.col("transaction_date"),
         }
     )
-    return enrich_changes(feed, "transactions", stamp=False)
+
+
+@query("bronze_tx")
+def bronze_tx(spark, sf_dir):
+    return enrich_changes(_tx_feed(spark, sf_dir), "transactions", stamp=False)
+
+
+@query("bronze_tx_sql")
+def bronze_tx_sql(spark, sf_dir):
+    return enrich_changes_sql(_tx_feed(spark, sf_dir), "transactions").drop("ingestion_timestamp")
 
 
 @query("bronze_from_version")
@@ -144,8 +169,7 @@ def rejected(spark, sf_dir):
 # Change feeds from snapshots
 
 
-@query("cdf_diff")
-def cdf_diff(spark, sf_dir):
+def _orders_snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Old pending orders are finished, low ones among the finished dropped, urgent open ones rekeyed."""
     before = shapes.table(spark, sf_dir, "orders")
     dropped = F.expr("o_orderpriority = '5-LOW' AND o_orderstatus = 'F'")
@@ -161,7 +185,39 @@ def cdf_diff(spark, sf_dir):
             ),
         }
     )
-    return diff_snapshots(before, after, ["o_orderkey"])
+    return before, after
+
+
+@query("cdf_diff")
+def cdf_diff(spark, sf_dir):
+    return diff_snapshots(*_orders_snapshots(spark, sf_dir), ["o_orderkey"])
+
+
+@query("diff_column_names")
+def diff_column_names(spark, sf_dir):
+    """The same diff over columns that are called like the operator's own."""
+    names = {
+        "o_orderkey": "order key",
+        "o_custkey": "updated",
+        "o_orderstatus": "gone",
+        "o_totalprice": "more",
+        "o_orderdate": "was",
+        "o_orderpriority": "hot_salt",
+    }
+    before, after = (d.withColumnsRenamed(names) for d in _orders_snapshots(spark, sf_dir))
+    back = {new: old for old, new in names.items()}
+    return diff_snapshots(before, after, ["order key"], hot_rows=1).withColumnsRenamed(back)
+
+
+@query("overwrite_feed")
+def overwrite_feed(spark, sf_dir):
+    """The stored feed of a table that was loaded and then overwritten."""
+    base = work_dir(spark, "overwrite_feed")
+    before, after = _orders_snapshots(spark, sf_dir)
+    table = SourceTable(f"{base}/table", f"{base}/log", before.schema)
+    table.append(before, 0, "2024-01-01 00:00:00")
+    table.overwrite(after, 1, "2024-01-02 00:00:00")
+    return read_changes(spark, f"{base}/log", before.schema)
 
 
 @query("schema_merge_append")
@@ -190,6 +246,15 @@ def append_silver_accounts(spark, sf_dir):
     return silver.where("is_current").drop("__START_AT")
 
 
+@query("append_silver_customers")
+def append_silver_customers(spark, sf_dir):
+    """Coordinates that arrive as text."""
+    text = {c: F.col(c).cast("string") for c in ("latitude", "longitude")}
+    customers = shapes.customers(spark, sf_dir).withColumns(text)
+    silver = append_silver(customers, doubles=["longitude", "latitude"])
+    return silver.where("is_current").drop("__START_AT")
+
+
 @query("append_tx")
 def append_tx(spark, sf_dir):
     silver = append_transactions(shapes.transactions(spark, sf_dir))
@@ -208,12 +273,16 @@ def scd2_current(spark, sf_dir):
 
 @query("scd2_out_of_order")
 def scd2_out_of_order(spark, sf_dir):
-    """Three flows into one target, the deletes arriving first."""
-    log = _users_bronze(spark, sf_dir)
-    deletes = log.where("operation_type = 'delete'")
-    updates = log.where("operation_type LIKE 'update%'")
-    inserts = log.where("operation_type = 'insert'")
-    return _users_history(deletes.unionByName(updates).unionByName(inserts))
+    """Days that arrive in another order than they happened, through the incremental history."""
+    base = work_dir(spark, "out_of_order")
+    feed = shapes.change_feed(spark, sf_dir).withColumn(
+        "_commit_version", F.pmod(7 * F.floor(F.col("_commit_version") / 24), F.lit(3))
+    )
+    columns = feed.drop(*CHANGE_COLUMNS).schema
+    for version in (1, 0, 2):
+        write_commits(feed.where(F.col("_commit_version") == version), f"{base}/log")
+        history = run_users_pipeline(spark, base, columns, 1000, 1000)
+    return history
 
 
 @query("scd2_hot_keys")
@@ -248,7 +317,11 @@ def scd2_every_change(spark, sf_dir):
 def scd2_tx(spark, sf_dir):
     tx = shapes.transactions(spark, sf_dir)
     return scd2_history(
-        tx, ["transaction_id"], "transaction_date", except_column_list=["transaction_date"]
+        tx,
+        ["transaction_id"],
+        "transaction_date",
+        except_column_list=["transaction_date"],
+        hot_from=shapes.transaction_keys(spark, sf_dir),
     )
 
 
@@ -270,7 +343,12 @@ def scd2_composite_key(spark, sf_dir):
 
 
 def run_users_pipeline(
-    spark: SparkSession, base: str, columns: StructType, log_files: int, bronze_files: int
+    spark: SparkSession,
+    base: str,
+    columns: StructType,
+    log_files: int,
+    bronze_files: int,
+    quality: str | None = None,
 ) -> DataFrame:
     """What is new in the users' log, through bronze into their history."""
     log = read_change_stream(spark, f"{base}/log", columns, max_files=log_files)
@@ -287,6 +365,7 @@ def run_users_pipeline(
         USERS_FLOW,
         buckets=USER_BUCKETS,
         unit="WEEK",
+        quality=quality,
         tie_columns=["event_id"],
     )
     return read_history(spark, f"{base}/silver", schema, USERS_FLOW)
@@ -318,7 +397,7 @@ def stream_append_silver(spark, sf_dir):
         f"{base}/quality",
     )
     silver = spark.read.parquet(f"{base}/silver")
-    return silver.where("is_current").drop("__START_AT", "batch")
+    return silver.where("is_current").drop("__START_AT", BATCH)
 
 
 @query("stream_quality")
@@ -341,6 +420,21 @@ def stream_quality(spark, sf_dir):
     )
 
 
+@query("cdc_quality")
+def cdc_quality(spark, sf_dir):
+    """The counts that the users' history leaves: its expectations, and rows it cannot place."""
+    base = work_dir(spark, "cdc_quality")
+    feed = _daily_commits(spark, sf_dir)
+    write_commits(feed, f"{base}/log")
+    run_users_pipeline(
+        spark, base, feed.drop(*CHANGE_COLUMNS).schema, 1000, 1000, f"{base}/quality"
+    )
+    counts = spark.read.parquet(f"{base}/quality").groupBy("dataset", "expectation")
+    return counts.agg(
+        F.sum("total_rows").alias("total_rows"), F.sum("failed_rows").alias("failed_rows")
+    )
+
+
 # Gold
 
 
@@ -351,12 +445,23 @@ def profile(spark, sf_dir):
 
 @query("cust_tran_profile_sql")
 def profile_sql(spark, sf_dir):
-    return cust_tran_profile_sql(spark, *_profile_inputs(spark, sf_dir))
+    """Over histories, of which closed versions must not count."""
+    accounts, customers, tx = _profile_inputs(spark, sf_dir)
+    other = F.col("acct_id") + 1
+    return cust_tran_profile_sql(
+        spark, shapes.as_history(accounts, other), shapes.as_history(customers, other), tx
+    )
 
 
 def _tx_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     tx = shapes.transactions(spark, sf_dir).withColumn("seq", F.col("transaction_date"))
-    return scd2_history(tx, ["transaction_id"], "seq", except_column_list=["seq"])
+    return scd2_history(
+        tx,
+        ["transaction_id"],
+        "seq",
+        except_column_list=["seq"],
+        hot_from=shapes.transaction_keys(spark, sf_dir),
+    )
 
 
 @query("cust_tran_profile_cdc")
@@ -401,7 +506,11 @@ def latest_holdings_hot(spark, sf_dir):
 
 @query("ticker_dist_geo")
 def geo(spark, sf_dir):
-    return ticker_dist_geo(shapes.customers(spark, sf_dir), shapes.transactions(spark, sf_dir))
+    return ticker_dist_geo(
+        shapes.customers(spark, sf_dir),
+        shapes.transactions(spark, sf_dir),
+        hot_from=shapes.account_keys(spark, sf_dir),
+    )
 
 
 @query("ticker_dist_geo_hot")

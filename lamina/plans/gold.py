@@ -55,7 +55,7 @@ def cust_tran_profile(
     return _stamped(profile, "profile_created_at", created_at)
 
 
-# The same view as SQL over views named accounts, customers and transactions of open versions.
+# The same view as SQL, over the histories of accounts and customers and the transactions.
 PROFILE_SQL = """
 WITH traded AS (
   SELECT
@@ -66,6 +66,19 @@ WITH traded AS (
     MAX(transaction_date) AS latest_date,
     COUNT(DISTINCT ticker_symbol) AS tickers
   FROM {transactions}
+  WHERE acct_id IS NOT NULL
+  GROUP BY ALL
+),
+held AS (
+  SELECT acct_id, acct_status, balance, COUNT(*) AS copies
+  FROM {accounts}
+  WHERE __END_AT IS NULL
+  GROUP BY ALL
+),
+holders AS (
+  SELECT acct_id, customer_id, COUNT(*) AS copies
+  FROM {customers}
+  WHERE __END_AT IS NULL
   GROUP BY ALL
 )
 SELECT
@@ -73,25 +86,34 @@ SELECT
   a.acct_id,
   a.acct_status,
   a.balance,
-  SUM(t.tx_count) AS total_transactions,
-  CAST(SUM(t.tx_value) AS DOUBLE) AS total_transactions_value,
-  MIN(t.first_date) AS first_transaction_date,
-  MAX(t.latest_date) AS latest_transaction_date,
-  MAX(t.tickers) AS count_distinct_tickers_traded
-FROM {accounts} AS a
-INNER JOIN {customers} AS c ON a.acct_id = c.acct_id
+  t.tx_count * a.copies * c.copies AS total_transactions,
+  CAST(t.tx_value * a.copies * c.copies AS DOUBLE) AS total_transactions_value,
+  t.first_date AS first_transaction_date,
+  t.latest_date AS latest_transaction_date,
+  t.tickers AS count_distinct_tickers_traded
+  {stamp}
+FROM held AS a
+INNER JOIN holders AS c ON a.acct_id = c.acct_id
 INNER JOIN traded AS t ON a.acct_id = t.acct_id
-GROUP BY ALL
 """
 
 
 def cust_tran_profile_sql(
-    spark: SparkSession, accounts: DataFrame, customers: DataFrame, transactions: DataFrame
+    spark: SparkSession,
+    accounts: DataFrame,
+    customers: DataFrame,
+    transactions: DataFrame,
+    stamp: bool = False,
 ) -> DataFrame:
-    """``cust_tran_profile`` in SQL."""
-    return spark.sql(
-        PROFILE_SQL, accounts=accounts, customers=customers, transactions=transactions
+    """``cust_tran_profile`` in SQL, with the same grouping before the joins.
+
+    Accounts and customers are SCD2 tables, of which the open versions count; all transactions passed
+    do. ``stamp`` adds ``profile_created_at``.
+    """
+    text = PROFILE_SQL.replace(
+        "{stamp}", ", current_timestamp() AS profile_created_at" if stamp else ""
     )
+    return spark.sql(text, accounts=accounts, customers=customers, transactions=transactions)
 
 
 PAIR = ["acct_id", "ticker_symbol"]
@@ -102,19 +124,43 @@ def ticker_dist_geo(
     transactions: DataFrame,
     created_at: Column | None = None,
     hot_rows: int | None = HOT_ROWS,
+    hot_from: DataFrame | None = None,
 ) -> DataFrame:
-    """The latest holdings per account and ticker with the place of the account's customers."""
+    """The latest holdings per account and ticker with the place of the account's customers.
+
+    Hot accounts are looked for on both sides: among ``transactions`` (or ``hot_from``, a table with
+    their ``acct_id`` at less cost), and among customers, where many may share an account.
+    """
     columns = ["acct_id", "ticker_symbol", "transaction_date", "total_holdings"]
     # Without a hot account there is no hot pair of account and ticker either.
-    hot = heavy_keys(transactions, ["acct_id"], hot_rows)
+    hot = heavy_keys(transactions if hot_from is None else hot_from, ["acct_id"], hot_rows)
+    crowded = heavy_keys(customers, ["acct_id"], hot_rows)
     if hot is None:
         latest = latest_per_group(transactions.select(*columns), PAIR, "transaction_date", None)
-        placed = latest.join(customers, "acct_id")
     else:
         # The ids tell equal rows apart, which spreads them.
         columns += [c for c in ("transaction_id",) if c in transactions.columns]
         latest = latest_per_group(transactions.select(*columns), PAIR, "transaction_date", hot_rows)
-        placed = skew_join(latest, customers, ["acct_id"], hot_rows=hot_rows, hot=hot)
+
+    def place(rows: DataFrame, people: DataFrame) -> DataFrame:
+        if hot is None:
+            return rows.join(people, "acct_id")
+        return skew_join(rows, people, ["acct_id"], hot_rows=hot_rows, hot=hot)
+
+    if crowded is None:
+        placed = place(latest, customers)
+    else:
+        # An account has one row for each ticker, so its customers are the side to spread.
+        full = crowded.select("acct_id")
+        spread = skew_join(
+            customers.join(full, "acct_id", "left_semi"),
+            latest.join(full, "acct_id", "left_semi"),
+            ["acct_id"],
+            hot_rows=hot_rows,
+            hot=crowded,
+        )
+        usual = place(latest, customers.join(full, "acct_id", "left_anti"))
+        placed = usual.unionByName(spread)
     places = placed.select(
         "customer_id",
         "acct_id",

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
+from lamina.functions import synth
+
 ACC = """acc AS (
   SELECT c_custkey AS acct_id, c_name AS acct_name, c_acctbal AS balance, 'open' AS acct_status,
          c_mktsegment AS acct_type
@@ -212,10 +216,9 @@ def _below(name: str, n: str) -> str:
     return f"CAST(floor({_unit(name)} * {n}) AS BIGINT)"
 
 
-def _choice(name: str, values: str) -> str:
-    options = ", ".join(f"'{v}'" for v in values.split())
-    count = len(values.split())
-    return f"([{options}])[{_below(name, str(count))} + 1] AS {name}"
+def _choice(name: str, values: Sequence[str]) -> str:
+    options = ", ".join(f"'{v}'" for v in values)
+    return f"([{options}])[{_below(name, str(len(values)))} + 1] AS {name}"
 
 
 def _acct(number: str) -> str:
@@ -239,21 +242,20 @@ def _instant(name: str, begin: str, end: str) -> str:
 SYNTH_ACCOUNTS = f"""WITH ids AS (SELECT c_custkey AS id FROM customer)
 SELECT id, {_acct('id % 1000 + 1')}, {_numbered('acct_name', 'acct_')},
   CAST({_below('acct_number', '1000000001')} + 1000000000 AS INTEGER) AS acct_number,
-  {_choice('acct_type', 'individual joint trust custodial')},
+  {_choice('acct_type', synth.ACCOUNT_TYPES)},
   {_real('balance', '500000.0', '2000000.0')}, 'open' AS acct_status,
   {_instant('open_date', '2020-01-01 00:00:00', '2021-12-31 23:59:59')} AS open_date,
   CAST({_instant('closed_date', '2080-01-01 00:00:00', '2800-12-31 23:59:59')} AS VARCHAR) AS closed_date,
-  {_choice('margin_enabled', 'yes no pending restricted')},
-  {_choice('risk_tolerance', 'low medium high')},
+  {_choice('margin_enabled', synth.MARGIN)},
+  {_choice('risk_tolerance', synth.RISK)},
   {_instant('created_date', '2022-01-01 00:00:00', '2024-12-31 23:59:59')} AS created_date
 FROM ids"""
 
 
 def _synth_customers() -> str:
-    from lamina.functions.synth import STATES
-
-    rows = ", ".join(f"('{code}', {lat}::DOUBLE, {lon}::DOUBLE)" for code, lat, lon in STATES)
-    codes = " ".join(code for code, _, _ in STATES)
+    states = synth.STATES
+    rows = ", ".join(f"('{code}', {lat}::DOUBLE, {lon}::DOUBLE)" for code, lat, lon in states)
+    codes = [code for code, _, _ in states]
     return f"""WITH ids AS (SELECT c_custkey AS id FROM customer),
 states(code, lat, lon) AS (VALUES {rows}),
 made AS (SELECT id, concat('1000000', CAST(id AS VARCHAR)) AS customer_id,
@@ -277,11 +279,11 @@ SYNTH_TRANSACTIONS = f"""WITH {TICKERS}, ids AS (SELECT event_id AS id FROM even
 picked AS (SELECT id, ticker_symbol FROM (SELECT id, {PICK} AS pick FROM ids) picks JOIN tickers USING (pick)),
 made AS (SELECT id, concat('1110000', CAST(id AS VARCHAR)) AS transaction_id,
   {_acct(_below('acct_id', '1000') + ' + 1')}, ticker_symbol,
-  {_choice('transaction_type', 'buy sell deposit withdrawal fee split dividend interest')},
+  {_choice('transaction_type', synth.TRANSACTION_TYPES)},
   {_real('quantity', '10.0', '19990.0')}, {_real('price_per_share', '50.0', '950.0')},
   {_instant('transaction_date', *YEAR)} AS transaction_date,
-  {_choice('order_type', 'market limit stop stop_limit fill_or_kill immediate_or_cancel day trailing_stop')},
-  {_choice('trade_status', 'open filled canceled rejected expired')},
+  {_choice('order_type', synth.ORDER_TYPES)},
+  {_choice('trade_status', synth.TRADE_STATUS)},
   {_instant('created_date', *YEAR)} AS created_date FROM picked)
 SELECT *, quantity * price_per_share AS total_amt, quantity AS total_holdings FROM made"""
 
@@ -295,16 +297,44 @@ SILVER_ACCOUNTS = (
     _with(ACC) + 'SELECT acc.*, CAST(NULL AS TIMESTAMP) AS "__END_AT", TRUE AS is_current FROM acc'
 )
 
-ORACLE = {
-    "bronze_accounts": _with(CHG) + f"SELECT {BRONZE_COLUMNS} FROM chg",
-    "bronze_accounts_sql": _with(CHG) + f"SELECT {BRONZE_COLUMNS} FROM chg",
-    "bronze_customer": _with(CUS)
+BRONZE_CUSTOMER = (
+    _with(CUS)
     + "SELECT cus.*, 'customer' AS source_file, 'insert' AS operation_type,"
-    " CAST(0 AS BIGINT) AS commit_version, TIMESTAMP '2024-01-01' AS commit_timestamp FROM cus",
-    "bronze_tx": _with(TX)
+    " CAST(0 AS BIGINT) AS commit_version, TIMESTAMP '2024-01-01' AS commit_timestamp FROM cus"
+)
+BRONZE_TX = (
+    _with(TX)
     + f"SELECT {TX_COLUMNS}, transaction_date, 'transactions' AS source_file,"
     " 'insert' AS operation_type, year(transaction_date) AS commit_version,"
-    " transaction_date AS commit_timestamp FROM tx",
+    " transaction_date AS commit_timestamp FROM tx"
+)
+OVERWRITE = DIFF[: DIFF.index("SELECT o.*, 'delete'")] + """
+SELECT o.*, 'insert' AS _change_type, TIMESTAMP '2024-01-01' AS _commit_timestamp,
+       CAST(0 AS BIGINT) AS _commit_version FROM orders o
+UNION ALL SELECT o.*, 'delete', TIMESTAMP '2024-01-02', 1 FROM orders o
+UNION ALL SELECT a.*, 'insert', TIMESTAMP '2024-01-02', 1 FROM after a"""
+CDC_QUALITY = _with(CHG) + """
+SELECT 'users' AS dataset, 'low_band' AS expectation, count(*) AS total_rows,
+       count(*) FILTER (NOT coalesce(band < 3, FALSE)) AS failed_rows
+FROM chg WHERE operation_type IN ('insert', 'update_postimage')
+UNION ALL
+SELECT 'users', 'even_event', count(*), count(*) FILTER (event_id % 2 <> 0)
+FROM chg WHERE operation_type IN ('insert', 'update_postimage')
+UNION ALL
+SELECT 'users', 'has_key_and_sequence', count(*), 0 FROM chg WHERE operation_type <> 'update_preimage'"""
+
+ORACLE = {
+    "bronze_accounts": _with(CHG) + f"SELECT {BRONZE_COLUMNS} FROM chg",
+    "bronze_accounts_sql": _with(CHG) + f"SELECT {BRONZE_COLUMNS} FROM chg",
+    "bronze_tx": BRONZE_TX,
+    "bronze_tx_sql": BRONZE_TX,
+    "bronze_customer": BRONZE_CUSTOMER,
+    "bronze_customer_sql": BRONZE_CUSTOMER,
+    "diff_column_names": DIFF,
+    "overwrite_feed": OVERWRITE,
+    "append_silver_customers": _with(CUS)
+    + 'SELECT cus.*, CAST(NULL AS TIMESTAMP) AS "__END_AT", TRUE AS is_current FROM cus',
+    "cdc_quality": CDC_QUALITY,
     "bronze_from_version": _with(CHG)
     + "SELECT * FROM (SELECT chg.* REPLACE (CAST(floor(commit_version / 24) AS BIGINT) AS commit_version)"
     " FROM chg) WHERE commit_version >= 15",

@@ -15,18 +15,25 @@ from pyspark.sql import types as T
 from lamina import rules, schemas
 from lamina.operators.append import append_silver, append_transactions
 from lamina.operators.bronze import enrich_changes
+from lamina.operators.heavy import HOT_ROWS
 from lamina.operators.quality import expect_all, observed_report
 from lamina.plans.gold import cust_tran_profile, ticker_dist_geo
 from lamina.sources.changelog import read_change_stream
-from lamina.sources.tables import SourceTable, read_append_stream, refresh_view
+from lamina.sources.tables import (
+    SourceTable,
+    read_append_stream,
+    refresh_view,
+    register_table,
+)
 from lamina.streaming.history import (
     LAYOUT,
     apply_changes,
+    keep_layout,
     place_changes,
     placed_schema,
     read_history,
 )
-from lamina.streaming.tables import keep_counts, stream_to_table, stream_with_quality
+from lamina.streaming.tables import BATCH, keep_counts, stream_to_table, stream_with_quality
 
 
 @dataclass(frozen=True)
@@ -65,11 +72,17 @@ def refresh_cdc(
     buckets: int,
     unit: str = "MONTH",
     current_transactions_only: bool = False,
+    hot_rows: int | None = HOT_ROWS,
+    register_as: str | None = None,
 ) -> DataFrame:
     """Change feeds through bronze into SCD2 tables and the profile over their open versions.
 
-    Every version of a transaction counts, unless ``current_transactions_only``.
+    Every version of a transaction counts, unless ``current_transactions_only``. With ``register_as``,
+    a database, all tables get names, comments and properties there. Another ``unit`` or number of
+    ``buckets`` than the tables have raises ValueError before anything is written.
     """
+    for _, _, flow, _ in CDC_TABLES:
+        keep_layout(spark, folders.at("silver", flow.name), buckets, unit)
     for name, schema, flow, source_file in CDC_TABLES:
         bronze = folders.at("bronze", name)
         feed = read_change_stream(spark, folders.source(name, schema).log, schema)
@@ -89,6 +102,7 @@ def refresh_cdc(
             buckets,
             unit,
             folders.quality,
+            hot_rows=hot_rows,
         )
     only_current = (True, True, current_transactions_only)
     accounts, customers, tx = (
@@ -97,11 +111,22 @@ def refresh_cdc(
         )
         for (_, schema, flow, _), only_open in zip(CDC_TABLES, only_current)
     )
-    profile = cust_tran_profile(accounts, customers, tx, F.current_timestamp())
-    return _refresh_gold(folders, "cust_tran_profile", profile, rules.PROFILE)
+    profile = cust_tran_profile(accounts, customers, tx, F.current_timestamp(), hot_rows)
+    gold = _refresh_gold(folders, "cust_tran_profile", profile, rules.PROFILE)
+    if register_as:
+        for name, _, flow, _ in CDC_TABLES:
+            _register(spark, folders, register_as, "bronze", name)
+            _register(spark, folders, register_as, "silver", flow.name)
+        _register(spark, folders, register_as, "gold", "cust_tran_profile")
+    return gold
 
 
-def refresh_append(spark: SparkSession, folders: Folders) -> tuple[DataFrame, DataFrame]:
+def refresh_append(
+    spark: SparkSession,
+    folders: Folders,
+    hot_rows: int | None = HOT_ROWS,
+    register_as: str | None = None,
+) -> tuple[DataFrame, DataFrame]:
     """New rows of the sources through plain bronze copies into stamped silver and two views."""
     steps = (
         ("src_accounts", schemas.ACCOUNTS, "accounts", rules.ACCOUNTS),
@@ -130,16 +155,34 @@ def refresh_append(spark: SparkSession, folders: Folders) -> tuple[DataFrame, Da
             expectations,
             folders.quality,
         )
-        silver[target] = spark.read.parquet(path).drop("batch")
+        silver[target] = spark.read.parquet(path).drop(BATCH)
     accounts = silver["accounts"].where("is_current")
     customers = silver["customers"].where("is_current")
     now = F.current_timestamp()
-    profile = cust_tran_profile(accounts, customers, silver["transactions"], now)
-    geo = ticker_dist_geo(customers, silver["transactions"], now)
-    return (
+    profile = cust_tran_profile(accounts, customers, silver["transactions"], now, hot_rows)
+    geo = ticker_dist_geo(customers, silver["transactions"], now, hot_rows)
+    views = (
         _refresh_gold(folders, "cust_tran_profile", profile, rules.PROFILE),
         _refresh_gold(folders, "ticker_dist_geo", geo, rules.GEO),
     )
+    if register_as:
+        for name, _, target, _ in steps:
+            _register(spark, folders, register_as, "bronze", name)
+            _register(spark, folders, register_as, "silver", target)
+        for view in ("cust_tran_profile", "ticker_dist_geo"):
+            _register(spark, folders, register_as, "gold", view)
+    return views
+
+
+def _register(spark: SparkSession, folders: Folders, database: str, layer: str, name: str) -> None:
+    """Name a table of the pipeline ``database.layer_name``, unless that name is taken."""
+    full = f"{database}.{layer}_{name}"
+    if not spark.catalog.tableExists(full):
+        register_table(
+            spark, full, folders.at(layer, name), rules.COMMENTS[layer], rules.PROPERTIES[layer]
+        )
+    if any(c.isPartition for c in spark.catalog.listColumns(full)):
+        spark.catalog.recoverPartitions(full)
 
 
 def _refresh_gold(

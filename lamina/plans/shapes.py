@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -69,6 +69,26 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def account_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accounts as often as they have orders: where the transactions' hot accounts show at less cost."""
+    return table(spark, sf_dir, "orders").selectExpr("o_custkey AS acct_id")
+
+
+def transaction_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The transactions' ids without the joins."""
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        "concat(l_orderkey, '-', l_linenumber) AS transaction_id"
+    )
+
+
+def as_history(open_rows: DataFrame, outdated: Column) -> DataFrame:
+    """An SCD2 table: the rows as open versions, and before each a closed one with other columns."""
+    closed = open_rows.withColumn("acct_id", outdated).withColumn(
+        "__END_AT", F.lit("2024-01-01 00:00:00").cast("timestamp")
+    )
+    return open_rows.withColumn("__END_AT", F.lit(None).cast("timestamp")).unionByName(closed)
+
+
 def exact(transactions: DataFrame) -> DataFrame:
     """Amounts as decimals, whose sums do not depend on the order of the rows."""
     return transactions.withColumn("total_amt", F.col("total_amt").cast("decimal(18,2)"))

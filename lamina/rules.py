@@ -43,6 +43,7 @@ GEO = {
     "positive_holdings": "total_holdings >= 0.0",
 }
 
+# What counts as a delete, the columns of a feed, the flows' keys and exclusions.
 DELETE_CONDITION = "operation_type = 'delete'"
 FEED_COLUMNS = (
     "operation_type",
@@ -74,3 +75,12 @@ CUSTOMERS_FLOW = ChangeFlow(
 TRANSACTIONS_FLOW = ChangeFlow(
     "transactions", ("transaction_id",), FEED_COLUMNS + ("created_date",), TRANSACTIONS
 )
+
+
+# What the pipelines' tables say about themselves, by layer.
+COMMENTS = {
+    "bronze": "Rows as they came from the source",
+    "silver": "Typed rows with their validity",
+    "gold": "A view rebuilt in full on each refresh",
+}
+PROPERTIES = {layer: {"quality": layer} for layer in COMMENTS}

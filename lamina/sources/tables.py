@@ -6,10 +6,14 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lamina.columns import col
 from lamina.operators.diff import append_changes, overwrite_changes
+from lamina.schemas import INSERT, change_feed
 from lamina.sources.changelog import write_commit
+from lamina.sources.files import replace_folder
 
 
 def create_table(
@@ -30,8 +34,19 @@ def overwrite_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def is_path(table: str) -> bool:
+    """Whether a table is given as a folder; a name in the catalog has no slash."""
+    return "/" in table
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """A batch read; without a schema the files' schemas are merged, missing columns null."""
+    """A batch read of a folder or of a table by its name in the catalog.
+
+    Without a schema the files' schemas are merged, missing columns null.
+    """
+    if not is_path(path):
+        table = spark.table(path)
+        return table if schema is None else table.to(schema)
     if schema is not None:
         return spark.read.schema(schema).parquet(path)
     return spark.read.option("mergeSchema", "true").parquet(path)
@@ -40,11 +55,17 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
 def read_append_stream(
     spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None
 ) -> DataFrame:
-    """The rows added to a table since the last run of the same query."""
+    """The rows added to a table since the last run of the same query; a folder or a table's name."""
     reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(path)
+    return reader.parquet(path if is_path(path) else table_folder(spark, path))
+
+
+def table_folder(spark: SparkSession, name: str) -> str:
+    """Where a registered table's files lie."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'")
+    return rows.first()["data_type"]
 
 
 def ticker_list(spark: SparkSession, table: str, column: str = "ticker") -> DataFrame:
@@ -53,13 +74,17 @@ def ticker_list(spark: SparkSession, table: str, column: str = "ticker") -> Data
 
 
 def refresh_view(df: DataFrame, path: str) -> None:
-    """Rebuild a gold view in full."""
-    overwrite_table(df, path)
+    """Rebuild a gold view in full. Readers have the old one until the new is complete."""
+    replace_folder(df.sparkSession, path, lambda fresh: overwrite_table(df, fresh))
 
 
 @dataclass(frozen=True)
 class SourceTable:
-    """A source table that records its own changes: rows at ``path``, its feed at ``log``."""
+    """A source table that records its own changes: rows at ``path``, its feed at ``log``.
+
+    The rows of a change are worked out once, for the commit. The table's files are made from the
+    stored commit, so both hold the same rows; ``bring_in`` makes them again if a run was lost between.
+    """
 
     path: str
     log: str
@@ -67,17 +92,28 @@ class SourceTable:
 
     def append(self, df: DataFrame, version: int, timestamp) -> None:
         """Add rows; the commit holds them as inserts."""
-        rows = df.to(self.schema)
-        write_commit(append_changes(rows), self.log, version, timestamp)
-        append_table(rows, self.path)
+        write_commit(append_changes(df.to(self.schema)), self.log, version, timestamp)
+        append_table(self._inserted(df.sparkSession, version), self.path)
 
     def overwrite(self, df: DataFrame, version: int, timestamp) -> None:
         """Replace the rows; the commit deletes the old ones and inserts the new."""
-        rows = df.to(self.schema)
         before = read_table(df.sparkSession, self.path, self.schema)
         # The feed reads the old rows, so it goes first.
-        write_commit(overwrite_changes(before, rows), self.log, version, timestamp)
-        overwrite_table(rows, self.path)
+        feed = overwrite_changes(before, df.to(self.schema))
+        write_commit(feed, self.log, version, timestamp)
+        self.bring_in(df.sparkSession, version)
+
+    def bring_in(self, spark: SparkSession, version: int) -> None:
+        """Make the table what the overwriting commit ``version`` left."""
+        overwrite_table(self._inserted(spark, version), self.path)
+
+    def _inserted(self, spark: SparkSession, version: int) -> DataFrame:
+        commit = spark.read.schema(change_feed(self.schema)).parquet(
+            f"{self.log}/_commit_version={version}"
+        )
+        return commit.where(F.col("_change_type") == INSERT).select(
+            *[col(f.name) for f in self.schema]
+        )
 
 
 def register_table(
@@ -90,10 +126,15 @@ def register_table(
     """Give a Parquet folder a table name, a comment and properties in the catalog."""
     spark.catalog.createTable(name, path=path, source="parquet", description=comment or "")
     if properties:
-        pairs = ", ".join(f"'{key}' = '{value}'" for key, value in properties.items())
+        pairs = ", ".join(f"{_text(k)} = {_text(v)}" for k, v in properties.items())
         spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({pairs})")
 
 
+def _text(value: str) -> str:
+    """A SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def table_properties(spark: SparkSession, name: str) -> DataFrame:
     """The properties set on a registered table."""
     return spark.sql(f"SHOW TBLPROPERTIES {name}")

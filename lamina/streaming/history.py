@@ -19,37 +19,62 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from lamina.columns import col, free_name, quoted
 from lamina.operators.bronze import add_bucket
 from lamina.operators.heavy import HOT_ROWS
 from lamina.operators.quality import expect_all, observed_report
 from lamina.operators.scd2 import END, START, scd2_history
 from lamina.rules import ChangeFlow
 from lamina.schemas import INSERT, UPDATE_PREIMAGE
+from lamina.sources.files import Store, replace_folder
 from lamina.sources.tables import create_table
 from lamina.streaming.tables import for_each_batch, keep_counts
 
 BUCKET, PERIOD = "_bucket", "_period"
 OPEN = "open"
 LAYOUT = [BUCKET, PERIOD]
+UNITS = ("DAY", "WEEK", "MONTH", "QUARTER", "YEAR")
+LAYOUT_SCHEMA = T.StructType().add("buckets", "integer").add("unit", "string")
 CARRIED_BATCH = T.StructType().add("batch", "long")
 
 
 def period_of(moment: str, kind: T.DataType, unit: str) -> Column:
     """The first day of the period a column lies in, as text, which sorts like the time and before
     ``open``. Instants are taken in UTC: the folders must not depend on a session's time zone."""
-    day = F.col(moment).cast("date")
+    day = col(moment).cast("date")
     if isinstance(kind, T.TimestampType):
-        days = F.floor(F.unix_seconds(moment) / F.lit(86400)).cast("int")
+        days = F.floor(F.unix_seconds(col(moment)) / F.lit(86400)).cast("int")
         day = F.date_add(F.lit("1970-01-01").cast("date"), days)
+    unit = checked_unit(unit)
     return (day if unit == "DAY" else F.trunc(day, unit)).cast("string")
 
 
+def checked_unit(unit: str) -> str:
+    """One of ``UNITS``, whatever its case; anything else raises ValueError."""
+    if unit.upper() not in UNITS:
+        raise ValueError(f"a period is one of {', '.join(UNITS)}, not {unit!r}")
+    return unit.upper()
+
+
+def keep_layout(spark: SparkSession, target: str, buckets: int, unit: str) -> None:
+    """Store a table's buckets and unit beside it, or raise ValueError if it has others."""
+    path = f"{target.rstrip('/')}_layout"
+    asked = (buckets, checked_unit(unit))
+    if Store(spark, path).exists(path):
+        held = tuple(spark.read.schema(LAYOUT_SCHEMA).parquet(path).first())
+        if held != asked:
+            raise ValueError(f"{target} has (buckets, unit) {held}, not {asked}")
+        return
+    row = spark.createDataFrame([asked], LAYOUT_SCHEMA).coalesce(1)
+    replace_folder(spark, path, lambda fresh: row.write.parquet(fresh))
+
+
 def place_changes(
     bronze: DataFrame, flow: ChangeFlow, buckets: int, unit: str = "MONTH"
 ) -> DataFrame:
     """Bronze with the two columns by which it must be partitioned.
 
-    ``unit`` is DAY, WEEK, MONTH, QUARTER or YEAR.
+    ``unit`` is one of ``UNITS``, in any case.
     """
     period = period_of(flow.sequence_by, bronze.schema[flow.sequence_by].dataType, unit)
     return add_bucket(bronze, flow.keys, buckets, BUCKET).withColumn(PERIOD, period)
@@ -83,7 +108,7 @@ def read_history(
     history = spark.read.schema(placed_schema(history_schema(bronze, flow))).parquet(path)
     if only_current:
         history = history.where(F.col(PERIOD) == OPEN)
-    return history.where(F.col(flow.keys[0]).isNotNull()).drop(*LAYOUT)
+    return history.where(col(flow.keys[0]).isNotNull()).drop(*LAYOUT)
 
 
 def apply_changes(
@@ -97,18 +122,23 @@ def apply_changes(
     quality: str | None = None,
     tie_columns: Sequence[str] = (),
     hot_rows: int | None = HOT_ROWS,
+    collapse_unchanged: bool = True,
 ) -> StreamingQuery:
     """Bring the SCD2 table at ``target`` up to date with the bronze table at ``bronze``.
 
     ``stream`` reads that same bronze table, which is the truth. Late changes, replays and batches
     that run a second time all end in the history that a single run would give. Readers may see some
     partitions old and some new while a run commits. The flow's sequence must be a date or a time;
-    ``buckets`` and ``unit`` are those of ``place_changes`` and stay the same for the table's life.
+    ``buckets`` and ``unit`` are those of ``place_changes`` and stay the same for the table's life:
+    other ones than the table was made with raise ValueError, and a batch whose rows lie elsewhere than
+    they say fails before it writes anything.
     """
+    unit = checked_unit(unit)
+    keep_layout(stream.sparkSession, target, buckets, unit)
     entering = f"coalesce(operation_type <> '{UPDATE_PREIMAGE}', true)"
     upserts = f"{entering} AND NOT coalesce({flow.apply_as_deletes or 'false'}, false)"
     # Rows without a key or a place in the sequence enter no history; they are counted.
-    usable = " AND ".join(f"{c} IS NOT NULL" for c in (*flow.keys, flow.sequence_by))
+    usable = " AND ".join(f"{quoted(c)} IS NOT NULL" for c in (*flow.keys, flow.sequence_by))
     placing = {"has_key_and_sequence": usable}
     schema = stream.schema
     moment = schema[flow.sequence_by].dataType
@@ -122,7 +152,7 @@ def apply_changes(
         spark = batch.sparkSession
         counted, seen = expect_all(batch, flow.expectations, only=upserts)
         counted, seen_keys = expect_all(counted, placing, only=entering)
-        cuts = _cuts(counted.where(f"{entering} AND {usable}"))
+        cuts = _cuts(counted.where(f"{entering} AND {usable}"), flow, buckets, unit)
         if cuts:
             log = spark.read.schema(schema).parquet(bronze).where(_since(cuts))
             history = spark.read.schema(placed_history).parquet(target).where(_since(cuts))
@@ -135,6 +165,7 @@ def apply_changes(
                 flow.apply_as_deletes,
                 [*flow.except_column_list, *LAYOUT],
                 tie_columns,
+                collapse_unchanged=collapse_unchanged,
                 hot_rows=hot_rows,
             )
             ends = F.coalesce(period_of(END, moment, unit), F.lit(OPEN))
@@ -148,9 +179,30 @@ def apply_changes(
     return for_each_batch(stream, apply, checkpoint)
 
 
-def _cuts(changes: DataFrame) -> dict[str, list[int]]:
-    """The period to go back to, and the buckets that go back to it: one small row per bucket."""
-    rows = changes.groupBy(BUCKET).agg(F.min(PERIOD).alias(PERIOD)).collect()
+def _cuts(
+    changes: DataFrame, flow: ChangeFlow, buckets: int, unit: str
+) -> dict[str, list[int]]:
+    """The period to go back to, and the buckets that go back to it: one small row per bucket.
+
+    Raises ValueError if a row has no period, or lies in another bucket or period than it should.
+    """
+    bucket, period = (free_name(n, changes) for n in ("own_bucket", "own_period"))
+    kind = changes.schema[flow.sequence_by].dataType
+    placed = add_bucket(changes, flow.keys, buckets, bucket).withColumn(
+        period, period_of(flow.sequence_by, kind, unit)
+    )
+    in_place = (F.col(BUCKET) == F.col(bucket)) & (F.col(PERIOD) == F.col(period))
+    rows = (
+        placed.groupBy(BUCKET)
+        .agg(
+            F.min(PERIOD).alias(PERIOD),
+            F.count_if(~F.coalesce(in_place, F.lit(False))).alias("misplaced"),
+        )
+        .collect()
+    )
+    misplaced = sum(row["misplaced"] for row in rows)
+    if misplaced:
+        raise ValueError(f"{misplaced} rows of bronze aren't placed by {buckets} buckets and {unit}")
     cuts = defaultdict(list)
     for row in rows:
         cuts[row[PERIOD]].append(row[BUCKET])
@@ -185,7 +237,7 @@ def _carried(
     for period, touched in cuts.items():
         before_cut = before_cut | (F.col(BUCKET).isin(touched) & (starts < period))
     change = (
-        history.where(before_cut & F.col(flow.keys[0]).isNotNull())
+        history.where(before_cut & col(flow.keys[0]).isNotNull())
         .withColumn(flow.sequence_by, F.col(START))
         .withColumn("operation_type", F.lit(INSERT))
         .drop(START, END, *LAYOUT)

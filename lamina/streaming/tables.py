@@ -10,6 +10,10 @@ from pyspark.sql.streaming import StreamingQuery
 from lamina.operators.quality import expect_all, observed_report
 
 
+# The folder, and so the column, by which ``stream_with_quality`` keeps batches apart.
+BATCH = "_batch"
+
+
 def stream_to_table(
     stream: DataFrame, path: str, checkpoint: str, partition_by: Sequence[str] = ()
 ) -> StreamingQuery:
@@ -40,7 +44,7 @@ def stream_with_quality(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         counted, seen = expect_all(batch, expectations)
-        counted.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        counted.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
         report = observed_report(batch.sparkSession, dataset, expectations, seen)
         keep_counts(report, dataset, quality, batch_id)
 

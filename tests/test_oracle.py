@@ -6,7 +6,8 @@ import os
 import duckdb
 import pytest
 
-import __spark_entry__ as entry
+from lamina.plans.catalogue import REGISTRY
+from lamina.plans.oracle import ORACLE
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 TABLES = (
@@ -36,14 +37,14 @@ def bag(names, rows):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(REGISTRY) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(REGISTRY))
 def test_same_as_sql(spark, duck, name):
-    df = entry.queries()[name](spark, SF_DIR)
+    df = REGISTRY[name](spark, SF_DIR)
     got = bag(df.columns, df.collect())
-    result = duck.execute(entry.oracle_sql()[name])
+    result = duck.execute(ORACLE[name])
     names = [c[0] for c in result.description]
     assert sorted(names) == sorted(df.columns)
     want = bag(names, result.fetchall())

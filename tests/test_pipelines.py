@@ -187,7 +187,14 @@ def test_accounts_loaded_twice_multiply(spark):
     assert len(want) == 4
     for hot_rows in (None, 1):
         assert rows(cust_tran_profile(accounts, customers, tx, hot_rows=hot_rows)) == want
-    assert rows(cust_tran_profile_sql(spark, accounts, customers, tx)) == want
+    histories = []
+    for table in (accounts, customers):
+        closed = table.where("acct_id = 'a'").withColumn("__END_AT", F.lit(1))
+        histories.append(table.withColumn("__END_AT", F.lit(None).cast("int")).unionByName(closed))
+    assert rows(cust_tran_profile_sql(spark, *histories, tx)) == want
+    stamped = cust_tran_profile_sql(spark, *histories, tx, stamp=True)
+    assert stamped.columns[-1] == "profile_created_at"
+    assert rows(stamped.drop("profile_created_at")) == want
 
 
 def test_loads_do_not_depend_on_partitions(spark):
@@ -222,7 +229,11 @@ def test_load_values(spark):
     assert customers.where("customer_id = '100000042'").first().email == "user42@demo.com"
 
 
-def test_too_long_a_dimension_is_refused(spark, monkeypatch):
-    monkeypatch.setattr(synth, "MAX_CHOICES", 10)
-    with pytest.raises(Exception, match="more than 10 values"):
-        synth.choose_from(spark.range(5), ticker_table(spark), "ticker", "t", 1).collect()
+def test_a_long_dimension(spark):
+    """Every row gets the value at its own place in order, however many values there are."""
+    values = spark.range(0, 200_000, 1, 7).select(F.format_string("v%06d", "id").alias("ticker"))
+    got = synth.choose_from(spark.range(3000), values.union(values), "ticker", "t", 1)
+    want = spark.range(3000).select(
+        "id", F.format_string("v%06d", synth._below("t", 1, 200_000)).alias("t")
+    )
+    assert rows(got) == rows(want)

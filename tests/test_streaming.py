@@ -10,7 +10,13 @@ from lamina.operators.append import append_silver
 from lamina.operators.bronze import enrich_changes
 from lamina.operators.scd2 import current, scd2_history
 from lamina.schemas import bronze as bronze_schema
-from lamina.sources.changelog import has_change_feed, read_change_stream, read_changes, write_commit
+from lamina.sources.changelog import (
+    has_change_feed,
+    read_change_stream,
+    read_changes,
+    write_commit,
+    write_commits,
+)
 from lamina.sources.tables import (
     append_table,
     read_append_stream,
@@ -207,16 +213,38 @@ def test_half_replaced_history(pipe, monkeypatch, spark):
     assert pipe.silver() == pipe.batch()
 
 
-def test_replayed_log_changes_nothing(pipe):
+def test_a_commit_cannot_be_written_twice(pipe):
     rng = random.Random(6)
     changes = some(rng, 40)
     pipe.commit(0, changes, DAYS[0])
     pipe.run()
-    want = pipe.silver()
+    want, bronze = pipe.silver(), pipe.spark.read.parquet(pipe.at("bronze")).count()
     feed = pipe.spark.createDataFrame(changes, COLUMNS + ", _change_type STRING")
-    write_commit(feed, pipe.at("log"), 0, DAYS[0])
+    with pytest.raises(FileExistsError):
+        write_commit(feed, pipe.at("log"), 0, DAYS[0])
+    stamped = feed.withColumn("_commit_timestamp", F.lit(DAYS[0]).cast("timestamp"))
+    both = stamped.crossJoin(pipe.spark.createDataFrame([(0,), (1,)], "_commit_version BIGINT"))
+    with pytest.raises(FileExistsError):
+        write_commits(both, pipe.at("log"))
     pipe.run()
     assert pipe.silver() == want
+    assert pipe.spark.read.parquet(pipe.at("bronze")).count() == bronze
+
+
+def test_commits_of_many_versions_follow_each_other(pipe):
+    rng = random.Random(7)
+    for first in (0, 2):
+        feeds = []
+        for version in (first, first + 1):
+            feed = pipe.spark.createDataFrame(some(rng, 10), COLUMNS + ", _change_type STRING")
+            feeds.append(
+                feed.withColumn("_commit_version", F.lit(version).cast("bigint")).withColumn(
+                    "_commit_timestamp", F.lit(DAYS[version]).cast("timestamp")
+                )
+            )
+        write_commits(feeds[0].union(feeds[1]), pipe.at("log"))
+        pipe.run()
+        assert pipe.silver() == pipe.batch()
 
 
 def test_counts_of_what_enters(pipe, spark):
