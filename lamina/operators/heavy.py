@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lamina.columns import col, free_name
@@ -44,11 +44,14 @@ def heavy_keys(df: DataFrame, keys: Sequence[str], hot_rows: int | None) -> Data
     )
     spark = df.sparkSession
     path = work_dir(spark, "hot_keys")
-    counted.where(F.col("hot_n") > hot_rows).write.mode("overwrite").parquet(path)
-    hot = spark.read.parquet(path)
-    found = hot.limit(BROADCAST_KEYS + 1).count()
+    written = Observation()
+    counted.where(F.col("hot_n") > hot_rows).observe(
+        written, F.count(F.lit(1)).alias("keys")
+    ).write.mode("overwrite").parquet(path)
+    found = written.get["keys"]
     if not found:
         return None
+    hot = spark.read.schema(counted.schema).parquet(path)
     return F.broadcast(hot) if found <= BROADCAST_KEYS else hot
 
 

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from lamina.columns import col, none_null
 from lamina.operators.heavy import HOT_ROWS, heavy_keys, parts
 from lamina.schemas import UPDATE_PREIMAGE
+from lamina.session import work_dir
 
 START, END = "__START_AT", "__END_AT"
 # Sampled sequence values per wanted chunk of a hot key, from which the cuts are chosen.
@@ -143,14 +144,18 @@ def _mark(winners: DataFrame, line, collapse: bool) -> DataFrame:
 def _cut_keys(
     log: DataFrame, hot: DataFrame, keys: list[str], collapse: bool, hot_rows: int
 ) -> DataFrame:
-    """Versions of hot keys. No task sees more than a stretch of one key."""
-    cuts = _cuts(log, hot, keys, hot_rows)
-    # Ties fall to a grouped maximum, so that many changes at one instant shrink before the shuffle.
+    """Versions of hot keys. No task sees more than a stretch of one key.
+
+    Their changes are stored once, since cuts, stretches and edges all read them. Ties fall to a grouped
+    maximum on the way, so that many changes at one instant shrink before the shuffle.
+    """
+    path = work_dir(log.sparkSession, "hot_changes")
+    log.join(hot.select(*_cols(keys)), keys).groupBy(*_cols(keys), "__seq").agg(
+        F.max("__change").alias("__change")
+    ).write.mode("overwrite").parquet(path)
+    held = log.sparkSession.read.schema(log.schema).parquet(path)
     winners = (
-        log.join(hot.select(*_cols(keys)), keys)
-        .groupBy(*_cols(keys), "__seq")
-        .agg(F.max("__change").alias("__change"))
-        .join(cuts, keys)
+        held.join(_cuts(held, hot, keys, hot_rows), keys)
         .withColumn("__chunk", _chunk_of(F.col("__cuts"), F.col("__seq")))
         .select(*_cols(keys), "__chunk", "__seq", _state())
     )

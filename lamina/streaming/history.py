@@ -35,7 +35,6 @@ OPEN = "open"
 LAYOUT = [BUCKET, PERIOD]
 UNITS = ("DAY", "WEEK", "MONTH", "QUARTER", "YEAR")
 LAYOUT_SCHEMA = T.StructType().add("buckets", "integer").add("unit", "string")
-CARRIED_BATCH = T.StructType().add("batch", "long")
 
 
 def period_of(moment: str, kind: T.DataType, unit: str) -> Column:
@@ -146,7 +145,6 @@ def apply_changes(
     # Numbered by the checkpoint's batches, so it lives and goes with the checkpoint.
     carry = f"{checkpoint}/carried"
     create_table(stream.sparkSession, target, placed_history, LAYOUT)
-    create_table(stream.sparkSession, f"{carry}/batch", CARRIED_BATCH)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -228,11 +226,11 @@ def _carried(
     """The versions that reach over the cut, as inserts at their start.
 
     They are read from the table that this batch goes on to replace. A batch that fails halfway and
-    runs again must see them as they were, so they are stored first, with the batch's number after
-    them; the next batch reuses the space.
+    runs again must see them as they were, so they are stored first, in a folder named after the batch
+    that appears when it is complete; those of batches before are removed.
     """
     spark = history.sparkSession
-    rows, done = f"{path}/rows", f"{path}/batch"
+    rows = f"{path}/{batch_id}"
     before_cut = F.lit(False)
     for period, touched in cuts.items():
         before_cut = before_cut | (F.col(BUCKET).isin(touched) & (starts < period))
@@ -242,12 +240,14 @@ def _carried(
         .withColumn("operation_type", F.lit(INSERT))
         .drop(START, END, *LAYOUT)
     )
-    stored = spark.read.schema(CARRIED_BATCH).parquet(done)
-    if stored.where(F.col("batch") == batch_id).isEmpty():
-        change.write.mode("overwrite").parquet(rows)
-        spark.createDataFrame([(batch_id,)], CARRIED_BATCH).coalesce(1).write.mode(
-            "overwrite"
-        ).parquet(done)
+    store = Store(spark, path)
+    if not store.exists(rows):
+        staged = f"{path}/staged"
+        change.write.mode("overwrite").parquet(staged)
+        store.move(staged, rows)
+        for name in store.children(path):
+            if name != str(batch_id):
+                store.remove(f"{path}/{name}")
     return spark.read.schema(change.schema).parquet(rows)
 
 
