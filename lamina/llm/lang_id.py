@@ -86,7 +86,7 @@ def fit(
     max_words + max_grams counts.
     """
     rows = labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text")).where(
-        F.col("lang").isNotNull() & F.col("text").isNotNull()
+        F.col("lang").isNotNull()
     )
     sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     langs = sorted(sizes)
@@ -97,7 +97,7 @@ def fit(
     drawn = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < share[F.col("lang")] * (1 << 30)
     spark = labelled.sparkSession
     folder = work_dir(spark, "lang_id")
-    rows.where(drawn).mapInArrow(_counts, "lang string, n int, gram string, times long").groupBy(
+    rows.where(F.col("text").isNotNull() & drawn).mapInArrow(_counts, "lang string, n int, gram string, times long").groupBy(
         "lang", "n", "gram"
     ).agg(F.sum("times").alias("times")).write.mode("overwrite").parquet(folder)
     counted = spark.read.parquet(folder)
