@@ -6,10 +6,9 @@ back into text order; the hash of that sequence is the text's bucket. The longer
 buckets of the shorter that fill up with texts which only share a passage.
 
 Texts of a bucket are paired with one of them, its leader, which is another one for each third of the
-tables: the pairs grow with the texts, not with their square. A pair is linked if aligning its labelled
-k-mers in order matches at least ``SIMILARITY`` of all k-mers that either has, |LCS| / |union|. The
-alignment keeps to the band outside which a pair cannot be that similar. Labelled k-mers are distinct
-within a text, so the longest common subsequence is the longest rising run of matched places.
+tables: the pairs grow with the texts, not with their square. A pair is linked if its edit similarity,
+1 - (word edits / words of the longer text), is at least ``SIMILARITY``. The alignment keeps to the band
+outside which a pair cannot be that similar.
 
 Groups are the connected texts. Texts that are equal are one text throughout, so copies are never paired.
 
@@ -21,7 +20,6 @@ last). Repeated rows give repeated rows. Empty tables give empty results; other
 from __future__ import annotations
 
 import itertools
-from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +32,8 @@ from lamina.session import work_dir
 
 WORDS = 5
 SIMILARITY = 0.8
-TABLES = 16
-DEPTHS = (3, 6)
+TABLES = 20
+DEPTHS = (2, 5)
 CACHE = 400_000
 #: Three orders of ids: which of a bucket's texts leads it.
 ORDERS = (0, 0x2AAAAAAAAAAAAAAA, 0x5555555555555555)
@@ -103,48 +101,80 @@ def sketch(found: np.ndarray) -> np.ndarray:
     return np.concatenate(keys).view(np.int64)
 
 
+def edit_distance(a: list, b: list, most: int) -> int:
+    """Words to insert, drop or replace to turn ``a`` into ``b``, or ``most`` + 1 if more are needed.
+
+    Columns of the alignment table as bit vectors, cut to the band of ``most`` cells on either side of
+    the diagonal, which no cheaper alignment leaves. Bit t of column j is row j + t - most; set bits of
+    ``up`` and ``down`` are steps of +1 and -1 from the row above. The band's last row is followed along
+    its diagonal, and along the table's last row once it is there.
+    """
+    if len(a) < len(b):
+        a, b = b, a
+    start, end, other = 0, len(a), len(b)
+    while start < other and a[start] == b[start]:
+        start += 1
+    while other > start and a[end - 1] == b[other - 1]:
+        end, other = end - 1, other - 1
+    a, b = a[start:end], b[start:other]
+    if len(a) - len(b) > most:
+        return most + 1
+    if not b:
+        return len(a)
+    band = min(most, len(a))
+    if not band:
+        return 1
+    places: dict = {}
+    for at, word in enumerate(a):
+        places[word] = places.get(word, 0) | 1 << at
+    width = 2 * band + 1
+    full, top = (1 << width) - 1, 1 << (width - 1)
+    up, down, cost = full >> band << band, 0, band
+    row = top >> 1
+    for j, word in enumerate(b):
+        same = places.get(word, 0)
+        same = (same >> (j - band) if j >= band else same << (band - j)) & full
+        flat = ((((same & up) + up) ^ up) | same | down) & full
+        right, left = down | ~(flat | up) & full, flat & up
+        if j < len(a) - band:
+            cost += not flat & top
+        else:
+            cost += bool(right & row) - bool(left & row)
+            row >>= 1
+        flat >>= 1
+        up, down = left | ~(flat | right) & full, flat & right
+    return min(cost, most + 1)
+
+
 def similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float:
-    """Matched over all labelled k-mers of both; 0 if it cannot reach ``least``.
+    """1 - (edit distance of the words / words of the longer text); 0 if that is less than ``least``.
 
-    With M matches of n and m k-mers, M / (n + m - M) >= s needs M >= s (n + m) / (1 + s), so at most
-    (n + m) - 2 M k-mers stand unmatched, and no match is further off the diagonal than that.
+    What the texts' bags of words differ by is a lower bound, and saves most alignments.
     """
-    n, m = len(a), len(b)
-    if not n or not m:
+    longer = max(len(a), len(b))
+    if not longer:
         return 0.0
-    need = least * (n + m) / (1 + least) - 1e-9
-    if min(n, m) < need:
+    most = int((1 - least) * longer + 1e-9)
+    if longer - min(len(a), len(b)) > most:
         return 0.0
-    band = n + m - 2 * need
-    order = np.argsort(b)
-    at = np.searchsorted(b[order], a)
-    at[at == m] = 0
-    partner = order[at]
-    here = np.flatnonzero((b[partner] == a) & (np.abs(partner - np.arange(n)) <= band))
-    if len(here) < need:
+    both = np.concatenate([a, b])
+    _, at = np.unique(both, return_inverse=True)
+    times = np.bincount(at[: len(a)], minlength=len(both)) - np.bincount(at[len(a) :], minlength=len(both))
+    if max(times[times > 0].sum(), -times[times < 0].sum()) > most:
         return 0.0
-    places = partner[here]
-    if (places[1:] > places[:-1]).all():
-        matched = len(places)
-    else:
-        tails: list[int] = []
-        for place in places.tolist():
-            i = bisect_left(tails, place)
-            tails[i : i + 1] = [place]
-        matched = len(tails)
-    found = matched / (n + m - matched)
-    return found if found >= least - 1e-12 else 0.0
+    distance = edit_distance(a.tolist(), b.tolist(), most)
+    return 1 - distance / longer if distance <= most else 0.0
 
 
 def splitter():
-    """A function from texts to their labelled k-mers."""
+    """A function from texts to the hashes of their words."""
     rows = Rows(lambda w: xxhash.xxh64_intdigest(w), CACHE, np.uint64)
 
     def of(texts: list[str]) -> list[np.ndarray]:
         rows.trim()
         ids = [rows.numbers(t.encode().lower().split()) for t in texts]
         hashes = rows.table()
-        return [kmers(hashes[i]) for i in ids]
+        return [hashes[i] for i in ids]
 
     return of
 
@@ -156,7 +186,7 @@ def sketches(texts: DataFrame) -> DataFrame:
         split = splitter()
 
         def work(part: pa.RecordBatch) -> pa.RecordBatch:
-            keys = [sketch(k) for k in split(part.column("text").to_pylist())]
+            keys = [sketch(kmers(w)) for w in split(part.column("text").to_pylist())]
             return pa.RecordBatch.from_arrays(
                 [*part.columns, pa.array(keys, pa.list_(pa.int64()))], names=[*part.schema.names, "keys"]
             )
