@@ -118,7 +118,9 @@ def hits(
         F.xxhash64(text).alias("doc_text"),
         alnum_words(F.col(text)).alias("words"),
     )
-    first = F.array(F.struct(F.lit(-1).alias("at"), F.lit(0).alias("k"), F.lit(0).cast("long").alias("h")))
+    first = F.array(
+        F.struct(F.lit(-1).alias("at"), F.lit(0).alias("k"), F.lit(0).cast("long").alias("h"))
+    )
     runs = worded.select(
         "doc_id",
         "doc_text",
@@ -145,19 +147,32 @@ def hits(
     token = F.struct("times", "h", "at")
     last = F.col("w") - F.col("k")
     windows = (
-        timed.withColumn("start", F.explode(F.sequence(F.greatest(F.col("at") - last, F.lit(0)), F.col("at"))))
+        timed.withColumn(
+            "start", F.explode(F.sequence(F.greatest(F.col("at") - last, F.lit(0)), F.col("at")))
+        )
         .where(F.col("start") + F.col("w") <= F.col("n"))
         .groupBy("item_id", "item_text", "w", "start")
         .agg(F.min(token).alias("token"))
     )
     prefix = windows.groupBy("item_id", "item_text", "w", "token").agg(
         F.min("start").alias("low"), F.max("start").alias("high")
-    ).select("item_id", "item_text", "w", "low", "high", F.col("token.h").alias("h"), F.col("token.at").alias("item_at"))
+    ).select(
+        "item_id",
+        "item_text",
+        "w",
+        "low",
+        "high",
+        F.col("token.h").alias("h"),
+        F.col("token.at").alias("item_at"),
+    )
     offset = F.col("at") - F.col("item_at")
     candidates = (
         places.join(side(prefix), "h")
         .withColumn("offset", offset)
-        .where((F.col("offset") + F.col("high") >= 0) & (F.col("offset") + F.col("low") + F.col("w") <= F.col("n_words")))
+        .where(
+            (F.col("offset") + F.col("high") >= 0)
+            & (F.col("offset") + F.col("low") + F.col("w") <= F.col("n_words"))
+        )
         .select("doc_id", "doc_text", "item_id", "item_text", "offset")
         .distinct()
     )
@@ -172,7 +187,9 @@ def hits(
     )
     ahead = F.col("w") - F.col("k")
     whole = F.filter("ats", lambda x, i: F.get(F.col("ats"), i + ahead) == x + ahead)
-    windows_found = held.select("doc_id", "doc_text", "item_id", "w", "offset", F.explode(whole).alias("at")).select(
+    windows_found = held.select(
+        "doc_id", "doc_text", "item_id", "w", "offset", F.explode(whole).alias("at")
+    ).select(
         "doc_id",
         "doc_text",
         "item_id",
@@ -192,7 +209,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, **names) -> DataFrame:
         F.sort_array(F.collect_set(F.struct("start", "end"))),
         F.struct(F.lit(0).alias("words"), F.lit(0).alias("reach")),
         lambda a, x: F.struct(
-            (a["words"] + F.greatest(x["end"] - F.greatest(x["start"], a["reach"]), F.lit(0))).alias("words"),
+            (
+                a["words"] + F.greatest(x["end"] - F.greatest(x["start"], a["reach"]), F.lit(0))
+            ).alias("words"),
             F.greatest(a["reach"], x["end"]).alias("reach"),
         ),
         lambda a: a["words"].cast("long"),

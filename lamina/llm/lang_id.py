@@ -49,8 +49,12 @@ def _counts(batches):
     def flush():
         keys = list(found)
         out = pa.RecordBatch.from_arrays(
-            [pa.array([k[i] for k in keys], t) for i, t in enumerate((pa.string(), pa.int32(), pa.string()))]
-            + [pa.array(list(found.values()), pa.int64())],
+            [
+                pa.array([k[0] for k in keys], pa.string()),
+                pa.array([k[1] for k in keys], pa.int32()),
+                pa.array([k[2] for k in keys], pa.string()),
+                pa.array(list(found.values()), pa.int64()),
+            ],
             names=["lang", "n", "gram", "times"],
         )
         found.clear()
@@ -97,15 +101,16 @@ def fit(
     drawn = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < share[F.col("lang")] * (1 << 30)
     spark = labelled.sparkSession
     folder = work_dir(spark, "lang_id")
-    rows.where(F.col("text").isNotNull() & drawn).mapInArrow(_counts, "lang string, n int, gram string, times long").groupBy(
-        "lang", "n", "gram"
-    ).agg(F.sum("times").alias("times")).write.mode("overwrite").parquet(folder)
+    schema = "lang string, n int, gram string, times long"
+    parts = rows.where(F.col("text").isNotNull() & drawn).mapInArrow(_counts, schema)
+    parts.groupBy("lang", "n", "gram").agg(F.sum("times").alias("times")).write.parquet(folder)
     counted = spark.read.parquet(folder)
     order = (F.desc("times"), "gram", "lang")
     of = {k: i for i, k in enumerate(langs)}
     for part, most in (("words", max_words), ("grams", max_grams)):
         kind = counted.where(F.col("n") == 0 if part == "words" else F.col("n") > 0)
-        totals = {(r["lang"], r["n"]): r["times"] for r in kind.groupBy("lang", "n").agg(F.sum("times").alias("times")).collect()}
+        summed = kind.groupBy("lang", "n").agg(F.sum("times").alias("times"))
+        totals = {(r["lang"], r["n"]): r["times"] for r in summed.collect()}
         table: dict[str, int] = {}
         cells = []
         for r in kind.orderBy(*order).limit(most).toLocalIterator():

@@ -97,7 +97,10 @@ def source_targets(
         "free", F.col("most") / F.col("weight") > F.col("level")
     )
     last = met.withColumn(
-        "level", F.min(F.when(F.col("free"), F.struct(F.col("most") / F.col("weight"), "at", "level"))).over(every)["level"]
+        "level",
+        F.min(
+            F.when(F.col("free"), F.struct(F.col("most") / F.col("weight"), "at", "level"))
+        ).over(every)["level"],
     )
     target = F.when(F.col("free"), F.least("most", F.col("level") * F.col("weight")))
     return last.select("source", "source_size", target.otherwise(F.col("most")).alias("target"))

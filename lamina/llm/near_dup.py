@@ -159,7 +159,8 @@ def similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float
         return 0.0
     both = np.concatenate([a, b])
     _, at = np.unique(both, return_inverse=True)
-    times = np.bincount(at[: len(a)], minlength=len(both)) - np.bincount(at[len(a) :], minlength=len(both))
+    left, right = at[: len(a)], at[len(a) :]
+    times = np.bincount(left, minlength=len(both)) - np.bincount(right, minlength=len(both))
     if max(times[times > 0].sum(), -times[times < 0].sum()) > most:
         return 0.0
     distance = edit_distance(a.tolist(), b.tolist(), most)
@@ -188,7 +189,8 @@ def sketches(texts: DataFrame) -> DataFrame:
         def work(part: pa.RecordBatch) -> pa.RecordBatch:
             keys = [sketch(kmers(w)) for w in split(part.column("text").to_pylist())]
             return pa.RecordBatch.from_arrays(
-                [*part.columns, pa.array(keys, pa.list_(pa.int64()))], names=[*part.schema.names, "keys"]
+                [*part.columns, pa.array(keys, pa.list_(pa.int64()))],
+                names=[*part.schema.names, "keys"],
             )
 
         return work
@@ -236,7 +238,11 @@ def verify(pairs: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> Dat
             found = np.array([similarity(x, right[r], least) for x, r in zip(left, runs)])
             held = np.flatnonzero(found > 0)
             return pa.RecordBatch.from_arrays(
-                [part.column("a").take(held), part.column("b").take(held), pa.array(found[held], pa.float64())],
+                [
+                    part.column("a").take(held),
+                    part.column("b").take(held),
+                    pa.array(found[held], pa.float64()),
+                ],
                 names=["a", "b", "similarity"],
             )
 
@@ -272,7 +278,9 @@ def components(links: DataFrame, folder: str) -> DataFrame:
         )
         above = roots.select(F.col("id").alias("next"), F.col("root").alias("far"))
         lower.join(above, "next").select(
-            "id", F.least("next", "far").alias("root"), (F.col("root") != F.least("next", "far")).alias("moved")
+            "id",
+            F.least("next", "far").alias("root"),
+            (F.col("root") != F.least("next", "far")).alias("moved"),
         ).write.parquet(f"{folder}/roots{turn}")
         step = spark.read.parquet(f"{folder}/roots{turn}")
         roots = step.select("id", "root")

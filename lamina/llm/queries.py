@@ -81,8 +81,10 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(-7).cast(turns.schema["conv_id"].dataType).alias("conv_id"),
         F.explode(
             F.array(
-                F.struct(F.lit(0).cast(kind).alias("turn"), F.lit("user").alias("role"), said.alias("text")),
-                F.struct(F.lit(1).cast(kind).alias("turn"), F.lit("assistant").alias("role"), said.alias("text")),
+                *[
+                    F.struct(F.lit(i).cast(kind).alias("turn"), F.lit(r).alias("role"), said.alias("text"))
+                    for i, r in enumerate(("user", "assistant"))
+                ]
             )
         ).alias("row"),
     ).select("conv_id", "row.*")

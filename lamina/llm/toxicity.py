@@ -136,7 +136,7 @@ def fit(
         held = [
             (np.asarray(f, np.int64), y)
             for f, y in zip(
-                (x.values.to_numpy(zero_copy_only=False) if x.is_valid else [] for x in ordered.column("found")),
+                (x.values.to_numpy(zero_copy_only=False) for x in ordered.column("found")),
                 ordered.column("label").to_pylist(),
             )
         ]
