@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -27,13 +30,15 @@ def local_session(cores: str = "*", app: str = "lamina", **conf: str) -> SparkSe
 def work_dir(spark: SparkSession, name: str) -> str:
     """A new folder for one run's tables and checkpoints, under ``spark.checkpoint.dir``.
 
-    The machine's own temporary folder serves only a local master: executors of a cluster could
-    not read it, and it is gone with the machine.
+    The machine's own temporary folder serves only a local master, for as long as the process runs:
+    executors of a cluster could not read it, and it is gone with the machine.
     """
     run = f"{name}-{uuid.uuid4().hex}"
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return f"{shared.rstrip('/')}/{run}"
-    if not spark.conf.get("spark.master", "local").startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    return tempfile.mkdtemp(prefix=f"{run}-")
+    folder = tempfile.mkdtemp(prefix=f"{run}-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder

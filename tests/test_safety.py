@@ -21,6 +21,7 @@ from lamina.plans import catalogue, shapes
 from lamina.plans.gold import ticker_dist_geo
 from lamina.plans.loads import Sizes, initial_load, ticker_table
 from lamina.plans.refresh import Folders, refresh_append, refresh_cdc
+from lamina.session import work_dir
 from lamina.sources.tables import (
     SourceTable,
     read_append_stream,
@@ -237,6 +238,26 @@ def test_pipelines_register_their_tables(spark, tmp_path):
     refresh_append(spark, replace(folders, run="append"), hot_rows=None)
 
 
+class Elsewhere:
+    """A session on another master, without a shared folder."""
+
+    def __init__(self, master):
+        self.conf = {}
+        self.sparkContext = type("Context", (), {"master": master})
+
+
+@pytest.mark.parametrize("master", ["yarn", "spark://host:7077", "local-cluster[2,1,1024]", ""])
+def test_a_cluster_needs_a_shared_folder(master):
+    with pytest.raises(RuntimeError):
+        work_dir(Elsewhere(master), "x")
+
+
+def test_the_shared_folder_is_used():
+    session = Elsewhere("yarn")
+    session.conf["spark.checkpoint.dir"] = "s3a://bucket/shared/"
+    assert work_dir(session, "x").startswith("s3a://bucket/shared/x-")
+
+
 # Plans
 
 
