@@ -24,7 +24,7 @@ import itertools
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lamina.llm.arrow import Rows, map_slices
@@ -255,36 +255,58 @@ def verify(pairs: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> Dat
     )
 
 
+def stored(df: DataFrame, path: str, **counts: Column) -> tuple[DataFrame, dict[str, int]]:
+    """``df`` written to ``path`` and read again, with ``counts`` over its rows taken on the way."""
+    seen = Observation()
+    kept = df.observe(seen, *[c.alias(n) for n, c in counts.items()])
+    kept.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), seen.get
+
+
 def components(links: DataFrame, folder: str) -> DataFrame:
-    """(id, root) for every id in ``links`` (a, b): its component's least id.
+    """(id, root) for every id in ``links`` (a, b): a member of its component, the same for all of it.
 
-    Each round gives every id the least root among its neighbours and then its root's root, and is
-    written to ``folder``; rounds end when none changes anything.
+    In each round every id points to its least neighbour if that is less than itself. Pointers are
+    followed, doubling their reach, until all end at an id that points nowhere; then each such tree is
+    drawn together into its end, and only the links between different trees go on to the next round.
+    Trees have two ids at least, so the rounds are few and soon small. All tables go to ``folder``.
     """
-    spark = links.sparkSession
-    both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    both.write.parquet(f"{folder}/edges")
-    edges = spark.read.parquet(f"{folder}/edges")
-    edges.groupBy(F.col("a").alias("id")).agg(
-        F.least(F.col("a"), F.min("b")).alias("root")
-    ).write.parquet(f"{folder}/roots0")
-    roots = spark.read.parquet(f"{folder}/roots0")
-    for turn in itertools.count(1):
-        near = edges.join(roots.select(F.col("id").alias("b"), "root"), "b").groupBy("a").agg(
-            F.min("root").alias("near")
+    edges, roots = links.select("a", "b"), None
+    for turn in itertools.count():
+        ends = F.explode(
+            F.array(
+                F.struct(F.col("a").alias("id"), F.col("b").alias("other")),
+                F.struct(F.col("b").alias("id"), F.col("a").alias("other")),
+            )
         )
-        lower = roots.join(near, F.col("id") == F.col("a")).select(
-            "id", F.least("root", "near").alias("next"), "root"
+        pointers = (
+            edges.select(ends.alias("end")).groupBy("end.id").agg(F.min("end.other").alias("near"))
+        )
+        tree = pointers.select("id", F.least("id", "near").alias("root"))
+        tree, _ = stored(tree, f"{folder}/pointers{turn}", n=F.count(F.lit(1)))
+        for step in itertools.count():
+            above = tree.select(F.col("id").alias("root"), F.col("root").alias("far"))
+            further = tree.join(above, "root").select(
+                "id", F.col("far").alias("root"), F.col("root").alias("last")
+            )
+            moved = F.count_if(F.col("root") != F.col("last"))
+            tree, seen = stored(further, f"{folder}/pointers{turn}_{step}", moved=moved)
+            tree = tree.select("id", "root")
+            if not seen["moved"]:
+                break
+        if roots is None:
+            roots = tree
+        else:
+            higher = tree.select(F.col("id").alias("root"), F.col("root").alias("higher"))
+            joined = roots.join(higher, "root", "left")
+            roots = joined.select("id", F.coalesce("higher", "root").alias("root"))
+        one = edges.join(tree.select(F.col("id").alias("a"), F.col("root").alias("root_a")), "a")
+        both = one.join(tree.select(F.col("id").alias("b"), F.col("root").alias("root_b")), "b")
+        between = both.where("root_a <> root_b").select(
+            F.greatest("root_a", "root_b").alias("a"), F.least("root_a", "root_b").alias("b")
         )
-        above = roots.select(F.col("id").alias("next"), F.col("root").alias("far"))
-        lower.join(above, "next").select(
-            "id",
-            F.least("next", "far").alias("root"),
-            (F.col("root") != F.least("next", "far")).alias("moved"),
-        ).write.parquet(f"{folder}/roots{turn}")
-        step = spark.read.parquet(f"{folder}/roots{turn}")
-        roots = step.select("id", "root")
-        if step.where("moved").isEmpty():
+        edges, seen = stored(between.distinct(), f"{folder}/edges{turn}", n=F.count(F.lit(1)))
+        if not seen["n"]:
             return roots
 
 

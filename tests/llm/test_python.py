@@ -355,10 +355,18 @@ def test_groups_against_all_pairs(spark):
     assert near_dup.groups(frame(spark, rows[:1], "doc_id long, text string").limit(0)).count() == 0
 
 
-def test_components_of_a_chain(spark, tmp_path):
-    links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (101, 100)], "a long, b long")
+def test_components(spark, tmp_path):
+    """A chain, one of mixed order, a star and a pair; and no links at all."""
+    draw = random.Random(5)
+    mixed = draw.sample(range(200, 300), 60)
+    pairs = [(i, i + 1) for i in range(40)] + list(zip(mixed, mixed[1:]))
+    pairs += [(400, i) for i in range(401, 440)] + [(500, 501), (501, 500)]
+    links = spark.createDataFrame(pairs, "a long, b long")
     got = {r["id"]: r["root"] for r in near_dup.components(links, str(tmp_path / "c")).collect()}
-    assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100}
+    parts = [set(range(41)), set(mixed), set(range(400, 440)), {500, 501}]
+    assert set(got) == set().union(*parts)
+    assert [len({got[i] for i in p}) for p in parts] == [1] * 4 and len(set(got.values())) == 4
+    assert near_dup.components(links.limit(0), str(tmp_path / "none")).count() == 0
 
 
 # Toxicity
