@@ -5,10 +5,15 @@ ones stand before it. For each of ``TABLES`` hash functions the ``DEPTHS`` least
 back into text order; the hash of that sequence is the text's bucket. The longer sequence splits those
 buckets of the shorter that fill up with texts which only share a passage.
 
-Texts of a bucket are paired with one of them, its leader, which is another one for each third of the
-tables: the pairs grow with the texts, not with their square. A pair is linked if its edit similarity,
-1 - (word edits / words of the longer text), is at least ``SIMILARITY``. The alignment keeps to the band
-outside which a pair cannot be that similar.
+A pair is linked if its edit similarity, 1 - (word edits / words of the longer text), is at least
+``SIMILARITY``. The alignment keeps to the band outside which a pair cannot be that similar.
+
+First the texts of a bucket are paired with one of them, its leader, which is another one for each third
+of the tables. Buckets whose texts are then still in different groups are gone through in whole: any two
+of their texts from different groups are compared, unless their lengths or their words rule a link out.
+A link leaves at most a fifth of the longer text's words unmatched, so two linked texts share one of the
+rarest words of each, a fifth and one more: only texts that share such a word in a bucket are paired. A
+passage that many documents hold is in none of their rarest words, as long as they have others enough.
 
 Groups are the connected texts. Texts that are equal are one text throughout, so copies are never paired.
 
@@ -27,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from lamina.llm.arrow import Rows, map_slices
+from lamina.llm.arrow import Rows, map_slices, slices
 from lamina.session import work_dir
 
 WORDS = 5
@@ -37,6 +42,8 @@ DEPTHS = (2, 5)
 CACHE = 400_000
 #: Three orders of ids: which of a bucket's texts leads it.
 ORDERS = (0, 0x2AAAAAAAAAAAAAAA, 0x5555555555555555)
+#: Words are ordered by the counts of so many classes of words.
+CLASSES = 1 << 18
 #: Hash matrix cells that are held at once.
 CELLS = 2_000_000
 
@@ -52,11 +59,11 @@ def mix(x: np.ndarray) -> np.ndarray:
 SEEDS = mix(np.arange(1, TABLES + 1, dtype=np.uint64) * ODD)
 
 
-def kmers(words: np.ndarray) -> np.ndarray:
+def kmers(words: np.ndarray, width: int = WORDS) -> np.ndarray:
     """The labelled k-mers of a text's word hashes, in text order; all are distinct."""
     if not len(words):
         return words
-    width = min(WORDS, len(words))
+    width = min(width, len(words))
     count = len(words) - width + 1
     runs = np.full(count, width, np.uint64)
     for i in range(width):
@@ -146,6 +153,11 @@ def edit_distance(a: list, b: list, most: int) -> int:
     return min(cost, most + 1)
 
 
+def unmatched(longer: int, least: float) -> int:
+    """How many words of the longer text a link may leave without a match."""
+    return int((1 - least) * longer + 1e-9)
+
+
 def similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float:
     """1 - (edit distance of the words / words of the longer text); 0 if that is less than ``least``.
 
@@ -154,7 +166,7 @@ def similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float
     longer = max(len(a), len(b))
     if not longer:
         return 0.0
-    most = int((1 - least) * longer + 1e-9)
+    most = unmatched(longer, least)
     if longer - min(len(a), len(b)) > most:
         return 0.0
     both = np.concatenate([a, b])
@@ -222,6 +234,102 @@ def candidates(sketched: DataFrame) -> DataFrame:
     ).distinct()
 
 
+def rarity(texts: DataFrame) -> np.ndarray:
+    """How often the words of each class of hashes occur in ``texts`` (text)."""
+
+    def counts(batches):
+        split, total = splitter(), np.zeros(CLASSES, np.int64)
+        for batch in batches:
+            for part in slices(batch, "text"):
+                for words in split(part.column("text").to_pylist()):
+                    at = (kmers(words, 1) % np.uint64(CLASSES)).astype(np.int64)
+                    total += np.bincount(at, minlength=CLASSES)
+        held = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(total[held])], names=["at", "n"])
+
+    counted = texts.select("text").mapInArrow(counts, "at long, n long")
+    found = counted.groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    times = np.zeros(CLASSES, np.int64)
+    times[found.column("at").to_numpy()] = found.column("n").to_numpy()
+    return times
+
+
+def rarest(words: np.ndarray, times: np.ndarray, least: float) -> np.ndarray:
+    """Labelled words of which a text shares one at least with each text that it is linked to.
+
+    They are first in an order that is the same for all texts, and one more than a link may leave out.
+    """
+    found = kmers(words, 1)
+    order = np.lexsort((found, times[(found % np.uint64(CLASSES)).astype(np.int64)]))
+    return found[order[: unmatched(len(found), least) + 1]].view(np.int64)
+
+
+def rest(texts: DataFrame, roots: DataFrame, known: DataFrame, least: float, folder: str) -> DataFrame:
+    """(a, b): the pairs of texts that share a bucket, are in different groups and may still be linked.
+
+    ``texts`` has (id, text, keys), ``roots`` (id, root) those that are linked to any, and ``known`` the
+    pairs that were compared. In each cell, a bucket's texts that share one of their rarest words, those
+    out of the largest group are paired with all others, so a large group isn't paired with itself.
+    """
+    spark = texts.sparkSession
+    # A bucket of the longer sequence is part of one of the shorter.
+    keys = F.explode(F.array_distinct(F.slice("keys", 1, TABLES))).alias("key")
+    of_root = F.coalesce("root", "id").alias("root")
+    rows = texts.select("id", keys).join(roots, "id", "left").select("key", "id", of_root)
+    mixed = rows.groupBy("key").agg(
+        F.count(F.lit(1)).alias("n"), F.min("root").alias("low"), F.max("root").alias("high")
+    ).where("n > 2 and low < high")
+    open_rows, seen = stored(
+        rows.join(mixed.select("key"), "key"), f"{folder}/open", n=F.count(F.lit(1))
+    )
+    if not seen["n"]:
+        return known.limit(0)
+    own = texts.select("id", "text").join(open_rows.select("id").distinct(), "id", "left_semi")
+    held = spark.sparkContext.broadcast(rarity(own))
+
+    def make():
+        split = splitter()
+
+        def work(part: pa.RecordBatch) -> pa.RecordBatch:
+            words = split(part.column("text").to_pylist())
+            first = [rarest(w, held.value, least) for w in words]
+            return pa.RecordBatch.from_arrays(
+                [
+                    part.column("id"),
+                    pa.array([len(w) for w in words], pa.int64()),
+                    pa.array(first, pa.list_(pa.int64())),
+                ],
+                names=["id", "words", "first"],
+            )
+
+        return work
+
+    firsts = map_slices(own, make, "id long, words long, first array<long>")
+    cells = open_rows.join(firsts, "id").select(
+        "id", "root", "words", F.explode("first").alias("word"), "key"
+    ).select("id", "root", "words", F.xxhash64("key", "word").alias("cell"))
+    cells, _ = stored(cells, f"{folder}/cells", n=F.count(F.lit(1)))
+    largest = (
+        cells.groupBy("cell", "root")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("cell")
+        .agg(F.max(F.struct("n", "root"))["root"].alias("largest"), F.count(F.lit(1)).alias("roots"))
+        .where("roots > 1")
+        .select("cell", "largest")
+    )
+    sides, _ = stored(cells.join(largest, "cell"), f"{folder}/sides", n=F.count(F.lit(1)))
+    x, y = sides.where("root <> largest").alias("x"), sides.alias("y")
+    longer = F.greatest("x.words", "y.words")
+    pairs = x.join(
+        y,
+        (F.col("x.cell") == F.col("y.cell"))
+        & (F.col("x.root") != F.col("y.root"))
+        & ((F.col("y.root") == F.col("y.largest")) | (F.col("x.id") < F.col("y.id")))
+        & (longer - F.least("x.words", "y.words") <= longer * (1 - least) + 1e-9),
+    ).select(F.greatest("x.id", "y.id").alias("a"), F.least("x.id", "y.id").alias("b"))
+    return pairs.distinct().join(known, ["a", "b"], "left_anti")
+
+
 def verify(pairs: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """(a, b, similarity) of the pairs that align; ``texts`` has (id, text)."""
 
@@ -313,7 +421,11 @@ def components(links: DataFrame, folder: str) -> DataFrame:
 def groups(
     docs: DataFrame, key: str = "doc_id", text: str = "text", least: float = SIMILARITY
 ) -> DataFrame:
-    """(doc_id, class_id, n_links): every row's group, and how many other texts its text is linked to."""
+    """(doc_id, class_id, n_links): every row's group, and in how many verified pairs its text is.
+
+    Texts that other links have already brought into one group are not compared, so ``n_links`` counts
+    the links that made the groups and not all similar texts.
+    """
     spark = docs.sparkSession
     folder = work_dir(spark, "near_dup")
     rows = docs.select(
@@ -329,8 +441,16 @@ def groups(
     candidates(texts.select("id", "keys")).write.parquet(f"{folder}/pairs")
     pairs = spark.read.parquet(f"{folder}/pairs")
     verify(pairs, texts.select("id", "text"), least).write.parquet(f"{folder}/links")
-    links = spark.read.parquet(f"{folder}/links")
-    roots = components(links, f"{folder}/components")
+    led = spark.read.parquet(f"{folder}/links")
+    roots = components(led, f"{folder}/led")
+    more = rest(texts, roots, pairs, least, folder)
+    more, seen = stored(more, f"{folder}/more_pairs", n=F.count(F.lit(1)))
+    links = led
+    if seen["n"]:
+        found = verify(more, texts.select("id", "text"), least)
+        found, _ = stored(found, f"{folder}/more_links", n=F.count(F.lit(1)))
+        links = led.unionByName(found)
+        roots = components(links, f"{folder}/components")
 
     ends = links.select(F.explode(F.array("a", "b")).alias("id"))
     degree = ends.groupBy("id").agg(F.count(F.lit(1)).alias("n_links"))

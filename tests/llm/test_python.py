@@ -355,6 +355,19 @@ def test_groups_against_all_pairs(spark):
     assert near_dup.groups(frame(spark, rows[:1], "doc_id long, text string").limit(0)).count() == 0
 
 
+def test_copies_in_a_crowded_bucket(spark):
+    """All shared shingles lie in a passage that many lower ids, unrelated otherwise, hold too."""
+    passage = [f"p{i}" for i in range(60)]
+    rows = [(i, " ".join([*passage, *[f"o{i}_{j}" for j in range(40)]])) for i in range(60)]
+    own = [f"w{j}" for j in range(40)]
+    other = [f"x{j}" if j % 5 == 0 else w for j, w in enumerate(own)]
+    rows += [(100 + i, " ".join([*passage, *tail])) for i, tail in enumerate((own, other))]
+    assert aligned(rows[-1][1], rows[-2][1]) == pytest.approx(0.92)
+    got = near_dup.groups(frame(spark, rows, "doc_id long, text string").repartition(1)).collect()
+    want = {i: i for i in range(60)} | {100: 100, 101: 100}
+    assert {r["doc_id"]: r["class_id"] for r in got} == want
+
+
 def test_components(spark, tmp_path):
     """A chain, one of mixed order, a star and a pair; and no links at all."""
     draw = random.Random(5)
