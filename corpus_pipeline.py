@@ -37,8 +37,9 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Drops documents of which a twentieth or more are benchmark words."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
     found = decontaminate.contamination(docs.select("doc_id", "text"), benchmark)
-    gone = found.where("contaminated").select("doc_id").distinct()
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["doc_id"]), "left_anti")
+    gone = found.where("contaminated").select("doc_id", "doc_text").distinct()
+    same = docs["doc_id"].eqNullSafe(gone["doc_id"]) & (F.xxhash64(docs["text"]) == gone["doc_text"])
+    return docs.join(gone, same, "left_anti")
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -202,7 +202,7 @@ def hits(
 def contamination(docs: DataFrame, benchmark: DataFrame, **names) -> DataFrame:
     """A row per document: n_words, n_hit, n_items, items, contaminated (a twentieth of the words hit).
 
-    A document's hit words are the union of its windows, walked in order of their starts.
+    ``doc_text``, a hash of the text, tells texts under one id apart. A document's hit words are the union of its windows, walked in order of their starts.
     """
     lengths_of, found = hits(docs, benchmark, **names)
     walked = F.aggregate(
@@ -226,6 +226,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, **names) -> DataFrame:
     items = F.coalesce("items", F.array().cast("array<string>"))
     return docs_of.join(per_doc, same, "left").select(
         docs_of["doc_id"],
+        docs_of["doc_text"],
         "n_words",
         hit.cast("long").alias("n_hit"),
         F.size(items).cast("long").alias("n_items"),

@@ -110,3 +110,15 @@ def test_mix(stages):
     names = sorted(sums)
     assert [sums[s][2] for s in names] == pytest.approx(plain.targets([sums[s][0] for s in names]))
     assert all(abs(taken - target) < 64 for _, taken, target in sums.values())
+
+
+def test_clean_documents_without_or_under_one_id_stay(spark, tmp_path):
+    spark.createDataFrame([(1, "b " * 20)], "item_id long, text string").write.parquet(
+        f"{tmp_path}/benchmark.parquet"
+    )
+    bad = "b " * 15
+    rows = [(None, bad), (None, "clean one"), (None, None), (7, bad), (7, "clean two"), (8, "clean two")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = corpus_pipeline.decontamination(spark, docs, str(tmp_path)).collect()
+    want = [r for r in rows if r[1] != bad]
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
