@@ -1,9 +1,15 @@
 """Near copies by Order MinHash, verified by banded alignment.
 
-A text's k-mers are its runs of five words (a shorter text is one run), each labelled with how many equal
-ones stand before it. For each of ``TABLES`` hash functions the ``DEPTHS`` least k-mers are taken and put
-back into text order; the hash of that sequence is the text's bucket. The longer sequence splits those
-buckets of the shorter that fill up with texts which only share a passage.
+A text's k-mers are its runs of two words, each labelled with how many equal ones stand before it. For
+each of ``TABLES`` hash functions the ``DEPTHS`` least k-mers are taken and put back into text order; the
+hash of that sequence is the text's bucket. Texts of at most ``SHORT`` words have buckets by the three
+least of their single words instead, and those of ``SHORT`` words less a fifth to ``SHORT`` have both, so
+that two texts that may be linked always have buckets of one kind.
+
+Two texts of which a fifth of the words are replaced miss each other in all buckets less than once in a
+hundred times, however the replaced words are spread: of 25 words with 5 replaced apart from each other 14
+of 34 pairs of words are common, so a table finds 14 * 13 / (34 * 33) and 28 tables miss 0.7 %; longer
+texts miss less, down to 0.4 %. Of 5 words with one replaced 4 of 6 are common, and 28 tables miss 0.2 %.
 
 A pair is linked if its edit similarity, 1 - (word edits / words of the longer text), is at least
 ``SIMILARITY``. The alignment keeps to the band outside which a pair cannot be that similar.
@@ -11,9 +17,8 @@ A pair is linked if its edit similarity, 1 - (word edits / words of the longer t
 First the texts of a bucket are paired with one of them, its leader, which is another one for each third
 of the tables. Buckets whose texts are then still in different groups are gone through in whole: any two
 of their texts from different groups are compared, unless their lengths or their words rule a link out.
-A link leaves at most a fifth of the longer text's words unmatched, so two linked texts share one of the
-rarest words of each, a fifth and one more: only texts that share such a word in a bucket are paired. A
-passage that many documents hold is in none of their rarest words, as long as they have others enough.
+A link leaves at most a fifth of the longer text's words unmatched, so of the rarest words of each, a
+fifth and n more, two linked texts share n: only texts of a bucket that do are paired. A passage that many documents hold is in none of their rarest words, as long as they have others enough.
 
 Groups are the connected texts. Texts that are equal are one text throughout, so copies are never paired.
 
@@ -35,13 +40,18 @@ from pyspark.sql import functions as F
 from lamina.llm.arrow import Rows, map_slices, slices
 from lamina.session import work_dir
 
-WORDS = 5
+WORDS = 2
 SIMILARITY = 0.8
-TABLES = 20
-DEPTHS = (2, 5)
+TABLES = 28
+DEPTHS = (2,)
+#: Words of a text that has buckets by single words, and how many of them make a bucket.
+SHORT = 24
+SHORT_DEPTHS = (3,)
 CACHE = 400_000
 #: Three orders of ids: which of a bucket's texts leads it.
 ORDERS = (0, 0x2AAAAAAAAAAAAAAA, 0x5555555555555555)
+#: Buckets of at most so many texts are gone through within a task, others by joins.
+CROWD = 256
 #: Words are ordered by the counts of so many classes of words.
 CLASSES = 1 << 18
 #: Hash matrix cells that are held at once.
@@ -75,16 +85,18 @@ def kmers(words: np.ndarray, width: int = WORDS) -> np.ndarray:
     if not new.all():
         first = np.flatnonzero(new)
         label = np.arange(count) - np.repeat(first, np.diff(np.append(first, count)))
-        runs[order] = mix(ordered + label.astype(np.uint64) * MORE)
+        # First ones stay as they are in a text that repeats nothing.
+        again = label > 0
+        runs[order[again]] = mix(ordered[again] + label[again].astype(np.uint64) * MORE)
     return runs
 
 
-def sketch(found: np.ndarray) -> np.ndarray:
+def sketch(found: np.ndarray, depths: tuple[int, ...] = DEPTHS) -> np.ndarray:
     """The buckets of a text: for each table and depth a hash of its least k-mers in text order."""
     n = len(found)
     if not n:
         return np.zeros(0, np.int64)
-    deepest = min(DEPTHS[-1], n)
+    deepest = min(depths[-1], n)
     least = []
     step = max(1, CELLS // n)
     for at in range(0, TABLES, step):
@@ -99,7 +111,7 @@ def sketch(found: np.ndarray) -> np.ndarray:
         least.append(np.take_along_axis(near, order, 1))
     least = np.concatenate(least)
     keys = []
-    for depth in DEPTHS:
+    for depth in depths:
         places = np.sort(least[:, : min(depth, n)], axis=1)
         key = SEEDS + np.uint64(depth)
         for column in found[places].T:
@@ -153,6 +165,16 @@ def edit_distance(a: list, b: list, most: int) -> int:
     return min(cost, most + 1)
 
 
+def buckets(words: np.ndarray) -> np.ndarray:
+    """A text's buckets by runs of words, by single words if it is short, or by both."""
+    keys = []
+    if len(words) >= SHORT - unmatched(SHORT, SIMILARITY):
+        keys.append(sketch(kmers(words)))
+    if len(words) <= SHORT:
+        keys.append(sketch(kmers(words, 1), SHORT_DEPTHS))
+    return np.concatenate(keys)
+
+
 def unmatched(longer: int, least: float) -> int:
     """How many words of the longer text a link may leave without a match."""
     return int((1 - least) * longer + 1e-9)
@@ -199,7 +221,7 @@ def sketches(texts: DataFrame) -> DataFrame:
         split = splitter()
 
         def work(part: pa.RecordBatch) -> pa.RecordBatch:
-            keys = [sketch(kmers(w)) for w in split(part.column("text").to_pylist())]
+            keys = [buckets(w) for w in split(part.column("text").to_pylist())]
             return pa.RecordBatch.from_arrays(
                 [*part.columns, pa.array(keys, pa.list_(pa.int64()))],
                 names=[*part.schema.names, "keys"],
@@ -241,9 +263,9 @@ def rarity(texts: DataFrame) -> np.ndarray:
         split, total = splitter(), np.zeros(CLASSES, np.int64)
         for batch in batches:
             for part in slices(batch, "text"):
-                for words in split(part.column("text").to_pylist()):
-                    at = (kmers(words, 1) % np.uint64(CLASSES)).astype(np.int64)
-                    total += np.bincount(at, minlength=CLASSES)
+                found = [kmers(w, 1) for w in split(part.column("text").to_pylist())]
+                at = (np.concatenate(found) % np.uint64(CLASSES)).astype(np.int64)
+                total += np.bincount(at, minlength=CLASSES)
         held = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(total[held])], names=["at", "n"])
 
@@ -255,32 +277,96 @@ def rarity(texts: DataFrame) -> np.ndarray:
 
 
 def rarest(words: np.ndarray, times: np.ndarray, least: float) -> np.ndarray:
-    """Labelled words of which a text shares one at least with each text that it is linked to.
+    """A text's first labelled words in an order that is the same for all texts, rarest first.
 
-    They are first in an order that is the same for all texts, and one more than a link may leave out.
+    Of the first ``unmatched`` and n more, a text shares n at least with each text that it is linked to,
+    if that has so many more too. Here n is ``unmatched`` and one.
     """
     found = kmers(words, 1)
     order = np.lexsort((found, times[(found % np.uint64(CLASSES)).astype(np.int64)]))
-    return found[order[: unmatched(len(found), least) + 1]].view(np.int64)
+    return found[order[: 2 * unmatched(len(found), least) + 1]].view(np.int64)
+
+
+def sharing(part: pa.Table, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the pairs in ``part`` (key, id, root, words, first) that ``rest`` looks for."""
+    key, ids, root, words = (part.column(c).to_numpy() for c in ("key", "id", "root", "words"))
+    first = part.column("first").combine_chunks()
+    row = np.repeat(np.arange(len(ids)), first.value_lengths().to_numpy(zero_copy_only=False))
+    cell = mix(first.flatten().to_numpy().view(np.uint64) ^ mix(key.view(np.uint64))[row])
+    order = np.argsort(cell, kind="stable")
+    cell, row = cell[order], row[order]
+    more = np.array([unmatched(int(w), least) + 1 for w in words], np.int64)
+    found, shared, at, apart = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], np.arange(len(cell)), 0
+
+    def summed():
+        pairs, back = np.unique(np.concatenate(found), return_inverse=True)
+        return [pairs], [np.bincount(back, np.concatenate(shared), len(pairs)).astype(np.int64)]
+
+    while len(at):
+        apart += 1
+        at = at[at + apart < len(cell)]
+        at = at[cell[at] == cell[at + apart]]
+        x, y = row[at], row[at + apart]
+        longer = np.maximum(words[x], words[y])
+        close = longer - np.minimum(words[x], words[y]) <= longer * (1 - least) + 1e-9
+        held = close & (root[x] != root[y])
+        pairs, n = np.unique(
+            np.minimum(x, y)[held] * len(ids) + np.maximum(x, y)[held], return_counts=True
+        )
+        found.append(pairs)
+        shared.append(n)
+        if sum(map(len, found[1:])) > CELLS:
+            found, shared = summed()
+    (pairs,), (n,) = summed()
+    x, y = np.divmod(pairs, max(1, len(ids)))
+    enough = n >= np.minimum(more[x], more[y])
+    x, y = x[enough], y[enough]
+    return np.maximum(ids[x], ids[y]), np.minimum(ids[x], ids[y])
+
+
+def within(rows: DataFrame, least: float) -> DataFrame:
+    """(a, b): the pairs of ``sharing``. No bucket is larger than ``CROWD``."""
+
+    def work(batches):
+        def out(part):
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in sharing(part, least)], names=["a", "b"])
+
+        held = None
+        for batch in batches:
+            part = pa.Table.from_batches([batch])
+            part = part if held is None else pa.concat_tables([held, part])
+            keys = part.column("key").to_numpy()
+            # The last bucket may go on in the next batch.
+            last = int(np.flatnonzero(keys != keys[-1])[-1]) + 1 if (keys != keys[-1]).any() else 0
+            if last:
+                yield out(part.slice(0, last))
+            held = part.slice(last)
+        if held is not None:
+            yield out(held)
+
+    ordered = rows.select("key", "id", "root", "words", "first").repartition("key")
+    return ordered.sortWithinPartitions("key").mapInArrow(work, "a long, b long")
 
 
 def rest(texts: DataFrame, roots: DataFrame, known: DataFrame, least: float, folder: str) -> DataFrame:
     """(a, b): the pairs of texts that share a bucket, are in different groups and may still be linked.
 
     ``texts`` has (id, text, keys), ``roots`` (id, root) those that are linked to any, and ``known`` the
-    pairs that were compared. In each cell, a bucket's texts that share one of their rarest words, those
-    out of the largest group are paired with all others, so a large group isn't paired with itself.
+    pairs that were compared.
     """
     spark = texts.sparkSession
-    # A bucket of the longer sequence is part of one of the shorter.
-    keys = F.explode(F.array_distinct(F.slice("keys", 1, TABLES))).alias("key")
+    keys = F.explode(F.array_distinct("keys")).alias("key")
     of_root = F.coalesce("root", "id").alias("root")
     rows = texts.select("id", keys).join(roots, "id", "left").select("key", "id", of_root)
     mixed = rows.groupBy("key").agg(
         F.count(F.lit(1)).alias("n"), F.min("root").alias("low"), F.max("root").alias("high")
     ).where("n > 2 and low < high")
+    crowd = F.col("n") > CROWD
     open_rows, seen = stored(
-        rows.join(mixed.select("key"), "key"), f"{folder}/open", n=F.count(F.lit(1))
+        rows.join(mixed.select("key", "n"), "key"),
+        f"{folder}/open",
+        n=F.count(F.lit(1)),
+        crowded=F.count_if(crowd),
     )
     if not seen["n"]:
         return known.limit(0)
@@ -305,8 +391,24 @@ def rest(texts: DataFrame, roots: DataFrame, known: DataFrame, least: float, fol
         return work
 
     firsts = map_slices(own, make, "id long, words long, first array<long>")
-    cells = open_rows.join(firsts, "id").select(
-        "id", "root", "words", F.explode("first").alias("word"), "key"
+    firsts, _ = stored(firsts, f"{folder}/firsts", n=F.count(F.lit(1)))
+    wide = open_rows.join(firsts, "id")
+    pairs = within(wide.where(~crowd), least)
+    if seen["crowded"]:
+        pairs = pairs.unionByName(across(wide.where(crowd), least, folder))
+    return pairs.distinct().join(known, ["a", "b"], "left_anti")
+
+
+def across(rows: DataFrame, least: float, folder: str) -> DataFrame:
+    """(a, b): the same pairs by joins, for buckets of any size.
+
+    In each cell, a bucket's texts that share one of their rarest words, those out of the largest group
+    are paired with all others, so a large group isn't paired with itself.
+    """
+    # One shared word among the first of a fifth and one more.
+    fifth = F.floor(F.col("words") * (1 - least) + 1e-9).cast("int")
+    cells = rows.select(
+        "id", "root", "words", F.explode(F.slice("first", F.lit(1), fifth + 1)).alias("word"), "key"
     ).select("id", "root", "words", F.xxhash64("key", "word").alias("cell"))
     cells, _ = stored(cells, f"{folder}/cells", n=F.count(F.lit(1)))
     largest = (
@@ -320,14 +422,13 @@ def rest(texts: DataFrame, roots: DataFrame, known: DataFrame, least: float, fol
     sides, _ = stored(cells.join(largest, "cell"), f"{folder}/sides", n=F.count(F.lit(1)))
     x, y = sides.where("root <> largest").alias("x"), sides.alias("y")
     longer = F.greatest("x.words", "y.words")
-    pairs = x.join(
+    return x.join(
         y,
         (F.col("x.cell") == F.col("y.cell"))
         & (F.col("x.root") != F.col("y.root"))
         & ((F.col("y.root") == F.col("y.largest")) | (F.col("x.id") < F.col("y.id")))
         & (longer - F.least("x.words", "y.words") <= longer * (1 - least) + 1e-9),
     ).select(F.greatest("x.id", "y.id").alias("a"), F.least("x.id", "y.id").alias("b"))
-    return pairs.distinct().join(known, ["a", "b"], "left_anti")
 
 
 def verify(pairs: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> DataFrame:

@@ -366,6 +366,37 @@ def test_copies_in_a_crowded_bucket(spark):
     got = near_dup.groups(frame(spark, rows, "doc_id long, text string").repartition(1)).collect()
     want = {i: i for i in range(60)} | {100: 100, 101: 100}
     assert {r["doc_id"]: r["class_id"] for r in got} == want
+    crowd, near_dup.CROWD = near_dup.CROWD, 2
+    try:
+        joined = near_dup.groups(frame(spark, rows, "doc_id long, text string")).collect()
+    finally:
+        near_dup.CROWD = crowd
+    assert {r["doc_id"]: r["class_id"] for r in joined} == want
+
+
+@pytest.mark.parametrize("size", [5, 8, 10, 15, 20, 24, 25, 30, 60, 200])
+@pytest.mark.parametrize("share", [0.05, 0.1, 0.15, 0.2])
+def test_scattered_edits_share_a_bucket(size, share):
+    """All pairs of a text and one with that share of its words replaced, evenly and at random."""
+    draw = random.Random(size)
+    edits = int(share * size + 1e-9)
+    missed = 0
+    for turn in range(200):
+        words = np.array([draw.getrandbits(64) for _ in range(size)], np.uint64)
+        other = words.copy()
+        even = [(2 * i + 1) * size // (2 * edits) for i in range(edits)]
+        for at in even if turn % 2 else draw.sample(range(size), edits):
+            other[at] = draw.getrandbits(64)
+        assert near_dup.similarity(words, other) == pytest.approx(1 - edits / size)
+        missed += not set(near_dup.buckets(words)) & set(near_dup.buckets(other))
+    assert missed <= 4
+
+
+def test_repeats_leave_other_shingles_alone():
+    words = [f"w{i}" for i in range(50)]
+    twice = [*words, "w3", "w4"]
+    found = [set(near_dup.kmers(words_of(" ".join(w)), 2).tolist()) for w in (words, twice)]
+    assert found[0] < found[1] and len(found[1]) == 51
 
 
 def test_components(spark, tmp_path):
