@@ -20,17 +20,16 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near copies, the one with the least id, as one row.
 
-    Rows without an id stay, as no group can be named after them.
+    Null ids come last, and equal ids go by the text's hash. Null texts are no copies and stay.
     """
-    found = near_dup.groups(docs.select("doc_id", "text"))
-    kept = found.where(F.col("doc_id") == F.col("class_id")).select("doc_id").distinct()
+    found = near_dup.members(docs.select("doc_id", "text")).where(F.col("root").isNotNull())
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "blob")).alias("first")
+    kept = found.groupBy("root").agg(first).select("first.doc_id", "first.blob")
     digest = spare(docs, "digest")
-    once = (
-        docs.join(kept, "doc_id", "left_semi")
-        .withColumn(digest, F.xxhash64("text"))
-        .dropDuplicates(["doc_id", digest])
-    )
-    return once.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
+    hashed = docs.withColumn(digest, F.sha2("text", 256))
+    same = hashed["doc_id"].eqNullSafe(kept["doc_id"]) & (hashed[digest] == kept["blob"])
+    once = hashed.join(kept, same, "left_semi").dropDuplicates(["doc_id", digest])
+    return once.select(*docs.columns).unionByName(docs.where(F.col("text").isNull()))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -519,13 +519,12 @@ def components(links: DataFrame, folder: str) -> DataFrame:
             return roots
 
 
-def groups(
+def members(
     docs: DataFrame, key: str = "doc_id", text: str = "text", least: float = SIMILARITY
 ) -> DataFrame:
-    """(doc_id, class_id, n_links): every row's group, and in how many verified pairs its text is.
+    """``groups`` with ``blob``, the text's hash, and ``root``, which is another one for each group.
 
-    Texts that other links have already brought into one group are not compared, so ``n_links`` counts
-    the links that made the groups and not all similar texts.
+    Groups may be named alike, if ids are missing or repeated. Null texts have neither.
     """
     spark = docs.sparkSession
     folder = work_dir(spark, "near_dup")
@@ -557,17 +556,31 @@ def groups(
     degree = ends.groupBy("id").agg(F.count(F.lit(1)).alias("n_links"))
     linked = roots.join(degree, "id").join(texts.select("id", "blob", "low"), "id")
     lowest = linked.groupBy("root").agg(F.min("low").alias("class_id"))
-    of_blob = linked.join(lowest, "root").select("blob", "class_id", "n_links")
-    alone = texts.select("blob", "low")
+    of_blob = linked.join(lowest, "root").select("blob", "root", "class_id", "n_links")
+    alone = texts.select("blob", "low", "id")
     # Stored, so that the join below shuffles both sides itself and can split a text with many copies.
     alone.join(of_blob, "blob", "left").select(
         "blob",
+        F.coalesce("root", "id").alias("root"),
         F.coalesce("class_id", "low").alias("class_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
     ).write.parquet(f"{folder}/named")
     named = spark.read.parquet(f"{folder}/named")
     return rows.select("doc_id", "blob").join(named, "blob", "left").select(
         "doc_id",
+        "blob",
+        "root",
         F.coalesce("class_id", "doc_id").alias("class_id"),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
     )
+
+
+def groups(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", least: float = SIMILARITY
+) -> DataFrame:
+    """(doc_id, class_id, n_links): every row's group, and in how many verified pairs its text is.
+
+    Texts that other links have already brought into one group are not compared, so ``n_links`` counts
+    the links that made the groups and not all similar texts.
+    """
+    return members(docs, key, text, least).select("doc_id", "class_id", "n_links")

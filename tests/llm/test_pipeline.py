@@ -122,3 +122,14 @@ def test_clean_documents_without_or_under_one_id_stay(spark, tmp_path):
     got = corpus_pipeline.decontamination(spark, docs, str(tmp_path)).collect()
     want = [r for r in rows if r[1] != bad]
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+
+
+def test_one_of_each_group_stays_without_or_under_one_id(spark):
+    near = " ".join(f"n{i}" for i in range(30))
+    other = " ".join(f"m{i}" for i in range(30))
+    rows = [(None, "a lone copy"), (None, "a lone copy"), (None, "another"), (None, None), (1, None)]
+    rows += [(7, near), (9, f"{near} x"), (9, other), (7, "under seven"), (7, near)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = corpus_pipeline.near_duplicates(spark, docs, "").collect()
+    want = [rows[0], *rows[2:6], rows[7], rows[8]]
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
