@@ -108,9 +108,50 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged
 """
 
+def _lloyd(rounds: int) -> str:
+    """Rounds spelled out: ``a`` has each vector's 8 * distance + cluster, ``m`` means, ``c`` centroids."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS MATERIALIZED (
+    SELECT kept.id, any_value(kept.x) AS x, min(8 * CAST(list_sum(list_transform(list_zip(kept.x, c{r}.x),
+        lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) + c{r}.k) AS e
+    FROM kept, c{r} GROUP BY kept.id)""")
+        if r < rounds:
+            steps.append(f"""m{r} AS (
+    SELECT k, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS x FROM (
+        SELECT k, i, sum(v) AS s, count(*) AS n FROM (
+            SELECT e % 8 AS k, unnest(x) AS v, unnest(range(64)) AS i FROM a{r})
+        GROUP BY k, i)
+    GROUP BY k),
+c{r + 1} AS MATERIALIZED (
+    SELECT c{r}.k, coalesce(m{r}.x, c{r}.x) AS x FROM c{r} LEFT JOIN m{r} ON m{r}.k = c{r}.k)""")
+    return ",\n".join(steps)
+
+
+OP12 = f"""
+WITH kept AS MATERIALIZED (
+    SELECT row_number() OVER () AS id, vec_id,
+        list_transform(embedding, lambda v: CAST(floor(1024 * CAST(v AS DOUBLE)) AS BIGINT)) AS x
+    FROM embeddings
+    WHERE len(embedding) = 64
+        AND len(list_filter(embedding, lambda v: v IS NOT NULL AND isfinite(v))) = 64),
+c0 AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS k, x
+    FROM kept ORDER BY k LIMIT 8),
+{_lloyd(10)},
+told AS (SELECT kept.vec_id, e % 8 AS k, e // 8 AS distance FROM a10 JOIN kept USING (id))
+SELECT vec_id, CAST(told.k AS INTEGER) AS cluster, distance,
+    CAST(sum(distance) OVER (PARTITION BY told.k) AS BIGINT) AS cluster_inertia,
+    CAST(sum(distance) OVER () AS BIGINT) AS inertia,
+    sha256(array_to_string(c10.x, ',')) AS centroid_sha256
+FROM told JOIN c10 USING (k)
+"""
+
+
 ORACLE = {
     "op3_secret_scans": OP3,
     "op6_chat_format": OP6,
     "op7_decontaminate": OP7,
     "op9_quality_rules": OP9,
+    "op12_centroid_clusters": OP12,
 }

@@ -2,23 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lamina.llm import (
+    bpe,
     chat,
+    clusters,
     decontaminate,
     lang_id,
     lm,
     mixing,
     near_dup,
+    periodic,
     quality,
     secrets,
     token_count,
     toxicity,
 )
 from lamina.llm.oracle import ORACLE as ORACLE
-from lamina.llm.text import remainder
+from lamina.llm.text import blank_words, crc, let, remainder
 from lamina.session import work_dir
 
 
@@ -128,6 +131,76 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model, keep=("doc_id", "held_out"))
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's token ids, and the bytes that they stand for."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    decoded = bpe.decode(bpe.encode(docs, work_dir(spark, "bpe")))
+    listed = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(listed, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's cluster after ten rounds, in whole numbers."""
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return clusters.cluster(vectors, work_dir(spark, "clusters"))
+
+
+def repeating(doc_id: Column, text: Column) -> Column:
+    """``text``; that of one document in ten goes on with the words of one place from there on."""
+    h = crc(doc_id)
+    g = F.floor(h / 10)
+
+    def planted(words: Column) -> Column:
+        n = F.size(words)
+        a = g % n
+        period = 1 + F.floor((n - a) / (3 + g % 8))
+
+        def word(i: Column) -> Column:
+            return F.get(words, F.when(i < a, i).otherwise(a + (i - a) % period).cast("int"))
+
+        again = F.transform(F.sequence(F.lit(0), n - 1), word)
+        return F.when(n > 0, F.array_join(again, " "))
+
+    return F.when(h % 10 == 0, F.coalesce(let(blank_words(text), planted), text)).otherwise(text)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's runs, the longest of them, and what is left without repeated periods."""
+    docs = _table(spark, sf_dir, "documents").select(
+        "doc_id", repeating(F.col("doc_id"), F.col("text")).alias("text")
+    )
+    found = periodic.find_runs(docs)
+    # The greatest length wins, then the least start, then the least period.
+    ranked = F.transform(
+        "runs",
+        lambda r: F.struct(
+            r["length"].alias("length"),
+            F.negative(r["start"]).alias("before"),
+            F.negative(r["period"]).alias("under"),
+        ),
+    )
+    best = F.array_max(ranked)
+    lines = F.transform(
+        "runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    )
+    length, start, period = best["length"], -best["before"], -best["under"]
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        start.alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.floor(F.lit(1000) * length / period).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("kept", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_lm_score": op2_lm_score,
@@ -139,4 +212,7 @@ QUERIES = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_quality_rules": op9_quality_rules,
     "op10_toxicity": op10_toxicity,
+    "op11_byte_bpe": op11_byte_bpe,
+    "op12_centroid_clusters": op12_centroid_clusters,
+    "op13_periodic_runs": op13_periodic_runs,
 }

@@ -37,9 +37,13 @@ def blank_words(text: Column) -> Column:
     return pieces(text, BLANKS)
 
 
+def crc(doc_id: Column) -> Column:
+    """crc32 of the id as text; a null id counts as the empty text."""
+    return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))
+
+
 def remainder(doc_id: Column, divisor: int) -> Column:
-    """crc32 of the id as text, modulo ``divisor``; a null id counts as the empty text."""
-    return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % divisor
+    return crc(doc_id) % divisor
 
 
 def spare(df: DataFrame, name: str) -> str:
