@@ -4,26 +4,26 @@ A text's words (pre-tokens) are the matches of the pattern; gaps are left out. T
 are those of the library whose ids are wanted, read from the library itself. Texts are first cut where a
 run of blanks begins, which no match crosses, so that equal cuts are matched once in a task.
 
-1. All words are counted, shuffled by word and encoded, each once, into a table.
-2. The most frequent words, at most ``HEAD_WORDS`` and ``HEAD_BYTES`` of them, are broadcast and stand in
-   for the join with hot words. A second pass over the texts writes their ids in order and leaves a hole
-   for each other word, which goes along with its position.
-3. Words at holes are exploded with row and position, joined with the table, grouped by row, and put back
-   by position. Rows without holes aren't shuffled.
+1. The words that are frequent in a sample of ``SAMPLE_ROWS`` texts, at most ``HEAD_WORDS`` and
+   ``HEAD_BYTES`` of them, are encoded and broadcast. They take the place of the join for hot words, and
+   decide nothing else.
+2. One pass over all texts writes blocks of rows: the ids of frequent words in order, and a hole for each
+   other word, with the block's distinct words at holes. Blocks are bucketed by their number.
+3. These words are exploded with block and place, shuffled by word, and each distinct one is encoded once.
+   The ids go back to their blocks, which stay in their buckets, and into the holes by position.
 
 Decoding looks the ids up in the table of token bytes, which the vocabulary bounds.
 
-A null text has no words, as an empty one. A long text takes memory in proportion, in the one task that
-holds its row; a word over ``LONG`` bytes is known by its SHA-256, so that long words are not shuffled but
-for counting. Repeated rows give repeated rows; an empty table gives an empty result. The columns to keep
-may have any name but ``ids``, or ``decoded``.
+A null text has no words, as an empty one. A long text is a block of its own, and takes memory in
+proportion in the one task that holds its row. Repeated rows give repeated rows; an empty table gives an
+empty result. The columns to keep may have any name but ``ids``, or ``decoded``.
 """
 
 from __future__ import annotations
 
 import base64
-import hashlib
 import re
+import uuid
 from collections import Counter
 from itertools import chain
 
@@ -34,19 +34,20 @@ import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lamina.llm.arrow import map_slices, slices
+from lamina.llm.arrow import slices
 from lamina.llm.text import or_empty
 
 #: Where the ranks lie; only the driver reads the file.
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
-#: Bounds of what is broadcast.
-HEAD_WORDS = 1 << 18
-HEAD_BYTES = 1 << 24
-#: Words of more bytes are known by their digest.
-LONG = 64
-#: Cuts, and characters in them, that a task keeps between slices.
-CUTS, CUT_CHARS = 300_000, 16_000_000
+#: Texts in which frequent words are looked for, and the bounds of what is broadcast of these.
+SAMPLE_ROWS = 20_000
+HEAD_WORDS = 1 << 17
+HEAD_BYTES = 1 << 23
+#: Rows and characters of a block.
+BLOCK_ROWS, BLOCK_CHARS = 4000, 16_000_000
+#: Cuts, and characters in them, that a task keeps in each of two generations.
+CUTS, CUT_CHARS = 150_000, 4_000_000
 #: Word counts are compared by their place on a scale of so many steps for each factor of two.
 STEPS = 16
 
@@ -89,95 +90,51 @@ class Splitter:
         self.cuts = re.compile(f"[{blank}]*[^{blank}]+|[{blank}]+").findall
 
 
-def key_of(word: bytes) -> bytes:
-    return word if len(word) <= LONG else hashlib.sha256(word).digest() + word[:LONG]
-
-
 def count_words(texts: DataFrame, spelling: tuple[str, str]) -> DataFrame:
     """(word, n): how often each word stands in ``texts`` (text)."""
 
     def counts(batches):
         split = Splitter(spelling)
-        cuts, chars = Counter(), 0
-
-        def out():
-            words: Counter = Counter()
-            for cut, n in cuts.items():
-                for word in split.words(cut):
-                    words[word] += n
-            # Parts, so that no batch outgrows what Arrow can address.
-            held, size = [], 0
-            for word, n in words.items():
-                held.append((word.encode(), n))
-                size += len(word)
-                if len(held) >= 50_000 or size > CUT_CHARS:
-                    yield batch_of(held)
-                    held, size = [], 0
-            yield batch_of(held)
-
-        def batch_of(held):
-            return pa.RecordBatch.from_arrays(
-                [pa.array([w for w, _ in held], pa.binary()), pa.array([n for _, n in held], pa.int64())],
-                names=["word", "n"],
-            )
-
         for batch in batches:
             for part in slices(batch, "text"):
-                for text in part.column("text").to_pylist():
-                    cuts.update(split.cuts(text))
-                    chars += len(text)
-                if len(cuts) > CUTS or chars > 64 * CUT_CHARS:
-                    yield from out()
-                    cuts, chars = Counter(), 0
-        yield from out()
-
-    counted = texts.mapInArrow(counts, "word binary, n long")
+                cuts = Counter(chain.from_iterable(map(split.cuts, part.column("text").to_pylist())))
+                words: Counter = Counter()
+                for cut, n in cuts.items():
+                    for word in split.words(cut):
+                        words[word] += n
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(words, pa.string()), pa.array(words.values(), pa.int64())],
+                    names=["word", "n"],
+                )
+
+    counted = texts.mapInArrow(counts, "word string, n long")
     return counted.groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def encode_words(words: DataFrame, ranks) -> DataFrame:
-    """(key, n, ids) of ``words`` (word, n); ``ranks`` is broadcast."""
-
-    def make():
-        # The whole word is one match of this pattern.
-        encoding = tiktoken.Encoding(
-            "words", pat_str=r"(?s:.)+", mergeable_ranks=ranks.value, special_tokens={}
-        )
-
-        def work(part: pa.RecordBatch) -> pa.RecordBatch:
-            found = part.column("word").to_pylist()
-            ids = [encoding.encode_ordinary(w.decode()) for w in found]
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array([key_of(w) for w in found], pa.binary()),
-                    part.column("n"),
-                    pa.array(ids, pa.list_(pa.int32())),
-                ],
-                names=["key", "n", "ids"],
-            )
-
-        return work
-
-    return map_slices(words, make, "key binary, n long, ids array<int>", "word")
-
-
-def head(table: DataFrame) -> dict[bytes, tuple[int, ...]]:
-    """The most frequent words' ids, within the bounds. Words of equal frequency stay together."""
+def frequent(texts: DataFrame, spelling: tuple[str, str], folder: str) -> list[str]:
+    """The most frequent words of a sample, within the bounds. Words of equal frequency stay together."""
+    fraction = min(1.0, SAMPLE_ROWS / max(1, texts.count()))
+    sample = texts.sample(fraction, seed=11) if fraction < 1 else texts
+    count_words(sample, spelling).where("n > 1").write.parquet(f"{folder}/frequent")
+    table = texts.sparkSession.read.parquet(f"{folder}/frequent")
     step = F.floor(F.log2("n") * STEPS).cast("long")
-    size = F.octet_length("key") + 4 * F.size("ids")
     steps = table.groupBy(step.alias("step")).agg(
-        F.count(F.lit(1)).alias("words"), F.sum(size).alias("bytes")
+        F.count(F.lit(1)).alias("words"), F.sum(F.octet_length("word")).alias("bytes")
     )
-    least, words, held = None, 0, 0
+    least, words, size = None, 0, 0
     for row in sorted(steps.collect(), reverse=True):
-        words, held = words + row["words"], held + row["bytes"]
-        if words > HEAD_WORDS or held > HEAD_BYTES:
+        words, size = words + row["words"], size + row["bytes"]
+        if words > HEAD_WORDS or size > HEAD_BYTES:
             break
         least = row["step"]
     if least is None:
-        return {}
-    found = table.where(step >= least).select("key", "ids").toArrow()
-    return dict(zip(found.column("key").to_pylist(), map(tuple, found.column("ids").to_pylist())))
+        return []
+    return table.where(step >= least).select("word").toArrow().column("word").to_pylist()
+
+
+def one_match(ranks: dict[bytes, int]) -> tiktoken.Encoding:
+    """Encodes words, each of which is one match."""
+    return tiktoken.Encoding("words", pat_str=r"(?s:.)+", mergeable_ranks=ranks, special_tokens={})
 
 
 def packed(size: int) -> np.dtype:
@@ -185,95 +142,151 @@ def packed(size: int) -> np.dtype:
     return np.dtype("<u2" if size < 1 << 16 else "<u4")
 
 
-def holed(texts: DataFrame, spelling: tuple[str, str], known, kind: np.dtype) -> DataFrame:
-    """``texts`` (kept, text) as kept, ``packed`` ids, ``whole``, and ``holes`` (at, key) in order."""
-    hole = int(np.iinfo(kind).max)
+class Holed:
+    """Ids of texts, with ``hole`` for each word that ``heads`` lacks."""
+
+    def __init__(self, spelling: tuple[str, str], heads: dict[str, tuple[int, ...]], kind: np.dtype):
+        self.split, self.heads, self.kind = Splitter(spelling), heads, kind
+        self.hole = int(np.iinfo(kind).max)
+        # Two generations: what is looked up lives on in the younger, the rest goes with the older.
+        self.young: dict[str, tuple[tuple[int, ...], list[str]]] = {}
+        self.old: dict[str, tuple[tuple[int, ...], list[str]]] = {}
+        self.chars = 0
+
+    def of(self, cut: str) -> tuple[tuple[int, ...], list[str]]:
+        """A cut's ids, and its words at holes."""
+        found = self.old.pop(cut, None)
+        if found is None:
+            words = self.split.words(cut)
+            ids = [self.heads.get(w) for w in words]
+            flat = tuple(chain.from_iterable((self.hole,) if x is None else x for x in ids))
+            found = flat, [w for w, x in zip(words, ids) if x is None]
+        if len(self.young) >= CUTS or self.chars > CUT_CHARS:
+            self.old, self.young, self.chars = self.young, {}, 0
+        self.young[cut] = found
+        self.chars += len(cut)
+        return found
+
+    def row(self, text: str) -> tuple[np.ndarray, list[str]]:
+        """A text's ids, and its words at holes in order."""
+        held = self.young
+        ids, missing = [], []
+        for cut in self.split.cuts(text):
+            found = held.get(cut)
+            if found is None:
+                found = self.of(cut)
+                held = self.young
+            ids.append(found[0])
+            if found[1]:
+                missing += found[1]
+        return np.fromiter(chain.from_iterable(ids), self.kind), missing
+
+
+def blocks(texts: DataFrame, spelling: tuple[str, str], known, kind: np.dtype) -> DataFrame:
+    """``texts`` (kept, text) in blocks of rows.
+
+    kept: the rows' own columns; ends: where each row's ids end in ``packed``, the block's ids; words: the
+    distinct words at holes; spots: for each hole in order, the place of its word in ``words``.
+    """
 
-    def make():
-        split, heads = Splitter(spelling), known.value
-        cache: dict[str, tuple[int, ...]] = {}
-        open_: dict[str, list[bytes]] = {}
-        seen = 0
-
-        def of(cut: str) -> tuple[int, ...]:
-            nonlocal seen
-            keys = [key_of(w.encode()) for w in split.words(cut)]
-            found = [heads.get(k) for k in keys]
-            if None in found:
-                open_[cut] = [k for k, ids in zip(keys, found) if ids is None]
-            cache[cut] = ids = tuple(chain.from_iterable((hole,) if x is None else x for x in found))
-            seen += len(cut)
-            return ids
+    def run(batches):
+        to_ids = Holed(spelling, known.value, kind)
+        kept, rows, words, spots, chars = [], [], {}, [], 0
 
-        def work(part: pa.RecordBatch) -> pa.RecordBatch:
-            nonlocal seen
-            if len(cache) > CUTS or seen > CUT_CHARS:
-                cache.clear()
-                open_.clear()
-                seen = 0
-            rows, ends, ats, keys = [], [0], [], []
-            for text in part.column("text").to_pylist():
-                cuts = split.cuts(text)
-                ids = [cache[c] if c in cache else of(c) for c in cuts]
-                row = np.fromiter(chain.from_iterable(ids), kind)
-                rows.append(row.tobytes())
-                at = np.flatnonzero(row == hole)
-                if len(at):
-                    ats.append(at)
-                    keys += chain.from_iterable(open_[c] for c in cuts if c in open_)
-                ends.append(ends[-1] + len(at))
-            at = np.concatenate(ats) if ats else np.zeros(0, np.int64)
-            holes = pa.StructArray.from_arrays(
-                [pa.array(at.astype(np.int32)), pa.array(keys, pa.binary())], names=["at", "key"]
-            )
-            whole = np.diff(ends) == 0
-            return pa.RecordBatch.from_arrays(
-                [
-                    part.column("kept"),
-                    pa.array(rows, pa.binary()),
-                    pa.array(whole),
-                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), holes),
-                ],
-                names=["kept", "packed", "whole", "holes"],
-            )
+        def out():
+            ends = np.cumsum([len(r) for r in rows], dtype=np.int64)
+            held = pa.chunked_array(kept).combine_chunks()
+            fields = [
+                pa.ListArray.from_arrays(pa.array([0, len(held)], pa.int32()), held),
+                pa.array([ends], pa.list_(pa.int64())),
+                pa.array([np.concatenate(rows).tobytes()], pa.binary()),
+                pa.array([list(words)], pa.list_(pa.string())),
+                pa.array([np.array(spots, "<i4").tobytes()], pa.binary()),
+            ]
+            return pa.RecordBatch.from_arrays(fields, names=["kept", "ends", "packed", "words", "spots"])
 
-        return work
+        for batch in batches:
+            column, start = batch.column("kept"), 0
+            for at, text in enumerate(batch.column("text")):
+                text = text.as_py()
+                if rows and (chars + len(text) > BLOCK_CHARS or len(rows) >= BLOCK_ROWS):
+                    kept.append(column.slice(start, at - start))
+                    yield out()
+                    kept, rows, words, spots, chars, start = [], [], {}, [], 0, at
+                ids, missing = to_ids.row(text)
+                rows.append(ids)
+                spots += [words.setdefault(w, len(words)) for w in missing]
+                chars += len(text)
+            kept.append(column.slice(start))
+        if rows:
+            yield out()
+
+    own = texts.schema["kept"].dataType.simpleString()
+    return texts.mapInArrow(
+        run,
+        f"kept array<{own}>, ends array<long>, packed binary, words array<string>, spots binary",
+    )
 
-    kept = texts.schema["kept"].dataType.simpleString()
-    schema = f"kept {kept}, packed binary, whole boolean, holes array<struct<at:int,key:binary>>"
-    return map_slices(texts, make, schema)
 
+def encode_words(missing: DataFrame, ranks, kind: np.dtype) -> DataFrame:
+    """(block, spot, ids) of ``missing`` (block, spot, word): each distinct word is encoded once."""
 
-def filled(rows: DataFrame, kind: np.dtype) -> DataFrame:
-    """``rows`` (kept, packed, patches (at, ids) in order, or null) as kept and ``ids``."""
+    def run(batches):
+        encoding = one_match(ranks.value)
+        last, ids = None, b""
+        for batch in batches:
+            for part in slices(batch, "word"):
+                out = []
+                for word in part.column("word").to_pylist():
+                    if word != last:
+                        last, ids = word, np.array(encoding.encode_ordinary(word), kind).tobytes()
+                    out.append(ids)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("block"), part.column("spot"), pa.array(out, pa.binary())],
+                    names=["block", "spot", "ids"],
+                )
+
+    by_word = missing.repartition("word").sortWithinPartitions("word")
+    return by_word.mapInArrow(run, "block long, spot int, ids binary")
+
+
+def fill(row: np.ndarray, spots: np.ndarray, patches: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """A block's ids with those of ``patches`` in the holes, and how many ids each place became."""
+    kind = row.dtype
+    sizes = np.array([len(p) for p in patches], np.int64) // kind.itemsize
+    flat = np.frombuffer(b"".join(patches), kind)
+    first = np.cumsum(sizes) - sizes
+    is_hole = row == np.iinfo(kind).max
+    times = np.ones(len(row), np.int32)
+    times[is_hole] = sizes[spots]
+    out = np.repeat(row, times)
+    # The ids of each hole's word, one hole after the other.
+    size = sizes[spots]
+    offset = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+    out[np.repeat(is_hole, times)] = flat[np.repeat(first[spots], size) + offset]
+    return out, times
 
-    def make():
-        def work(part: pa.RecordBatch) -> pa.RecordBatch:
-            out = []
-            for held, patches in zip(part.column("packed"), part.column("patches")):
-                row = np.frombuffer(held.as_buffer(), kind).astype(np.int32)
-                if patches.is_valid:
-                    at = patches.values.field("at").to_numpy()
-                    ids = patches.values.field("ids")
-                    more = np.diff(ids.offsets.to_numpy())
-                    times = np.ones(len(row), np.int64)
-                    times[at] = more
-                    open_ = np.zeros(len(row), bool)
-                    open_[at] = True
-                    row = np.repeat(row, times)
-                    row[np.repeat(open_, times)] = ids.flatten().to_numpy()
-                out.append(row)
-            ends = np.cumsum([0, *map(len, out)])
-            ids = np.concatenate(out) if out else np.zeros(0, np.int32)
-            return pa.RecordBatch.from_arrays(
-                [part.column("kept"), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids))],
-                names=["kept", "ids"],
-            )
 
-        return work
+def filled(rows: DataFrame, kind: np.dtype) -> DataFrame:
+    """The rows (kept, ids) of the blocks; ``patches`` are (spot, ids) in order, or null without holes."""
 
-    kept = rows.schema["kept"].dataType.simpleString()
-    return map_slices(rows, make, f"kept {kept}, ids array<int>", "packed")
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                held = {name: batch.column(name)[i] for name in batch.schema.names}
+                ids = np.frombuffer(held["packed"].as_buffer(), kind)
+                ends = held["ends"].values.to_numpy()
+                if held["patches"].is_valid:
+                    spots = np.frombuffer(held["spots"].as_buffer(), "<i4")
+                    patches = held["patches"].values.field("ids").to_pylist()
+                    ids, times = fill(ids, spots, patches)
+                    ends = np.concatenate([[0], np.cumsum(times, dtype=np.int64)])[ends]
+                offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32))
+                lists = pa.ListArray.from_arrays(offsets, pa.array(ids.astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([held["kept"].values, lists], names=["kept", "ids"])
+
+    own = rows.schema["kept"].dataType.elementType.simpleString()
+    return rows.mapInArrow(run, f"kept {own}, ids array<int>")
 
 
 def encode(
@@ -290,27 +303,30 @@ def encode(
     kind, spelling = packed(max(ranks.values()) + 1), spelled(pattern)
     texts = docs.select(F.struct(*keep).alias("kept"), or_empty(F.col(text)).alias("text"))
 
-    counted = count_words(texts.select("text"), spelling)
-    encode_words(counted, spark.sparkContext.broadcast(ranks)).write.parquet(f"{folder}/words")
-    words = spark.read.parquet(f"{folder}/words")
-
-    known = spark.sparkContext.broadcast(head(words))
-    # The row's number, given as the row is written, holds from there on.
-    rows = holed(texts, spelling, known, kind).withColumn("row", F.monotonically_increasing_id())
-    rows.write.option("compression", "zstd").parquet(f"{folder}/rows")
-    rows = spark.read.parquet(f"{folder}/rows")
-
-    open_rows = rows.where(~F.col("whole"))
-    missing = open_rows.select("row", F.explode("holes").alias("hole")).select("row", "hole.*")
-    patches = (
-        missing.join(words.select("key", "ids"), "key")
-        .groupBy("row")
-        .agg(F.sort_array(F.collect_list(F.struct("at", "ids"))).alias("patches"))
+    encoding = one_match(ranks)
+    heads = {
+        w: tuple(encoding.encode_ordinary(w))
+        for w in frequent(texts.select("text"), spelling, folder)
+    }
+    known = spark.sparkContext.broadcast(heads)
+    # A block's number, given as the block is written, holds from there on.
+    made = blocks(texts, spelling, known, kind).withColumn("block", F.monotonically_increasing_id())
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"bpe_{uuid.uuid4().hex}"
+    made.write.bucketBy(buckets, "block").options(path=f"{folder}/blocks", compression="zstd").saveAsTable(
+        name
+    )
+    table = spark.table(name)
+    # Only the name goes; the files are the caller's, and the bucketing is known by now.
+    spark.sql(f"DROP TABLE {name}")
+
+    missing = table.select("block", F.posexplode("words").alias("spot", "word"))
+    found = encode_words(missing, spark.sparkContext.broadcast(ranks), kind)
+    patches = found.groupBy("block").agg(
+        F.sort_array(F.collect_list(F.struct("spot", "ids"))).alias("patches")
     )
-    patched = open_rows.join(patches, "row").select("kept", "packed", "patches")
-    no_patch = F.lit(None).cast(patches.schema["patches"].dataType).alias("patches")
-    ready = rows.where("whole").select("kept", "packed", no_patch)
-    return filled(ready, kind).unionByName(filled(patched, kind)).select("kept.*", "ids")
+    whole = table.select("block", "kept", "ends", "packed", "spots").join(patches, "block", "left")
+    return filled(whole.drop("block"), kind).select("kept.*", "ids")
 
 
 def token_table(spark: SparkSession, ranks: dict[bytes, int] | None = None):

@@ -64,9 +64,11 @@ def test_ids_and_bytes_of_all_documents(spark, library):
     assert rows == want
 
 
-@pytest.mark.parametrize("words", [0, 3, 1 << 18])
-def test_words_by_broadcast_or_by_join(spark, library, monkeypatch, words):
+@pytest.mark.parametrize("words, rows", [(0, 1), (3, 40), (1 << 18, 4000)])
+def test_words_by_broadcast_or_by_join(spark, library, monkeypatch, words, rows):
     monkeypatch.setattr(bpe, "HEAD_WORDS", words)
+    monkeypatch.setattr(bpe, "BLOCK_ROWS", rows)
+    monkeypatch.setattr(bpe, "CUTS", 5)
     random.seed(4)
     some = ["the", " the", "cat's", "  x", "\n\n", "語" * 30, "a" * 5000, "1234 ", "é!?", "😀"]
     texts = ["".join(random.choices(some, k=random.randrange(60))) for _ in range(150)]
@@ -92,12 +94,6 @@ def test_no_documents_and_odd_ids(spark):
     assert got == {1: None, 2: b"", 3: table[0] + table[1]}
 
 
-def test_long_words_have_keys_of_their_own():
-    long = b"a" * 65
-    assert bpe.key_of(b"a" * 64) == b"a" * 64
-    assert bpe.key_of(long) == hashlib.sha256(long).digest() + b"a" * 64
-
-
 # Centroid clusters
 
 
