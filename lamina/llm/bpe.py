@@ -9,8 +9,9 @@ run of blanks begins, which no match crosses, so that equal cuts are matched onc
    decide nothing else.
 2. One pass over all texts writes blocks of rows: the ids of frequent words in order, and a hole for each
    other word, with the block's distinct words at holes. Blocks are bucketed by their number.
-3. These words are exploded with block and place, shuffled by word, and each distinct one is encoded once.
-   The ids go back to their blocks, which stay in their buckets, and into the holes by position.
+3. These words are exploded with block and position, packed by classes of words, and shuffled by class;
+   each distinct one is encoded once. The ids go back to their blocks, which stay in their buckets, and
+   into the holes by position.
 
 Decoding looks the ids up in the table of token bytes, which the vocabulary bounds.
 
@@ -31,6 +32,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import tiktoken
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,8 +48,8 @@ HEAD_WORDS = 1 << 17
 HEAD_BYTES = 1 << 23
 #: Rows and characters of a block.
 BLOCK_ROWS, BLOCK_CHARS = 4000, 16_000_000
-#: Cuts, and characters in them, that a task keeps in each of two generations.
-CUTS, CUT_CHARS = 150_000, 4_000_000
+#: Classes of words for each partition of a shuffle, and the distinct words of one that a task keeps.
+CLASSES, KEPT_WORDS = 4, 1_000_000
 #: Word counts are compared by their place on a scale of so many steps for each factor of two.
 STEPS = 16
 
@@ -142,66 +144,98 @@ def packed(size: int) -> np.dtype:
     return np.dtype("<u2" if size < 1 << 16 else "<u4")
 
 
-class Holed:
-    """Ids of texts, with ``hole`` for each word that ``heads`` lacks."""
-
-    def __init__(self, spelling: tuple[str, str], heads: dict[str, tuple[int, ...]], kind: np.dtype):
-        self.split, self.heads, self.kind = Splitter(spelling), heads, kind
-        self.hole = int(np.iinfo(kind).max)
-        # Two generations: what is looked up lives on in the younger, the rest goes with the older.
-        self.young: dict[str, tuple[tuple[int, ...], list[str]]] = {}
-        self.old: dict[str, tuple[tuple[int, ...], list[str]]] = {}
-        self.chars = 0
-
-    def of(self, cut: str) -> tuple[tuple[int, ...], list[str]]:
-        """A cut's ids, and its words at holes."""
-        found = self.old.pop(cut, None)
-        if found is None:
-            words = self.split.words(cut)
-            ids = [self.heads.get(w) for w in words]
-            flat = tuple(chain.from_iterable((self.hole,) if x is None else x for x in ids))
-            found = flat, [w for w, x in zip(words, ids) if x is None]
-        if len(self.young) >= CUTS or self.chars > CUT_CHARS:
-            self.old, self.young, self.chars = self.young, {}, 0
-        self.young[cut] = found
-        self.chars += len(cut)
-        return found
-
-    def row(self, text: str) -> tuple[np.ndarray, list[str]]:
-        """A text's ids, and its words at holes in order."""
-        held = self.young
-        ids, missing = [], []
-        for cut in self.split.cuts(text):
-            found = held.get(cut)
+class Numbers(dict):
+    """Numbers for keys, in the order in which they were first asked for."""
+
+    def __missing__(self, key):
+        self[key] = at = len(self)
+        return at
+
+    def of(self, keys: list) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, keys), np.int64, len(keys))
+
+
+def spread(flat: np.ndarray, sizes: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The parts ``at`` of ``flat``, one after the other; its parts are of ``sizes``."""
+    first, size = (np.cumsum(sizes) - sizes)[at], sizes[at]
+    begin = np.cumsum(size) - size
+    return flat[np.repeat(first - begin, size) + np.arange(size.sum())]
+
+
+def words_of(cuts: list[str], split: Splitter, heads: dict[str, tuple[int, ...]], hole: int):
+    """Of all cuts in a row: ids, with holes, and how many each has; the words at holes, and how many."""
+    ids, sizes, missing, lacks = [], [], [], []
+    for cut in cuts:
+        found = heads.get(cut)
+        if found is not None:
+            ids += found
+            sizes.append(len(found))
+            lacks.append(0)
+            continue
+        before, open_ = len(ids), len(missing)
+        for word in split.words(cut):
+            found = heads.get(word)
             if found is None:
-                found = self.of(cut)
-                held = self.young
-            ids.append(found[0])
-            if found[1]:
-                missing += found[1]
-        return np.fromiter(chain.from_iterable(ids), self.kind), missing
+                ids.append(hole)
+                missing.append(word)
+            else:
+                ids += found
+        sizes.append(len(ids) - before)
+        lacks.append(len(missing) - open_)
+    return ids, sizes, missing, lacks
 
 
-def blocks(texts: DataFrame, spelling: tuple[str, str], known, kind: np.dtype) -> DataFrame:
+def blocks(
+    texts: DataFrame, spelling: tuple[str, str], known, kind: np.dtype, classes: int
+) -> DataFrame:
     """``texts`` (kept, text) in blocks of rows.
 
     kept: the rows' own columns; ends: where each row's ids end in ``packed``, the block's ids; words: the
-    distinct words at holes; spots: for each hole in order, the place of its word in ``words``.
+    distinct words at holes, by classes, each with the place of its first word, the words' sizes and bytes;
+    spots: for each hole in order, the place of its word.
     """
+    hole = int(np.iinfo(kind).max)
+
+    def parted(words: list[str]) -> tuple[np.ndarray, list]:
+        """The words' places by class, and what of them goes into the table."""
+        of = np.array([xxhash.xxh32_intdigest(w) % classes for w in words], np.int64)
+        order = np.argsort(of, kind="stable")
+        place = np.empty(len(of), np.int64)
+        place[order] = np.arange(len(of))
+        letters = [words[i].encode() for i in order]
+        starts = np.flatnonzero(np.diff(of[order], prepend=-1))
+        rows = []
+        for a, b in zip(starts, [*starts[1:], len(of)]):
+            sizes = np.array([len(w) for w in letters[a:b]], "<u4")
+            rows.append((int(of[order[a]]), int(a), sizes.tobytes(), b"".join(letters[a:b])))
+        return place, rows
+
+    names = ("class", "first", "sizes", "letters")
+    rows_kind = pa.list_(
+        pa.struct(list(zip(names, (pa.int32(), pa.int32(), pa.binary(), pa.binary()))))
+    )
 
     def run(batches):
-        to_ids = Holed(spelling, known.value, kind)
-        kept, rows, words, spots, chars = [], [], {}, [], 0
+        split, heads = Splitter(spelling), known.value
+        cuts, kept, rows, chars = Numbers(), [], [], 0
 
         def out():
-            ends = np.cumsum([len(r) for r in rows], dtype=np.int64)
+            ids, sizes, missing, lacks = words_of(list(cuts), split, heads, hole)
+            ids, sizes, lacks = np.array(ids, kind), np.array(sizes, np.int64), np.array(lacks, np.int64)
+            at = np.concatenate(rows)
+            words = Numbers()
+            spots = spread(words.of(missing), lacks, at)
+            place, parts = parted(list(words))
             held = pa.chunked_array(kept).combine_chunks()
+            sizes_of_rows = np.add.reduceat(
+                np.append(sizes[at], 0), np.cumsum([0, *map(len, rows[:-1])])
+            ) * np.array([len(r) > 0 for r in rows])
             fields = [
                 pa.ListArray.from_arrays(pa.array([0, len(held)], pa.int32()), held),
-                pa.array([ends], pa.list_(pa.int64())),
-                pa.array([np.concatenate(rows).tobytes()], pa.binary()),
-                pa.array([list(words)], pa.list_(pa.string())),
-                pa.array([np.array(spots, "<i4").tobytes()], pa.binary()),
+                pa.array([np.cumsum(sizes_of_rows)], pa.list_(pa.int64())),
+                pa.array([spread(ids, sizes, at).tobytes()], pa.binary()),
+                pa.array([[dict(zip(names, r)) for r in parts]], rows_kind),
+                pa.array([place[spots].astype("<i4").tobytes()], pa.binary()),
             ]
             return pa.RecordBatch.from_arrays(fields, names=["kept", "ends", "packed", "words", "spots"])
 
@@ -212,63 +246,72 @@ def blocks(texts: DataFrame, spelling: tuple[str, str], known, kind: np.dtype) -
                 if rows and (chars + len(text) > BLOCK_CHARS or len(rows) >= BLOCK_ROWS):
                     kept.append(column.slice(start, at - start))
                     yield out()
-                    kept, rows, words, spots, chars, start = [], [], {}, [], 0, at
-                ids, missing = to_ids.row(text)
-                rows.append(ids)
-                spots += [words.setdefault(w, len(words)) for w in missing]
+                    cuts, kept, rows, chars, start = Numbers(), [], [], 0, at
+                rows.append(cuts.of(split.cuts(text)))
                 chars += len(text)
             kept.append(column.slice(start))
         if rows:
             yield out()
 
     own = texts.schema["kept"].dataType.simpleString()
+    parts = "array<struct<class:int,first:int,sizes:binary,letters:binary>>"
     return texts.mapInArrow(
-        run,
-        f"kept array<{own}>, ends array<long>, packed binary, words array<string>, spots binary",
+        run, f"kept array<{own}>, ends array<long>, packed binary, words {parts}, spots binary"
     )
 
 
 def encode_words(missing: DataFrame, ranks, kind: np.dtype) -> DataFrame:
-    """(block, spot, ids) of ``missing`` (block, spot, word): each distinct word is encoded once."""
+    """(block, first, sizes, ids) of ``missing`` (block, class, first, sizes, letters).
+
+    All words of a class are in one task, one class after the other, and each distinct one is encoded once.
+    """
 
     def run(batches):
         encoding = one_match(ranks.value)
-        last, ids = None, b""
+        last, known = None, {}
         for batch in batches:
-            for part in slices(batch, "word"):
-                out = []
-                for word in part.column("word").to_pylist():
-                    if word != last:
-                        last, ids = word, np.array(encoding.encode_ordinary(word), kind).tobytes()
-                    out.append(ids)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("block"), part.column("spot"), pa.array(out, pa.binary())],
-                    names=["block", "spot", "ids"],
-                )
+            sizes, ids = [], []
+            held = (batch.column(c) for c in ("class", "sizes", "letters"))
+            for of, lengths, letters in zip(*held):
+                if of.as_py() != last or len(known) > KEPT_WORDS:
+                    last, known = of.as_py(), {}
+                letters, start, found = letters.as_py(), 0, []
+                for end in np.cumsum(np.frombuffer(lengths.as_buffer(), "<u4"), dtype=np.int64).tolist():
+                    word = letters[start:end]
+                    start = end
+                    code = known.get(word)
+                    if code is None:
+                        code = np.array(encoding.encode_ordinary(word.decode()), kind).tobytes()
+                        known[word] = code
+                    found.append(code)
+                sizes.append(np.array([len(c) // kind.itemsize for c in found], "<u4").tobytes())
+                ids.append(b"".join(found))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("block"), batch.column("first"), pa.array(sizes), pa.array(ids)],
+                names=["block", "first", "sizes", "ids"],
+            )
 
-    by_word = missing.repartition("word").sortWithinPartitions("word")
-    return by_word.mapInArrow(run, "block long, spot int, ids binary")
+    by_class = missing.repartition("class").sortWithinPartitions("class")
+    return by_class.mapInArrow(run, "block long, first int, sizes binary, ids binary")
 
 
-def fill(row: np.ndarray, spots: np.ndarray, patches: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """A block's ids with those of ``patches`` in the holes, and how many ids each place became."""
-    kind = row.dtype
-    sizes = np.array([len(p) for p in patches], np.int64) // kind.itemsize
-    flat = np.frombuffer(b"".join(patches), kind)
-    first = np.cumsum(sizes) - sizes
-    is_hole = row == np.iinfo(kind).max
+def fill(
+    row: np.ndarray, spots: np.ndarray, sizes: np.ndarray, flat: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """A block's ids with those of the words at holes, and how many ids each place became.
+
+    Hole i is the word ``spots[i]``; all words' ids follow each other in ``flat``.
+    """
+    is_hole = row == np.iinfo(row.dtype).max
     times = np.ones(len(row), np.int32)
     times[is_hole] = sizes[spots]
     out = np.repeat(row, times)
-    # The ids of each hole's word, one hole after the other.
-    size = sizes[spots]
-    offset = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-    out[np.repeat(is_hole, times)] = flat[np.repeat(first[spots], size) + offset]
+    out[np.repeat(is_hole, times)] = spread(flat, sizes, spots)
     return out, times
 
 
 def filled(rows: DataFrame, kind: np.dtype) -> DataFrame:
-    """The rows (kept, ids) of the blocks; ``patches`` are (spot, ids) in order, or null without holes."""
+    """The rows (kept, ids) of the blocks; ``patches`` (first, sizes, ids) come in order, or are null."""
 
     def run(batches):
         for batch in batches:
@@ -278,8 +321,10 @@ def filled(rows: DataFrame, kind: np.dtype) -> DataFrame:
                 ends = held["ends"].values.to_numpy()
                 if held["patches"].is_valid:
                     spots = np.frombuffer(held["spots"].as_buffer(), "<i4")
-                    patches = held["patches"].values.field("ids").to_pylist()
-                    ids, times = fill(ids, spots, patches)
+                    parts = held["patches"].values
+                    sizes = np.frombuffer(b"".join(parts.field("sizes").to_pylist()), "<u4")
+                    flat = np.frombuffer(b"".join(parts.field("ids").to_pylist()), kind)
+                    ids, times = fill(ids, spots, sizes.astype(np.int64), flat)
                     ends = np.concatenate([[0], np.cumsum(times, dtype=np.int64)])[ends]
                 offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32))
                 lists = pa.ListArray.from_arrays(offsets, pa.array(ids.astype(np.int32)))
@@ -309,9 +354,10 @@ def encode(
         for w in frequent(texts.select("text"), spelling, folder)
     }
     known = spark.sparkContext.broadcast(heads)
-    # A block's number, given as the block is written, holds from there on.
-    made = blocks(texts, spelling, known, kind).withColumn("block", F.monotonically_increasing_id())
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    made = blocks(texts, spelling, known, kind, CLASSES * buckets)
+    # A block's number, given as the block is written, holds from there on.
+    made = made.withColumn("block", F.monotonically_increasing_id())
     name = f"bpe_{uuid.uuid4().hex}"
     made.write.bucketBy(buckets, "block").options(path=f"{folder}/blocks", compression="zstd").saveAsTable(
         name
@@ -320,10 +366,10 @@ def encode(
     # Only the name goes; the files are the caller's, and the bucketing is known by now.
     spark.sql(f"DROP TABLE {name}")
 
-    missing = table.select("block", F.posexplode("words").alias("spot", "word"))
+    missing = table.select("block", F.explode("words").alias("part")).select("block", "part.*")
     found = encode_words(missing, spark.sparkContext.broadcast(ranks), kind)
     patches = found.groupBy("block").agg(
-        F.sort_array(F.collect_list(F.struct("spot", "ids"))).alias("patches")
+        F.sort_array(F.collect_list(F.struct("first", "sizes", "ids"))).alias("patches")
     )
     whole = table.select("block", "kept", "ends", "packed", "spots").join(patches, "block", "left")
     return filled(whole.drop("block"), kind).select("kept.*", "ids")

@@ -68,7 +68,7 @@ def test_ids_and_bytes_of_all_documents(spark, library):
 def test_words_by_broadcast_or_by_join(spark, library, monkeypatch, words, rows):
     monkeypatch.setattr(bpe, "HEAD_WORDS", words)
     monkeypatch.setattr(bpe, "BLOCK_ROWS", rows)
-    monkeypatch.setattr(bpe, "CUTS", 5)
+    monkeypatch.setattr(bpe, "KEPT_WORDS", 2)
     random.seed(4)
     some = ["the", " the", "cat's", "  x", "\n\n", "語" * 30, "a" * 5000, "1234 ", "é!?", "😀"]
     texts = ["".join(random.choices(some, k=random.randrange(60))) for _ in range(150)]
