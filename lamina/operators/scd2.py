@@ -10,7 +10,9 @@ Rules where a log leaves room:
   columns win, so a replayed log gives the same history;
 * a change that leaves every stored column as it was opens no new version, unless
   ``collapse_unchanged`` is off;
-* nulls overwrite.
+* nulls overwrite, unless their columns are named in ``ignore_nulls``: an upsert then leaves what the
+  key last held in these columns since it was last deleted. Of changes at one place only the winner
+  counts here too.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lamina.columns import col, none_null
+from lamina.columns import col, none_null, quoted
 from lamina.operators.heavy import HOT_ROWS, heavy_keys, parts
 from lamina.schemas import UPDATE_PREIMAGE
 from lamina.session import work_dir
@@ -51,9 +53,13 @@ def scd2_history(
     change_type: str = "operation_type",
     hot_rows: int | None = HOT_ROWS,
     hot_from: DataFrame | None = None,
+    ignore_nulls: bool | Sequence[str] = False,
 ) -> DataFrame:
     """Keys, stored columns, ``__START_AT`` and ``__END_AT`` of every version.
 
+    ``ignore_nulls`` names the stored columns in which a null leaves the value that was there; True
+    means all of them.
+
     Keys above ``hot_rows`` changes are cut into stretches of their own sequence, worked on separately
     and joined up at the edges (None: never). They are looked for in ``changes``, or in ``hot_from``, a
     table that has the key columns at less cost.
@@ -61,17 +67,27 @@ def scd2_history(
     keys = list(keys)
     skip = {*keys, *except_column_list}
     stored = [c for c in changes.columns if c not in skip]
+    kept = _kept_columns(ignore_nulls, stored)
     log = _prepare(changes, keys, sequence_by, apply_as_deletes, stored, tie_columns, change_type)
     hot = heavy_keys(log if hot_from is None else hot_from, keys, hot_rows)
     if hot is None:
-        return _finish(_whole_keys(log, keys, collapse_unchanged), keys, stored)
+        return _finish(_whole_keys(log, keys, collapse_unchanged, kept), keys, stored)
     usual = log.join(hot.select(*_cols(keys)), keys, "left_anti")
-    versions = _whole_keys(usual, keys, collapse_unchanged).unionByName(
-        _cut_keys(log, hot, keys, collapse_unchanged, hot_rows)
+    versions = _whole_keys(usual, keys, collapse_unchanged, kept).unionByName(
+        _cut_keys(log, hot, keys, collapse_unchanged, hot_rows, kept)
     )
     return _finish(versions, keys, stored)
 
 
+def _kept_columns(ignore_nulls: bool | Sequence[str], stored: list[str]) -> list[str]:
+    if isinstance(ignore_nulls, bool):
+        return stored if ignore_nulls else []
+    unknown = [c for c in ignore_nulls if c not in stored]
+    if unknown:
+        raise ValueError(f"not stored columns: {', '.join(unknown)}")
+    return list(ignore_nulls)
+
+
 def _cols(names: Sequence[str]) -> list[Column]:
     return [col(n) for n in names]
 
@@ -115,7 +131,37 @@ def _state() -> Column:
     return F.when(F.col("__change.upsert"), F.col("__change.payload")).alias("__state")
 
 
-def _whole_keys(log: DataFrame, keys: list[str], collapse: bool) -> DataFrame:
+def _told(kept: Sequence[str]) -> Column:
+    """For each kept column what a change says of it: a value in a struct, or nothing.
+
+    A delete says of each that there is no value.
+    """
+    says = []
+    for i, c in enumerate(kept):
+        value = F.col("__state").getField(c)
+        said = F.col("__state").isNull() | value.isNotNull()
+        says.append(F.when(said, F.struct(value.alias("value"))).alias(f"c{i}"))
+    return F.struct(*says)
+
+
+def _last_told(told: str, kept: Sequence[str], window) -> Column:
+    """The last that was said of each kept column up to the window's end."""
+    return F.struct(
+        *[F.last(F.col(told)[f"c{i}"], True).over(window).alias(f"c{i}") for i in range(len(kept))]
+    )
+
+
+def _filled(known: Column, kept: Sequence[str]) -> Column:
+    """The state with its kept columns as they were last known."""
+    state = F.col("__state")
+    for i, c in enumerate(kept):
+        state = state.withField(quoted(c), known[f"c{i}"]["value"])
+    return F.when(F.col("__state").isNotNull(), state).alias("__state")
+
+
+def _whole_keys(
+    log: DataFrame, keys: list[str], collapse: bool, kept: Sequence[str] = ()
+) -> DataFrame:
     """Versions of keys that fit a task: one shuffle and one sort serve all the windows."""
     ties = Window.partitionBy(*_cols(keys), "__seq").orderBy(F.desc("__change"))
     line = Window.partitionBy(*_cols(keys)).orderBy("__seq")
@@ -125,6 +171,12 @@ def _whole_keys(log: DataFrame, keys: list[str], collapse: bool) -> DataFrame:
         .where("__tie = 1")
         .select(*_cols(keys), "__seq", _state())
     )
+    if kept:
+        so_far = line.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        known = winners.withColumn("__told", _told(kept)).withColumn(
+            "__known", _last_told("__told", kept, so_far)
+        )
+        winners = known.select(*_cols(keys), "__seq", _filled(F.col("__known"), kept))
     return (
         _mark(winners, line, collapse)
         .where("__changed")
@@ -141,8 +193,41 @@ def _mark(winners: DataFrame, line, collapse: bool) -> DataFrame:
     return marked.withColumn("__same", same).withColumn("__changed", F.expr("__first OR NOT __same"))
 
 
+def _carry_over(winners: DataFrame, keys: list[str], kept: Sequence[str]) -> DataFrame:
+    """``winners`` with kept columns filled, within each stretch and from the stretches before.
+
+    What a stretch ends with is one small row, as in ``_edges``.
+    """
+    line = Window.partitionBy(*_cols(keys), "__chunk").orderBy("__seq")
+    so_far = line.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    known = winners.withColumn("__told", _told(kept)).withColumn(
+        "__known", _last_told("__told", kept, so_far)
+    )
+    ends = known.groupBy(*_cols(keys), "__chunk").agg(F.max_by("__known", "__seq").alias("__held"))
+    before = (
+        Window.partitionBy(*_cols(keys))
+        .orderBy("__chunk")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    inherited = ends.withColumn("__inherited", _last_told("__held", kept, before)).drop("__held")
+    own = F.struct(
+        *[
+            F.coalesce(F.col("__known")[f"c{i}"], F.col("__inherited")[f"c{i}"]).alias(f"c{i}")
+            for i in range(len(kept))
+        ]
+    )
+    return known.join(inherited, [*keys, "__chunk"]).select(
+        *_cols(keys), "__chunk", "__seq", _filled(own, kept)
+    )
+
+
 def _cut_keys(
-    log: DataFrame, hot: DataFrame, keys: list[str], collapse: bool, hot_rows: int
+    log: DataFrame,
+    hot: DataFrame,
+    keys: list[str],
+    collapse: bool,
+    hot_rows: int,
+    kept: Sequence[str] = (),
 ) -> DataFrame:
     """Versions of hot keys. No task sees more than a stretch of one key.
 
@@ -159,6 +244,8 @@ def _cut_keys(
         .withColumn("__chunk", _chunk_of(F.col("__cuts"), F.col("__seq")))
         .select(*_cols(keys), "__chunk", "__seq", _state())
     )
+    if kept:
+        winners = _carry_over(winners, keys, kept)
     line = Window.partitionBy(*_cols(keys), "__chunk").orderBy("__seq")
     marked = _mark(winners, line, collapse)
     edges = _edges(marked, keys, collapse)

@@ -313,6 +313,38 @@ def scd2_every_change(spark, sf_dir):
     )
 
 
+def _sparse_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The users' changes as updates of single columns: what an update doesn't touch is null."""
+    band = F.when(F.col("event_id") % 3 > 0, F.col("band"))
+    grade = F.when(F.col("event_id") % 5 > 1, F.col("event_id") % 4)
+    return _users_bronze(spark, sf_dir).withColumns({"band": band, "grade": grade})
+
+
+def _sparse_history(changes: DataFrame, hot_rows: int | None) -> DataFrame:
+    return scd2_history(
+        changes,
+        USERS_FLOW.keys,
+        USERS_FLOW.sequence_by,
+        USERS_FLOW.apply_as_deletes,
+        USERS_FLOW.except_column_list,
+        tie_columns=["event_id"],
+        hot_rows=hot_rows,
+        ignore_nulls=True,
+    )
+
+
+@query("scd2_ignore_nulls")
+def scd2_ignore_nulls(spark, sf_dir):
+    """A null leaves the value that was there."""
+    return _sparse_history(_sparse_feed(spark, sf_dir), None)
+
+
+@query("scd2_ignore_nulls_hot")
+def scd2_ignore_nulls_hot(spark, sf_dir):
+    """The same with most keys cut into stretches."""
+    return _sparse_history(_sparse_feed(spark, sf_dir), 5)
+
+
 @query("scd2_tx")
 def scd2_tx(spark, sf_dir):
     tx = shapes.transactions(spark, sf_dir)

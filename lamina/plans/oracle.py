@@ -95,6 +95,31 @@ USERS_ALL = [
         collapse=False,
     ),
 ]
+SPARSE = [
+    CHG,
+    "sparse AS (SELECT user_id, event_id, operation_type, commit_timestamp, "
+    "CASE WHEN event_id % 3 > 0 THEN band END AS band, "
+    "CASE WHEN event_id % 5 > 1 THEN event_id % 4 END AS grade FROM chg "
+    "WHERE operation_type <> 'update_preimage')",
+    "firsts AS (SELECT *, operation_type = 'delete' AS dropped FROM sparse QUALIFY row_number() OVER "
+    "(PARTITION BY user_id, commit_timestamp ORDER BY operation_type = 'delete', event_id DESC) = 1)",
+    "lives AS (SELECT *, count(*) FILTER (dropped) OVER (PARTITION BY user_id ORDER BY commit_timestamp) "
+    "AS life FROM firsts)",
+    "known AS (SELECT user_id, event_id, commit_timestamp, dropped, "
+    "CASE WHEN NOT dropped THEN last_value(CASE WHEN NOT dropped THEN band END IGNORE NULLS) OVER v END "
+    "AS band, "
+    "CASE WHEN NOT dropped THEN last_value(CASE WHEN NOT dropped THEN grade END IGNORE NULLS) OVER v END "
+    "AS grade FROM lives WINDOW v AS (PARTITION BY user_id, life ORDER BY commit_timestamp "
+    "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))",
+    *_history(
+        "known",
+        ["user_id"],
+        "commit_timestamp",
+        ["band", "grade"],
+        ["event_id"],
+        deleted="dropped",
+    ),
+]
 TX_STORED = ["acct_id", "ticker_symbol", "quantity", "total_holdings", "total_amt"]
 TX_HISTORY = [TX, *_history("tx", ["transaction_id"], "transaction_date", TX_STORED, TX_STORED)]
 # The date is a stored column too when the history feeds the profile.
@@ -291,6 +316,7 @@ BRONZE_COLUMNS = (
     "user_id, event_id, band, source_file, operation_type, commit_version, commit_timestamp"
 )
 TX_COLUMNS = "transaction_id, acct_id, ticker_symbol, quantity, total_holdings, total_amt"
+HIST_SPARSE = 'SELECT user_id, band, grade, "__START_AT", "__END_AT" FROM hist'
 HIST_USERS = 'SELECT user_id, band, "__START_AT", "__END_AT" FROM hist'
 OPEN_USERS = 'opened AS (SELECT user_id FROM hist WHERE "__END_AT" IS NULL)'
 SILVER_ACCOUNTS = (
@@ -356,6 +382,8 @@ ORACLE = {
     "scd2_every_change": _with(*USERS_ALL) + HIST_USERS,
     "scd2_current": _with(*USERS)
     + 'SELECT user_id, band, "__START_AT" FROM hist WHERE "__END_AT" IS NULL',
+    "scd2_ignore_nulls": _with(*SPARSE) + HIST_SPARSE,
+    "scd2_ignore_nulls_hot": _with(*SPARSE) + HIST_SPARSE,
     "scd2_tx": _with(*TX_HISTORY) + f'SELECT {TX_COLUMNS}, "__START_AT", "__END_AT" FROM hist',
     "scd2_composite_key": _with(
         *_history(

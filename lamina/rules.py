@@ -64,6 +64,8 @@ class ChangeFlow:
     expectations: dict[str, str] = field(default_factory=dict)
     sequence_by: str = "commit_timestamp"
     apply_as_deletes: str | None = DELETE_CONDITION
+    # Columns in which a null leaves the value that was there, or True for all.
+    ignore_null_updates: bool | tuple[str, ...] = False
 
 
 ACCOUNTS_FLOW = ChangeFlow(

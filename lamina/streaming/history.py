@@ -165,6 +165,7 @@ def apply_changes(
                 tie_columns,
                 collapse_unchanged=collapse_unchanged,
                 hot_rows=hot_rows,
+                ignore_nulls=flow.ignore_null_updates,
             )
             ends = F.coalesce(period_of(END, moment, unit), F.lit(OPEN))
             placed = add_bucket(versions, flow.keys, buckets, BUCKET).withColumn(PERIOD, ends)

@@ -171,3 +171,59 @@ def test_one_shuffle(spark, tmp_path):
     assert plan.count("Exchange") == 1
     assert plan.count("Sort ") == 1
     assert "extra" not in plan.split("ReadSchema")[1]
+
+
+# Nulls that leave what was there
+
+SPARSE = "k STRING, a INT, `b.c` INT, seq INT, operation_type STRING"
+
+
+def sparse_model(log, kept):
+    """One change at a time; ``kept`` are the places of the columns in which nulls leave the value."""
+    out = []
+    for key in {row[0] for row in log}:
+        winners = {}
+        for k, a, b, seq, op in log:
+            if k != key or op == PRE:
+                continue
+            rank = (op != DEL, a is not None, a or 0, b is not None, b or 0)
+            if seq not in winners or rank > winners[seq][0]:
+                winners[seq] = (rank, None if op == DEL else [a, b])
+        line, state = [], None
+        for seq in sorted(winners):
+            new = winners[seq][1]
+            if new is not None and state is not None:
+                new = [old if v is None and i in kept else v for i, (v, old) in enumerate(zip(new, state))]
+            if not line or new != state:
+                line.append((seq, new))
+            state = new
+        for (seq, held), (until, _) in zip(line, [*line[1:], (None, None)]):
+            if held is not None:
+                out.append((key, *held, seq, until))
+    return sorted(out, key=repr)
+
+
+sparse_logs = st.lists(
+    st.tuples(
+        st.sampled_from(["x", "y"]),
+        st.one_of(st.none(), st.integers(0, 2)),
+        st.one_of(st.none(), st.integers(0, 2)),
+        st.integers(1, 12),
+        st.sampled_from([INS, POST, POST, PRE, DEL]),
+    ),
+    max_size=40,
+)
+
+
+@settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(sparse_logs, st.sampled_from([True, ["a"], ["b.c"]]), st.sampled_from([None, 3]))
+def test_nulls_leave_the_value_that_was_there(spark, log, ignored, hot_rows):
+    kept = {True: (0, 1), "a": (0,), "b.c": (1,)}[ignored if ignored is True else ignored[0]]
+    df = spark.createDataFrame(log, SPARSE)
+    assert rows(history(df, hot_rows, ignore_nulls=ignored)) == sparse_model(log, kept)
+
+
+def test_only_stored_columns_can_keep_their_values(spark):
+    df = spark.createDataFrame([], LOG)
+    with pytest.raises(ValueError, match="not stored columns: seq"):
+        history(df, ignore_nulls=["seq"])
