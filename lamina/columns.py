@@ -27,5 +27,10 @@ def free_name(name: str, *tables: DataFrame) -> str:
     return name
 
 
+def sql_text(value: str) -> str:
+    """A SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def none_null(names: Sequence[str]) -> Column:
     return reduce(and_, [col(n).isNotNull() for n in names])

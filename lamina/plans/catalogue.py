@@ -25,14 +25,18 @@ from lamina.schemas import bronze as bronze_schema
 from lamina.session import work_dir
 from lamina.sources.changelog import read_change_stream, read_changes, write_commits
 from lamina.sources.tables import SourceTable, append_table, read_append_stream, read_table
+from lamina.sources.versions import Versions
 from lamina.streaming.history import (
     LAYOUT,
+    PLACES,
     apply_changes,
+    apply_flows,
     place_changes,
     placed_schema,
     read_history,
 )
-from lamina.streaming.tables import BATCH, stream_to_table, stream_with_quality
+from lamina.streaming.landing import land, merge_parts, read_landed_stream
+from lamina.streaming.tables import BATCH, read_counts, stream_with_quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -385,12 +389,10 @@ def run_users_pipeline(
     """What is new in the users' log, through bronze into their history."""
     log = read_change_stream(spark, f"{base}/log", columns, max_files=log_files)
     bronze = place_changes(enrich_changes(log, "accounts"), USERS_FLOW, USER_BUCKETS, "WEEK")
-    stream_to_table(bronze, f"{base}/bronze", f"{base}/checkpoints/bronze", LAYOUT)
+    land(bronze, f"{base}/bronze", f"{base}/checkpoints/bronze", PLACES)
     schema = placed_schema(bronze_schema(columns))
     apply_changes(
-        spark.readStream.schema(schema)
-        .option("maxFilesPerTrigger", bronze_files)
-        .parquet(f"{base}/bronze"),
+        read_landed_stream(spark, f"{base}/bronze", schema, bronze_files),
         f"{base}/bronze",
         f"{base}/silver",
         f"{base}/checkpoints/silver",
@@ -412,6 +414,51 @@ def stream_scd2(spark, sf_dir):
     return run_users_pipeline(spark, base, feed.drop(*CHANGE_COLUMNS).schema, 12, 30)
 
 
+@query("bronze_merged")
+def bronze_merged(spark, sf_dir):
+    """The feed landed commit by commit, its parts merged as they add up."""
+    base = work_dir(spark, "bronze_merged")
+    feed = _daily_commits(spark, sf_dir)
+    write_commits(feed, f"{base}/log")
+    columns = feed.drop(*CHANGE_COLUMNS).schema
+    log = read_change_stream(spark, f"{base}/log", columns, max_files=5)
+    bronze = enrich_changes(log, "accounts", stamp=False)
+    placed = place_changes(bronze, USERS_FLOW, USER_BUCKETS, "YEAR")
+    land(placed, f"{base}/bronze", f"{base}/checkpoints/bronze", PLACES)
+    merge_parts(spark, f"{base}/bronze", placed.schema, PLACES, fan=3, keep=1)
+    return Versions(spark, f"{base}/bronze", PLACES).read(placed.schema).drop(*LAYOUT)
+
+
+@query("stream_two_flows")
+def stream_two_flows(spark, sf_dir):
+    """Two logs that share keys, taken in by turns into one history."""
+    base = work_dir(spark, "two_flows")
+    feed = _daily_commits(spark, sf_dir)
+    columns = feed.drop(*CHANGE_COLUMNS).schema
+    schema = placed_schema(bronze_schema(columns))
+    odd = F.col("event_id") % 2 == 1
+    for name, part in (("odd", odd), ("even", ~odd)):
+        write_commits(feed.where(part), f"{base}/log_{name}")
+        log = read_change_stream(spark, f"{base}/log_{name}", columns)
+        placed = place_changes(enrich_changes(log, "accounts"), USERS_FLOW, USER_BUCKETS, "WEEK")
+        land(placed, f"{base}/{name}", f"{base}/checkpoints/{name}", PLACES)
+    flows = {name: f"{base}/{name}" for name in ("odd", "even")}
+    for name in flows:
+        apply_flows(
+            spark,
+            flows,
+            schema,
+            f"{base}/silver",
+            f"{base}/checkpoints/silver",
+            USERS_FLOW,
+            USER_BUCKETS,
+            "WEEK",
+            only=[name],
+            tie_columns=["event_id"],
+        )
+    return read_history(spark, f"{base}/silver", schema, USERS_FLOW)
+
+
 @query("stream_append_silver")
 def stream_append_silver(spark, sf_dir):
     """Accounts streamed into an append-mode silver table."""
@@ -446,7 +493,7 @@ def stream_quality(spark, sf_dir):
         rules.CUSTOMERS,
         f"{base}/quality",
     )
-    counts = spark.read.parquet(f"{base}/quality").groupBy("dataset", "expectation")
+    counts = read_counts(spark, f"{base}/quality").groupBy("dataset", "expectation")
     return counts.agg(
         F.sum("total_rows").alias("total_rows"), F.sum("failed_rows").alias("failed_rows")
     )
@@ -461,7 +508,7 @@ def cdc_quality(spark, sf_dir):
     run_users_pipeline(
         spark, base, feed.drop(*CHANGE_COLUMNS).schema, 1000, 1000, f"{base}/quality"
     )
-    counts = spark.read.parquet(f"{base}/quality").groupBy("dataset", "expectation")
+    counts = read_counts(spark, f"{base}/quality").groupBy("dataset", "expectation")
     return counts.agg(
         F.sum("total_rows").alias("total_rows"), F.sum("failed_rows").alias("failed_rows")
     )

@@ -323,6 +323,11 @@ SILVER_ACCOUNTS = (
     _with(ACC) + 'SELECT acc.*, CAST(NULL AS TIMESTAMP) AS "__END_AT", TRUE AS is_current FROM acc'
 )
 
+BRONZE_DAILY = (
+    _with(CHG)
+    + "SELECT * REPLACE (CAST(floor(commit_version / 24) AS BIGINT) AS commit_version) "
+    + f"FROM (SELECT {BRONZE_COLUMNS} FROM chg)"
+)
 BRONZE_CUSTOMER = (
     _with(CUS)
     + "SELECT cus.*, 'customer' AS source_file, 'insert' AS operation_type,"
@@ -378,6 +383,8 @@ ORACLE = {
     "scd2_history": _with(*USERS) + HIST_USERS,
     "scd2_out_of_order": _with(*USERS) + HIST_USERS,
     "scd2_hot_keys": _with(*USERS) + HIST_USERS,
+    "stream_two_flows": _with(*USERS) + HIST_USERS,
+    "bronze_merged": BRONZE_DAILY,
     "stream_scd2": _with(*USERS) + HIST_USERS,
     "scd2_every_change": _with(*USERS_ALL) + HIST_USERS,
     "scd2_current": _with(*USERS)

@@ -1,7 +1,8 @@
 """The two pipelines, each one call: bronze, silver, gold, in the order of their data.
 
 A call takes in what is new since the last one. A full refresh is a call with a new ``run`` name: the
-layers are rebuilt from the sources in folders of their own, and the old ones stay readable meanwhile.
+layers are rebuilt from the sources in folders of their own, and the old ones stay readable meanwhile. The
+run that ended last is the one that ``Folders.live`` gives, and that the names in the catalog show.
 """
 
 from __future__ import annotations
@@ -19,21 +20,28 @@ from lamina.operators.heavy import HOT_ROWS
 from lamina.operators.quality import expect_all, observed_report
 from lamina.plans.gold import cust_tran_profile, ticker_dist_geo
 from lamina.sources.changelog import read_change_stream
-from lamina.sources.tables import (
-    SourceTable,
-    read_append_stream,
-    refresh_view,
-    register_table,
-)
+from lamina.sources.tables import SourceTable, read_append_stream, register_table
+from lamina.sources.versions import Versions, read_view, refresh_view, show_version
 from lamina.streaming.history import (
-    LAYOUT,
+    PLACES,
     apply_changes,
     keep_layout,
     place_changes,
     placed_schema,
     read_history,
 )
-from lamina.streaming.tables import BATCH, keep_counts, stream_to_table, stream_with_quality
+from lamina.streaming.landing import land, merge_parts, read_landed_stream
+from lamina.streaming.tables import (
+    BATCH,
+    read_counts,
+    replace_counts,
+    stream_to_table,
+    stream_with_quality,
+)
+
+
+#: The run of folders that no refresh has ended in.
+NO_RUN = ""
 
 
 @dataclass(frozen=True)
@@ -56,6 +64,17 @@ class Folders:
     def full_refresh(self, run: str) -> Folders:
         return replace(self, run=run)
 
+    def cut_over(self, spark: SparkSession) -> None:
+        """Make this run the one that readers are given."""
+        if self.live(spark).run != self.run:
+            refresh_view(spark.createDataFrame([(self.run,)], "run STRING"), f"{self.base}/live")
+
+    def live(self, spark: SparkSession) -> Folders:
+        """The folders of the run that readers are given; its name is empty before any has ended."""
+        if Versions(spark, f"{self.base}/live").current() is None:
+            return replace(self, run=NO_RUN)
+        return replace(self, run=read_view(spark, f"{self.base}/live").first()["run"])
+
 
 # Per table: its name, columns, flow, and the name under which bronze knows the source.
 CDC_TABLES = (
@@ -87,14 +106,15 @@ def refresh_cdc(
         bronze = folders.at("bronze", name)
         feed = read_change_stream(spark, folders.source(name, schema).log, schema)
         casts = COORDINATES if source_file == "customer" else None
-        stream_to_table(
+        land(
             place_changes(enrich_changes(feed, source_file, casts), flow, buckets, unit),
             bronze,
             folders.at("checkpoints", f"{name}_bronze"),
-            LAYOUT,
+            PLACES,
         )
+        placed = placed_schema(schemas.bronze(schema))
         apply_changes(
-            spark.readStream.schema(placed_schema(schemas.bronze(schema))).parquet(bronze),
+            read_landed_stream(spark, bronze, placed),
             bronze,
             folders.at("silver", flow.name),
             folders.at("checkpoints", f"{flow.name}_cdc_flow"),
@@ -104,6 +124,7 @@ def refresh_cdc(
             folders.quality,
             hot_rows=hot_rows,
         )
+        merge_parts(spark, bronze, placed, PLACES)
     only_current = (True, True, current_transactions_only)
     accounts, customers, tx = (
         read_history(
@@ -113,11 +134,12 @@ def refresh_cdc(
     )
     profile = cust_tran_profile(accounts, customers, tx, F.current_timestamp(), hot_rows)
     gold = _refresh_gold(folders, "cust_tran_profile", profile, rules.PROFILE)
+    folders.cut_over(spark)
     if register_as:
         for name, _, flow, _ in CDC_TABLES:
-            _register(spark, folders, register_as, "bronze", name)
-            _register(spark, folders, register_as, "silver", flow.name)
-        _register(spark, folders, register_as, "gold", "cust_tran_profile")
+            _show(spark, folders, register_as, "bronze", name, PLACES)
+            _show(spark, folders, register_as, "silver", flow.name, PLACES)
+        _show(spark, folders, register_as, "gold", "cust_tran_profile")
     return gold
 
 
@@ -165,12 +187,13 @@ def refresh_append(
         _refresh_gold(folders, "cust_tran_profile", profile, rules.PROFILE),
         _refresh_gold(folders, "ticker_dist_geo", geo, rules.GEO),
     )
+    folders.cut_over(spark)
     if register_as:
         for name, _, target, _ in steps:
             _register(spark, folders, register_as, "bronze", name)
             _register(spark, folders, register_as, "silver", target)
         for view in ("cust_tran_profile", "ticker_dist_geo"):
-            _register(spark, folders, register_as, "gold", view)
+            _show(spark, folders, register_as, "gold", view)
     return views
 
 
@@ -185,6 +208,21 @@ def _register(spark: SparkSession, folders: Folders, database: str, layer: str,
         spark.catalog.recoverPartitions(full)
 
 
+def _show(
+    spark: SparkSession,
+    folders: Folders,
+    database: str,
+    layer: str,
+    name: str,
+    layout: T.StructType | None = None,
+) -> None:
+    """Have ``database.layer_name`` show the newest version of a table, all at once."""
+    table = Versions(spark, folders.at(layer, name), layout)
+    show_version(
+        spark, f"{database}.{layer}_{name}", table, rules.COMMENTS[layer], rules.PROPERTIES[layer]
+    )
+
+
 def _refresh_gold(
     folders: Folders, name: str, view: DataFrame, expectations: dict[str, str]
 ) -> DataFrame:
@@ -192,13 +230,13 @@ def _refresh_gold(
     path = folders.at("gold", name)
     refresh_view(counted, path)
     report = observed_report(view.sparkSession, name, expectations, seen)
-    keep_counts(report, name, folders.quality, 0)
-    return view.sparkSession.read.parquet(path)
+    replace_counts(report, name, folders.quality)
+    return read_view(view.sparkSession, path)
 
 
 def quality_report(spark: SparkSession, folders: Folders) -> DataFrame:
     """What every dataset's expectations have counted, summed over the batches."""
-    counts = spark.read.parquet(folders.quality).groupBy("dataset", "expectation")
+    counts = read_counts(spark, folders.quality).groupBy("dataset", "expectation")
     return counts.agg(
         F.sum("total_rows").alias("total_rows"), F.sum("failed_rows").alias("failed_rows")
     )

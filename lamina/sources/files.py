@@ -21,8 +21,14 @@ class Store:
     def children(self, path: str) -> list[str]:
         return [s.getPath().getName() for s in self._fs.listStatus(self._path(path))]
 
+    def make(self, path: str) -> None:
+        self._fs.mkdirs(self._path(path))
+
     def move(self, source: str, target: str) -> None:
+        """Rename a folder; ``target`` must not be there."""
         to = self._path(target)
+        if self._fs.exists(to):
+            raise FileExistsError(target)
         self._fs.mkdirs(to.getParent())
         if not self._fs.rename(self._path(source), to):
             raise OSError(f"{source} cannot be moved to {target}")
@@ -45,7 +51,12 @@ def replace_folder(spark: SparkSession, path: str, write: Callable[[str], None])
         write(fresh)
         if store.exists(path):
             store.move(path, old)
-        store.move(fresh, path)
+        try:
+            store.move(fresh, path)
+        except Exception:
+            if store.exists(old):
+                store.move(old, path)
+            raise
     finally:
         store.remove(fresh)
     store.remove(old)

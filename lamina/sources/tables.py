@@ -9,11 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lamina.columns import col
+from lamina.columns import col, sql_text
 from lamina.operators.diff import append_changes, overwrite_changes
 from lamina.schemas import INSERT, change_feed
 from lamina.sources.changelog import write_commit
-from lamina.sources.files import replace_folder
 
 
 def create_table(
@@ -73,11 +72,6 @@ def ticker_list(spark: SparkSession, table: str, column: str = "ticker") -> Data
     return spark.table(table).select(column)
 
 
-def refresh_view(df: DataFrame, path: str) -> None:
-    """Rebuild a gold view in full. Readers have the old one until the new is complete."""
-    replace_folder(df.sparkSession, path, lambda fresh: overwrite_table(df, fresh))
-
-
 @dataclass(frozen=True)
 class SourceTable:
     """A source table that records its own changes: rows at ``path``, its feed at ``log``.
@@ -126,15 +120,10 @@ def register_table(
     """Give a Parquet folder a table name, a comment and properties in the catalog."""
     spark.catalog.createTable(name, path=path, source="parquet", description=comment or "")
     if properties:
-        pairs = ", ".join(f"{_text(k)} = {_text(v)}" for k, v in properties.items())
+        pairs = ", ".join(f"{sql_text(k)} = {sql_text(v)}" for k, v in properties.items())
         spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({pairs})")
 
 
-def _text(value: str) -> str:
-    """A SQL string literal."""
-    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def table_properties(spark: SparkSession, name: str) -> DataFrame:
     """The properties set on a registered table."""
     return spark.sql(f"SHOW TBLPROPERTIES {name}")

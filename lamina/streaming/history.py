@@ -4,15 +4,17 @@ Both tables are partitioned twice: by a bucket of the keys, and by a period. Bro
 change's sequence value; the history has that of a version's end, or ``open``. A run finds the oldest
 change it got for each bucket and goes back to the start of that period, the cut. Versions that ended
 before the cut cannot change. All others of the bucket are derived again from the bronze rows since
-the cut and from the versions that reach over it, and replace their partitions. So a run costs what the
-touched buckets hold in recent periods and in open versions, however long the history is; a late
-change costs more, and ends in the same history.
+the cut and from the versions that reach over it, and take the place of their partitions in the next
+version of the table. So a run costs what the touched buckets hold in recent periods and in open versions,
+however long the history is; a late change costs more, and ends in the same history. Readers see the
+history before or after a run, and never a mix of both.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,12 +29,14 @@ from lamina.operators.scd2 import END, START, scd2_history
 from lamina.rules import ChangeFlow
 from lamina.schemas import INSERT, UPDATE_PREIMAGE
 from lamina.sources.files import Store, replace_folder
-from lamina.sources.tables import create_table
+from lamina.sources.versions import Versions
+from lamina.streaming.landing import read_landed_stream
 from lamina.streaming.tables import for_each_batch, keep_counts
 
 BUCKET, PERIOD = "_bucket", "_period"
 OPEN = "open"
 LAYOUT = [BUCKET, PERIOD]
+PLACES = T.StructType().add(BUCKET, "integer").add(PERIOD, "string")
 UNITS = ("DAY", "WEEK", "MONTH", "QUARTER", "YEAR")
 LAYOUT_SCHEMA = T.StructType().add("buckets", "integer").add("unit", "string")
 
@@ -99,15 +103,15 @@ def read_history(
     bronze: T.StructType,
     flow: ChangeFlow,
     only_current: bool = False,
+    version: int | None = None,
 ) -> DataFrame:
-    """The versions, without the rows that stand in for emptied partitions.
+    """The versions of every key, as the table's newest ``version`` or an older one has them.
 
     ``only_current`` gives the open versions and reads nothing else.
     """
-    history = spark.read.schema(placed_schema(history_schema(bronze, flow))).parquet(path)
-    if only_current:
-        history = history.where(F.col(PERIOD) == OPEN)
-    return history.where(col(flow.keys[0]).isNotNull()).drop(*LAYOUT)
+    where = F.col(PERIOD) == OPEN if only_current else None
+    placed = placed_schema(history_schema(bronze, flow))
+    return Versions(spark, path, PLACES).read(placed, where, version).drop(*LAYOUT)
 
 
 def apply_changes(
@@ -122,15 +126,17 @@ def apply_changes(
     tie_columns: Sequence[str] = (),
     hot_rows: int | None = HOT_ROWS,
     collapse_unchanged: bool = True,
+    beside: Sequence[str] = (),
+    keep: int = 2,
 ) -> StreamingQuery:
     """Bring the SCD2 table at ``target`` up to date with the bronze table at ``bronze``.
 
-    ``stream`` reads that same bronze table, which is the truth. Late changes, replays and batches
-    that run a second time all end in the history that a single run would give. Readers may see some
-    partitions old and some new while a run commits. The flow's sequence must be a date or a time;
-    ``buckets`` and ``unit`` are those of ``place_changes`` and stay the same for the table's life:
-    other ones than the table was made with raise ValueError, and a batch whose rows lie elsewhere than
-    they say fails before it writes anything.
+    ``stream`` reads what lands in that same bronze table, which is the truth, together with the bronze
+    tables ``beside`` it that other flows bring in. Late changes, replays and batches that run a second time
+    all end in the history that a single run would give. The last ``keep`` versions of the table stay
+    readable. The flow's sequence must be a date or a time; ``buckets`` and ``unit`` are those of
+    ``place_changes`` and stay the same for the table's life: other ones than the table was made with raise
+    ValueError, and a batch whose rows lie elsewhere than they say fails before it writes anything.
     """
     unit = checked_unit(unit)
     keep_layout(stream.sparkSession, target, buckets, unit)
@@ -142,9 +148,6 @@ def apply_changes(
     schema = stream.schema
     moment = schema[flow.sequence_by].dataType
     placed_history = placed_schema(history_schema(schema, flow))
-    # Numbered by the checkpoint's batches, so it lives and goes with the checkpoint.
-    carry = f"{checkpoint}/carried"
-    create_table(stream.sparkSession, target, placed_history, LAYOUT)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -152,12 +155,15 @@ def apply_changes(
         counted, seen_keys = expect_all(counted, placing, only=entering)
         cuts = _cuts(counted.where(f"{entering} AND {usable}"), flow, buckets, unit)
         if cuts:
-            log = spark.read.schema(schema).parquet(bronze).where(_since(cuts))
-            history = spark.read.schema(placed_history).parquet(target).where(_since(cuts))
-            starts = period_of(START, moment, unit)
-            carried = _carried(history, cuts, flow, starts, carry, batch_id)
+            since = _since(cuts)
+            table = Versions(spark, target, PLACES)
+            history = table.read(placed_history, since)
+            log = _carried(history, cuts, flow, period_of(START, moment, unit))
+            for path in (bronze, *beside):
+                landed = Versions(spark, path, PLACES).read(schema, since)
+                log = log.unionByName(landed, allowMissingColumns=True)
             versions = scd2_history(
-                log.unionByName(carried, allowMissingColumns=True),
+                log.select(*[col(f.name) for f in schema]),
                 flow.keys,
                 flow.sequence_by,
                 flow.apply_as_deletes,
@@ -169,7 +175,8 @@ def apply_changes(
             )
             ends = F.coalesce(period_of(END, moment, unit), F.lit(OPEN))
             placed = add_bucket(versions, flow.keys, buckets, BUCKET).withColumn(PERIOD, ends)
-            _replace(placed, history, target)
+            table.publish(placed, replaced=since)
+            table.clean(keep)
         if quality:
             report = observed_report(spark, flow.name, flow.expectations, seen)
             unplaced = observed_report(spark, flow.name, placing, seen_keys)
@@ -178,6 +185,40 @@ def apply_changes(
     return for_each_batch(stream, apply, checkpoint)
 
 
+def apply_flows(
+    spark: SparkSession,
+    flows: dict[str, str],
+    schema: T.StructType,
+    target: str,
+    checkpoints: str,
+    flow: ChangeFlow,
+    buckets: int,
+    unit: str = "MONTH",
+    only: Sequence[str] | None = None,
+    max_files: int | None = None,
+    **options,
+) -> None:
+    """Several named flows into one history: ``flows`` are their bronze tables, columns ``schema``, by name.
+
+    Each flow has its own offsets, below ``checkpoints``, and counts under its own name. ``only`` says which
+    are to run; in any order and number of runs, once all have run the history is that of all changes in one
+    log. A flow that is added later starts with its first change. All bronze tables are placed alike.
+    """
+    for name in flows if only is None else only:
+        others = [path for other, path in flows.items() if other != name]
+        apply_changes(
+            read_landed_stream(spark, flows[name], schema, max_files),
+            flows[name],
+            target,
+            f"{checkpoints.rstrip('/')}/{name}",
+            replace(flow, name=f"{flow.name}_{name}"),
+            buckets,
+            unit,
+            beside=others,
+            **options,
+        )
+
+
 def _cuts(
     changes: DataFrame, flow: ChangeFlow, buckets: int, unit: str
 ) -> dict[str, list[int]]:
@@ -217,53 +258,15 @@ def _since(cuts: dict[str, list[int]]) -> Column:
 
 
 def _carried(
-    history: DataFrame,
-    cuts: dict[str, list[int]],
-    flow: ChangeFlow,
-    starts: Column,
-    path: str,
-    batch_id: int,
+    history: DataFrame, cuts: dict[str, list[int]], flow: ChangeFlow, starts: Column
 ) -> DataFrame:
-    """The versions that reach over the cut, as inserts at their start.
-
-    They are read from the table that this batch goes on to replace. A batch that fails halfway and
-    runs again must see them as they were, so they are stored first, in a folder named after the batch
-    that appears when it is complete; those of batches before are removed.
-    """
-    spark = history.sparkSession
-    rows = f"{path}/{batch_id}"
+    """The versions that reach over the cut, as inserts at their start."""
     before_cut = F.lit(False)
     for period, touched in cuts.items():
         before_cut = before_cut | (F.col(BUCKET).isin(touched) & (starts < period))
-    change = (
-        history.where(before_cut & col(flow.keys[0]).isNotNull())
+    return (
+        history.where(before_cut)
         .withColumn(flow.sequence_by, F.col(START))
         .withColumn("operation_type", F.lit(INSERT))
         .drop(START, END, *LAYOUT)
     )
-    store = Store(spark, path)
-    if not store.exists(rows):
-        staged = f"{path}/staged"
-        change.write.mode("overwrite").parquet(staged)
-        store.move(staged, rows)
-        for name in store.children(path):
-            if name != str(batch_id):
-                store.remove(f"{path}/{name}")
-    return spark.read.schema(change.schema).parquet(rows)
-
-
-def _replace(placed: DataFrame, replaced: DataFrame, target: str) -> None:
-    """Write the versions over the partitions they belong to.
-
-    A partition without new rows would keep its old ones, so each that is replaced gets a row of nulls.
-    Rebalancing gives files of even size: small partitions share a task, a large one takes several.
-    """
-    stale = replaced.select(*LAYOUT).distinct()
-    (
-        placed.unionByName(stale, allowMissingColumns=True)
-        .hint("rebalance", *LAYOUT)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*LAYOUT)
-        .parquet(target)
-    )

@@ -26,13 +26,15 @@ from lamina.sources.tables import (
     ticker_list,
 )
 from lamina.streaming import history as streaming
+from lamina.sources.versions import Versions
 from lamina.streaming.history import (
-    LAYOUT,
+    PLACES,
     apply_changes,
     place_changes,
     placed_schema,
     read_history,
 )
+from lamina.streaming.landing import land, landed_folder, read_landed_stream
 from lamina.streaming.tables import stream_to_table, stream_with_quality
 
 FLOW = rules.ChangeFlow("things", ("k",), rules.FEED_COLUMNS, {"small": "v < 2"})
@@ -61,12 +63,10 @@ class Pipe:
     def run(self, max_files=None, hot_rows=None):
         log = read_change_stream(self.spark, self.at("log"), self.schema)
         placed = place_changes(enrich_changes(log, "things"), FLOW, BUCKETS)
-        stream_to_table(placed, self.at("bronze"), self.at("checkpoints/bronze"), LAYOUT)
-        stream = self.spark.readStream.schema(placed_schema(bronze_schema(self.schema)))
-        if max_files:
-            stream = stream.option("maxFilesPerTrigger", max_files)
+        land(placed, self.at("bronze"), self.at("checkpoints/bronze"), PLACES)
+        schema = placed_schema(bronze_schema(self.schema))
         return apply_changes(
-            stream.parquet(self.at("bronze")),
+            read_landed_stream(self.spark, self.at("bronze"), schema, max_files),
             self.at("bronze"),
             self.at("silver"),
             self.at("checkpoints/silver"),
@@ -76,6 +76,10 @@ class Pipe:
             hot_rows=hot_rows,
         )
 
+    def bronze(self):
+        schema = placed_schema(bronze_schema(self.schema))
+        return Versions(self.spark, self.at("bronze"), PLACES).read(schema)
+
     def silver(self):
         return rows(read_history(self.spark, self.at("silver"), bronze_schema(self.schema), FLOW))
 
@@ -165,50 +169,44 @@ def test_old_partitions_are_left_alone(pipe, tmp_path):
     pipe.commit(0, [("a", 1, "insert")], DAYS[0])
     pipe.commit(1, [("a", 2, "update_postimage")], DAYS[2])
     pipe.run()
-    before = set(tmp_path.glob("silver/_bucket=*/_period=2024-02-01/*.parquet"))
+    old = "silver/rows/*/*/_bucket=*/_period=2024-02-01/*.parquet"
+    before = set(tmp_path.glob(old))
     pipe.commit(2, [("a", 3, "update_postimage")], DAYS[5])
     pipe.run()
-    assert before and before == set(tmp_path.glob("silver/_bucket=*/_period=2024-02-01/*.parquet"))
+    assert before and before == set(tmp_path.glob(old))
     assert pipe.silver() == pipe.batch()
 
 
-@pytest.mark.parametrize("where", ["before", "after"])
+@pytest.mark.parametrize("where", ["rows", "before", "after"])
 def test_failed_batch_runs_again(pipe, monkeypatch, where):
-    """A batch that stops before or after it replaced the history leaves no trace when it is run again."""
+    """A batch that stops among its partitions, before or after its list, is whole when it is run again;
+    readers have the old history until the list is there."""
     rng = random.Random(5)
     pipe.commit(0, some(rng, 30), DAYS[1])
     pipe.run()
+    old = pipe.silver()
     pipe.commit(1, some(rng, 30), DAYS[3])
-    replace = streaming._replace
-
-    def failing(*args):
-        if where == "after":
-            replace(*args)
-        raise RuntimeError("lost")
-
-    monkeypatch.setattr(streaming, "_replace", failing)
-    with pytest.raises(Exception, match="lost"):
-        pipe.run()
-    monkeypatch.setattr(streaming, "_replace", replace)
-    pipe.run()
-    assert pipe.silver() == pipe.batch()
-
-
-def test_half_replaced_history(pipe, monkeypatch, spark):
-    """A batch that replaced only some partitions must not lose the versions it moved."""
-    pipe.commit(0, [(f"k{i}", 1, "insert") for i in range(20)], DAYS[0])
-    pipe.run()
-    pipe.commit(1, [(f"k{i}", 2, "update_postimage") for i in range(20)], DAYS[3])
-    replace = streaming._replace
-
-    def only_open(placed, *rest):
-        replace(placed.where("__END_AT IS NULL"), *rest)
-        raise RuntimeError("lost")
-
-    monkeypatch.setattr(streaming, "_replace", only_open)
-    with pytest.raises(Exception, match="lost"):
-        pipe.run()
-    monkeypatch.setattr(streaming, "_replace", replace)
+    with monkeypatch.context() as patch:
+        put, write = Versions._list, Versions._write
+
+        def failing(self, *args):
+            if "silver" in self.path and where != "rows":
+                if where == "after":
+                    put(self, *args)
+                raise RuntimeError("lost")
+            return put(self, *args)
+
+        def half(self, changed, origin, part):
+            if "silver" in self.path and where == "rows":
+                write(self, changed.where("__END_AT IS NULL"), origin, part)
+                raise RuntimeError("lost")
+            return write(self, changed, origin, part)
+
+        patch.setattr(Versions, "_list", failing)
+        patch.setattr(Versions, "_write", half)
+        with pytest.raises(Exception, match="lost"):
+            pipe.run()
+    assert pipe.silver() == (pipe.batch() if where == "after" else old)
     pipe.run()
     assert pipe.silver() == pipe.batch()
 
@@ -218,7 +216,7 @@ def test_a_commit_cannot_be_written_twice(pipe):
     changes = some(rng, 40)
     pipe.commit(0, changes, DAYS[0])
     pipe.run()
-    want, bronze = pipe.silver(), pipe.spark.read.parquet(pipe.at("bronze")).count()
+    want, bronze = pipe.silver(), pipe.bronze().count()
     feed = pipe.spark.createDataFrame(changes, COLUMNS + ", _change_type STRING")
     with pytest.raises(FileExistsError):
         write_commit(feed, pipe.at("log"), 0, DAYS[0])
@@ -228,7 +226,7 @@ def test_a_commit_cannot_be_written_twice(pipe):
         write_commits(both, pipe.at("log"))
     pipe.run()
     assert pipe.silver() == want
-    assert pipe.spark.read.parquet(pipe.at("bronze")).count() == bronze
+    assert pipe.bronze().count() == bronze
 
 
 def test_commits_of_many_versions_follow_each_other(pipe):
@@ -349,7 +347,7 @@ def test_only_touched_partitions_are_read(spark, pipe):
     pipe.commit(0, [("a", 1, "insert")], DAYS[0])
     pipe.run()
     schema = placed_schema(bronze_schema(pipe.schema))
-    log = spark.read.schema(schema).parquet(pipe.at("bronze"))
+    log = spark.read.schema(schema).parquet(landed_folder(pipe.at("bronze")))
     condition = streaming._since({"2024-02-01": [0, 1], "2024-03-01": [2]})
     plan = log.where(condition)._jdf.queryExecution().executedPlan().toString()
     filters = plan.split("PartitionFilters: [")[1].split("], PushedFilters")[0]
