@@ -8,9 +8,10 @@ containment one token is enough). Joining prefix tokens alone gives the candidat
 and the offset between both. Windows that would reach over an end of the document fall by the positional
 bound, and the rest are verified: the shingles found at that offset must hold every shingle of a window.
 
-Null texts have no words; items without words have no windows. A document is an id, which may be null, with
-its text: a repeated row gives one result row, and two texts under one id give two. The same holds for
-items. Empty tables are fine; other columns are left out.
+Null texts have no words; items without words have no windows. Documents and items are told apart by id,
+which may be null, and text, so that two texts under one id are two; a repeated row of a document gives a
+result row again, and one of an item counts once. A long text is one row until it is exploded into its
+shingles. Empty tables are fine; other columns are left out.
 """
 
 from __future__ import annotations
@@ -177,12 +178,20 @@ def hits(
         .distinct()
     )
 
+    # Where a candidate's shingles would have to stand; those that do are kept.
     spot = ("doc_id", "doc_text", "item_id", "item_text", "offset")
-    every = places.join(
-        side(items.select("item_id", "item_text", "w", "k", F.col("at").alias("item_at"), "h")), "h"
-    ).withColumn("offset", offset)
-    at_offset = every.join(candidates, same_on(every, candidates, *spot), "left_semi")
-    held = at_offset.groupBy(*spot, "w", "k").agg(
+    own = items.select("item_id", "item_text", "w", "k", F.col("at").alias("item_at"), "h")
+    own = side(own)
+    expected = candidates.join(own, same_on(candidates, own, "item_id", "item_text")).select(
+        *[candidates[c] for c in spot],
+        "w",
+        "k",
+        "item_at",
+        "h",
+        (F.col("offset") + F.col("item_at")).alias("at"),
+    )
+    standing = same_on(expected, places, "doc_id", "doc_text", "at", "h")
+    held = expected.join(places, standing, "left_semi").groupBy(*spot, "w", "k").agg(
         F.sort_array(F.collect_set("item_at")).alias("ats")
     )
     ahead = F.col("w") - F.col("k")
@@ -220,7 +229,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, **names) -> DataFrame:
         walked.alias("n_hit"),
         F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("items"),
     )
-    docs_of = lengths_of.distinct()
+    docs_of = lengths_of
     same = same_on(docs_of, per_doc, "doc_id", "doc_text")
     hit = F.coalesce("n_hit", F.lit(0))
     items = F.coalesce("items", F.array().cast("array<string>"))

@@ -27,14 +27,20 @@ from pyspark.sql import functions as F
 from lamina.llm.arrow import Rows, map_slices, slices
 from lamina.session import work_dir
 
-LETTERS = re.compile(r"[^\W\d_]+")
+#: Runs of letters and of numbers that aren't digits.
+WORDS = re.compile(r"[^\W\d_]+")
 LONGEST = 5
 PENALTY = -7.0
 CACHE = 400_000
 
 
 def words_of(text: str | None) -> list[str]:
-    return LETTERS.findall(text.lower()) if text else []
+    """Runs of letters; other numbers than digits, as in ``x²``, part them too."""
+    found = WORDS.findall(text.lower()) if text else []
+    if all(map(str.isalpha, found)):
+        return found
+    spread = ("".join(c if c.isalpha() else " " for c in w) for w in found)
+    return [w for part in spread for w in part.split()]
 
 
 def grams_of(word: str, n: int) -> list[str]:

@@ -170,10 +170,16 @@ def cascade(
     return split.withColumn(into, verdict).drop(words)
 
 
-def measures(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: its key and the counts of the contract."""
+def measures(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", verdict: str | None = None
+) -> DataFrame:
+    """One row per document: its key, the counts of the contract, and the column ``verdict`` if it is given."""
+    more = [F.col(verdict).alias("rejected_by")] if verdict else []
     split = docs.select(
-        F.col(key).alias("doc_id"), F.col(text).alias("text"), blank_words(F.col(text)).alias("words")
+        F.col(key).alias("doc_id"),
+        F.col(text).alias("text"),
+        blank_words(F.col(text)).alias("words"),
+        *more,
     )
     return split.select(
         "doc_id",
@@ -182,27 +188,20 @@ def measures(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
         n_symbols(F.col("text")).alias("n_symbols"),
         n_dup_lines(F.col("text")).alias("n_dup_lines"),
         n_repeat_words(F.col("words")).alias("n_repeat_words"),
-        F.size(lines(F.col("text"))).cast("long").alias("n_lines"),
+        *["rejected_by" for _ in more],
     )
 
 
-#: The same rules over the columns of ``measures``, for a caller that has them anyway.
-MEASURED = {
-    "few_words": "n_words < 10",
-    "repeated_windows": "100 * n_repeat_words > 20 * n_words",
-    "symbols": "5 * n_symbols > n_words",
-    "repeated_lines": "2 * n_dup_lines > n_lines",
-}
-
+def judged(
+    docs: DataFrame, order: tuple[Rule, ...], key: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """``measures`` beside the verdict of the cascade: base_failed, kept, and what rejected the document.
 
-def judged(docs: DataFrame, order: tuple[Rule, ...], key: str = "doc_id", text: str = "text"):
-    """``measures`` with the verdict of the cascade, worked out from the measured counts."""
-    chain = F
-    for rule in order:
-        chain = chain.when(F.expr(MEASURED[rule.name]), F.lit(rule.name))
-    base = F.lit(False)
-    for rule in BASE_RULES:
-        base = base | F.expr(MEASURED[rule.name])
-    return measures(docs, key, text).select(
-        "*", base.alias("base_failed"), chain.alias("rejected_by")
-    ).withColumn("kept", ~F.col("base_failed") & F.col("rejected_by").isNull())
+    A document that fails the contract's own rules is not kept, whatever rules ``order`` has.
+    """
+    verdict = spare(docs, "rejected_by")
+    found = measures(cascade(docs, order, text, verdict), key, text, verdict)
+    base = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
+    return found.withColumn("base_failed", base).withColumn(
+        "kept", ~base & F.col("rejected_by").isNull()
+    )

@@ -118,7 +118,7 @@ def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The counts of every document and the cascade's verdict."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return quality.judged(docs, quality.plan(docs)).drop("n_lines", "rejected_by")
+    return quality.judged(docs, quality.plan(docs)).drop("rejected_by")
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
