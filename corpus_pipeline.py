@@ -20,7 +20,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near copies, the one with the least id, as one row.
 
-    Null ids come last, and equal ids go by the text's hash. Null texts are no copies and stay.
+    Null ids come last; equal ids go by the text's hash, and equal texts under one id by all other columns.
+    Null texts are no copies and stay. An empty table stays empty.
     """
     found = near_dup.members(docs.select("doc_id", "text")).where(F.col("root").isNotNull())
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "blob")).alias("first")
@@ -28,15 +29,21 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     digest = spare(docs, "digest")
     hashed = docs.withColumn(digest, F.sha2("text", 256))
     same = hashed["doc_id"].eqNullSafe(kept["doc_id"]) & (hashed[digest] == kept["blob"])
-    once = hashed.join(kept, same, "left_semi").dropDuplicates(["doc_id", digest])
-    return once.select(*docs.columns).unionByName(docs.where(F.col("text").isNull()))
+    # Of rows with one id and text the least in all other columns stays, whatever order they come in.
+    others = F.to_json(F.struct(*[c for c in docs.columns if c not in ("doc_id", "text")]))
+    row = F.min_by(F.struct(*docs.columns), others).alias("row")
+    once = hashed.join(kept, same, "left_semi").groupBy("doc_id", digest).agg(row)
+    return once.select("row.*").unionByName(docs.where(F.col("text").isNull()))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents of which a twentieth or more are benchmark words."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
     found = decontaminate.contamination(docs.select("doc_id", "text"), benchmark)
-    gone = found.where("contaminated").select("doc_id", "doc_text").distinct()
+    # Stored, so that its size is known before whole texts would be shuffled to meet it.
+    folder = f"{work_dir(spark, 'contaminated')}/gone"
+    found.where("contaminated").select("doc_id", "doc_text").distinct().write.parquet(folder)
+    gone = spark.read.parquet(folder)
     same = docs["doc_id"].eqNullSafe(gone["doc_id"]) & (F.xxhash64(docs["text"]) == gone["doc_text"])
     return docs.join(gone, same, "left_anti")
 
