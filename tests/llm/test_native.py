@@ -137,7 +137,7 @@ def test_contamination(spark):
     rows.append((2000, "same " * 500))
     benchmark = spark.createDataFrame(items, "item_id long, text string")
     windows = plain.benchmark_windows(items)
-    want = sorted({(str(i), str(plain.contamination(t, windows))) for i, t in rows})
+    want = sorted((str(i), str(plain.contamination(t, windows))) for i, t in rows)
     names = ("n_words", "n_hit", "n_items", "items", "contaminated")
     for most in (1_000_000, 1):
         got = decontaminate.contamination(frame(spark, rows), benchmark, broadcast_rows=most).collect()
