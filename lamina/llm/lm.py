@@ -3,7 +3,11 @@
 Tokens are words between blanks, A-Z lowered, then one end. The counts are those of all training texts.
 A token's log10 probability is needed for every token of every document. Tokens that make up at least
 1 / ``HEAD`` of the training tokens, at most that many, are broadcast as sorted hashes; for the rest each
-document's distinct tokens are shuffled to their counts, and their sums back to the document.
+document's distinct tokens are shuffled to their counts, and their sums back to the document. Likewise for
+the tree's runs of symbols: the most frequent are broadcast, the rest shuffled.
+
+Tokens are told apart by 64-bit hashes. A very long text is one row and is scored in stretches; its distinct
+rare tokens and runs are held in memory.
 
 Null texts are empty and have the end alone. A null id counts as the empty text where rows are parted.
 Repeated rows get equal scores; an empty table gives an empty result.
@@ -84,8 +88,9 @@ def score(
     order = np.argsort(top.column("hash").to_numpy())
     head = top.column("hash").to_numpy()[order], top.column("n").to_numpy()[order]
     smooth = n_all + 0.1 * (distinct + 1)
-    tree = ctw.fit(learned, folder)
-    held = spark.sparkContext.broadcast((head, tuple(tree)))
+    marked = docs.select(F.col(text).alias("text"), train.alias("learn"))
+    most, rare = ctw.frequent(ctw.fit(marked, folder))
+    held = spark.sparkContext.broadcast((head, tuple(most)))
 
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
     source = docs.select(
@@ -93,7 +98,7 @@ def score(
     )
 
     def make():
-        (hashes, times), own_tree = held.value[0], ctw.Tree(*held.value[1])
+        (hashes, times), known_runs = held.value[0], ctw.Frequent(*held.value[1])
         rows = Rows(lambda t: xxhash.xxh64_intdigest(t, SEED), CACHE, np.uint64)
 
         def work(part: pa.RecordBatch) -> pa.RecordBatch:
@@ -112,7 +117,8 @@ def score(
             rest = ~known
             rest_sizes = np.bincount(row[rest], minlength=size)
             ends = pa.array(np.concatenate([[0], np.cumsum(rest_sizes)]), pa.int32())
-            code, symbols = ctw.score_texts(own_tree, texts)
+            code, symbols, (of, run, often) = ctw.score_texts(known_runs, texts)
+            run_ends = pa.array(np.searchsorted(of, np.arange(size + 1)), pa.int32())
             columns = [part.column(i) for i in range(len(keep) + 1)]
             more = [
                 pa.array(np.bincount(row, n, size).astype(np.int64)),
@@ -122,15 +128,18 @@ def score(
                 pa.array(symbols),
                 pa.ListArray.from_arrays(ends, pa.array(own[rest])),
                 pa.ListArray.from_arrays(ends, pa.array(n[rest])),
+                pa.ListArray.from_arrays(run_ends, pa.array(run)),
+                pa.ListArray.from_arrays(run_ends, pa.array(often)),
             ]
-            names = ["n_tokens", "head_known", "head_score", "score", "symbols", "rest", "rest_n"]
+            names = ["n_tokens", "head_known", "head_score", "head_code", "symbols"]
+            names += ["rest", "rest_n", "runs", "runs_n"]
             return pa.RecordBatch.from_arrays([*columns, *more], names=[*keep, "__row", *names])
 
         return work
 
     schema = (
-        f"{kept}, __row long, n_tokens long, head_known long, head_score double, score double, "
-        "symbols long, rest array<long>, rest_n array<long>"
+        f"{kept}, __row long, n_tokens long, head_known long, head_score double, head_code double, "
+        "symbols long, rest array<long>, rest_n array<long>, runs array<long>, runs_n array<long>"
     )
     map_slices(source, make, schema, "__text").write.parquet(f"{folder}/scored")
     scored = spark.read.parquet(f"{folder}/scored")
@@ -147,14 +156,24 @@ def score(
             F.sum(F.col("times") * F.log10((count + 0.1) / F.lit(smooth))).alias("tail_score"),
         )
     )
+    asked = scored.select("__row", F.explode(F.arrays_zip("runs", "runs_n")).alias("r")).select(
+        "__row", F.col("r.runs").alias("run"), F.col("r.runs_n").alias("times")
+    )
+    code = (
+        asked.join(rare, "run")
+        .groupBy("__row")
+        .agg(F.sum(F.col("times") * F.col("log")).alias("tail_code"))
+    )
     base = F.col("head_score") + F.coalesce("tail_score", F.lit(0.0))
-    return scored.drop("rest", "rest_n").join(by_row, "__row", "left").select(
+    whole = F.col("head_code") + F.coalesce("tail_code", F.lit(0.0))
+    narrow = scored.drop("rest", "rest_n", "runs", "runs_n")
+    return narrow.join(by_row, "__row", "left").join(code, "__row", "left").select(
         *keep,
         "n_tokens",
         (F.col("head_known") + F.coalesce("tail_known", F.lit(0))).alias("n_known"),
         F.lit(n_all).cast("long").alias("train_tokens"),
         base.alias("base_score"),
-        "score",
+        whole.alias("score"),
         F.col("symbols").alias("n_symbols"),
-        (-F.col("score") * math.log2(10) / F.col("symbols")).alias("bits_per_byte"),
+        (-whole * math.log2(10) / F.col("symbols")).alias("bits_per_byte"),
     )

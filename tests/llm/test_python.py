@@ -130,48 +130,64 @@ def plain_tree(texts, depth, retained):
     return score
 
 
-def levels_of(texts, depth, least):
-    found = {}
-    for d in range(depth + 1):
-        runs: Counter = Counter()
-        for data in texts:
-            held = [ctw.START] * depth + list(data) + [ctw.END]
-            for i in range(depth, len(held)):
-                runs[tuple(held[i - d : i + 1])] += 1
-        held_by: Counter = Counter()
-        for run, n in runs.items():
-            held_by[run[:-1]] += n
-        kept = {r: n for r, n in runs.items() if held_by[r[:-1]] >= least or not d}
-        found[d] = kept
-    return found
-
-
-def test_context_tree_against_dictionaries(monkeypatch):
+def contexts_of(texts, depth, least):
+    """The contexts that occur at least ``least`` times before a symbol."""
+    found: Counter = Counter()
+    for data in texts:
+        held = [ctw.START] * depth + list(data) + [ctw.END]
+        for i in range(depth, len(held)):
+            found.update(tuple(held[i - d : i]) for d in range(1, depth + 1))
+    return {c for c, n in found.items() if n >= least}
+
+
+@pytest.mark.parametrize("least,most", [(1, 1 << 20), (2, 40), (3, 0), (100, 10)])
+def test_context_tree_against_dictionaries(spark, tmp_path, monkeypatch, least, most):
     monkeypatch.setattr(ctw, "DEPTH", 3)
-    monkeypatch.setattr(ctw, "STRETCH", 4)
-    texts = [b"abracadabra", b"banana band", b"", b"abba abracadabra", "né a né".encode()]
-    for least in (1, 3, 100):
-        levels = levels_of(texts, 3, least)
-        retained = {r[:-1] for d in (1, 2, 3) for r in levels[d]}
-        numbers = {}
-        for d, runs in levels.items():
-            codes = sorted((int.from_bytes(bytes(r), "big"), n) for r, n in runs.items())
-            numbers[d] = np.array([c for c, _ in codes], np.int64), np.array([n for _, n in codes], np.int64)
-        tree = ctw.build(numbers)
-        want = plain_tree(texts, 3, retained)
-        asked = ["abra", "banana", "", "né", "a" * 30, "cab dab"]
-        got, sizes = ctw.score_texts(tree, asked)
-        assert got == pytest.approx([want(a.encode()) for a in asked], rel=1e-4)
-        assert sizes.tolist() == [len(a.encode()) + 1 for a in asked]
-        known = 10.0 ** tree.logs
-        missing = 256 - (tree.logs.shape[1] - 1)
-        assert known[:, :-1].sum(1) + known[:, -1] * missing == pytest.approx(1, abs=1e-5)
-
-
-def test_untrained_tree():
-    tree = ctw.build({})
-    got, _ = ctw.score_texts(tree, ["ab", None])
-    assert got == pytest.approx([3 * math.log10(1 / 256), math.log10(1 / 256)], rel=1e-3)
+    monkeypatch.setattr(ctw, "LEAST", least)
+    monkeypatch.setattr(ctw, "CHUNK", 7)
+    texts = ["abracadabra", "banana band", "", "abba abracadabra", "né a né", None]
+    asked = ["abra", "banana", "", "né", "a" * 30, "cab dab", "ZEBRA \x00 日本", None]
+    rows = [(t, True) for t in texts] + [(t, False) for t in asked] + [("abracadabra", None)]
+    docs = spark.createDataFrame(rows, "text string, learn boolean").repartition(3)
+    held, rare = ctw.frequent(ctw.fit(docs, str(tmp_path / "tree")), most)
+    logs = {r["run"]: r["log"] for r in rare.collect()}
+    assert len(held.run) <= most and not logs.keys() & set(held.run.tolist())
+    low = [(a or "").lower().encode() for a in asked]
+    plain = [(t or "").encode() for t in texts]
+    want = plain_tree(plain, 3, contexts_of(plain, 3, least))
+    got, sizes, (of, run, n) = ctw.score_texts(held, asked)
+    assert set(run.tolist()) <= logs.keys()
+    np.add.at(got, of, [logs[r] * k for r, k in zip(run.tolist(), n)])
+    assert got == pytest.approx([want(a) for a in low], rel=1e-5)
+    assert sizes.tolist() == [len(a) + 1 for a in low]
+
+
+def test_context_tree_grows_with_its_texts(spark, tmp_path):
+    draw = random.Random(5)
+    docs = spark.createDataFrame(
+        [("".join(draw.choices("abcdefghij ", k=200)), i % 4 == 0) for i in range(800)],
+        "text string, learn boolean",
+    )
+    nodes = []
+    for name, rows in (("few", docs.where("learn")), ("all", docs.withColumn("learn", F.lit(True)))):
+        counts = ctw.count_runs(rows).toPandas()
+        levels = ctw.levels_of(counts["run"].to_numpy(), counts["n"].to_numpy(), 0)
+        nodes.append(sum(int((level.kept & (level.keys & 255 == 1)).sum()) for level in levels))
+        assert ctw.fit(rows, str(tmp_path / name)).count() == len(counts)
+    assert nodes[1] > 3 * nodes[0]
+
+
+def test_frequent_runs_are_found():
+    draw = np.random.default_rng(1)
+    run = np.unique(draw.integers(0, 1 << 48, 50_000))
+    held = ctw.tabled(run, -np.arange(len(run), dtype=np.float32))
+    asked = np.concatenate([run[::-1], run + 1])
+    log, left = ctw.look_up(held, asked)
+    known = {int(r): -float(i) for i, r in enumerate(run)}
+    assert log.tolist() == [known.get(a, 0.0) for a in asked.tolist()]
+    assert left.tolist() == [i for i, a in enumerate(asked.tolist()) if a not in known]
+    nothing = ctw.tabled(run[:0], np.zeros(0, np.float32))
+    assert ctw.look_up(nothing, run[:3])[1].tolist() == [0, 1, 2]
 
 
 def test_log_gamma():
