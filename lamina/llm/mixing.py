@@ -1,15 +1,17 @@
 """Mixing sources to target weights by Sainte-Laguë apportionment of equal-token blocks.
 
-The words of a source are laid out in shards (its documents by a seeded hash), and each shard in blocks
-of ``block`` words, the last one shorter. Blocks are the seats: first among sources by target, then
+The words of a source are laid out in shards (its documents by a seeded hash of id, size and text), and
+each shard in blocks of ``block`` words, the last one shorter. A source of n documents has about the root
+of n shards with about as many documents each, so neither a shard nor a source's list of them is large. Blocks are the seats: first among sources by target, then
 among each source's shards by their number of blocks, each time by the highest quotients w / (2k + 1).
 A shard with quota q and n blocks takes its blocks at even strides from a seeded start, each of them
 floor(q / n) or ceil(q / n) times. How many taken words stand before a place in the shard follows from
 the place alone, so no row per block is made.
 
-Null texts have no words, and take none. A null source is a source, ranked last; a null id hashes like
-any other value. Equal rows are separate documents of equal size. Empty tables and sources without
-words have targets of 0. Results depend on ids, sizes, sources and the seed only.
+Null texts have no words, and take none. A null source is a source, ranked last. Null and repeated ids are
+told apart by their texts; rows equal in both share a shard, as separate documents of equal size. A very
+long text is one row of one shard. Empty tables and sources without words have targets of 0. Results
+depend on ids, texts, sources and the seed only; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -106,6 +108,13 @@ def source_targets(
     return last.select("source", "source_size", target.otherwise(F.col("most")).alias("target"))
 
 
+def in_shards(docs: DataFrame, seed: int) -> DataFrame:
+    """``docs`` (doc_id, size, print, shards) with ``shard``, and ``at``, by which a shard is in order."""
+    at = F.xxhash64("doc_id", "size", "print", F.lit(seed))
+    shard = F.pmod(F.xxhash64("at", F.lit(seed + 1)), F.col("shards"))
+    return docs.withColumn("at", at).withColumn("shard", shard)
+
+
 def mix(
     docs: DataFrame,
     key: str = "doc_id",
@@ -115,16 +124,14 @@ def mix(
     share: float = SHARE,
     cap: float = CAP,
     block: int = 16,
-    shard_docs: int = 256,
-    max_shards: int = 4096,
     seed: int = 0,
     broadcast_rows: int = 100_000,
 ) -> DataFrame:
     """One row per document: doc_id, source, size, source_size, target, taken, and ``chosen``.
 
     ``chosen`` lists the document's stretches (start, end, times) in words; nothing is worked out for it
-    unless it is read. A source has one shard for ``shard_docs`` documents, at most ``max_shards``. The
-    table of sources is broadcast while it has at most ``broadcast_rows`` rows and joined else.
+    unless it is read. The table of sources is broadcast while it has at most ``broadcast_rows`` rows and
+    joined else.
     """
     spark = docs.sparkSession
     folder = work_dir(spark, "mix")
@@ -132,13 +139,14 @@ def mix(
         F.col(key).alias("doc_id"),
         F.col(source).alias("source"),
         F.size(blank_words(F.col(text))).cast("long").alias("size"),
+        F.xxhash64(F.col(text), F.lit(seed)).alias("print"),
     ).write.parquet(f"{folder}/sizes")
     sizes = spark.read.parquet(f"{folder}/sizes")
 
     by_source = sizes.groupBy("source").agg(
         F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("docs")
     )
-    shard_count = F.least(F.ceil(F.col("docs") / shard_docs), F.lit(max_shards)).cast("long")
+    shard_count = F.ceil(F.sqrt("docs")).cast("long")
     targets = source_targets(by_source.select("source", "source_size"), weights, share, cap)
     both = by_source.select(F.col("source").alias("__s"), shard_count.alias("shards"))
     targets.join(both, targets["source"].eqNullSafe(both["__s"])).drop("__s").write.parquet(
@@ -148,12 +156,7 @@ def mix(
     side = held.withColumnRenamed("source", "__s")
     if small(held, broadcast_rows):
         side = F.broadcast(side)
-    placed = (
-        sizes.join(side, F.col("source").eqNullSafe(F.col("__s")))
-        .drop("__s")
-        .withColumn("at", F.xxhash64("doc_id", F.lit(seed)))
-        .withColumn("shard", F.pmod(F.xxhash64("at", F.lit(seed + 1)), F.col("shards")))
-    )
+    placed = in_shards(sizes.join(side, F.col("source").eqNullSafe(F.col("__s"))).drop("__s"), seed)
 
     shards = (
         placed.groupBy("source", "shard")
@@ -187,7 +190,7 @@ def mix(
     ).write.parquet(f"{folder}/quotas")
     per_shard = spark.read.parquet(f"{folder}/quotas")
 
-    in_shard = Window.partitionBy("source", "shard").orderBy("at", "doc_id", "size")
+    in_shard = Window.partitionBy("source", "shard").orderBy("at", "doc_id", "size", "print")
     laid = placed.withColumn(
         "end", F.sum("size").over(in_shard.rowsBetween(Window.unboundedPreceding, 0))
     ).withColumn("start", F.col("end") - F.col("size"))

@@ -230,3 +230,14 @@ def test_mix(spark):
     for size, taken, target in sums.values():
         assert abs(taken - target) <= max(64, 0.01 * target)
     assert mixing.mix(docs.limit(0)).count() == 0
+
+
+def test_rows_without_ids_are_dealt_over_all_shards(spark):
+    docs = spark.range(6000).select(
+        F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"),
+        F.lit(5).cast("long").alias("size"),
+        F.xxhash64("id").alias("print"),
+        F.lit(77).cast("long").alias("shards"),
+    )
+    sizes = sorted(r["count"] for r in mixing.in_shards(docs, 0).groupBy("shard").count().collect())
+    assert len(sizes) == 77 and sizes[-1] < 3 * sizes[38]
