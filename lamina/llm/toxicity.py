@@ -5,12 +5,14 @@ hashed to ``2 ** BITS`` places. FTRL keeps a learning rate for each place, and i
 weights at zero; the rest, at most ``2 ** BITS``, are broadcast.
 
 The model is fitted on a bounded sample of labelled rows: about ``sample_rows`` of them, picked by the
-hash of their ids. They are dealt to shards of about ``SHARD_ROWS``, each of which runs FTRL for some
+hash of their ids, and where rows share ids by the hash of id and text, equal ones once. They are dealt to
+shards of about ``SHARD_ROWS``, each of which runs FTRL for some
 epochs in a task of its own; the weights are the shards' mean. Scoring reads every whole text.
 
 Null and empty texts have no features and get the score of the bias. Rows with a null label teach
 nothing; of several labels for an id the highest counts. Without labels every score is 0.5, which counts
-as toxic by the contract's threshold. Repeated rows get equal scores.
+as toxic by the contract's threshold. Repeated rows get equal scores. An empty table gives an empty
+result. A very long text is one row, of which the distinct features count. Other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -111,10 +113,14 @@ def fit(
     rows = docs.select(F.col(key).alias("__id"), F.col(text).alias("text")).join(
         F.broadcast(drawn), "__id"
     )
+    # Rows that share a drawn id all come in, so what came in is drawn from again.
+    share = min(1.0, sample_rows / max(1, rows.select("__id").count()))
+    again = F.pmod(F.xxhash64("__id", "text", F.lit(3)), F.lit(1 << 30))
+    rows = rows.where(again < int(share * (1 << 30))).distinct()
     shards = max(1, round(min(total, sample_rows) / SHARD_ROWS))
     dealt = rows.select(
-        F.pmod(F.xxhash64("__id", F.lit(1)), F.lit(shards)).cast("int").alias("shard"),
-        F.xxhash64("__id", F.lit(2)).alias("at"),
+        F.pmod(F.xxhash64("__id", "text", F.lit(1)), F.lit(shards)).cast("int").alias("shard"),
+        F.xxhash64("__id", "text", F.lit(2)).alias("at"),
         F.col("__label").alias("label"),
         "text",
     )
