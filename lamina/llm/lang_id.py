@@ -5,13 +5,15 @@ an unknown word its 5-grams (blanks at both ends count) are looked up; if none i
 so on to single letters: the mean over those found. A text's language has the greatest sum; ``score`` is
 its posterior under equal priors.
 
-The model is fitted on a bounded sample: of each language about ``sample_docs`` texts, picked by the hash
-of their text, and of what is counted in them the ``max_words`` and ``max_grams`` most frequent (ties by
-code point). Prediction reads every whole text.
+The model is fitted on a bounded sample: of each language about ``sample_docs`` distinct texts, picked by
+the hash of their text; copies count once. A word is learned in a language if it makes up at least
+``word_share`` of the sample's words in that language, and an n-gram if it makes up ``gram_share`` of its
+n-grams. So each language has its own quota, 1 / share entries, whatever the others hold. Prediction reads
+every whole text, also very long ones.
 
 Null texts and texts without a letter are ``und`` with score 0, as is everything if nothing was learned.
 Equal sums go to the first language by code point. Repeated rows get equal results. An empty table gives
-an empty result.
+an empty result. Columns other than the ones named are not looked at and may have any name.
 """
 
 from __future__ import annotations
@@ -87,13 +89,13 @@ def fit(
     lang: str = "lang",
     text: str = "text",
     sample_docs: int = 3000,
-    max_words: int = 150_000,
-    max_grams: int = 150_000,
+    word_share: float = 2.0**-19,
+    gram_share: float = 2.0**-17,
 ) -> dict:
     """The model: languages, and for words and n-grams their log10 frequencies by language.
 
-    The sample is counted once, into a table. The driver gets one row for each language, and at most
-    max_words + max_grams counts.
+    The sample is counted once, into a table. The driver gets one row for each language and length, and
+    for each language at most 1 / word_share words and LONGEST / gram_share n-grams.
     """
     rows = labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text")).where(
         F.col("lang").isNotNull()
@@ -108,23 +110,25 @@ def fit(
     spark = labelled.sparkSession
     folder = work_dir(spark, "lang_id")
     schema = "lang string, n int, gram string, times long"
-    parts = rows.where(F.col("text").isNotNull() & drawn).mapInArrow(_counts, schema)
+    parts = rows.where(F.col("text").isNotNull() & drawn).distinct().mapInArrow(_counts, schema)
     parts.groupBy("lang", "n", "gram").agg(F.sum("times").alias("times")).write.parquet(folder)
     counted = spark.read.parquet(folder)
-    order = (F.desc("times"), "gram", "lang")
     of = {k: i for i, k in enumerate(langs)}
-    for part, most in (("words", max_words), ("grams", max_grams)):
+    for part, share in (("words", word_share), ("grams", gram_share)):
         kind = counted.where(F.col("n") == 0 if part == "words" else F.col("n") > 0)
-        summed = kind.groupBy("lang", "n").agg(F.sum("times").alias("times"))
-        totals = {(r["lang"], r["n"]): r["times"] for r in summed.collect()}
+        summed = kind.groupBy("lang", "n").agg(F.sum("times").alias("times")).collect()
+        totals = {(r["lang"], r["n"]): r["times"] for r in summed}
+        if not totals:
+            continue
+        least = F.create_map(*[F.lit(x) for (k, n), v in totals.items() for x in (f"{n} {k}", v * share)])
+        enough = F.col("times") >= least[F.concat_ws(" ", "n", "lang")]
+        held = kind.where(enough).select("lang", "n", "gram", "times").toArrow()
         table: dict[str, int] = {}
-        cells = []
-        for r in kind.orderBy(*order).limit(most).toLocalIterator():
-            at = table.setdefault(r["gram"], len(table))
-            cells.append((at, of[r["lang"]], np.log10(r["times"] / totals[r["lang"], r["n"]])))
+        at = [table.setdefault(gram, len(table)) for gram in held.column("gram").to_pylist()]
         values = np.full((len(table), len(langs)), PENALTY, np.float32)
-        for at, i, x in cells:
-            values[at, i] = x
+        keys = list(zip(held.column("lang").to_pylist(), held.column("n").to_pylist()))
+        total = np.array([totals[k] for k in keys])
+        values[at, [of[k] for k, _ in keys]] = np.log10(held.column("times").to_numpy() / total)
         model[part] = (list(table), values)
     return model
 

@@ -62,6 +62,23 @@ def test_language_of_awkward_rows(spark):
     assert lang_id.predict(docs.limit(0), nothing).count() == 0
 
 
+def test_small_languages_keep_their_words(spark):
+    draw = random.Random(3)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = [("aa", " ".join("w" + "".join(draw.choices(letters, k=2)) for _ in range(50))) for _ in range(300)]
+    rows += [("bb", "rare words here")] * 1000 + [("bb", "few more")]
+    docs = spark.createDataFrame(rows, "lang string, text string").repartition(4)
+    model = lang_id.fit(docs, word_share=1 / 100)
+    words = dict(zip(model["words"][0], model["words"][1]))
+    # Copies count once, so each of bb's five words makes up a fifth of them.
+    if "few" in words:
+        assert words["few"][1] == pytest.approx(math.log10(1 / 5))
+    assert words["rare"][1] == pytest.approx(words["here"][1])
+    assert sum(v[0] > lang_id.PENALTY for v in words.values()) <= 100
+    names, _ = lang_id.scorer(model)(["rare here", "wab wcd"])
+    assert names == ["bb", "aa"]
+
+
 # Language model
 
 
@@ -432,6 +449,58 @@ def test_components(spark, tmp_path):
 # Toxicity
 
 
+def test_rows_that_share_an_id_are_drawn_from(spark, monkeypatch):
+    real = toxicity.ftrl
+    rows = [(7, f"word{i} again{i % 9}") for i in range(4000)] + [(7, "same text")] * 4000
+    rows += [(100 + i, f"other{i} vile") for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame(
+        [(7, 0), *((100 + i, 1) for i in range(100))], "doc_id long, toxic int"
+    )
+
+    def counting(held, *rest):
+        # Runs in a worker: the number of rows comes back as the bias.
+        w, _ = real(held, *rest)
+        return w, float(len(held))
+
+    monkeypatch.setattr(toxicity, "ftrl", counting)
+    _, _, drawn = toxicity.fit(docs, labels, sample_rows=500)
+    assert 0 < drawn < 700
+
+
+def plain_ftrl(rows, epochs, alpha, beta, l1, l2):
+    """FTRL-proximal one coordinate at a time, with dictionaries."""
+    z, n = Counter(), Counter()
+
+    def weight(i, lasso, ridge):
+        if abs(z[i]) <= lasso:
+            return 0.0
+        return (math.copysign(lasso, z[i]) - z[i]) / ((beta + math.sqrt(n[i])) / alpha + ridge)
+
+    for _ in range(epochs):
+        for found, label in rows:
+            held = {i: weight(i, l1, l2) for i in found} | {"bias": weight("bias", 0.0, 0.0)}
+            g = 1 / (1 + math.exp(-sum(held.values()))) - label
+            for i, w in held.items():
+                z[i] += g - (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / alpha * w
+                n[i] += g * g
+    places = {i: w for i in z if i != "bias" and (w := weight(i, l1, l2))}
+    return places, weight("bias", 0.0, 0.0)
+
+
+def test_ftrl_against_dictionaries():
+    draw = random.Random(4)
+    rows = []
+    for _ in range(200):
+        found = sorted(draw.sample(range(60), draw.randint(0, 12)))
+        rows.append((np.array(found, np.int64), int(3 in found)))
+    for l1, l2 in ((0.0, 0.0), (0.5, 0.1), (2.0, 0.0)):
+        got, bias = toxicity.ftrl(rows, 3, 1.0, 1.0, l1, l2)
+        want, want_bias = plain_ftrl([(f.tolist(), y) for f, y in rows], 3, 1.0, 1.0, l1, l2)
+        assert {int(i): got[i] for i in np.flatnonzero(got)} == pytest.approx(want)
+        assert bias == pytest.approx(want_bias)
+
+
 def test_toxic_words_are_learned(spark):
     draw = random.Random(12)
     rows, labels = [], []
