@@ -11,8 +11,9 @@ from pyspark.sql import types as T
 
 from lamina.columns import col, sql_text
 from lamina.operators.diff import append_changes, overwrite_changes
-from lamina.schemas import INSERT, change_feed
+from lamina.schemas import DELETE, INSERT, change_feed
 from lamina.sources.changelog import write_commit
+from lamina.sources.files import Store
 
 
 def create_table(
@@ -76,8 +77,10 @@ def ticker_list(spark: SparkSession, table: str, column: str = "ticker") -> Data
 class SourceTable:
     """A source table that records its own changes: rows at ``path``, its feed at ``log``.
 
-    The rows of a change are worked out once, for the commit. The table's files are made from the
-    stored commit, so both hold the same rows; ``bring_in`` makes them again if a run was lost between.
+    The log is the truth. The rows of a change are worked out once, for the commit; the table's files are
+    made from the stored commit, so both hold the same rows. A commit's files are written aside, and are
+    moved in when all are there; a marker for each commit says that it is in. What a lost run left undone
+    ``mend`` finishes, which each change does first: no commit is left out, and none comes in twice.
     """
 
     path: str
@@ -86,28 +89,64 @@ class SourceTable:
 
     def append(self, df: DataFrame, version: int, timestamp) -> None:
         """Add rows; the commit holds them as inserts."""
+        self.mend(df.sparkSession)
         write_commit(append_changes(df.to(self.schema)), self.log, version, timestamp)
-        append_table(self._inserted(df.sparkSession, version), self.path)
+        self.bring_in(df.sparkSession, version)
 
     def overwrite(self, df: DataFrame, version: int, timestamp) -> None:
         """Replace the rows; the commit deletes the old ones and inserts the new."""
-        before = read_table(df.sparkSession, self.path, self.schema)
+        spark = df.sparkSession
+        self.mend(spark)
+        before = read_table(spark, self.path, self.schema)
         # The feed reads the old rows, so it goes first.
         feed = overwrite_changes(before, df.to(self.schema))
         write_commit(feed, self.log, version, timestamp)
-        self.bring_in(df.sparkSession, version)
+        self.bring_in(spark, version)
+
+    def mend(self, spark: SparkSession) -> list[int]:
+        """Bring in the commits that the log has and the table lacks, in their order; gives their versions."""
+        store = Store(spark, self.path)
+        held = set(store.children(self._done)) if store.exists(self._done) else set()
+        there = store.children(self.log) if store.exists(self.log) else []
+        versions = sorted(int(n.partition("=")[2]) for n in there if n.startswith("_commit_version="))
+        lacking = [v for v in versions if str(v) not in held]
+        for version in lacking:
+            self.bring_in(spark, version)
+        return lacking
 
     def bring_in(self, spark: SparkSession, version: int) -> None:
-        """Make the table what the overwriting commit ``version`` left."""
-        overwrite_table(self._inserted(spark, version), self.path)
-
-    def _inserted(self, spark: SparkSession, version: int) -> DataFrame:
+        """Carry commit ``version`` over to the table's files, from wherever a lost run stopped.
+
+        A commit that deletes rows is one that replaced the table. Its old files go before its own come,
+        so a batch read in between sees fewer rows; a stream sees each file once.
+        """
+        store = Store(spark, self.path)
+        if store.exists(f"{self._done}/{version}"):
+            return
+        staged, own = f"{self.path}/_commit-{version}", f"commit-{version}-"
+        # Once some files have moved, the others must be those of the same write.
+        if not store.exists(f"{staged}/_ready"):
+            self._changed(spark, version, INSERT).write.mode("overwrite").parquet(staged)
+            store.make(f"{staged}/_ready")
+        if self._changed(spark, version, DELETE).limit(1).count():
+            for name in store.children(self.path):
+                if not name.startswith(("_", ".", own)):
+                    store.remove(f"{self.path}/{name}")
+        for name in store.children(staged):
+            if not name.startswith(("_", ".")):
+                store.move(f"{staged}/{name}", f"{self.path}/{own}{name}")
+        store.make(f"{self._done}/{version}")
+        store.remove(staged)
+
+    @property
+    def _done(self) -> str:
+        return f"{self.path}/_commits"
+
+    def _changed(self, spark: SparkSession, version: int, kind: str) -> DataFrame:
         commit = spark.read.schema(change_feed(self.schema)).parquet(
             f"{self.log}/_commit_version={version}"
         )
-        return commit.where(F.col("_change_type") == INSERT).select(
-            *[col(f.name) for f in self.schema]
-        )
+        return commit.where(F.col("_change_type") == kind).select(*[col(f.name) for f in self.schema])
 
 
 def register_table(

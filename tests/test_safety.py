@@ -22,6 +22,8 @@ from lamina.plans.gold import ticker_dist_geo
 from lamina.plans.loads import Sizes, initial_load, ticker_table
 from lamina.plans.refresh import Folders, refresh_append, refresh_cdc
 from lamina.session import work_dir
+from lamina.sources import tables
+from lamina.sources.files import Store
 from lamina.sources.tables import (
     SourceTable,
     read_append_stream,
@@ -194,6 +196,75 @@ def test_rows_that_change_when_asked_again(spark, tmp_path):
     assert rows(log.where("_change_type = 'delete'").select("id", "v")) == first
 
 
+@pytest.mark.parametrize("lost", range(7))
+@pytest.mark.parametrize("change", ["append", "overwrite"])
+def test_a_lost_change_of_a_source_table_is_mended(spark, tmp_path, monkeypatch, change, lost):
+    """The run is lost before the ``lost``-th step on the store once the commit is in the log."""
+    schema = spark.createDataFrame([], "id BIGINT, v DOUBLE").schema
+    table = SourceTable(str(tmp_path / "t"), str(tmp_path / "log"), schema)
+
+    def some_rows(first):
+        return spark.range(first, first + 40, 1, 2).select("id", F.rand().alias("v"))
+
+    table.append(some_rows(0), 0, DAYS[0])
+    table.append(some_rows(100), 1, DAYS[1])
+    steps = itertools.count()
+
+    def losing(real):
+        def step(*args):
+            if next(steps) >= lost:
+                raise OSError("lost")
+            return real(*args)
+
+        return step
+
+    class Flaky(Store):
+        move, make, remove = losing(Store.move), losing(Store.make), losing(Store.remove)
+
+    with monkeypatch.context() as m:
+        m.setattr(tables, "Store", Flaky)
+        try:
+            getattr(table, change)(some_rows(200), 2, DAYS[2])
+        except OSError:
+            pass
+    with pytest.raises(FileExistsError):
+        table.append(some_rows(200), 2, DAYS[2])
+    assert table.mend(spark) == []  # the refused append has mended the table
+    table.append(some_rows(300), 3, DAYS[3])
+    log = spark.read.parquet(table.log).where("_change_type = 'insert'")
+    kept = log if change == "append" else log.where("_commit_version >= 2")
+    assert rows(read_table(spark, table.path, schema)) == rows(kept.select("id", "v"))
+    names = {f.name.split("-")[1] for f in (tmp_path / "t").glob("commit-*")}
+    assert names == ({"0", "1", "2", "3"} if change == "append" else {"2", "3"})
+
+
+def test_a_stream_of_a_mended_table_has_each_row_once(spark, tmp_path, monkeypatch):
+    schema = spark.createDataFrame([], "id BIGINT").schema
+    table = SourceTable(str(tmp_path / "t"), str(tmp_path / "log"), schema)
+    table.append(spark.range(0, 10, 1, 3), 0, DAYS[0])
+
+    def taken():
+        stream = read_append_stream(spark, table.path, schema).writeStream.format("parquet")
+        query = stream.option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True)
+        query.start(str(tmp_path / "out")).awaitTermination()
+        return sorted(r["id"] for r in spark.read.parquet(str(tmp_path / "out")).collect())
+
+    moved = itertools.count()
+    real = Store.move
+
+    def losing(store, source, target):
+        if "/commit-1-" in target and next(moved) == 1:
+            raise OSError("lost")
+        real(store, source, target)
+
+    monkeypatch.setattr(Store, "move", losing)
+    with pytest.raises(OSError):
+        table.append(spark.range(10, 20, 1, 3), 1, DAYS[1])
+    assert len(taken()) > 10
+    assert table.mend(spark) == [1]
+    assert taken() == list(range(20))
+
+
 def test_a_failed_refresh_leaves_the_old_view(spark, tmp_path):
     path = str(tmp_path / "view")
     refresh_view(spark.range(3), path)
