@@ -17,8 +17,17 @@ A pair is linked if its edit similarity, 1 - (word edits / words of the longer t
 First the texts of a bucket are paired with one of them, its leader, which is another one for each third
 of the tables. Buckets whose texts are then still in different groups are gone through in whole: any two
 of their texts from different groups are compared, unless their lengths or their words rule a link out.
-A link leaves at most a fifth of the longer text's words unmatched, so of the rarest words of each, a
-fifth and n more, two linked texts share n: only texts of a bucket that do are paired. A passage that many documents hold is in none of their rarest words, as long as they have others enough.
+
+Texts meet only where their signatures allow a link. A signature holds, for each class of words, whether
+their number is odd. An edit of one word changes two classes at most, and less where it changes the
+length, so signatures that differ in more bits than the allowed edits can change rule a link out. A text
+has two bits or more for each word; a longer signature is folded to the length of a shorter one. A part
+of ``FOLD`` bits goes along into each bucket; the whole ones are compared once for each pair.
+
+In buckets of more than ``CROWD`` texts, those are paired that share one of their rarest runs of two
+words, and each text is there once, in however many such buckets it is. A link leaves at most two fifths
+of either text's runs unmatched, so two linked texts share one among two fifths and one more of each. A
+passage that many documents hold is not among these, as long as they have others enough.
 
 Groups are the connected texts. Texts that are equal are one text throughout, so copies are never paired.
 
@@ -39,6 +48,7 @@ from pyspark.sql import functions as F
 
 from lamina.llm.arrow import Rows, map_slices, slices
 from lamina.session import work_dir
+from lamina.sources.files import Store
 
 WORDS = 2
 SIMILARITY = 0.8
@@ -51,9 +61,12 @@ CACHE = 400_000
 #: Three orders of ids: which of a bucket's texts leads it.
 ORDERS = (0, 0x2AAAAAAAAAAAAAAA, 0x5555555555555555)
 #: Buckets of at most so many texts are gone through within a task, others by joins.
-CROWD = 256
-#: Words are ordered by the counts of so many classes of words.
+CROWD = 512
+#: Runs of words are ordered by the counts of so many classes of runs.
 CLASSES = 1 << 18
+#: Bits of a signature for each word, and of the part that goes into buckets; a power of two.
+SPREAD = 2
+FOLD = 512
 #: Hash matrix cells that are held at once.
 CELLS = 2_000_000
 
@@ -201,6 +214,30 @@ def similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float
     return 1 - distance / longer if distance <= most else 0.0
 
 
+def signature(words: np.ndarray) -> np.ndarray:
+    """Whether the words of each class are odd in number, one bit a class, in whole numbers of 64 bits."""
+    bits = max(FOLD, 1 << (SPREAD * len(words) - 1).bit_length()) if len(words) else FOLD
+    odd = np.bincount((words % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
+
+
+def folded(bits: np.ndarray, size: int) -> np.ndarray:
+    """A signature in ``size`` numbers: the classes that fall together are odd if their sum is."""
+    return np.bitwise_xor.reduce(bits.reshape(-1, size), axis=0)
+
+
+def room(left, right, least: float):
+    """In how many bits the signatures of linked texts of ``left`` and ``right`` words differ at most.
+
+    Negative if their lengths alone rule a link out. A replaced word changes two classes; what one text
+    has more takes up edits that change one.
+    """
+    longer, shorter = np.maximum(left, right), np.minimum(left, right)
+    most = ((1 - least) * longer + 1e-9).astype(np.int64)
+    spare = most - (longer - shorter)
+    return np.where(spare < 0, -1, most + spare)
+
+
 def splitter():
     """A function from texts to the hashes of their words."""
     rows = Rows(lambda w: xxhash.xxh64_intdigest(w), CACHE, np.uint64)
@@ -215,22 +252,27 @@ def splitter():
 
 
 def sketches(texts: DataFrame) -> DataFrame:
-    """``texts`` (blob, low, text) with ``keys``."""
+    """``texts`` (blob, low, text) with ``keys``, the number of ``words``, and the signature ``bits``."""
 
     def make():
         split = splitter()
 
         def work(part: pa.RecordBatch) -> pa.RecordBatch:
-            keys = [buckets(w) for w in split(part.column("text").to_pylist())]
+            words = split(part.column("text").to_pylist())
             return pa.RecordBatch.from_arrays(
-                [*part.columns, pa.array(keys, pa.list_(pa.int64()))],
-                names=[*part.schema.names, "keys"],
+                [
+                    *part.columns,
+                    pa.array([buckets(w) for w in words], pa.list_(pa.int64())),
+                    pa.array([len(w) for w in words], pa.int64()),
+                    pa.array([signature(w).tobytes() for w in words], pa.binary()),
+                ],
+                names=[*part.schema.names, "keys", "words", "bits"],
             )
 
         return work
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in texts.schema)
-    return map_slices(texts, make, f"{kinds}, keys array<long>")
+    return map_slices(texts, make, f"{kinds}, keys array<long>, words long, bits binary")
 
 
 def turned(number: Column, key: Column) -> Column:
@@ -256,80 +298,58 @@ def candidates(sketched: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def rarity(texts: DataFrame) -> np.ndarray:
-    """How often the words of each class of hashes occur in ``texts`` (text)."""
+def possible(pairs: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """The ``pairs`` (a, b) that lengths and signatures allow to be linked; ``texts`` has (id, words, bits)."""
 
-    def counts(batches):
-        split, total = splitter(), np.zeros(CLASSES, np.int64)
+    def keep(batches):
         for batch in batches:
-            for part in slices(batch, "text"):
-                found = [kmers(w, 1) for w in split(part.column("text").to_pylist())]
-                at = (np.concatenate(found) % np.uint64(CLASSES)).astype(np.int64)
-                total += np.bincount(at, minlength=CLASSES)
-        held = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(total[held])], names=["at", "n"])
-
-    counted = texts.select("text").mapInArrow(counts, "at long, n long")
-    found = counted.groupBy("at").agg(F.sum("n").alias("n")).toArrow()
-    times = np.zeros(CLASSES, np.int64)
-    times[found.column("at").to_numpy()] = found.column("n").to_numpy()
-    return times
-
+            words_a, words_b = (batch.column(c).to_numpy() for c in ("words_a", "words_b"))
+            most = room(words_a, words_b, least)
+            held = []
+            for at in np.flatnonzero(most >= 0).tolist():
+                x, y = (np.frombuffer(batch.column(c)[at].as_buffer(), np.uint64) for c in ("bits_a", "bits_b"))
+                size = min(len(x), len(y))
+                if np.bitwise_count(folded(x, size) ^ folded(y, size)).sum(dtype=np.int64) <= most[at]:
+                    held.append(at)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(c).take(pa.array(held, pa.int64())) for c in ("a", "b")], names=["a", "b"]
+            )
 
-def rarest(words: np.ndarray, times: np.ndarray, least: float) -> np.ndarray:
-    """A text's first labelled words in an order that is the same for all texts, rarest first.
+    def side(name: str) -> DataFrame:
+        return texts.select(
+            F.col("id").alias(name), F.col("words").alias(f"words_{name}"), F.col("bits").alias(f"bits_{name}")
+        )
 
-    Of the first ``unmatched`` and n more, a text shares n at least with each text that it is linked to,
-    if that has so many more too. Here n is ``unmatched`` and one.
-    """
-    found = kmers(words, 1)
-    order = np.lexsort((found, times[(found % np.uint64(CLASSES)).astype(np.int64)]))
-    return found[order[: 2 * unmatched(len(found), least) + 1]].view(np.int64)
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    return both.select("a", "b", "words_a", "words_b", "bits_a", "bits_b").mapInArrow(keep, "a long, b long")
 
 
-def sharing(part: pa.Table, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of the pairs in ``part`` (key, id, root, words, first) that ``rest`` looks for."""
+def unlike(part: pa.Table, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of the pairs in ``part`` (key, id, root, words, bits), sorted by key, that ``rest`` looks for."""
     key, ids, root, words = (part.column(c).to_numpy() for c in ("key", "id", "root", "words"))
-    first = part.column("first").combine_chunks()
-    row = np.repeat(np.arange(len(ids)), first.value_lengths().to_numpy(zero_copy_only=False))
-    cell = mix(first.flatten().to_numpy().view(np.uint64) ^ mix(key.view(np.uint64))[row])
-    order = np.argsort(cell, kind="stable")
-    cell, row = cell[order], row[order]
-    more = np.array([unmatched(int(w), least) + 1 for w in words], np.int64)
-    found, shared, at, apart = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], np.arange(len(cell)), 0
-
-    def summed():
-        pairs, back = np.unique(np.concatenate(found), return_inverse=True)
-        return [pairs], [np.bincount(back, np.concatenate(shared), len(pairs)).astype(np.int64)]
-
+    bits = np.frombuffer(b"".join(part.column("bits").to_pylist()), np.uint64).reshape(len(ids), -1)
+    left, right, at, apart = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], np.arange(len(ids)), 0
     while len(at):
         apart += 1
-        at = at[at + apart < len(cell)]
-        at = at[cell[at] == cell[at + apart]]
-        x, y = row[at], row[at + apart]
-        longer = np.maximum(words[x], words[y])
-        close = longer - np.minimum(words[x], words[y]) <= longer * (1 - least) + 1e-9
-        held = close & (root[x] != root[y])
-        pairs, n = np.unique(
-            np.minimum(x, y)[held] * len(ids) + np.maximum(x, y)[held], return_counts=True
-        )
-        found.append(pairs)
-        shared.append(n)
-        if sum(map(len, found[1:])) > CELLS:
-            found, shared = summed()
-    (pairs,), (n,) = summed()
-    x, y = np.divmod(pairs, max(1, len(ids)))
-    enough = n >= np.minimum(more[x], more[y])
-    x, y = x[enough], y[enough]
-    return np.maximum(ids[x], ids[y]), np.minimum(ids[x], ids[y])
+        at = at[at + apart < len(ids)]
+        at = at[key[at] == key[at + apart]]
+        x = at[root[at] != root[at + apart]]
+        most = room(words[x], words[x + apart], least)
+        x, most = x[most >= 0], most[most >= 0]
+        differ = np.bitwise_count(bits[x] ^ bits[x + apart]).sum(axis=1, dtype=np.int64)
+        x = x[differ <= most]
+        left.append(ids[x])
+        right.append(ids[x + apart])
+    x, y = np.concatenate(left), np.concatenate(right)
+    return np.maximum(x, y), np.minimum(x, y)
 
 
 def within(rows: DataFrame, least: float) -> DataFrame:
-    """(a, b): the pairs of ``sharing``. No bucket is larger than ``CROWD``."""
+    """(a, b): the pairs of ``unlike``. No bucket is larger than ``CROWD``."""
 
     def work(batches):
         def out(part):
-            return pa.RecordBatch.from_arrays([pa.array(x) for x in sharing(part, least)], names=["a", "b"])
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in unlike(part, least)], names=["a", "b"])
 
         held = None
         for batch in batches:
@@ -344,17 +364,16 @@ def within(rows: DataFrame, least: float) -> DataFrame:
         if held is not None:
             yield out(held)
 
-    ordered = rows.select("key", "id", "root", "words", "first").repartition("key")
+    ordered = rows.select("key", "id", "root", "words", "bits").repartition("key")
     return ordered.sortWithinPartitions("key").mapInArrow(work, "a long, b long")
 
 
 def rest(texts: DataFrame, roots: DataFrame, known: DataFrame, least: float, folder: str) -> DataFrame:
     """(a, b): the pairs of texts that share a bucket, are in different groups and may still be linked.
 
-    ``texts`` has (id, text, keys), ``roots`` (id, root) those that are linked to any, and ``known`` the
-    pairs that were compared.
+    ``texts`` is that of ``sketches`` with ``id``, ``roots`` (id, root) those that are linked to any, and
+    ``known`` the pairs that were compared.
     """
-    spark = texts.sparkSession
     keys = F.explode(F.array_distinct("keys")).alias("key")
     of_root = F.coalesce("root", "id").alias("root")
     rows = texts.select("id", keys).join(roots, "id", "left").select("key", "id", of_root)
@@ -370,8 +389,67 @@ def rest(texts: DataFrame, roots: DataFrame, known: DataFrame, least: float, fol
     )
     if not seen["n"]:
         return known.limit(0)
-    own = texts.select("id", "text").join(open_rows.select("id").distinct(), "id", "left_semi")
-    held = spark.sparkContext.broadcast(rarity(own))
+    part = map_slices(texts.select("id", "words", "bits"), fold, "id long, words long, bits binary", "bits")
+    pairs = within(open_rows.where(~crowd).join(part, "id"), least)
+    if seen["crowded"]:
+        crowded = open_rows.where(crowd).select("id", "root").distinct()
+        pairs = pairs.unionByName(across(crowded, texts.select("id", "text"), least, folder))
+    return pairs.distinct().join(known, ["a", "b"], "left_anti")
+
+
+def fold():
+    """A function from slices (id, words, bits) to the same with the part that goes into buckets."""
+    size = FOLD // 64
+
+    def work(part: pa.RecordBatch) -> pa.RecordBatch:
+        bits = [folded(np.frombuffer(b, np.uint64), size).tobytes() for b in part.column("bits").to_pylist()]
+        return pa.RecordBatch.from_arrays(
+            [part.column("id"), part.column("words"), pa.array(bits, pa.binary())], names=["id", "words", "bits"]
+        )
+
+    return work
+
+
+def rarity(texts: DataFrame) -> np.ndarray:
+    """How often the runs of two words of each class of hashes occur in ``texts`` (text)."""
+
+    def counts(batches):
+        split, total = splitter(), np.zeros(CLASSES, np.int64)
+        for batch in batches:
+            for part in slices(batch, "text"):
+                for words in split(part.column("text").to_pylist()):
+                    at = (kmers(words) % np.uint64(CLASSES)).astype(np.int64)
+                    np.add.at(total, at, 1)
+        held = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(total[held])], names=["at", "n"])
+
+    counted = texts.select("text").mapInArrow(counts, "at long, n long")
+    found = counted.groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    times = np.zeros(CLASSES, np.int64)
+    times[found.column("at").to_numpy()] = found.column("n").to_numpy()
+    return times
+
+
+def rarest(words: np.ndarray, times: np.ndarray, least: float) -> np.ndarray:
+    """A text's first labelled runs of two words in an order that is the same for all texts, rarest first.
+
+    A link leaves at most 2 * (1 - ``least``) of the words' number of a text's runs unmatched, so the first
+    of the runs that two linked texts share is among so many and one more of each.
+    """
+    found = kmers(words)
+    order = np.lexsort((found, times[(found % np.uint64(CLASSES)).astype(np.int64)]))
+    return found[order[: int(2 * (1 - least) * len(words) + 1e-9) + 1]].view(np.int64)
+
+
+def across(rows: DataFrame, texts: DataFrame, least: float, folder: str) -> DataFrame:
+    """(a, b): pairs of the texts in ``rows`` (id, root) that may be linked and are in different groups.
+
+    In each cell, the texts that share one of their rarest runs, those out of the largest group are paired
+    with all others, so a large group isn't paired with itself.
+    """
+    rows, _ = stored(rows, f"{folder}/crowded", n=F.count(F.lit(1)))
+    own = texts.join(rows.select("id"), "id", "left_semi")
+    held = rows.sparkSession.sparkContext.broadcast(rarity(own))
 
     def make():
         split = splitter()
@@ -390,27 +468,12 @@ def rest(texts: DataFrame, roots: DataFrame, known: DataFrame, least: float, fol
 
         return work
 
-    firsts = map_slices(own, make, "id long, words long, first array<long>")
-    firsts, _ = stored(firsts, f"{folder}/firsts", n=F.count(F.lit(1)))
-    wide = open_rows.join(firsts, "id")
-    pairs = within(wide.where(~crowd), least)
-    if seen["crowded"]:
-        pairs = pairs.unionByName(across(wide.where(crowd), least, folder))
-    return pairs.distinct().join(known, ["a", "b"], "left_anti")
-
-
-def across(rows: DataFrame, least: float, folder: str) -> DataFrame:
-    """(a, b): the same pairs by joins, for buckets of any size.
-
-    In each cell, a bucket's texts that share one of their rarest words, those out of the largest group
-    are paired with all others, so a large group isn't paired with itself.
-    """
-    # One shared word among the first of a fifth and one more.
-    fifth = F.floor(F.col("words") * (1 - least) + 1e-9).cast("int")
-    cells = rows.select(
-        "id", "root", "words", F.explode(F.slice("first", F.lit(1), fifth + 1)).alias("word"), "key"
-    ).select("id", "root", "words", F.xxhash64("key", "word").alias("cell"))
-    cells, _ = stored(cells, f"{folder}/cells", n=F.count(F.lit(1)))
+    firsts = map_slices(own, make, "id long, words long, first array<long>").join(rows, "id")
+    cells, _ = stored(
+        firsts.select("id", "root", "words", F.explode("first").alias("cell")),
+        f"{folder}/cells",
+        n=F.count(F.lit(1)),
+    )
     largest = (
         cells.groupBy("cell", "root")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -431,8 +494,11 @@ def across(rows: DataFrame, least: float, folder: str) -> DataFrame:
     ).select(F.greatest("x.id", "y.id").alias("a"), F.least("x.id", "y.id").alias("b"))
 
 
-def verify(pairs: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """(a, b, similarity) of the pairs that align; ``texts`` has (id, text)."""
+def verify(pairs: DataFrame, texts: DataFrame, least: float, folder: str) -> DataFrame:
+    """(a, b) of the pairs that align, as a table in ``folder``; ``texts`` has (id, text, words, bits).
+
+    Only the texts of possible pairs move.
+    """
 
     def make():
         split = splitter()
@@ -445,23 +511,30 @@ def verify(pairs: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> Dat
             right = split([text_b[i].as_py() for i in starts])
             runs = np.repeat(np.arange(len(starts)), np.diff([*starts, len(b)]))
             found = np.array([similarity(x, right[r], least) for x, r in zip(left, runs)])
-            held = np.flatnonzero(found > 0)
-            return pa.RecordBatch.from_arrays(
-                [
-                    part.column("a").take(held),
-                    part.column("b").take(held),
-                    pa.array(found[held], pa.float64()),
-                ],
-                names=["a", "b", "similarity"],
-            )
+            held = pa.array(np.flatnonzero(found > 0))
+            return pa.RecordBatch.from_arrays([part.column(c).take(held) for c in "ab"], names=["a", "b"])
 
         return work
 
-    one = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
-    both = one.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
-    return map_slices(
-        both.select("a", "b", "text_a", "text_b"), make, "a long, b long, similarity double", "text_a"
+    left, seen = stored(possible(pairs, texts, least), f"{folder}/possible", n=F.count(F.lit(1)))
+    needed = left.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    needed, _ = stored(needed, f"{folder}/needed", n=F.count(F.lit(1)))
+    own, _ = stored(
+        texts.select("id", "text").join(needed, "id", "left_semi"), f"{folder}/own", n=F.count(F.lit(1))
     )
+    one = left.join(own.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
+    both = one.join(own.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
+    found = map_slices(both.select("a", "b", "text_a", "text_b"), make, "a long, b long", "text_a")
+    links, _ = stored(found, f"{folder}/links", n=F.count(F.lit(1)))
+    dropped(links.sparkSession, folder, "possible", "needed", "own")
+    return links
+
+
+def dropped(spark, folder: str, *names: str) -> None:
+    """Deletes tables of ``folder`` that nothing reads again, as all made from them are stored."""
+    store = Store(spark, folder)
+    for name in names:
+        store.remove(f"{folder}/{name}")
 
 
 def stored(df: DataFrame, path: str, **counts: Column) -> tuple[DataFrame, dict[str, int]]:
@@ -540,16 +613,13 @@ def members(
     texts = spark.read.parquet(f"{folder}/texts")
     candidates(texts.select("id", "keys")).write.parquet(f"{folder}/pairs")
     pairs = spark.read.parquet(f"{folder}/pairs")
-    verify(pairs, texts.select("id", "text"), least).write.parquet(f"{folder}/links")
-    led = spark.read.parquet(f"{folder}/links")
+    links = led = verify(pairs, texts, least, f"{folder}/by_leader")
     roots = components(led, f"{folder}/led")
     more = rest(texts, roots, pairs, least, folder)
     more, seen = stored(more, f"{folder}/more_pairs", n=F.count(F.lit(1)))
-    links = led
+    dropped(spark, folder, "pairs", "open", "crowded", "cells", "sides")
     if seen["n"]:
-        found = verify(more, texts.select("id", "text"), least)
-        found, _ = stored(found, f"{folder}/more_links", n=F.count(F.lit(1)))
-        links = led.unionByName(found)
+        links = led.unionByName(verify(more, texts, least, f"{folder}/by_bucket"))
         roots = components(links, f"{folder}/components")
 
     ends = links.select(F.explode(F.array("a", "b")).alias("id"))
@@ -566,6 +636,7 @@ def members(
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
     ).write.parquet(f"{folder}/named")
     named = spark.read.parquet(f"{folder}/named")
+    dropped(spark, folder, "texts", "more_pairs", "by_leader", "by_bucket", "led", "components")
     return rows.select("doc_id", "blob").join(named, "blob", "left").select(
         "doc_id",
         "blob",

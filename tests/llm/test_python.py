@@ -425,6 +425,31 @@ def test_scattered_edits_share_a_bucket(size, share):
     assert missed <= 4
 
 
+@pytest.mark.parametrize("size", [5, 24, 100, 300, 1500])
+def test_signatures_rule_no_link_out(size):
+    """Texts whose words are replaced, dropped, added and moved, of few words and of many."""
+    draw = random.Random(size)
+    for turn in range(60):
+        words = [draw.getrandbits(64) % (20 if turn % 2 else 1 << 63) for _ in range(size)]
+        other = list(words)
+        for _ in range(draw.randint(0, size // 5)):
+            at = draw.randrange(len(other))
+            kind = draw.randrange(3)
+            other[at : at + (kind != 1)] = [] if kind == 2 and len(other) > 1 else [draw.getrandbits(64)]
+        x, y = (np.array(w, np.uint64) for w in (words, other))
+        a, b = near_dup.signature(x), near_dup.signature(y)
+        least = min(len(a), len(b))
+        for parts in (least, near_dup.FOLD // 64):
+            apart = int(np.bitwise_count(near_dup.folded(a, parts) ^ near_dup.folded(b, parts)).sum())
+            if near_dup.similarity(x, y):
+                assert apart <= near_dup.room(len(x), len(y), near_dup.SIMILARITY)
+    unlike = np.array([draw.getrandbits(64) for _ in range(size)], np.uint64)
+    others = np.array([draw.getrandbits(64) for _ in range(size)], np.uint64)
+    apart = int(np.bitwise_count(near_dup.signature(others) ^ near_dup.signature(unlike)).sum())
+    assert apart > near_dup.room(size, size, near_dup.SIMILARITY)
+    assert near_dup.room(10, 7, 0.8) == -1 and len(near_dup.signature(x[:0])) == near_dup.FOLD // 64
+
+
 def test_repeats_leave_other_shingles_alone():
     words = [f"w{i}" for i in range(50)]
     twice = [*words, "w3", "w4"]
