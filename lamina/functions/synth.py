@@ -7,7 +7,8 @@ is partitioned, and a task that runs again makes the same rows. Rows come from a
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -164,62 +165,102 @@ def choose_from(
     return df.withColumn(pick, _below(name, seed, size)).join(placed, pick).drop(pick)
 
 
+@dataclass(frozen=True)
+class From:
+    """How a column is made from the columns that it ``needs``.
+
+    ``value`` is SQL text, an expression, or a function that adds the column to a table, by a join for
+    instance. A column that isn't ``shown`` only serves others.
+    """
+
+    needs: tuple[str, ...]
+    value: str | Column | Callable[[DataFrame], DataFrame]
+    shown: bool = True
+
+
+Spec = Mapping[str, Column | From]
+
+
+def layers(spec: Spec) -> list[list[str]]:
+    """The columns of ``spec``, each layer needing only what ``id`` and the layers before it give.
+
+    ``ValueError`` for names that differ in case alone, for needs that nothing makes, and for columns
+    that need each other in a circle.
+    """
+    names = {"id", *(n.lower() for n in spec)}
+    if len(names) != len(spec) + 1:
+        raise ValueError("columns of a spec must differ, and none may be called id")
+    needs = {n: {x.lower() for x in v.needs} if isinstance(v, From) else set() for n, v in spec.items()}
+    for name, needed in needs.items():
+        if unknown := sorted(needed - names):
+            raise ValueError(f"{name} needs {', '.join(unknown)}, which nothing makes")
+    made, found = {"id"}, []
+    while len(made) < len(names):
+        layer = [n for n in spec if n.lower() not in made and needs[n] <= made]
+        if not layer:
+            raise ValueError(f"in a circle: {', '.join(n for n in spec if n.lower() not in made)}")
+        found.append(layer)
+        made.update(n.lower() for n in layer)
+    return found
+
+
+def synthesize(ids: DataFrame, spec: Spec) -> DataFrame:
+    """``id`` and the shown columns of ``spec`` in its order, whatever order they are made in.
+
+    One projection makes all expressions of a layer. Functions of a layer come first, while the table has
+    the fewest columns to move.
+    """
+    df = ids.select("id")
+    for layer in layers(spec):
+        values = {n: v.value if isinstance(v := spec[n], From) else v for n in layer}
+        for value in values.values():
+            if not isinstance(value, (str, Column)):
+                df = value(df)
+        plain = {n: v for n, v in values.items() if isinstance(v, (str, Column))}
+        if plain:
+            df = df.select("*", *[(F.expr(v) if isinstance(v, str) else v).alias(n) for n, v in plain.items()])
+    shown = [n for n, v in spec.items() if not isinstance(v, From) or v.shown]
+    return df.select("id", *[col(n) for n in shown])
+
+
 # Prefixes, places, texts and date ranges in the three tables below.
 
 
 def accounts(ids: DataFrame, seed: int, first: int = 1, count: int = 1000) -> DataFrame:
-    return ids.select(
-        "id",
-        cycled_account(first, count),
-        numbered("acct_name", seed, "acct_", first, count),
-        uniform_int("acct_number", seed, 1_000_000_000, 2_000_000_000),
-        choice("acct_type", seed, ACCOUNT_TYPES),
-        uniform_double("balance", seed, 500_000.0, 2_500_000.0),
-        F.lit("open").alias("acct_status"),
-        uniform_timestamp("open_date", seed, "2020-01-01 00:00:00", "2021-12-31 23:59:59"),
-        uniform_timestamp("closed_date", seed, "2080-01-01 00:00:00", "2800-12-31 23:59:59"),
-        choice("margin_enabled", seed, MARGIN),
-        choice("risk_tolerance", seed, RISK),
-        uniform_timestamp("created_date", seed, "2022-01-01 00:00:00", "2024-12-31 23:59:59"),
-    )
+    spec = {
+        "acct_id": cycled_account(first, count),
+        "acct_name": numbered("acct_name", seed, "acct_", first, count),
+        "acct_number": uniform_int("acct_number", seed, 1_000_000_000, 2_000_000_000),
+        "acct_type": choice("acct_type", seed, ACCOUNT_TYPES),
+        "balance": uniform_double("balance", seed, 500_000.0, 2_500_000.0),
+        "acct_status": F.lit("open"),
+        "open_date": uniform_timestamp("open_date", seed, "2020-01-01 00:00:00", "2021-12-31 23:59:59"),
+        "closed_date": uniform_timestamp("closed_date", seed, "2080-01-01 00:00:00", "2800-12-31 23:59:59"),
+        "margin_enabled": choice("margin_enabled", seed, MARGIN),
+        "risk_tolerance": choice("risk_tolerance", seed, RISK),
+        "created_date": uniform_timestamp("created_date", seed, "2022-01-01 00:00:00", "2024-12-31 23:59:59"),
+    }
+    return synthesize(ids, spec)
 
 
 def customers(ids: DataFrame, seed: int, first: int = 1, count: int = 1000) -> DataFrame:
     states = ids.sparkSession.createDataFrame(STATES, "state_cd STRING, lat DOUBLE, lon DOUBLE")
-    id_text = F.col("id").cast("string")
-    return (
-        ids.select(
-            "id",
-            F.concat(F.lit("1000000"), id_text).alias("customer_id"),
-            numbered("first_name", seed, "customer_", first, count),
-            numbered("last_name", seed, "custlastname_", first, count),
-            F.concat(F.lit("user"), id_text, F.lit("@demo.com")).alias("email"),
-            F.concat(
-                F.lit("+1-555-"), F.lpad((F.col("id") % 10000).cast("string"), 4, "0")
-            ).alias("phone_number"),
-            cycled_account(first, count),
-            choice("state_cd", seed, [code for code, _, _ in STATES]),
-            F.lit("US").alias("country_cd"),
-            uniform_timestamp("created_at", seed, "2022-01-01 00:00:00", "2024-12-31 23:59:59"),
-        )
-        .join(F.broadcast(states), "state_cd")
-        .withColumn("latitude", F.col("lat") + _jitter("latitude", seed))
-        .withColumn("longitude", F.col("lon") + _jitter("longitude", seed))
-        .select(
-            "id",
-            "customer_id",
-            "first_name",
-            "last_name",
-            "email",
-            "phone_number",
-            "acct_id",
-            "state_cd",
-            "latitude",
-            "longitude",
-            "country_cd",
-            "created_at",
-        )
-    )
+    places = F.broadcast(states.select("state_cd", F.struct("lat", "lon").alias("place")))
+    spec = {
+        "customer_id": F.concat(F.lit("1000000"), F.col("id").cast("string")),
+        "first_name": numbered("first_name", seed, "customer_", first, count),
+        "last_name": numbered("last_name", seed, "custlastname_", first, count),
+        "email": F.concat(F.lit("user"), F.col("id").cast("string"), F.lit("@demo.com")),
+        "phone_number": F.concat(F.lit("+1-555-"), F.lpad((F.col("id") % 10000).cast("string"), 4, "0")),
+        "acct_id": cycled_account(first, count),
+        "state_cd": choice("state_cd", seed, [code for code, _, _ in STATES]),
+        "place": From(("state_cd",), lambda df: df.join(places, "state_cd"), shown=False),
+        "latitude": From(("place",), F.col("place.lat") + _jitter("latitude", seed)),
+        "longitude": From(("place",), F.col("place.lon") + _jitter("longitude", seed)),
+        "country_cd": F.lit("US"),
+        "created_at": uniform_timestamp("created_at", seed, "2022-01-01 00:00:00", "2024-12-31 23:59:59"),
+    }
+    return synthesize(ids, spec)
 
 
 def transactions(
@@ -227,21 +268,18 @@ def transactions(
 ) -> DataFrame:
     """``tickers`` has a column ``ticker``. Holdings, which no source makes, are the quantity."""
     year = ("2022-01-01 00:00:00", "2022-12-31 23:59:59")
-    return (
-        choose_from(ids, tickers, "ticker", "ticker_symbol", seed)
-        .select(
-            "id",
-            F.concat(F.lit("1110000"), F.col("id").cast("string")).alias("transaction_id"),
-            random_account(seed, first, count),
-            "ticker_symbol",
-            choice("transaction_type", seed, TRANSACTION_TYPES),
-            uniform_double("quantity", seed, 10.0, 20_000.0),
-            uniform_double("price_per_share", seed, 50.0, 1_000.0),
-            uniform_timestamp("transaction_date", seed, *year),
-            choice("order_type", seed, ORDER_TYPES),
-            choice("trade_status", seed, TRADE_STATUS),
-            uniform_timestamp("created_date", seed, *year),
-        )
-        .withColumn("total_amt", F.col("quantity") * F.col("price_per_share"))
-        .withColumn("total_holdings", F.col("quantity"))
-    )
+    spec = {
+        "transaction_id": F.concat(F.lit("1110000"), F.col("id").cast("string")),
+        "acct_id": random_account(seed, first, count),
+        "ticker_symbol": From((), lambda df: choose_from(df, tickers, "ticker", "ticker_symbol", seed)),
+        "transaction_type": choice("transaction_type", seed, TRANSACTION_TYPES),
+        "quantity": uniform_double("quantity", seed, 10.0, 20_000.0),
+        "price_per_share": uniform_double("price_per_share", seed, 50.0, 1_000.0),
+        "transaction_date": uniform_timestamp("transaction_date", seed, *year),
+        "order_type": choice("order_type", seed, ORDER_TYPES),
+        "trade_status": choice("trade_status", seed, TRADE_STATUS),
+        "created_date": uniform_timestamp("created_date", seed, *year),
+        "total_amt": From(("quantity", "price_per_share"), "quantity * price_per_share"),
+        "total_holdings": From(("quantity",), "quantity"),
+    }
+    return synthesize(ids, spec)

@@ -712,3 +712,16 @@ def synth_transactions(spark, sf_dir):
 def synth_dim_choice(spark, sf_dir):
     ids = _ids(spark, sf_dir, "orders", "o_orderkey")
     return synth.choose_from(ids, _tickers(spark, sf_dir), "ticker", "ticker_symbol", seed=1)
+
+
+@query("synth_derived")
+def synth_derived(spark, sf_dir):
+    """Columns that build on one another, made for the ids of the orders."""
+    spec = {
+        "fee": synth.From(("amount", "rate"), "amount * rate"),
+        "fee_class": synth.From(("fee", "order_type"), "concat(order_type, if(fee < 100, '-low', '-high'))"),
+        "rate": synth.From(("order_type",), "if(order_type = 'market', 0.25D, 0.125D)", shown=False),
+        "amount": synth.uniform_double("amount", 1, 0.0, 1000.0),
+        "order_type": synth.choice("order_type", 1, synth.ORDER_TYPES),
+    }
+    return synth.synthesize(_ids(spark, sf_dir, "orders", "o_orderkey"), spec)

@@ -312,6 +312,13 @@ made AS (SELECT id, concat('1110000', CAST(id AS VARCHAR)) AS transaction_id,
   {_instant('created_date', *YEAR)} AS created_date FROM picked)
 SELECT *, quantity * price_per_share AS total_amt, quantity AS total_holdings FROM made"""
 
+SYNTH_DERIVED = f"""WITH ids AS (SELECT o_orderkey AS id FROM orders),
+made AS (SELECT id, {_real('amount', '0.0', '1000.0')}, {_choice('order_type', synth.ORDER_TYPES)} FROM ids),
+charged AS (SELECT *, amount * CASE WHEN order_type = 'market' THEN 0.25::DOUBLE ELSE 0.125::DOUBLE END AS fee
+  FROM made)
+SELECT id, fee, order_type || CASE WHEN fee < 100 THEN '-low' ELSE '-high' END AS fee_class, amount, order_type
+FROM charged"""
+
 BRONZE_COLUMNS = (
     "user_id, event_id, band, source_file, operation_type, commit_version, commit_timestamp"
 )
@@ -437,6 +444,7 @@ ORACLE = {
     "record_hash": _with(CUS)
     + "SELECT customer_id, sha256(concat_ws('|', customer_id, acct_id, state_cd)) AS record_hash FROM cus",
     "synth_accounts": SYNTH_ACCOUNTS,
+    "synth_derived": SYNTH_DERIVED,
     "synth_customers": _synth_customers(),
     "synth_transactions": SYNTH_TRANSACTIONS,
     "synth_dim_choice": f"WITH {TICKERS}, ids AS (SELECT o_orderkey AS id FROM orders) "

@@ -208,6 +208,37 @@ def test_loads_do_not_depend_on_partitions(spark):
         assert rows(one) == rows(many)
 
 
+def test_specs_are_made_in_the_order_of_their_needs(spark):
+    spec = {
+        "last": synth.From(("twice", "Joined"), "twice + joined"),
+        "twice": synth.From(("once",), F.col("once") * 2, shown=False),
+        "joined": synth.From(("once",), lambda df: df.withColumn("joined", F.col("once") + 100)),
+        "once": F.col("id") + 1,
+        "a `b`.c": synth.From(("ID",), "id"),
+    }
+    assert synth.layers(spec) == [["once", "a `b`.c"], ["twice", "joined"], ["last"]]
+    made = synth.synthesize(spark.range(3).withColumn("other", F.lit(1)), spec)
+    assert made.columns == ["id", "last", "joined", "once", "a `b`.c"]
+    assert sorted(tuple(r) for r in made.collect()) == [(i, 3 * i + 103, i + 101, i + 1, i) for i in range(3)]
+    assert synth.synthesize(spark.range(0), spec).count() == 0
+    assert synth.synthesize(spark.range(2), {}).columns == ["id"]
+
+
+@pytest.mark.parametrize(
+    "spec, told",
+    [
+        ({"a": synth.From(("b",), "b"), "b": synth.From(("a",), "a"), "c": synth.From((), "1")}, "circle: a, b"),
+        ({"a": synth.From(("a",), "a")}, "circle: a"),
+        ({"a": synth.From(("gone",), "gone")}, "a needs gone"),
+        ({"a": synth.From((), "1"), "A": synth.From((), "2")}, "must differ"),
+        ({"ID": synth.From((), "1")}, "must differ"),
+    ],
+)
+def test_specs_that_cannot_be_made(spec, told):
+    with pytest.raises(ValueError, match=told):
+        synth.layers(spec)
+
+
 def test_load_values(spark):
     ids = synth.row_ids(spark, 2000)
     accounts = synth.accounts(ids, 1)
