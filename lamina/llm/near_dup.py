@@ -19,15 +19,20 @@ of the tables. Buckets whose texts are then still in different groups are gone t
 of their texts from different groups are compared, unless their lengths or their words rule a link out.
 
 Texts meet only where their signatures allow a link. A signature holds, for each class of words, whether
-their number is odd. An edit of one word changes two classes at most, and less where it changes the
-length, so signatures that differ in more bits than the allowed edits can change rule a link out. A text
-has two bits or more for each word; a longer signature is folded to the length of a shorter one. A part
-of ``FOLD`` bits goes along into each bucket; the whole ones are compared once for each pair.
-
-In buckets of more than ``CROWD`` texts, those are paired that share one of their rarest runs of two
-words, and each text is there once, in however many such buckets it is. A link leaves at most two fifths
-of either text's runs unmatched, so two linked texts share one among two fifths and one more of each. A
-passage that many documents hold is not among these, as long as they have others enough.
+their number is odd, where a word that comes again is another word each time. An edit of one word changes
+two classes at most, and less where it changes the length, so signatures that differ in more bits than the
+allowed edits can change rule a link out. A text has four bits or more for each word; a longer signature is
+folded to the length of a shorter one. A part of ``FOLD`` bits goes along into each bucket; the whole ones
+are compared once for each pair.
+
+In buckets of more than ``CROWD`` texts, those are paired that share one of their rarest words or runs of
+two words, and each text is there once, in however many such buckets it is. A link leaves at most a fifth
+of either text's words and two fifths of its runs unmatched, so two linked texts share a word among a fifth
+and one more of each, and a run among two fifths and one more. Each text goes by the kind that fewer texts
+share with it: runs are rarer, but a passage that many documents hold is among a text's rarest runs from
+three fifths of its length on, and among its rarest words from four fifths on. Texts of different kinds
+meet by runs. Texts that share a passage and are just too different to be linked may still all meet in
+pairs, but only as numbers; their signatures are compared before their texts are.
 
 Groups are the connected texts. Texts that are equal are one text throughout, so copies are never paired.
 
@@ -64,8 +69,10 @@ ORDERS = (0, 0x2AAAAAAAAAAAAAAA, 0x5555555555555555)
 CROWD = 512
 #: Runs of words are ordered by the counts of so many classes of runs.
 CLASSES = 1 << 18
+#: So many counts make a row.
+BLOCK = 1 << 12
 #: Bits of a signature for each word, and of the part that goes into buckets; a power of two.
-SPREAD = 2
+SPREAD = 4
 FOLD = 512
 #: Hash matrix cells that are held at once.
 CELLS = 2_000_000
@@ -215,9 +222,9 @@ def similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float
 
 
 def signature(words: np.ndarray) -> np.ndarray:
-    """Whether the words of each class are odd in number, one bit a class, in whole numbers of 64 bits."""
+    """Whether the labelled words of each class are odd in number, one bit a class, in whole numbers of 64 bits."""
     bits = max(FOLD, 1 << (SPREAD * len(words) - 1).bit_length()) if len(words) else FOLD
-    odd = np.bincount((words % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+    odd = np.bincount((kmers(words, 1) % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
 
 
@@ -410,67 +417,90 @@ def fold():
     return work
 
 
-def rarity(texts: DataFrame) -> np.ndarray:
-    """How often the runs of two words of each class of hashes occur in ``texts`` (text)."""
+def rarity(texts: DataFrame) -> list[np.ndarray]:
+    """How often the words and the runs of ``WORDS`` words of each class of hashes occur in ``texts`` (text)."""
+    parts, kinds = CLASSES // BLOCK, (1, WORDS)
 
     def counts(batches):
-        split, total = splitter(), np.zeros(CLASSES, np.int64)
+        split, total = splitter(), np.zeros((len(kinds), CLASSES), np.int64)
         for batch in batches:
             for part in slices(batch, "text"):
                 for words in split(part.column("text").to_pylist()):
-                    at = (kmers(words) % np.uint64(CLASSES)).astype(np.int64)
-                    np.add.at(total, at, 1)
-        held = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(held), pa.array(total[held])], names=["at", "n"])
+                    for row, width in zip(total, kinds):
+                        np.add.at(row, (kmers(words, width) % np.uint64(CLASSES)).astype(np.int64), 1)
+        blocks = total.reshape(-1, BLOCK)
+        held = np.flatnonzero(blocks.any(axis=1))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(held), pa.array(list(blocks[held]), pa.list_(pa.int64()))], names=["block", "times"]
+        )
 
-    counted = texts.select("text").mapInArrow(counts, "at long, n long")
-    found = counted.groupBy("at").agg(F.sum("n").alias("n")).toArrow()
-    times = np.zeros(CLASSES, np.int64)
-    times[found.column("at").to_numpy()] = found.column("n").to_numpy()
-    return times
+    def added(part: pa.Table) -> pa.Table:
+        times = part.column("times").combine_chunks().flatten().to_numpy().reshape(-1, BLOCK).sum(axis=0)
+        return pa.table({"block": part.column("block").slice(0, 1), "times": pa.array([times], pa.list_(pa.int64()))})
 
+    kind = "block long, times array<long>"
+    found = texts.select("text").mapInArrow(counts, kind).groupBy("block").applyInArrow(added, kind).toArrow()
+    blocks = np.zeros((len(kinds) * parts, BLOCK), np.int64)
+    for block, times in zip(found.column("block").to_pylist(), found.column("times")):
+        blocks[block] = times.values.to_numpy()
+    return list(blocks.reshape(len(kinds), CLASSES))
 
-def rarest(words: np.ndarray, times: np.ndarray, least: float) -> np.ndarray:
-    """A text's first labelled runs of two words in an order that is the same for all texts, rarest first.
 
-    A link leaves at most 2 * (1 - ``least``) of the words' number of a text's runs unmatched, so the first
-    of the runs that two linked texts share is among so many and one more of each.
+def rarest(words: np.ndarray, times: np.ndarray, least: float, width: int) -> tuple[np.ndarray, int]:
+    """A text's first labelled runs of ``width`` words in an order that is the same for all texts, rarest first.
+
+    A link leaves at most ``width`` * (1 - ``least``) of the words' number of a text's runs unmatched, so the
+    first of the runs that two linked texts share is among so many and one more of each. Also, about how often
+    other texts hold one of them.
     """
-    found = kmers(words)
-    order = np.lexsort((found, times[(found % np.uint64(CLASSES)).astype(np.int64)]))
-    return found[order[: int(2 * (1 - least) * len(words) + 1e-9) + 1]].view(np.int64)
+    found = kmers(words, width)
+    often = times[(found % np.uint64(CLASSES)).astype(np.int64)]
+    order = np.lexsort((found, often))[: int(width * (1 - least) * len(words) + 1e-9) + 1]
+    return found[order].view(np.int64), int((often[order] - 1).sum())
 
 
 def across(rows: DataFrame, texts: DataFrame, least: float, folder: str) -> DataFrame:
     """(a, b): pairs of the texts in ``rows`` (id, root) that may be linked and are in different groups.
 
-    In each cell, the texts that share one of their rarest runs, those out of the largest group are paired
-    with all others, so a large group isn't paired with itself.
+    In each cell, the texts that share one of their rarest runs, or of their rarest words, those out of the
+    largest group are paired with all others, so a large group isn't paired with itself. The first run that
+    linked texts share stands at a ``place`` among a text's rarest that their lengths bound.
     """
     rows, _ = stored(rows, f"{folder}/crowded", n=F.count(F.lit(1)))
     own = texts.join(rows.select("id"), "id", "left_semi")
-    held = rows.sparkSession.sparkContext.broadcast(rarity(own))
+    context = rows.sparkSession.sparkContext
+    held = [context.broadcast(times) for times in rarity(own)]
 
     def make():
         split = splitter()
 
         def work(part: pa.RecordBatch) -> pa.RecordBatch:
             words = split(part.column("text").to_pylist())
-            first = [rarest(w, held.value, least) for w in words]
+            first, runs = [], []
+            for w in words:
+                (single, singles), (pairs, doubles) = (
+                    rarest(w, times.value, least, width) for times, width in zip(held, (1, WORDS))
+                )
+                by_word = singles < doubles
+                first.append(single if by_word else pairs)
+                runs.append(pairs if by_word else None)
             return pa.RecordBatch.from_arrays(
                 [
                     part.column("id"),
                     pa.array([len(w) for w in words], pa.int64()),
                     pa.array(first, pa.list_(pa.int64())),
+                    pa.array(runs, pa.list_(pa.int64())),
                 ],
-                names=["id", "words", "first"],
+                names=["id", "words", "first", "runs"],
             )
 
         return work
 
-    firsts = map_slices(own, make, "id long, words long, first array<long>").join(rows, "id")
+    firsts = map_slices(own, make, "id long, words long, first array<long>, runs array<long>").join(rows, "id")
+    firsts, _ = stored(firsts, f"{folder}/firsts", n=F.count(F.lit(1)))
+    by_word = F.col("runs").isNotNull().alias("by_word")
     cells, _ = stored(
-        firsts.select("id", "root", "words", F.explode("first").alias("cell")),
+        firsts.select("id", "root", "words", by_word, F.posexplode("first").alias("place", "cell")),
         f"{folder}/cells",
         n=F.count(F.lit(1)),
     )
@@ -483,15 +513,21 @@ def across(rows: DataFrame, texts: DataFrame, least: float, folder: str) -> Data
         .select("cell", "largest")
     )
     sides, _ = stored(cells.join(largest, "cell"), f"{folder}/sides", n=F.count(F.lit(1)))
-    x, y = sides.where("root <> largest").alias("x"), sides.alias("y")
     longer = F.greatest("x.words", "y.words")
-    return x.join(
-        y,
+    # A word that only the longer text has leaves no word of the shorter one without a match.
+    most = F.when(F.col("x.by_word"), 1).otherwise(WORDS) * (1 - least) * longer + 1e-9
+    apart = (
         (F.col("x.cell") == F.col("y.cell"))
         & (F.col("x.root") != F.col("y.root"))
-        & ((F.col("y.root") == F.col("y.largest")) | (F.col("x.id") < F.col("y.id")))
-        & (longer - F.least("x.words", "y.words") <= longer * (1 - least) + 1e-9),
-    ).select(F.greatest("x.id", "y.id").alias("a"), F.least("x.id", "y.id").alias("b"))
+        & (F.col("x.place") - F.col("x.words") <= most - longer)
+        & (F.col("y.place") - F.col("y.words") <= most - longer)
+    )
+    ends = F.greatest("x.id", "y.id").alias("a"), F.least("x.id", "y.id").alias("b")
+    once = (F.col("y.root") == F.col("y.largest")) | (F.col("x.id") < F.col("y.id"))
+    alike = sides.where("root <> largest").alias("x").join(sides.alias("y"), apart & once).select(*ends)
+    by_runs = firsts.where("runs is not null").select("id", "root", "words", F.posexplode("runs").alias("place", "cell"))
+    mixed = cells.where("not by_word").alias("x").join(by_runs.alias("y"), apart).select(*ends)
+    return alike.unionByName(mixed)
 
 
 def verify(pairs: DataFrame, texts: DataFrame, least: float, folder: str) -> DataFrame:
@@ -617,7 +653,7 @@ def members(
     roots = components(led, f"{folder}/led")
     more = rest(texts, roots, pairs, least, folder)
     more, seen = stored(more, f"{folder}/more_pairs", n=F.count(F.lit(1)))
-    dropped(spark, folder, "pairs", "open", "crowded", "cells", "sides")
+    dropped(spark, folder, "pairs", "open", "crowded", "firsts", "cells", "sides")
     if seen["n"]:
         links = led.unionByName(verify(more, texts, least, f"{folder}/by_bucket"))
         roots = components(links, f"{folder}/components")

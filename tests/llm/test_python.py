@@ -450,6 +450,52 @@ def test_signatures_rule_no_link_out(size):
     assert near_dup.room(10, 7, 0.8) == -1 and len(near_dup.signature(x[:0])) == near_dup.FOLD // 64
 
 
+def test_signatures_tell_how_often_a_word_comes():
+    few, many = (words_of(" ".join(["a"] * n + ["b"] * (100 - n))) for n in (30, 70))
+    apart = int(np.bitwise_count(near_dup.signature(few) ^ near_dup.signature(many)).sum())
+    assert near_dup.similarity(few, many) == 0 and apart > near_dup.room(100, 100, near_dup.SIMILARITY)
+
+
+def crossed(spark, folder, texts: list[str]) -> set:
+    """The pairs of ``across`` of texts that are each a group of their own."""
+    table = spark.createDataFrame(list(enumerate(texts)), "id long, text string").repartition(4)
+    rows = table.selectExpr("id", "id as root")
+    pairs = near_dup.across(rows, table, near_dup.SIMILARITY, str(folder)).collect()
+    return {(r["a"], r["b"]) for r in pairs}
+
+
+def test_texts_that_share_a_passage_do_not_all_meet(spark, tmp_path):
+    """Three quarters of each text are the same; the rarest runs, but not the rarest words, reach into that."""
+    passage = [f"p{i}" for i in range(60)]
+    texts = [" ".join([*passage, *[f"o{i}_{j}" for j in range(20)]]) for i in range(60)]
+    assert crossed(spark, tmp_path / "unlinked", texts) == set()
+    texts.append(texts[7].replace("o7_3 ", "x ").replace("p9 ", ""))
+    assert crossed(spark, tmp_path / "linked", texts) == {(60, 7)}
+
+
+def test_across_loses_no_link(spark, tmp_path):
+    """Texts of one's own, of a passage and of few words, edited up to the limit, against all pairs."""
+    draw = random.Random(11)
+    passages = [[f"p{k}_{i}" for i in range(100)] for k in range(3)]
+    texts = []
+    for turn in range(24):
+        size = draw.choice([10, 40, 80])
+        base = [draw.choice([f"o{turn}_{j}", f"c{draw.randint(0, 4)}"]) for j in range(size)]
+        if turn % 3:
+            cut = draw.randint(2 * size // 3, min(100, 6 * size // 5))
+            base = [*base[: size // 4], *draw.choice(passages)[:cut], *base[size // 4 : size // 3]]
+        texts.append(base)
+        for edits in (len(base) // 5, len(base) // 8):
+            words = list(base)
+            for at in draw.sample(range(len(words)), edits):
+                words[at] = draw.choice(["c1", f"e{len(texts)}_{at}"])
+            texts.append(words)
+    split = [words_of(" ".join(t)) for t in texts]
+    linked = {(a, b) for a in range(len(texts)) for b in range(a) if near_dup.similarity(split[a], split[b])}
+    assert len(linked) > 40
+    assert linked <= crossed(spark, tmp_path / "all", [" ".join(t) for t in texts])
+
+
 def test_repeats_leave_other_shingles_alone():
     words = [f"w{i}" for i in range(50)]
     twice = [*words, "w3", "w4"]
