@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lamina.columns import col, free_name, none_null
-from lamina.operators.heavy import HOT_ROWS, heavy_keys
+from lamina.operators.heavy import BROADCAST_KEYS, HOT_ROWS, heavy_keys
 
 
 def latest_per_group(
@@ -23,7 +23,8 @@ def latest_per_group(
     Equal to joining the table with its own per-group maximum, but in one pass: ``rank() = 1`` is cut
     down to each task's own best rows before the shuffle. Groups above ``hot_rows`` rows, whose ties
     alone could fill a task, are compared in place with their maximum instead. ``hot`` is their list, if
-    the caller has it already.
+    the caller has it already. If it is too long to broadcast, all groups are joined with their maximum,
+    so that whole rows move once, spread by ``order_by`` too.
     """
     keys = list(keys)
     grouped = [col(k) for k in keys]
@@ -33,12 +34,15 @@ def latest_per_group(
     if hot is None:
         return _ranked(valid, keys, order_by)
     best_of = free_name("hot_best", df)
+    own = [col(c) for c in df.columns]
+    if hot.limit(BROADCAST_KEYS + 1).count() > BROADCAST_KEYS:
+        best = valid.groupBy(*grouped).agg(F.max(col(order_by)).alias(best_of))
+        return valid.withColumn(best_of, col(order_by)).join(best, [*keys, best_of]).select(*own)
     usual = valid.join(hot.select(*grouped), keys, "left_anti")
     busy = valid.join(hot.select(*grouped), keys)
     # One row per hot group, so no more than the list of hot groups has.
     best = busy.groupBy(*grouped).agg(F.max(col(order_by)).alias(best_of))
     latest = busy.join(best, keys).where(col(order_by) == F.col(best_of))
-    own = [col(c) for c in df.columns]
     return _ranked(usual.select(*own), keys, order_by).unionByName(latest.select(*own))
 
 

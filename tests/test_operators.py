@@ -11,6 +11,7 @@ from lamina.operators.append import append_silver, append_transactions
 from lamina.operators.bronze import add_bucket, enrich_changes, enrich_changes_sql
 from lamina.operators.diff import append_changes, diff_snapshots, overwrite_changes
 from lamina.operators.heavy import heavy_keys, skew_join
+from lamina.operators import heavy, latest
 from lamina.operators.latest import latest_per_group
 from lamina.operators.quality import expect_all, expectation_report, observed_report
 from lamina.operators.scd2 import current, scd2_history
@@ -96,6 +97,21 @@ def test_latest_keeps_ties_and_loses_nulls(spark, hot_rows):
     assert rows(got) == sorted(want, key=repr)
 
 
+def test_latest_moves_rows_once_with_many_hot_groups(spark, monkeypatch):
+    """A list of hot groups too long to broadcast; keys and dates are odd."""
+    for module in (heavy, latest):
+        monkeypatch.setattr(module, "BROADCAST_KEYS", 2, raising=False)
+    draw = random.Random(5)
+    days = [1.5, -2.0, float("inf"), float("nan"), None]
+    data = [(draw.choice(["a", "b", "c", "d", None]), draw.choice(days), i // 2) for i in range(300)]
+    data += [("only", -2.0, 1), ("only", -2.0, 1), ("one", 1.5, 2)]
+    df = spark.createDataFrame(data, "`a b` STRING, hot_best DOUBLE, id INT")
+    got = latest_per_group(df, ["a b"], "hot_best", 1)
+    assert got.columns == df.columns
+    assert repr(rows(got)) == repr(rows(latest_per_group(df, ["a b"], "hot_best", None)))
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
+
+
 @pytest.mark.parametrize("how", ["inner", "left"])
 @pytest.mark.parametrize("hot_rows", [None, 1, 100])
 def test_skew_join(spark, how, hot_rows):
