@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from lamina.columns import col, free_name, none_null
-from lamina.operators.heavy import BROADCAST_KEYS, HOT_ROWS, heavy_keys
+from lamina.operators.heavy import BROADCAST_KEYS, HOT_ROWS, SAMPLE_AT_THRESHOLD, heavy_keys
+from lamina.session import work_dir
 
 
 def latest_per_group(
@@ -29,14 +30,26 @@ def latest_per_group(
     keys = list(keys)
     grouped = [col(k) for k in keys]
     valid = df.where(none_null([*keys, order_by]))
-    if hot is None:
+    best_of, n_of = free_name("hot_best", df), free_name("hot_n", df)
+    own = [col(c) for c in df.columns]
+    best = valid.groupBy(*grouped).agg(F.max(col(order_by)).alias(best_of), F.count("*").alias(n_of))
+    if hot is not None:
+        many = hot.limit(BROADCAST_KEYS + 1).count() > BROADCAST_KEYS
+    elif hot_rows is not None and hot_rows <= SAMPLE_AT_THRESHOLD:
+        # The search counts every row then, and finds each group's maximum on the way.
+        path, written = work_dir(df.sparkSession, "hot_best"), Observation()
+        over = F.col(n_of) > hot_rows
+        best.observe(written, F.count_if(over).alias("keys")).write.parquet(path)
+        best, found = df.sparkSession.read.schema(best.schema).parquet(path), written.get["keys"]
+        hot = F.broadcast(best.where(over)) if found else None
+        many = found > BROADCAST_KEYS
+    else:
         hot = heavy_keys(valid, keys, hot_rows)
+        many = hot is not None and hot.limit(BROADCAST_KEYS + 1).count() > BROADCAST_KEYS
     if hot is None:
         return _ranked(valid, keys, order_by)
-    best_of = free_name("hot_best", df)
-    own = [col(c) for c in df.columns]
-    if hot.limit(BROADCAST_KEYS + 1).count() > BROADCAST_KEYS:
-        best = valid.groupBy(*grouped).agg(F.max(col(order_by)).alias(best_of))
+    if many:
+        best = best.select(*grouped, best_of)
         return valid.withColumn(best_of, col(order_by)).join(best, [*keys, best_of]).select(*own)
     usual = valid.join(hot.select(*grouped), keys, "left_anti")
     busy = valid.join(hot.select(*grouped), keys)

@@ -97,10 +97,12 @@ def test_latest_keeps_ties_and_loses_nulls(spark, hot_rows):
     assert rows(got) == sorted(want, key=repr)
 
 
-def test_latest_moves_rows_once_with_many_hot_groups(spark, monkeypatch):
+@pytest.mark.parametrize("counted", [0, 10])
+def test_latest_moves_rows_once_with_many_hot_groups(spark, monkeypatch, counted):
     """A list of hot groups too long to broadcast; keys and dates are odd."""
     for module in (heavy, latest):
         monkeypatch.setattr(module, "BROADCAST_KEYS", 2, raising=False)
+    monkeypatch.setattr(latest, "SAMPLE_AT_THRESHOLD", counted, raising=False)
     draw = random.Random(5)
     days = [1.5, -2.0, float("inf"), float("nan"), None]
     data = [(draw.choice(["a", "b", "c", "d", None]), draw.choice(days), i // 2) for i in range(300)]
