@@ -22,8 +22,8 @@ Texts meet only where their signatures allow a link. A signature holds, for each
 their number is odd, where a word that comes again is another word each time. An edit of one word changes
 two classes at most, and less where it changes the length, so signatures that differ in more bits than the
 allowed edits can change rule a link out. A text has four bits or more for each word; a longer signature is
-folded to the length of a shorter one. A part of ``FOLD`` bits goes along into each bucket; the whole ones
-are compared once for each pair.
+folded to the length of a shorter one. At most ``CARRIED`` bits, all of most texts, go along into buckets and cells;
+the whole ones are compared once for each pair that has met with less.
 
 In buckets of more than ``CROWD`` texts, those are paired that share one of their rarest words or runs of
 two words, and each text is there once, in however many such buckets it is. A link leaves at most a fifth
@@ -31,8 +31,10 @@ of either text's words and two fifths of its runs unmatched, so two linked texts
 and one more of each, and a run among two fifths and one more. Each text goes by the kind that fewer texts
 share with it: runs are rarer, but a passage that many documents hold is among a text's rarest runs from
 three fifths of its length on, and among its rarest words from four fifths on. Texts of different kinds
-meet by runs. Texts that share a passage and are just too different to be linked may still all meet in
-pairs, but only as numbers; their signatures are compared before their texts are.
+meet by runs. Each text brings its signature to the cells of those words and runs, and the texts of a cell are
+compared there, in blocks of at most ``CROWD`` against as many; only pairs whose signatures allow a link become
+rows. Texts that share a passage and are just too different to be linked may still all be compared in pairs: the
+comparisons, and in cells of many blocks the copies of signatures, grow with the square of their number.
 
 Groups are the connected texts. Texts that are equal are one text throughout, so copies are never paired.
 
@@ -65,15 +67,19 @@ SHORT_DEPTHS = (3,)
 CACHE = 400_000
 #: Three orders of ids: which of a bucket's texts leads it.
 ORDERS = (0, 0x2AAAAAAAAAAAAAAA, 0x5555555555555555)
-#: Buckets of at most so many texts are gone through within a task, others by joins.
+#: Buckets of at most so many texts are gone through in whole, others by rare words; also the texts of a block.
 CROWD = 512
+#: Bits of a signature that go along into buckets and cells at most; a power of two.
+CARRIED = 4096
 #: Runs of words are ordered by the counts of so many classes of runs.
 CLASSES = 1 << 18
 #: So many counts make a row.
 BLOCK = 1 << 12
-#: Bits of a signature for each word, and of the part that goes into buckets; a power of two.
+#: Bits of a signature for each word, and of the least signature; a power of two.
 SPREAD = 4
 FOLD = 512
+#: What a row is in its block of a cell: one of the left texts, of the right ones, or of both.
+LEFT, RIGHT, BOTH = 1, 2, 3
 #: Hash matrix cells that are held at once.
 CELLS = 2_000_000
 
@@ -289,17 +295,24 @@ def turned(number: Column, key: Column) -> Column:
     return number.bitwiseXOR(order)
 
 
-def candidates(sketched: DataFrame) -> DataFrame:
-    """(a, b): each text with the leaders of its buckets, each pair once."""
-    rows = sketched.select("id", F.explode(F.array_distinct("keys")).alias("key"))
+def candidates(sketched: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """(a, b): each text with the leaders of its buckets, each pair once, unless the lengths rule a link out.
+
+    ``sketched`` has (id, words, keys).
+    """
+    words = F.col("words").cast("int").alias("words")
+    rows = sketched.select("id", words, F.explode(F.array_distinct("keys")).alias("key"))
     key = F.col("key")
+    first = F.struct(turned(F.col("id"), key).alias("turned"), "words")
     leaders = (
         rows.groupBy("key")
-        .agg(F.min(turned(F.col("id"), key)).alias("least"), F.count(F.lit(1)).alias("n"))
+        .agg(F.min(first).alias("first"), F.count(F.lit(1)).alias("n"))
         .where("n > 1")
-        .select("key", turned(F.col("least"), key).alias("leader"))
+        .select("key", turned(F.col("first.turned"), key).alias("leader"), F.col("first.words").alias("others"))
     )
-    pairs = rows.join(leaders, "key").where(F.col("id") != F.col("leader"))
+    longer, shorter = F.greatest("words", "others"), F.least("words", "others")
+    near = longer - shorter <= (1 - least) * longer + 1e-9
+    pairs = rows.join(leaders, "key").where((F.col("id") != F.col("leader")) & near)
     return pairs.select(
         F.greatest("id", "leader").alias("a"), F.least("id", "leader").alias("b")
     ).distinct()
@@ -331,32 +344,51 @@ def possible(pairs: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> D
     return both.select("a", "b", "words_a", "words_b", "bits_a", "bits_b").mapInArrow(keep, "a long, b long")
 
 
-def unlike(part: pa.Table, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of the pairs in ``part`` (key, id, root, words, bits), sorted by key, that ``rest`` looks for."""
-    key, ids, root, words = (part.column(c).to_numpy() for c in ("key", "id", "root", "words"))
-    bits = np.frombuffer(b"".join(part.column("bits").to_pylist()), np.uint64).reshape(len(ids), -1)
+def unlike(part: pa.Table, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids of the pairs in ``part`` that may be linked and are in different groups, and whether whole signatures say so.
+
+    ``part`` has (key, id, root, words, bits, place, width, role) and is sorted by key. Two texts of a key are a
+    pair if their roles make ``BOTH`` together; by ``place`` see ``across``.
+    """
+    key, ids, root, words, place, width, role = (
+        part.column(c).to_numpy() for c in ("key", "id", "root", "words", "place", "width", "role")
+    )
+    held = part.column("bits").to_pylist()
+    sizes = np.array([len(b) for b in held]) // 8
+    whole = b"".join(b.ljust(8 * sizes.max(), b"\0") for b in held)
+    whole = np.frombuffer(whole, np.uint64).reshape(len(ids), -1)
+    # Zeros at the end leave what a signature is folded to as it is.
+    levels = {n: np.bitwise_xor.reduce(whole.reshape(len(ids), -1, n), axis=1) for n in np.unique(sizes).tolist()}
     left, right, at, apart = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], np.arange(len(ids)), 0
+    brief = SPREAD * words <= CARRIED
     while len(at):
         apart += 1
         at = at[at + apart < len(ids)]
         at = at[key[at] == key[at + apart]]
-        x = at[root[at] != root[at + apart]]
-        most = room(words[x], words[x + apart], least)
-        x, most = x[most >= 0], most[most >= 0]
-        differ = np.bitwise_count(bits[x] ^ bits[x + apart]).sum(axis=1, dtype=np.int64)
-        x = x[differ <= most]
-        left.append(ids[x])
-        right.append(ids[x + apart])
+        x = at[(root[at] != root[at + apart]) & (role[at] | role[at + apart] == BOTH)]
+        y = x + apart
+        most, longer = room(words[x], words[y], least), np.maximum(words[x], words[y])
+        # A word that only the longer text has leaves no word of the shorter one without a match.
+        free = width[x] * (1 - least) * longer + 1e-9 - longer
+        may = (most >= 0) & (place[x] - words[x] <= free) & (place[y] - words[y] <= free)
+        x, y, most = x[may], y[may], most[may]
+        size = np.minimum(sizes[x], sizes[y])
+        for n in np.unique(size).tolist():
+            of = size == n
+            differ = np.bitwise_count(levels[n][x[of]] ^ levels[n][y[of]]).sum(axis=1, dtype=np.int64)
+            near = differ <= most[of]
+            left.append(x[of][near])
+            right.append(y[of][near])
     x, y = np.concatenate(left), np.concatenate(right)
-    return np.maximum(x, y), np.minimum(x, y)
+    return np.maximum(ids[x], ids[y]), np.minimum(ids[x], ids[y]), brief[x] & brief[y]
 
 
 def within(rows: DataFrame, least: float) -> DataFrame:
-    """(a, b): the pairs of ``unlike``. No bucket is larger than ``CROWD``."""
+    """(a, b, tested): the pairs of ``unlike``. No key has many more rows than two blocks."""
 
     def work(batches):
         def out(part):
-            return pa.RecordBatch.from_arrays([pa.array(x) for x in unlike(part, least)], names=["a", "b"])
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in unlike(part, least)], names=["a", "b", "tested"])
 
         held = None
         for batch in batches:
@@ -371,14 +403,14 @@ def within(rows: DataFrame, least: float) -> DataFrame:
         if held is not None:
             yield out(held)
 
-    ordered = rows.select("key", "id", "root", "words", "bits").repartition("key")
-    return ordered.sortWithinPartitions("key").mapInArrow(work, "a long, b long")
+    ordered = rows.select("key", "id", "root", "words", "bits", "place", "width", "role").repartition("key")
+    return ordered.sortWithinPartitions("key").mapInArrow(work, "a long, b long, tested boolean")
 
 
 def rest(texts: DataFrame, roots: DataFrame, known: DataFrame, least: float, folder: str) -> DataFrame:
-    """(a, b): the pairs of texts that share a bucket, are in different groups and may still be linked.
+    """(a, b, tested): the pairs of texts that share a bucket, are in different groups and may still be linked.
 
-    ``texts`` is that of ``sketches`` with ``id``, ``roots`` (id, root) those that are linked to any, and
+    Those that are ``tested`` have met with their whole signatures. ``texts`` is that of ``sketches`` with ``id``, ``roots`` (id, root) those that are linked to any, and
     ``known`` the pairs that were compared.
     """
     keys = F.explode(F.array_distinct("keys")).alias("key")
@@ -395,21 +427,26 @@ def rest(texts: DataFrame, roots: DataFrame, known: DataFrame, least: float, fol
         crowded=F.count_if(crowd),
     )
     if not seen["n"]:
-        return known.limit(0)
+        return known.limit(0).withColumn("tested", F.lit(False))
     part = map_slices(texts.select("id", "words", "bits"), fold, "id long, words long, bits binary", "bits")
-    pairs = within(open_rows.where(~crowd).join(part, "id"), least)
+    of_bucket = {"place": F.lit(0), "width": F.lit(1), "role": F.lit(BOTH)}
+    pairs = within(open_rows.where(~crowd).join(part, "id").withColumns(of_bucket), least)
     if seen["crowded"]:
         crowded = open_rows.where(crowd).select("id", "root").distinct()
         pairs = pairs.unionByName(across(crowded, texts.select("id", "text"), least, folder))
     return pairs.distinct().join(known, ["a", "b"], "left_anti")
 
 
+def carried(bits: np.ndarray) -> bytes:
+    """The part of a signature that goes into buckets and cells."""
+    return folded(bits, min(len(bits), CARRIED // 64)).tobytes()
+
+
 def fold():
     """A function from slices (id, words, bits) to the same with the part that goes into buckets."""
-    size = FOLD // 64
 
     def work(part: pa.RecordBatch) -> pa.RecordBatch:
-        bits = [folded(np.frombuffer(b, np.uint64), size).tobytes() for b in part.column("bits").to_pylist()]
+        bits = [carried(np.frombuffer(b, np.uint64)) for b in part.column("bits").to_pylist()]
         return pa.RecordBatch.from_arrays(
             [part.column("id"), part.column("words"), pa.array(bits, pa.binary())], names=["id", "words", "bits"]
         )
@@ -460,11 +497,15 @@ def rarest(words: np.ndarray, times: np.ndarray, least: float, width: int) -> tu
 
 
 def across(rows: DataFrame, texts: DataFrame, least: float, folder: str) -> DataFrame:
-    """(a, b): pairs of the texts in ``rows`` (id, root) that may be linked and are in different groups.
+    """(a, b, tested): pairs of the texts in ``rows`` (id, root) that may be linked and are in different groups.
 
     In each cell, the texts that share one of their rarest runs, or of their rarest words, those out of the
-    largest group are paired with all others, so a large group isn't paired with itself. The first run that
-    linked texts share stands at a ``place`` among a text's rarest that their lengths bound.
+    largest group are compared with all others, so a large group isn't compared with itself. Texts that go by
+    words lend their runs to those that go by runs, and meet only these there. The first run that linked texts
+    share stands at a ``place`` among a text's rarest that their lengths bound.
+
+    A cell of more than ``CROWD`` texts is cut into blocks of left and of right texts, and each left block meets
+    each right one apart, so that neither a task nor its memory follows the size of a cell.
     """
     rows, _ = stored(rows, f"{folder}/crowded", n=F.count(F.lit(1)))
     own = texts.join(rows.select("id"), "id", "left_semi")
@@ -476,7 +517,7 @@ def across(rows: DataFrame, texts: DataFrame, least: float, folder: str) -> Data
 
         def work(part: pa.RecordBatch) -> pa.RecordBatch:
             words = split(part.column("text").to_pylist())
-            first, runs = [], []
+            first, runs, bits = [], [], []
             for w in words:
                 (single, singles), (pairs, doubles) = (
                     rarest(w, times.value, least, width) for times, width in zip(held, (1, WORDS))
@@ -484,56 +525,77 @@ def across(rows: DataFrame, texts: DataFrame, least: float, folder: str) -> Data
                 by_word = singles < doubles
                 first.append(single if by_word else pairs)
                 runs.append(pairs if by_word else None)
+                bits.append(carried(signature(w)))
             return pa.RecordBatch.from_arrays(
                 [
                     part.column("id"),
                     pa.array([len(w) for w in words], pa.int64()),
                     pa.array(first, pa.list_(pa.int64())),
                     pa.array(runs, pa.list_(pa.int64())),
+                    pa.array(bits, pa.binary()),
                 ],
-                names=["id", "words", "first", "runs"],
+                names=["id", "words", "first", "runs", "bits"],
             )
 
         return work
 
-    firsts = map_slices(own, make, "id long, words long, first array<long>, runs array<long>").join(rows, "id")
-    firsts, _ = stored(firsts, f"{folder}/firsts", n=F.count(F.lit(1)))
-    by_word = F.col("runs").isNotNull().alias("by_word")
-    cells, _ = stored(
-        firsts.select("id", "root", "words", by_word, F.posexplode("first").alias("place", "cell")),
-        f"{folder}/cells",
-        n=F.count(F.lit(1)),
+    kind = "id long, words long, first array<long>, runs array<long>, bits binary"
+    firsts, _ = stored(map_slices(own, make, kind).join(rows, "id"), f"{folder}/firsts", n=F.count(F.lit(1)))
+    by_word = F.col("runs").isNotNull()
+
+    def cut(kept: DataFrame, runs: str, width: Column, lent: bool) -> DataFrame:
+        one = width.alias("width"), F.lit(lent).alias("lent")
+        return kept.select("id", "root", *one, F.posexplode(runs).alias("place", "cell"))
+
+    own_cells = cut(firsts, "first", F.when(by_word, 1).otherwise(WORDS), False)
+    lent_cells = cut(firsts.where(by_word), "runs", F.lit(WORDS), True).join(
+        own_cells.where(F.col("width") == WORDS).select("cell").distinct(), "cell", "left_semi"
     )
-    largest = (
+    cells, _ = stored(own_cells.unionByName(lent_cells), f"{folder}/cells", n=F.count(F.lit(1)))
+    n_left = F.when(F.col("n_lent") > 0, F.col("n") - F.col("n_lent")).otherwise(F.col("n") - F.col("largest.n"))
+
+    def blocks(count: Column) -> Column:
+        return F.when(F.col("n") > CROWD, F.ceil(count / CROWD)).otherwise(0)
+
+    mixed = (
         cells.groupBy("cell", "root")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.count(F.lit(1)).alias("n"), F.count_if("lent").alias("n_lent"))
         .groupBy("cell")
-        .agg(F.max(F.struct("n", "root"))["root"].alias("largest"), F.count(F.lit(1)).alias("roots"))
-        .where("roots > 1")
-        .select("cell", "largest")
-    )
-    sides, _ = stored(cells.join(largest, "cell"), f"{folder}/sides", n=F.count(F.lit(1)))
-    longer = F.greatest("x.words", "y.words")
-    # A word that only the longer text has leaves no word of the shorter one without a match.
-    most = F.when(F.col("x.by_word"), 1).otherwise(WORDS) * (1 - least) * longer + 1e-9
-    apart = (
-        (F.col("x.cell") == F.col("y.cell"))
-        & (F.col("x.root") != F.col("y.root"))
-        & (F.col("x.place") - F.col("x.words") <= most - longer)
-        & (F.col("y.place") - F.col("y.words") <= most - longer)
+        .agg(
+            F.max(F.struct("n", "root")).alias("largest"),
+            F.count(F.lit(1)).alias("roots"),
+            F.sum("n").alias("n"),
+            F.sum("n_lent").alias("n_lent"),
+        )
+        .where("roots > 1 and n_lent < n")
+        .withColumns({"lefts": blocks(n_left), "rights": blocks(F.col("n"))})
     )
-    ends = F.greatest("x.id", "y.id").alias("a"), F.least("x.id", "y.id").alias("b")
-    once = (F.col("y.root") == F.col("y.largest")) | (F.col("x.id") < F.col("y.id"))
-    alike = sides.where("root <> largest").alias("x").join(sides.alias("y"), apart & once).select(*ends)
-    by_runs = firsts.where("runs is not null").select("id", "root", "words", F.posexplode("runs").alias("place", "cell"))
-    mixed = cells.where("not by_word").alias("x").join(by_runs.alias("y"), apart).select(*ends)
-    return alike.unionByName(mixed)
+    left = ~F.col("lent") & ((F.col("n_lent") > 0) | (F.col("root") != F.col("largest.root")))
+    spot = F.struct("cell", "place", "width", "lent", left.alias("left"), "lefts", "rights").alias("spot")
+    # The signatures join one row a text, and go into cells from there.
+    spots = cells.join(mixed, "cell").select("id", spot).groupBy("id").agg(F.collect_list("spot").alias("spots"))
+    sides = firsts.join(spots, "id").select("id", "root", "words", "bits", F.explode("spots").alias("s"))
+
+    def block(x, y, role: Column):
+        return F.struct(F.xxhash64("s.cell", x, y).alias("key"), role.alias("role"))
+
+    def others(count: str, to):
+        return F.transform(F.sequence(F.lit(0).cast("long"), F.col(count) - 1), to)
+
+    draw = F.xxhash64("id")
+    as_left = others("s.rights", lambda j: block(F.pmod(draw, F.col("s.lefts")), j, F.lit(LEFT)))
+    as_right = others("s.lefts", lambda i: block(i, F.pmod(draw, F.col("s.rights")), F.lit(RIGHT)))
+    undivided = F.array(block(F.lit(0), F.lit(0), F.when(F.col("s.lent"), LEFT).otherwise(BOTH)))
+    divided = F.when(F.col("s.left"), F.concat(as_left, as_right)).otherwise(as_right)
+    meets = F.when(F.col("s.rights") > 0, divided).otherwise(undivided)
+    met = sides.select("id", "root", "words", "bits", "s.place", "s.width", F.inline(meets))
+    return within(met, least)
 
 
 def verify(pairs: DataFrame, texts: DataFrame, least: float, folder: str) -> DataFrame:
     """(a, b) of the pairs that align, as a table in ``folder``; ``texts`` has (id, text, words, bits).
 
-    Only the texts of possible pairs move.
+    Only the texts of possible pairs move. Pairs that are ``tested`` are known to be possible.
     """
 
     def make():
@@ -552,7 +614,11 @@ def verify(pairs: DataFrame, texts: DataFrame, least: float, folder: str) -> Dat
 
         return work
 
-    left, seen = stored(possible(pairs, texts, least), f"{folder}/possible", n=F.count(F.lit(1)))
+    if "tested" in pairs.columns:
+        left = possible(pairs.where("not tested"), texts, least).unionByName(pairs.where("tested").select("a", "b"))
+    else:
+        left = possible(pairs, texts, least)
+    left, _ = stored(left, f"{folder}/possible", n=F.count(F.lit(1)))
     needed = left.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     needed, _ = stored(needed, f"{folder}/needed", n=F.count(F.lit(1)))
     own, _ = stored(
@@ -647,13 +713,13 @@ def members(
     )
     sketches(once).withColumn("id", F.monotonically_increasing_id()).write.parquet(f"{folder}/texts")
     texts = spark.read.parquet(f"{folder}/texts")
-    candidates(texts.select("id", "keys")).write.parquet(f"{folder}/pairs")
+    candidates(texts.select("id", "words", "keys"), least).write.parquet(f"{folder}/pairs")
     pairs = spark.read.parquet(f"{folder}/pairs")
     links = led = verify(pairs, texts, least, f"{folder}/by_leader")
     roots = components(led, f"{folder}/led")
     more = rest(texts, roots, pairs, least, folder)
     more, seen = stored(more, f"{folder}/more_pairs", n=F.count(F.lit(1)))
-    dropped(spark, folder, "pairs", "open", "crowded", "firsts", "cells", "sides")
+    dropped(spark, folder, "pairs", "open", "crowded", "firsts", "cells")
     if seen["n"]:
         links = led.unionByName(verify(more, texts, least, f"{folder}/by_bucket"))
         roots = components(links, f"{folder}/components")
