@@ -347,11 +347,11 @@ def possible(pairs: DataFrame, texts: DataFrame, least: float = SIMILARITY) -> D
 def unlike(part: pa.Table, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Ids of the pairs in ``part`` that may be linked and are in different groups, and whether whole signatures say so.
 
-    ``part`` has (key, id, root, words, bits, place, width, role) and is sorted by key. Two texts of a key are a
-    pair if their roles make ``BOTH`` together; by ``place`` see ``across``.
+    ``part`` has (key, id, root, words, bits, place, before, width, role) and is sorted by key. Two texts of a key are a
+    pair if their roles make ``BOTH`` together; by ``place`` and ``before`` see ``across``.
     """
-    key, ids, root, words, place, width, role = (
-        part.column(c).to_numpy() for c in ("key", "id", "root", "words", "place", "width", "role")
+    key, ids, root, words, place, before, width, role = (
+        part.column(c).to_numpy() for c in ("key", "id", "root", "words", "place", "before", "width", "role")
     )
     held = part.column("bits").to_pylist()
     sizes = np.array([len(b) for b in held]) // 8
@@ -366,6 +366,7 @@ def unlike(part: pa.Table, least: float) -> tuple[np.ndarray, np.ndarray, np.nda
         at = at[at + apart < len(ids)]
         at = at[key[at] == key[at + apart]]
         x = at[(root[at] != root[at + apart]) & (role[at] | role[at + apart] == BOTH)]
+        x = x[(before[x] != before[x + apart]) | (before[x] == 0)]
         y = x + apart
         most, longer = room(words[x], words[y], least), np.maximum(words[x], words[y])
         # A word that only the longer text has leaves no word of the shorter one without a match.
@@ -403,7 +404,7 @@ def within(rows: DataFrame, least: float) -> DataFrame:
         if held is not None:
             yield out(held)
 
-    ordered = rows.select("key", "id", "root", "words", "bits", "place", "width", "role").repartition("key")
+    ordered = rows.select("key", "id", "root", "words", "bits", "place", "before", "width", "role").repartition("key")
     return ordered.sortWithinPartitions("key").mapInArrow(work, "a long, b long, tested boolean")
 
 
@@ -429,7 +430,7 @@ def rest(texts: DataFrame, roots: DataFrame, known: DataFrame, least: float, fol
     if not seen["n"]:
         return known.limit(0).withColumn("tested", F.lit(False))
     part = map_slices(texts.select("id", "words", "bits"), fold, "id long, words long, bits binary", "bits")
-    of_bucket = {"place": F.lit(0), "width": F.lit(1), "role": F.lit(BOTH)}
+    of_bucket = {"place": F.lit(0), "before": F.lit(0), "width": F.lit(1), "role": F.lit(BOTH)}
     pairs = within(open_rows.where(~crowd).join(part, "id").withColumns(of_bucket), least)
     if seen["crowded"]:
         crowded = open_rows.where(crowd).select("id", "root").distinct()
@@ -483,17 +484,30 @@ def rarity(texts: DataFrame) -> list[np.ndarray]:
     return list(blocks.reshape(len(kinds), CLASSES))
 
 
-def rarest(words: np.ndarray, times: np.ndarray, least: float, width: int) -> tuple[np.ndarray, int]:
+def rarest(words: np.ndarray, times: np.ndarray, least: float, width: int) -> tuple[np.ndarray, np.ndarray, int]:
     """A text's first labelled runs of ``width`` words in an order that is the same for all texts, rarest first.
 
     A link leaves at most ``width`` * (1 - ``least``) of the words' number of a text's runs unmatched, so the
-    first of the runs that two linked texts share is among so many and one more of each. Also, about how often
-    other texts hold one of them.
+    first of the runs that two linked texts share is among so many and one more of each. Those of classes that
+    occur once are in no other text and left out. Also, their places in that order, and about how often other
+    texts hold one of them.
     """
     found = kmers(words, width)
     often = times[(found % np.uint64(CLASSES)).astype(np.int64)]
     order = np.lexsort((found, often))[: int(width * (1 - least) * len(words) + 1e-9) + 1]
-    return found[order].view(np.int64), int((often[order] - 1).sum())
+    often = often[order]
+    places = np.flatnonzero(often > 1)
+    return found[order][places].view(np.int64), places, int((often - 1).sum())
+
+
+def listed(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.ListArray:
+    """For each text of ``found`` (cells, places) its cells with place and the cell ``before``, 0 for none."""
+    none = [np.zeros(0, np.int64)]
+    cells, places = (np.concatenate([f[i] for f in found] or none) for i in (0, 1))
+    before = np.concatenate([np.append(0, f[0])[: len(f[0])] for f in found] or none)
+    starts = np.cumsum([0, *(len(f[0]) for f in found)])
+    rows = pa.StructArray.from_arrays([pa.array(x) for x in (places, cells, before)], ["place", "cell", "before"])
+    return pa.ListArray.from_arrays(pa.array(starts, pa.int32()), rows)
 
 
 def across(rows: DataFrame, texts: DataFrame, least: float, folder: str) -> DataFrame:
@@ -502,7 +516,8 @@ def across(rows: DataFrame, texts: DataFrame, least: float, folder: str) -> Data
     In each cell, the texts that share one of their rarest runs, or of their rarest words, those out of the
     largest group are compared with all others, so a large group isn't compared with itself. Texts that go by
     words lend their runs to those that go by runs, and meet only these there. The first run that linked texts
-    share stands at a ``place`` among a text's rarest that their lengths bound.
+    share stands at a ``place`` among a text's rarest that their lengths bound. Two texts that have the same cell
+    ``before`` this one have met there already.
 
     A cell of more than ``CROWD`` texts is cut into blocks of left and of right texts, and each left block meets
     each right one apart, so that neither a task nor its memory follows the size of a cell.
@@ -517,35 +532,38 @@ def across(rows: DataFrame, texts: DataFrame, least: float, folder: str) -> Data
 
         def work(part: pa.RecordBatch) -> pa.RecordBatch:
             words = split(part.column("text").to_pylist())
-            first, runs, bits = [], [], []
+            first, runs, by_word, bits = [], [], [], []
+            none = np.zeros(0, np.int64), np.zeros(0, np.int64)
             for w in words:
-                (single, singles), (pairs, doubles) = (
+                (*single, singles), (*pairs, doubles) = (
                     rarest(w, times.value, least, width) for times, width in zip(held, (1, WORDS))
                 )
-                by_word = singles < doubles
-                first.append(single if by_word else pairs)
-                runs.append(pairs if by_word else None)
+                by_word.append(singles < doubles)
+                first.append(single if by_word[-1] else pairs)
+                runs.append(pairs if by_word[-1] else none)
                 bits.append(carried(signature(w)))
             return pa.RecordBatch.from_arrays(
                 [
                     part.column("id"),
                     pa.array([len(w) for w in words], pa.int64()),
-                    pa.array(first, pa.list_(pa.int64())),
-                    pa.array(runs, pa.list_(pa.int64())),
+                    listed(first),
+                    listed(runs),
+                    pa.array(by_word, pa.bool_()),
                     pa.array(bits, pa.binary()),
                 ],
-                names=["id", "words", "first", "runs", "bits"],
+                names=["id", "words", "first", "runs", "by_word", "bits"],
             )
 
         return work
 
-    kind = "id long, words long, first array<long>, runs array<long>, bits binary"
+    cut_kind = "array<struct<place: long, cell: long, before: long>>"
+    kind = f"id long, words long, first {cut_kind}, runs {cut_kind}, by_word boolean, bits binary"
     firsts, _ = stored(map_slices(own, make, kind).join(rows, "id"), f"{folder}/firsts", n=F.count(F.lit(1)))
-    by_word = F.col("runs").isNotNull()
+    by_word = F.col("by_word")
 
     def cut(kept: DataFrame, runs: str, width: Column, lent: bool) -> DataFrame:
         one = width.alias("width"), F.lit(lent).alias("lent")
-        return kept.select("id", "root", *one, F.posexplode(runs).alias("place", "cell"))
+        return kept.select("id", "root", *one, F.inline(runs))
 
     own_cells = cut(firsts, "first", F.when(by_word, 1).otherwise(WORDS), False)
     lent_cells = cut(firsts.where(by_word), "runs", F.lit(WORDS), True).join(
@@ -571,7 +589,7 @@ def across(rows: DataFrame, texts: DataFrame, least: float, folder: str) -> Data
         .withColumns({"lefts": blocks(n_left), "rights": blocks(F.col("n"))})
     )
     left = ~F.col("lent") & ((F.col("n_lent") > 0) | (F.col("root") != F.col("largest.root")))
-    spot = F.struct("cell", "place", "width", "lent", left.alias("left"), "lefts", "rights").alias("spot")
+    spot = F.struct("cell", "place", "before", "width", "lent", left.alias("left"), "lefts", "rights").alias("spot")
     # The signatures join one row a text, and go into cells from there.
     spots = cells.join(mixed, "cell").select("id", spot).groupBy("id").agg(F.collect_list("spot").alias("spots"))
     sides = firsts.join(spots, "id").select("id", "root", "words", "bits", F.explode("spots").alias("s"))
@@ -588,7 +606,7 @@ def across(rows: DataFrame, texts: DataFrame, least: float, folder: str) -> Data
     undivided = F.array(block(F.lit(0), F.lit(0), F.when(F.col("s.lent"), LEFT).otherwise(BOTH)))
     divided = F.when(F.col("s.left"), F.concat(as_left, as_right)).otherwise(as_right)
     meets = F.when(F.col("s.rights") > 0, divided).otherwise(undivided)
-    met = sides.select("id", "root", "words", "bits", "s.place", "s.width", F.inline(meets))
+    met = sides.select("id", "root", "words", "bits", "s.place", "s.before", "s.width", F.inline(meets))
     return within(met, least)
 
 

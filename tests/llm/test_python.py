@@ -473,6 +473,34 @@ def test_texts_that_share_a_passage_do_not_all_meet(spark, tmp_path):
     assert crossed(spark, tmp_path / "linked", texts) == {(60, 7)}
 
 
+@pytest.mark.parametrize("crowd", [4, 512])
+def test_pairs_ruled_out_in_their_cells_are_no_rows(spark, tmp_path, monkeypatch, crowd):
+    """Each text shares one rare word with each of 30 others, and a passage with all; in blocks and undivided."""
+    monkeypatch.setattr(near_dup, "CROWD", crowd)
+    passage = [f"p{i}" for i in range(50)]
+    own = [[] for _ in range(60)]
+    for i, step in itertools.product(range(60), range(1, 16)):
+        for at in (i, (i + step) % 60):
+            own[at].append(f"q{i}_{step}")
+    texts = [" ".join([*passage, *words]) for words in own]
+    assert crossed(spark, tmp_path / "unlinked", texts) == set()
+    texts.append(texts[7].replace("q7_3 ", "x ").replace("p9 ", ""))
+    assert crossed(spark, tmp_path / "linked", texts) == {(60, 7)}
+
+
+def test_pairs_that_share_many_rare_words_meet_once(spark, tmp_path):
+    words = [f"w{i}" for i in range(100)]
+    table = spark.createDataFrame([(0, " ".join(words)), (1, " ".join(words[1:]))], "id long, text string")
+    pairs = near_dup.across(table.selectExpr("id", "id as root"), table, near_dup.SIMILARITY, str(tmp_path / "c"))
+    assert [(r["a"], r["b"]) for r in pairs.collect()] == [(1, 0)]
+
+
+def test_leaders_of_other_lengths_are_no_pairs(spark):
+    rows = [(0, 10, [1, 2]), (1, 13, [1]), (2, 12, [2]), (3, 12, [3])]
+    got = near_dup.candidates(spark.createDataFrame(rows, "id long, words long, keys array<long>")).collect()
+    assert {(r["a"], r["b"]) for r in got} == {(2, 0)}
+
+
 def test_across_loses_no_link(spark, tmp_path):
     """Texts of one's own, of a passage and of few words, edited up to the limit, against all pairs."""
     draw = random.Random(11)
